@@ -45,21 +45,39 @@ def unit_hash(c: Column | str, seed: int) -> Column:
     return F.pmod(h, F.lit(1 << 30)).cast("double") / float(1 << 30)
 
 
-_MINSTD_M = 2147483647   # 2^31 - 1
-_MINSTD_A = 48271
+_MASK31 = 0x7FFFFFFF
+# Multipliers of the integer mix (the classic LCG constant
+# 1103515245 and the MINSTD constant 48271).
+_MIX_A = 1103515245
+_MIX_B = 48271
 
 
-def lehmer_unit(c: Column | str, seed: int) -> Column:
-    """Uniform-ish draw in (0, 1) from one Lehmer (MINSTD) step on an integer key.
+def mix_unit(c: Column | str, seed: int) -> Column:
+    """Uniform draw in [0, 1) from an integer key: multiply/xor-shift mix
+    on 31 bits.
 
-    Pure integer arithmetic, so an SQL engine can reproduce it bit for bit;
-    used where an oracle must check which rows a random split selects.
+    Pure 64-bit integer arithmetic with no overflow, so an SQL engine can
+    reproduce it exactly (see :func:`mix_unit_sql`); used where an oracle
+    must check which rows a random split or sample selects.
     """
-    k = F.pmod(_c(c).cast("long") + F.lit(int(seed)), F.lit(_MINSTD_M))
-    return F.pmod(k * F.lit(_MINSTD_A), F.lit(_MINSTD_M)).cast("double") / float(_MINSTD_M)
-
-
-def lehmer_unit_sql(col_sql: str, seed: int) -> str:
-    """The SQL text of :func:`lehmer_unit` (for oracles)."""
-    return (f"(((({col_sql} + {int(seed)}) % {_MINSTD_M}) * {_MINSTD_A}) % {_MINSTD_M})"
-            f"::DOUBLE / {_MINSTD_M}")
+    m = F.lit(_MASK31)
+    h = (_c(c).cast("long") + F.lit(int(seed))).bitwiseAND(m)
+    h = (h * F.lit(_MIX_A) + F.lit(12345)).bitwiseAND(m)
+    h = h.bitwiseXOR(F.shiftright(h, 15))
+    h = (h * F.lit(_MIX_B)).bitwiseAND(m)
+    h = h.bitwiseXOR(F.shiftright(h, 13))
+    h = (h * F.lit(_MIX_A)).bitwiseAND(m)
+    h = h.bitwiseXOR(F.shiftright(h, 16))
+    return h.cast("double") / float(1 << 31)
+
+
+def mix_unit_sql(col_sql: str, seed: int) -> str:
+    """SQL text (DuckDB dialect) of :func:`mix_unit`."""
+    h = f"((({col_sql})::BIGINT + {int(seed)}) & {_MASK31})"
+    h = f"(({h} * {_MIX_A} + 12345) & {_MASK31})"
+    h = f"xor({h}, {h} >> 15)"
+    h = f"(({h}) * {_MIX_B} & {_MASK31})"
+    h = f"xor({h}, {h} >> 13)"
+    h = f"(({h}) * {_MIX_A} & {_MASK31})"
+    h = f"xor({h}, {h} >> 16)"
+    return f"(({h})::DOUBLE / {1 << 31})"

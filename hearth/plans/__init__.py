@@ -1,0 +1,7 @@
+"""Registered queries over the driver tables and the end-to-end jobs."""
+
+from hearth.plans.registry import QUERIES, ORACLES, SURVEY_IDS
+from hearth.plans import (cleaning_queries, feature_queries, sampling_queries,  # noqa: F401
+                          profile_queries, stats_queries, model_queries)
+
+__all__ = ["QUERIES", "ORACLES", "SURVEY_IDS"]
