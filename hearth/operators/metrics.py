@@ -43,12 +43,12 @@ def threshold_sweep(df: DataFrame, label: str, score: str,
     def entry(i, t):
         tp, fp, tn, fn = (F.col(f"{k}_{i}") for k in ("tp", "fp", "tn", "fn"))
         n = tp + fp + tn + fn
-        return F.struct(
-            F.lit(float(t)).alias("threshold"), tp.alias("tp"), fp.alias("fp"),
-            tn.alias("tn"), fn.alias("fn"),
-            F.try_divide((tp + tn).cast("double"), n).alias("accuracy"),
-            F.coalesce(F.try_divide(tp.cast("double"), tp + fp), F.lit(0.0)).alias("precision"),
-            F.coalesce(F.try_divide(tp.cast("double"), tp + fn), F.lit(0.0)).alias("recall"))
+        return F.named_struct(
+            F.lit("threshold"), F.lit(float(t)), F.lit("tp"), tp, F.lit("fp"), fp,
+            F.lit("tn"), tn, F.lit("fn"), fn,
+            F.lit("accuracy"), F.try_divide((tp + tn).cast("double"), n),
+            F.lit("precision"), F.coalesce(F.try_divide(tp.cast("double"), tp + fp), F.lit(0.0)),
+            F.lit("recall"), F.coalesce(F.try_divide(tp.cast("double"), tp + fn), F.lit(0.0)))
     arr = F.array(*[entry(i, t) for i, t in enumerate(thresholds)])
     top = F.array_max(F.transform(arr, lambda e: e["accuracy"]))
     best_t = F.array_min(F.transform(F.filter(arr, lambda e: e["accuracy"] == top),

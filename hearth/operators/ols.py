@@ -111,7 +111,8 @@ def confint(spark: SparkSession, fit: SimpleOLS, level: float = 0.95) -> DataFra
 def fitted_line(df: DataFrame, fit: SimpleOLS) -> DataFrame:
     """Two points of the fitted line at min(x) and max(x)."""
     ends = df.agg(F.min(fit.x).alias("lo"), F.max(fit.x).alias("hi"))
-    pts = ends.select(F.explode(F.array(F.col("lo"), F.col("hi"))).cast("double").alias("x"))
+    pts = ends.select(F.explode(F.array(F.col("lo").cast("double"), F.col("hi").cast("double")))
+                      .alias("x"))
     return pts.select("x", (F.lit(fit.intercept) + F.lit(fit.slope) * F.col("x")).alias("y_hat"))
 
 

@@ -69,8 +69,9 @@ def level_counts(df: DataFrame, col: str) -> DataFrame:
 
 def min_max(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Global min and max per column in one aggregate (F4), long form."""
-    row = df.agg(*[F.struct(F.lit(c).alias("column"), F.min(c).cast("double").alias("min"),
-                            F.max(c).cast("double").alias("max")).alias(f"s{i}")
+    # "+ 0.0" folds a negative zero into 0.0 so equal extremes print alike.
+    row = df.agg(*[F.struct(F.lit(c).alias("column"), (F.min(c).cast("double") + 0.0).alias("min"),
+                            (F.max(c).cast("double") + 0.0).alias("max")).alias(f"s{i}")
                    for i, c in enumerate(cols)])
     return row.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(cols))])).alias("s")) \
               .select("s.*")

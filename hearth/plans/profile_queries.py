@@ -59,10 +59,10 @@ def level_counts(spark, d):
 
 
 @query("global_minmax", "F4", """
-SELECT 'l_quantity' AS "column", min(l_quantity) AS min, max(l_quantity) AS max FROM lineitem
-UNION ALL SELECT 'l_extendedprice', min(l_extendedprice), max(l_extendedprice) FROM lineitem
-UNION ALL SELECT 'l_discount', min(l_discount), max(l_discount) FROM lineitem
-UNION ALL SELECT 'l_tax', min(l_tax), max(l_tax) FROM lineitem
+SELECT 'l_quantity' AS "column", min(l_quantity) + 0.0 AS min, max(l_quantity) + 0.0 AS max FROM lineitem
+UNION ALL SELECT 'l_extendedprice', min(l_extendedprice) + 0.0, max(l_extendedprice) + 0.0 FROM lineitem
+UNION ALL SELECT 'l_discount', min(l_discount) + 0.0, max(l_discount) + 0.0 FROM lineitem
+UNION ALL SELECT 'l_tax', min(l_tax) + 0.0, max(l_tax) + 0.0 FROM lineitem
 """)
 def global_minmax(spark, d):
     return profile.min_max(table(spark, d, "lineitem"), list(NUM4))
