@@ -6,8 +6,7 @@ import math
 from typing import Iterable, Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hearth.functions.scalar import log1p
@@ -93,15 +92,21 @@ def hashed_cross(b1: Column | str, b2: Column | str, bins: int = 100) -> Column:
     return F.pmod(F.xxhash64(b1, b2), F.lit(int(bins))).cast("int")
 
 
-def indicator(c: Column | str, size: int) -> Column:
-    """One-hot vector of width ``size`` for an integer id.
+def indicator(df: DataFrame, cols: Sequence[str], sizes: Sequence[int],
+              outs: Sequence[str]) -> DataFrame:
+    """One-hot sparse vectors of fixed widths for integer ids.
 
-    Built JVM-side from a 0/1 array; ids outside [0, size) give all zeros.
+    The width comes from the bucket boundaries, not from the data, so the
+    encoder's metadata is fitted on one row holding the largest id of each
+    column; the transform itself is Spark ML's JVM-side encoder and keeps
+    a single non-zero per vector.
     """
-    x = F.col(c) if isinstance(c, str) else c
-    arr = F.transform(F.sequence(F.lit(0), F.lit(int(size) - 1)),
-                      lambda i: F.when(i == x, F.lit(1.0)).otherwise(F.lit(0.0)))
-    return array_to_vector(arr)
+    spark = df.sparkSession
+    top = spark.createDataFrame([tuple(float(n - 1) for n in sizes)],
+                                ", ".join(f"`{c}` double" for c in cols))
+    enc = OneHotEncoder(inputCols=list(cols), outputCols=list(outs), dropLast=False,
+                        handleInvalid="error").fit(top)
+    return enc.transform(df)
 
 
 def string_indexer(cols: Sequence[str], *, handle_invalid: str = "keep",

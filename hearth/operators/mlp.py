@@ -24,6 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def _shapes(n_in: int, hidden: Sequence[int]) -> list[tuple[int, int]]:
@@ -113,7 +114,7 @@ class MLPRegressionModel:
                                                want_grad=False)
                 yield pdf.assign(**{out: pred})
 
-        schema = df.schema.add(out, "double")
+        schema = StructType([*df.schema.fields, StructField(out, DoubleType())])
         return df.mapInPandas(run, schema)
 
 

@@ -129,10 +129,9 @@ FROM lineitem, b, bq
 def indicator_q(spark, d):
     """One-hot vector of the grid cell; reported as (hot index, width, sum)."""
     g, n1, n2 = _grid(spark, d)
-    width = n1 * n2
-    v = g.select("l_orderkey", "l_linenumber",
-                 vector_to_array(features.indicator(
-                     features.cross_cell("qty_bucket", "price_bucket", n2), width)).alias("a"))
+    g = g.withColumn("cell", features.cross_cell("qty_bucket", "price_bucket", n2))
+    v = features.indicator(g, ["cell"], [n1 * n2], ["cell_vec"])
+    v = v.select("l_orderkey", "l_linenumber", vector_to_array("cell_vec").alias("a"))
     return v.select("l_orderkey", "l_linenumber",
                     (F.array_position("a", 1.0) - 1).cast("int").alias("hot_index"),
                     F.size("a").alias("width"),

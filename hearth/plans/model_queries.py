@@ -164,8 +164,8 @@ def _representation_frames(spark, d, q_step=5.0, d_step=2.0):
     l = l.withColumns({"qb": features.bucket_index("l_quantity", qb),
                        "db": features.bucket_index("disc_pct", db)})
     l = l.withColumn("cell", features.cross_cell("qb", "db", nd))
-    l = l.withColumns({"q_vec": features.indicator("qb", nq), "d_vec": features.indicator("db", nd),
-                       "cell_vec": features.indicator("cell", nq * nd)})
+    l = features.indicator(l, ["qb", "db", "cell"], [nq, nd, nq * nd],
+                           ["q_vec", "d_vec", "cell_vec"])
     u = mix_unit("l_orderkey", SEED)
     return l.filter(u < 0.8), l.filter(u >= 0.8)
 
