@@ -136,6 +136,8 @@ def one_hot_columns(df: DataFrame, col: str, *, max_levels: int = 1000,
     if len(levels) > max_levels:
         raise ValueError(f"{col} has more than {max_levels} levels")
     levels = sorted(v for v in levels if v is not None)
-    out = df.withColumns({f"{prefix}{v}": F.when(F.col(col) == F.lit(v), 1).otherwise(0)
-                          for v in levels})
-    return out.drop(col) if drop_source else out
+    hot = [F.when(F.col(col) == F.lit(v), 1).otherwise(0).alias(f"{prefix}{v}") for v in levels]
+    new_names = {f"{prefix}{v}" for v in levels}
+    keep = [F.col(c) for c in df.columns
+            if c not in new_names and not (drop_source and c == col)]
+    return df.select(*keep, *hot)
