@@ -11,9 +11,7 @@ one task. Here ranks are computed like a distributed prefix sum:
 3. count rows per partition (a result bounded by the partition count),
 4. add the partition's offset to the in-partition position.
 
-Exact quantiles first pre-aggregate to ``(value, count)`` — a hot value
-becomes one row before any shuffle — and then run the same prefix sum over
-the distinct values, weighted by their counts.
+Exact quantiles do not sort at all: see :func:`column_quantiles`.
 """
 
 from __future__ import annotations
@@ -21,7 +19,6 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hearth.session import checkpoint_dir
@@ -76,103 +73,133 @@ def global_rank(df: DataFrame, order: Sequence[Column | str], *,
     return ranked, total
 
 
-def _grouped_weighted_prefix(vc: DataFrame, n_parts: int) -> tuple[DataFrame, dict]:
-    """Cumulative weight of each (g, v) in v order within g.
-
-    ``vc`` has columns g (string), v (double), w (long). Returns the frame
-    with an inclusive ``cum`` column and the per-group totals (one entry per
-    group: the groups are profile columns, a bounded set).
-    """
-    checkpoint_dir(vc.sparkSession)
-
-    def running(batches):
-        from pyspark import TaskContext
-        part = TaskContext.get().partitionId()
-        acc: dict[str, int] = {}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            w = pdf["w"].astype("int64")
-            cum = w.groupby(pdf["g"], sort=False).cumsum()
-            base = pdf["g"].map(lambda g: acc.get(g, 0)).astype("int64")
-            cum = cum + base
-            last = cum.groupby(pdf["g"], sort=False).last()
-            acc.update({k: int(v) for k, v in last.items()})
-            yield pd.DataFrame({"g": pdf["g"], "v": pdf["v"], "w": w,
-                                "_p": part, "_cum": cum})
-
-    placed = (vc.repartitionByRange(n_parts, F.col("g"), F.col("v"))
-                .sortWithinPartitions("g", "v")
-                .mapInPandas(running, "g string, v double, w long, _p int, _cum long")
-                .checkpoint(eager=True))
-    part_totals = sorted((r["g"], int(r["_p"]), int(r["t"])) for r in
-                         placed.groupBy("g", "_p").agg(F.max("_cum").alias("t")).collect())
-    starts, totals = {}, {}
-    for g, p, t in part_totals:
-        starts[f"{g}\x00{p}"] = totals.get(g, 0)
-        totals[g] = totals.get(g, 0) + t
-    if starts:
-        m = F.create_map(*[x for k, v in starts.items() for x in (F.lit(k), F.lit(v).cast("long"))])
-        off = F.element_at(m, F.concat(F.col("g"), F.lit("\x00"), F.col("_p").cast("string")))
-    else:
-        off = F.lit(0).cast("long")
-    return placed.withColumn("cum", off + F.col("_cum")), totals
-
-
 def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], *,
-                     num_partitions: int | None = None) -> dict[str, list[float | None]]:
-    """Exact quantiles of several numeric columns in one set of jobs.
+                     bins: int = 2048, max_fetch: int = 50_000, max_passes: int = 16
+                     ) -> dict[str, list[float | None]]:
+    """Exact quantiles of several numeric columns by multi-pass selection.
 
     Same definition as SQL ``percentile`` / ``quantile_cont``: position
-    ``h = (n - 1) p`` over the non-null values, ``x[floor h] + (h - floor h)
-    (x[ceil h] - x[floor h])``. Nulls and NaN are ignored; a column with no
-    values gives None. The values are unpivoted to (column, value) and
-    pre-aggregated to counts before the range shuffle, so a value held by a
-    third of all rows is a single row by then.
+    ``h = (n - 1) p`` over the non-null, non-NaN values, and
+    ``x[floor h] + (h - floor h)(x[ceil h] - x[floor h])``.
+
+    Each wanted order statistic keeps a value bracket ``[lo, hi]`` and its
+    rank inside the bracket. One pass is one scan, filtered to the open
+    brackets (the filter reaches the Parquet reader), with a partial
+    aggregate of (count, min, max) per equal-width bucket of each bracket.
+    The bucket holding the rank becomes the next bracket, bounded by the
+    values actually seen in it. A bracket with at most ``max_fetch`` rows
+    is resolved from its ``(value, count)`` pairs. Everything collected is
+    bounded by the bracket count times ``bins`` or ``max_fetch``. No
+    sort or shuffle of the data is needed, and a value held by a third of
+    all rows is one aggregate group.
     """
     cols = list(cols)
-    n_parts = _num_partitions(df, num_partitions)
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("g"), F.col(c).cast("double").alias("v")) for c in cols
-    ])).alias("s")).select("s.g", "s.v")
-    vc = (long.where(F.col("v").isNotNull() & ~F.isnan("v"))
-              .groupBy("g", "v").agg(F.count(F.lit(1)).alias("w")))
-    cum, totals = _grouped_weighted_prefix(vc, n_parts)
-    wanted: dict[str, dict[float, tuple[float, int, int]]] = {}
-    cond = F.lit(False)
+    ])).alias("s")).select("s.g", "s.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
+    stats = {r["g"]: r for r in long.groupBy("g").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+
+    # wanted[(col, k)] = value of the k-th smallest (0-based)
+    wanted: dict[tuple[str, int], float | None] = {}
+    # open brackets: key -> (col, lo, hi, n_rows); ranks: (col, k) -> (key, rank in bracket)
+    brackets: dict[int, tuple[str, float, float, int]] = {}
+    ranks: dict[tuple[str, int], tuple[int, int]] = {}
     for c in cols:
-        n = totals.get(c, 0)
-        if n == 0:
+        st = stats.get(c)
+        if st is None or st["n"] == 0:
             continue
-        wanted[c] = {}
+        key = len(brackets)
+        brackets[key] = (c, float(st["lo"]), float(st["hi"]), int(st["n"]))
         for p in probs:
-            h = (n - 1) * float(p)
-            wanted[c][p] = (h, int(math.floor(h)), int(math.ceil(h)))
-        for k in sorted({k for _, lo, hi in wanted[c].values() for k in (lo, hi)}):
-            cond = cond | ((F.col("g") == c) & (F.col("cum") - F.col("w") <= k) & (F.col("cum") > k))
-    hits = cum.where(cond).select("g", "v", "w", "cum").collect()  # <= 2 per (column, p)
-
-    def at(c, k):
-        for r in hits:
-            if r["g"] == c and r["cum"] - r["w"] <= k < r["cum"]:
-                return float(r["v"])
-        raise RuntimeError("quantile position not found")
+            h = (st["n"] - 1) * float(p)
+            for k in {int(math.floor(h)), int(math.ceil(h))}:
+                ranks[(c, k)] = (key, k)
+
+    for _ in range(max_passes):
+        live = {}
+        for ck, (key, r) in list(ranks.items()):
+            c, lo, hi, n = brackets[key]
+            if lo == hi:                       # one distinct value left
+                wanted[ck] = lo
+                del ranks[ck]
+            else:
+                live[key] = brackets[key]
+        if not ranks:
+            break
+        fetch = {k: b for k, b in live.items() if b[3] <= max_fetch}
+        split = {k: b for k, b in live.items() if b[3] > max_fetch}
+        if fetch:
+            cond = F.lit(False)
+            for key, (c, lo, hi, _) in fetch.items():
+                cond = cond | ((F.col("g") == c) & F.col("v").between(lo, hi))
+            pairs = (long.where(cond).groupBy("g", "v")
+                         .agg(F.count(F.lit(1)).alias("w")).collect())
+            for ck, (key, r) in list(ranks.items()):
+                if key not in fetch:
+                    continue
+                c, lo, hi, _ = fetch[key]
+                vals = sorted((row["v"], row["w"]) for row in pairs
+                              if row["g"] == c and lo <= row["v"] <= hi)
+                acc = 0
+                for v, w in vals:
+                    acc += w
+                    if r < acc:
+                        wanted[ck] = float(v)
+                        break
+                del ranks[ck]
+        if split:
+            cond = F.lit(False)
+            bucket = None
+            for key, (c, lo, hi, _) in split.items():
+                inside = (F.col("g") == c) & F.col("v").between(lo, hi)
+                cond = cond | inside
+                b = F.floor((F.col("v") - F.lit(lo)) / F.lit(hi - lo) * F.lit(bins)).cast("int")
+                b = F.least(F.greatest(b, F.lit(0)), F.lit(bins - 1))
+                val = F.struct(F.lit(key).alias("key"), b.alias("b"))
+                bucket = F.when(inside, val) if bucket is None else bucket.when(inside, val)
+            tagged = long.where(cond).select(bucket.alias("kb"), "v")
+            agg = (tagged.groupBy(F.col("kb.key").alias("key"), F.col("kb.b").alias("b"))
+                         .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
+                              F.max("v").alias("hi")).collect())
+            per_key: dict[int, list] = {}
+            for row in agg:
+                per_key.setdefault(int(row["key"]), []).append(row)
+            new_keys: dict[tuple[int, int], int] = {}
+            for ck, (key, r) in list(ranks.items()):
+                if key not in split:
+                    continue
+                c = split[key][0]
+                acc = 0
+                for row in sorted(per_key[key], key=lambda x: x["b"]):
+                    if r < acc + row["n"]:
+                        nk = new_keys.get((key, row["b"]))
+                        if nk is None:
+                            nk = max(brackets) + 1
+                            new_keys[(key, row["b"])] = nk
+                            brackets[nk] = (c, float(row["lo"]), float(row["hi"]), int(row["n"]))
+                        ranks[ck] = (nk, r - acc)
+                        break
+                    acc += row["n"]
+    if ranks:
+        raise RuntimeError("quantile selection did not converge")
 
     out: dict[str, list[float | None]] = {}
     for c in cols:
-        if c not in wanted:
+        st = stats.get(c)
+        if st is None or st["n"] == 0:
             out[c] = [None for _ in probs]
             continue
         vals = []
         for p in probs:
-            h, lo, hi = wanted[c][p]
-            a, b = at(c, lo), at(c, hi)
-            vals.append(a + (h - lo) * (b - a))
+            h = (st["n"] - 1) * float(p)
+            lo_k, hi_k = int(math.floor(h)), int(math.ceil(h))
+            a, b = wanted[(c, lo_k)], wanted[(c, hi_k)]
+            vals.append(a + (h - lo_k) * (b - a))
         out[c] = vals
     return out
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], *,
-                    num_partitions: int | None = None) -> list[float | None]:
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], **kw) -> list[float | None]:
     """Exact quantiles of one column (see :func:`column_quantiles`)."""
-    return column_quantiles(df, [col], probs, num_partitions=num_partitions)[col]
+    return column_quantiles(df, [col], probs, **kw)[col]

@@ -51,7 +51,7 @@ def run_price_prediction(spark, d, grid=None):
                             out_col="predicted_price")
 
 
-@query("price_prediction", "A1-A7,B1,B4,B8,C1,C2,E1,E2,E11,E12,I1,I8,I9,J1")
+@query("price_prediction", "B4,B8,E1,E2,E11,E12,H1,I1,I8,I9,J1")
 def price_prediction_q(spark, d):
     """The flagship job: predicted price per held-out line item."""
     return run_price_prediction(spark, d).predictions

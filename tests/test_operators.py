@@ -79,9 +79,19 @@ def test_exact_quantiles_skewed(spark):
     rows = [(float(i % 97),) for i in range(2000)] + [(42.0,)] * 1000
     df = spark.createDataFrame(rows, "x double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = ranking.exact_quantiles(df, "x", probs, num_partitions=7)
     want = df.select(F.percentile("x", probs)).first()[0]
-    assert got == pytest.approx(want)
+    assert ranking.exact_quantiles(df, "x", probs) == pytest.approx(want)
+    # tiny buckets and fetch limit force several narrowing passes
+    assert ranking.exact_quantiles(df, "x", probs, bins=4, max_fetch=10) == pytest.approx(want)
+
+
+def test_exact_quantiles_many_passes_continuous(spark):
+    df = spark.range(5000).select((F.exp(F.col("id") / 500.0) + F.sin("id")).alias("x"),
+                                  (F.col("id") % 7).cast("double").alias("y"))
+    probs = [0.01, 0.25, 0.5, 0.75, 0.99]
+    got = ranking.column_quantiles(df, ["x", "y"], probs, bins=8, max_fetch=20)
+    want = df.select(F.percentile("x", probs), F.percentile("y", probs)).first()
+    assert got["x"] == pytest.approx(want[0]) and got["y"] == pytest.approx(want[1])
 
 
 def test_quantiles_empty_and_nulls(spark):
