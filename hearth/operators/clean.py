@@ -30,7 +30,7 @@ def exclude_ids(df: DataFrame, id_col: str, ids: Sequence | DataFrame,
     """
     if isinstance(ids, DataFrame):
         key = ids_col or id_col
-        right = ids.select(F.col(key).alias("_excl_id")).distinct()
+        right = ids.select(F.col(key).alias("_excl_id"))
         return df.join(right, F.col(id_col) == F.col("_excl_id"), "left_anti")
     return df.filter(~F.col(id_col).isin(list(ids)))
 

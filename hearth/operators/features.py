@@ -60,6 +60,23 @@ def regular_boundaries(df: DataFrame, col: str, step: float) -> list[float]:
     return [start + i * step for i in range(n)]
 
 
+def regular_boundaries_many(df: DataFrame, steps: Mapping[str, float]) -> dict[str, list[float]]:
+    """:func:`regular_boundaries` for several columns from one aggregate."""
+    cols = list(steps)
+    row = df.agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
+                 *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
+    out = {}
+    for i, c in enumerate(cols):
+        lo, hi = row[f"lo{i}"], row[f"hi{i}"]
+        if lo is None:
+            out[c] = []
+            continue
+        start, stop = math.trunc(lo), math.trunc(hi)
+        n = max(0, math.ceil((stop - start) / steps[c]))
+        out[c] = [start + k * steps[c] for k in range(n)]
+    return out
+
+
 def bucket_index(c: Column | str, boundaries: Sequence[float]) -> Column:
     """Bucket id: 0 = (-inf, b0), i = [b(i-1), b(i)), last = [bn, +inf).
 

@@ -27,24 +27,12 @@ _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | position
 
 
 def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
+    """Range partitions: as many as the input has (sized by the scan's
+    ``maxPartitionBytes``) and at least ``spark.sql.shuffle.partitions``."""
     if num_partitions:
         return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _offsets_expr(counts: dict[int, int], pid: Column) -> Column:
-    """Start offset of each partition as a literal array lookup.
-
-    ``counts`` has one entry per partition, so its size is bounded by the
-    partition count, never by the data.
-    """
-    n = max(counts) + 1 if counts else 1
-    starts, acc = [], 0
-    for i in range(n):
-        starts.append(acc)
-        acc += counts.get(i, 0)
-    return F.element_at(F.array(*[F.lit(s).cast("long") for s in starts]),
-                        (pid + 1).cast("int"))
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, df.rdd.getNumPartitions())
 
 
 def global_rank(df: DataFrame, order: Sequence[Column | str], *,
@@ -54,9 +42,12 @@ def global_rank(df: DataFrame, order: Sequence[Column | str], *,
 
     ``order`` must be a total order (end it with a unique key) so the ranks
     are deterministic; the unique key also lets range bounds split a hot
-    value over several partitions.
+    value over several partitions. The per-partition start offsets form a
+    table with one row per partition, joined by broadcast (its size is the
+    partition count, not the data).
     """
-    checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    checkpoint_dir(spark)
     order = [F.col(c) if isinstance(c, str) else c for c in order]
     n_parts = _num_partitions(df, num_partitions)
     placed = (df.repartitionByRange(n_parts, *order)
@@ -65,12 +56,18 @@ def global_rank(df: DataFrame, order: Sequence[Column | str], *,
                 .checkpoint(eager=True))
     pid = F.shiftright(F.col("_mid"), _POS_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    counts = {int(r["p"]): int(r["n"]) for r in
-              placed.groupBy(pid.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(counts.values())
-    ranked = (placed.withColumn(rank_col, _offsets_expr(counts, pid) + pos + 1)
-                    .drop("_mid"))
-    return ranked, total
+    counts = sorted((int(r["p"]), int(r["n"])) for r in
+                    placed.groupBy(pid.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    starts, acc = [], 0
+    for p, n in counts:
+        starts.append((p, acc))
+        acc += n
+    offsets = spark.createDataFrame(starts, "_p long, _start long")
+    ranked = (placed.withColumn("_p", pid)
+                    .join(F.broadcast(offsets), "_p")
+                    .withColumn(rank_col, F.col("_start") + pos + 1)
+                    .drop("_mid", "_p", "_start"))
+    return ranked, acc
 
 
 def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], *,

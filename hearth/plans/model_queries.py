@@ -5,7 +5,6 @@ signals on small frames."""
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
@@ -154,39 +153,46 @@ def logistic_predict(spark, d):
                          F.col("prediction").alias("predicted"))
 
 
-def _representation_frames(spark, d, q_step=5.0, d_step=2.0):
+def _representation_frame(spark, d, q_step=5.0, d_step=2.0):
+    """Quantity and discount as floats, bucket indicators and a crossed
+    indicator, with a hash train/test flag (orders split 80/20)."""
     l = table(spark, d, "lineitem").select(
         "l_orderkey", "l_quantity", (F.col("l_discount") * 100).alias("disc_pct"),
         (F.col("l_extendedprice") / 1000.0).alias("label"))
-    qb = features.regular_boundaries(l, "l_quantity", q_step)
-    db = features.regular_boundaries(l, "disc_pct", d_step)
+    b = features.regular_boundaries_many(l, {"l_quantity": q_step, "disc_pct": d_step})
+    qb, db = b["l_quantity"], b["disc_pct"]
     nq, nd = len(qb) + 1, len(db) + 1
     l = l.withColumns({"qb": features.bucket_index("l_quantity", qb),
                        "db": features.bucket_index("disc_pct", db)})
     l = l.withColumn("cell", features.cross_cell("qb", "db", nd))
     l = features.indicator(l, ["qb", "db", "cell"], [nq, nd, nq * nd],
                            ["q_vec", "d_vec", "cell_vec"])
-    u = mix_unit("l_orderkey", SEED)
-    return l.filter(u < 0.8), l.filter(u >= 0.8)
+    l = l.withColumn("split", F.when(mix_unit("l_orderkey", SEED) < 0.8, "train")
+                                .otherwise("test"))
+    # read by one fit and one evaluation per representation
+    return models.persist_prepared(l)
 
 
-def _rmse_pair(train, test, cols):
+def _rmse_pair(frame, cols):
+    """Fit on the training rows; train and test RMSE from one grouped pass."""
     asm = features.assembler(cols)
-    model = Pipeline(stages=[asm, LinearRegression(solver="normal")]).fit(train)
-    ev = RegressionEvaluator(metricName="rmse")
-    return ev.evaluate(model.transform(train)), ev.evaluate(model.transform(test))
+    model = Pipeline(stages=[asm, LinearRegression(solver="normal")]).fit(
+        frame.filter(F.col("split") == "train"))
+    err = F.col("label") - F.col("prediction")
+    r = {row["split"]: row["rmse"] for row in model.transform(frame).groupBy("split")
+         .agg(F.sqrt(F.avg(err * err)).alias("rmse")).collect()}
+    return r.get("train"), r.get("test")
 
 
 @query("representation_compare", "I16,E6,E7,E8,E9,B7")
 def representation_compare(spark, d):
     """Same two inputs as floats, as bucket indicators and as a crossed
     indicator, compared by train and test RMSE."""
-    train, test = _representation_frames(spark, d)
-    train = models.persist_prepared(train)
+    frame = _representation_frame(spark, d)
     rows = []
     for name, cols in (("float", ["l_quantity", "disc_pct"]), ("buckets", ["q_vec", "d_vec"]),
                        ("cross", ["cell_vec"])):
-        tr, te = _rmse_pair(train, test, cols)
+        tr, te = _rmse_pair(frame, cols)
         rows.append((name, tr, te))
     return spark.createDataFrame(rows, "representation string, train_rmse double, test_rmse double")
 
@@ -196,8 +202,7 @@ def resolution_sweep(spark, d):
     """Crossed-indicator model at several bucket resolutions."""
     rows = []
     for q_step, d_step in ((10.0, 5.0), (5.0, 2.0), (2.0, 1.0)):
-        train, test = _representation_frames(spark, d, q_step, d_step)
-        tr, te = _rmse_pair(train, test, ["cell_vec"])
+        tr, te = _rmse_pair(_representation_frame(spark, d, q_step, d_step), ["cell_vec"])
         rows.append((q_step, d_step, tr, te))
     return spark.createDataFrame(rows, "qty_step double, disc_step double, "
                                        "train_rmse double, test_rmse double")
