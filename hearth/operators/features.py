@@ -52,6 +52,8 @@ def regular_boundaries(df: DataFrame, col: str, step: float) -> list[float]:
     ``int`` truncates toward zero and the stop is excluded: min -124.35,
     max -114.31, step 1 gives -124 ... -115. Bounded by the range / step.
     """
+    if step <= 0:
+        raise ValueError("step must be positive")
     row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
     if row["lo"] is None:
         return []

@@ -255,7 +255,10 @@ def kde_grid(df: DataFrame, col: str, n_points: int = 100, bandwidth: float | No
     r = df.agg(F.count(col).alias("n"), F.stddev_samp(col).alias("sd"),
                F.min(col).alias("lo"), F.max(col).alias("hi")).first()
     n = r["n"]
-    h = bandwidth or (r["sd"] * n ** (-1.0 / 5.0))
+    h = bandwidth or ((r["sd"] or 0.0) * n ** (-1.0 / 5.0) if n else 0.0)
+    if not n or not h or h <= 0:
+        raise ValueError(f"kde_grid needs non-null values with spread in {col} "
+                         "(or an explicit bandwidth)")
     lo, hi = r["lo"] - cut * h, r["hi"] + cut * h
     step = (hi - lo) / (n_points - 1)
     grid = [lo + k * step for k in range(n_points)]

@@ -32,7 +32,10 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
         return int(num_partitions)
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(configured, df.rdd.getNumPartitions())
+    try:
+        return max(configured, df.rdd.getNumPartitions())
+    except Exception:  # no RDD view (Connect): the configured count
+        return configured
 
 
 def global_rank(df: DataFrame, order: Sequence[Column | str], *,

@@ -38,11 +38,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     When it is unset (a local test session) a folder is created under the
     system temp dir and registered, so ``DataFrame.checkpoint()`` works.
     """
-    sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+        current = sc._jsc.sc().getCheckpointDir()
+    except Exception:  # a Connect session: the server owns the setting
+        return path or ""
     if current.isDefined():
         return current.get()
-    path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="hearth-ckpt-")
     elif "://" not in path:
