@@ -91,6 +91,16 @@ def roc_auc(df: DataFrame, label: str, score: str, num_thresholds: int = 100) ->
     return one.select(area.alias("auc"), F.col("pos"), F.col("neg"))
 
 
+def roc_auc_exact(df: DataFrame, label: str, score: str) -> float:
+    """Exact ROC AUC over all distinct scores (J7, exact option), from
+    Spark ML's binary evaluator (a sort-based distributed curve)."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    data = df.select(F.col(score).cast("double").alias("raw"),
+                     F.col(label).cast("double").alias("label")).dropna()
+    return BinaryClassificationEvaluator(rawPredictionCol="raw", labelCol="label",
+                                         metricName="areaUnderROC").evaluate(data)
+
+
 def majority_baseline(df: DataFrame, label: str) -> DataFrame:
     """Accuracy of always predicting the most frequent class."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))

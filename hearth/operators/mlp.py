@@ -120,10 +120,12 @@ class MLPRegressionModel:
 
 def fit_mlp(df: DataFrame, *, features: str = "x", label: str = "y", id_col: str = "row_id",
             hidden: Sequence[int] = (20, 12), epochs: int = 20, learning_rate: float = 0.01,
-            l2: float = 0.0, dropout: float = 0.0, seed: int = 7) -> MLPRegressionModel:
+            l2: float = 0.0, l1: float = 0.0, dropout: float = 0.0,
+            seed: int = 7) -> MLPRegressionModel:
     """Fit relu hidden layers + linear output with squared loss and Adam
-    (I12); ``l2`` penalises hidden kernels, ``dropout`` masks hidden units
-    (I13). ``history`` holds the training MSE per epoch (I15)."""
+    (I12); ``l2`` / ``l1`` penalise hidden kernels (sum of squares / of
+    absolute values), ``dropout`` masks hidden units (I13). ``history``
+    holds the training MSE per epoch (I15)."""
     data = df.select(id_col, features, label).persist(StorageLevel.MEMORY_AND_DISK)
     first = data.select(F.size(features).alias("d")).first()
     if first is None:
@@ -185,6 +187,8 @@ def fit_mlp(df: DataFrame, *, features: str = "x", label: str = "y", id_col: str
         grad = vec / n
         if l2:
             grad = grad + 2.0 * l2 * np.where(hidden_mask, theta, 0.0)
+        if l1:
+            grad = grad + l1 * np.where(hidden_mask, np.sign(theta), 0.0)
         history.append(sse / n)
         m = b1 * m + (1 - b1) * grad
         v = b2 * v + (1 - b2) * grad * grad

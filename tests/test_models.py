@@ -56,7 +56,7 @@ def test_mlp_learns_and_is_partition_invariant(spark):
 
 def test_mlp_dropout_l2_runs(spark):
     m = mlp.fit_mlp(_mlp_frame(spark), hidden=(8, 4), epochs=5, learning_rate=0.01,
-                    l2=0.04, dropout=0.25)
+                    l2=0.04, l1=0.001, dropout=0.25)
     assert len(m.history) == 5 and all(np.isfinite(m.history))
 
 

@@ -229,3 +229,19 @@ def test_schema_profile(spark):
     rows = columns.schema_profile(df).collect()
     assert [(r.column, r.type, r.position, r.row_count) for r in rows] == \
         [("a", "int", 1, 1), ("b", "string", 2, 1)]
+
+
+def test_string_index_na_modes_agree(spark):
+    lit = spark.createDataFrame([("a",), ("NA",), ("a",), ("b",)], "c string")
+    nul = spark.createDataFrame([("a",), (None,), ("a",), ("b",)], "c string")
+    a, _ = features.string_index(lit, ["c"], na_as_level=True)
+    b, _ = features.string_index(nul, ["c"], na_as_level=True)
+    assert sorted(r.c_Index for r in a.collect()) == sorted(r.c_Index for r in b.collect())
+
+
+def test_auc_binned_close_to_exact(spark):
+    rows = [(1 if (i * 7919) % 10 < 6 + (i % 3) else 0, ((i * 37) % 1000) / 1000.0)
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "y int, s double")
+    binned = metrics.roc_auc(df, "y", "s", 100).first().auc
+    assert abs(binned - metrics.roc_auc_exact(df, "y", "s")) < 0.01
