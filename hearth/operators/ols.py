@@ -10,6 +10,8 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import pandas as pd
+from pyspark.sql.types import DoubleType
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hearth.functions.distributions import f_sf, t_quantile, t_two_sided_p
@@ -68,44 +70,99 @@ def fit_simple_ols(df: DataFrame, y: str, x: str) -> SimpleOLS:
                      r["ay"] if r["ay"] is not None else nan)
 
 
-def coefficient_table(spark: SparkSession, fit: SimpleOLS) -> DataFrame:
-    """(term, estimate, std_error, t_value, p_value) like ``summary(lm)``."""
-    rows = []
-    for term, est, se in (("(Intercept)", fit.intercept, fit.se_intercept()),
-                          (fit.x, fit.slope, fit.se_slope())):
-        t = est / se if se and not math.isnan(se) and se > 0 else float("nan")
-        rows.append((term, float(est), float(se), float(t), float(t_two_sided_p(t, fit.df_resid))))
-    return spark.createDataFrame(rows, "term string, estimate double, std_error double, "
-                                       "t_value double, p_value double")
+def _sums(df: DataFrame, y: str, x: str) -> DataFrame:
+    """One-row frame of the least-squares sums (one aggregate)."""
+    return df.agg(F.regr_count(y, x).alias("n"), F.regr_intercept(y, x).alias("a"),
+                  F.regr_slope(y, x).alias("b"), F.regr_sxx(y, x).alias("sxx"),
+                  F.regr_syy(y, x).alias("syy"), F.regr_sxy(y, x).alias("sxy"),
+                  F.regr_avgx(y, x).alias("ax"))
+
+
+@F.pandas_udf(DoubleType())
+def _t_two_sided(t: pd.Series, dof: pd.Series) -> pd.Series:
+    return pd.Series([t_two_sided_p(float(a), float(b)) if pd.notna(a) else None
+                      for a, b in zip(t, dof)], dtype="float64")
+
+
+@F.pandas_udf(DoubleType())
+def _t_quantile(p: pd.Series, dof: pd.Series) -> pd.Series:
+    return pd.Series([t_quantile(float(a), float(b)) for a, b in zip(p, dof)], dtype="float64")
+
+
+@F.pandas_udf(DoubleType())
+def _f_upper(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
+    return pd.Series([f_sf(float(a), float(b), float(c)) if pd.notna(a) else None
+                      for a, b, c in zip(f, d1, d2)], dtype="float64")
+
+
+def _se_cols():
+    dof = F.col("n") - 2
+    s2 = F.try_divide(F.col("syy") - F.col("b") * F.col("sxy"), dof)
+    se_b = F.sqrt(F.try_divide(s2, F.col("sxx")))
+    se_a = F.sqrt(s2 * (F.try_divide(F.lit(1.0), F.col("n"))
+                        + F.try_divide(F.col("ax") * F.col("ax"), F.col("sxx"))))
+    return dof, s2, se_a, se_b
+
+
+def coefficient_table(df: DataFrame, y: str, x: str) -> DataFrame:
+    """(term, estimate, std_error, t_value, p_value) like ``summary(lm)``.
+
+    Estimates and standard errors are Column arithmetic on the one-row
+    aggregate; the two-sided t probability is a small Pandas UDF applied
+    to the two result rows.
+    """
+    dof, _, se_a, se_b = _se_cols()
+    rows = _sums(df, y, x).select(dof.alias("dof"), F.explode(F.array(
+        F.struct(F.lit("(Intercept)").alias("term"), F.col("a").alias("estimate"),
+                 se_a.alias("std_error")),
+        F.struct(F.lit(x).alias("term"), F.col("b").alias("estimate"),
+                 se_b.alias("std_error")))).alias("c"))
+    out = rows.select("dof", "c.term", "c.estimate", "c.std_error",
+                      F.try_divide(F.col("c.estimate"), F.col("c.std_error")).alias("t_value"))
+    return out.select("term", "estimate", "std_error", "t_value",
+                      _t_two_sided(F.col("t_value"), F.col("dof").cast("double")).alias("p_value"))
 
 
 def fit_statistics(df: DataFrame, fit: SimpleOLS) -> DataFrame:
     """Model-level summary (F17): residual quantiles, residual standard
-    error, R^2, adjusted R^2, F statistic and its p-value."""
+    error, R^2, adjusted R^2, F statistic and its p-value.
+
+    Residual quantiles come from the exact distributed selection; the rest
+    is Column arithmetic on the one-row aggregate.
+    """
     res = df.where(F.col(fit.y).isNotNull() & F.col(fit.x).isNotNull()) \
             .select((F.col(fit.y) - (F.lit(fit.intercept) + F.lit(fit.slope) * F.col(fit.x)))
                     .alias("resid"))
     qs = column_quantiles(res, ["resid"], [0.0, 0.25, 0.5, 0.75, 1.0])["resid"]
-    r2 = fit.r2()
-    dfr = fit.df_resid
-    adj = 1.0 - (1.0 - r2) * (fit.n - 1) / dfr if dfr > 0 else float("nan")
-    fstat = (r2 / (1.0 - r2)) * dfr if dfr > 0 and r2 < 1 else float("nan")
-    row = (fit.n, dfr, *[float(v) if v is not None else None for v in qs],
-           math.sqrt(fit.sigma2) if dfr > 0 else float("nan"), r2, adj, fstat,
-           f_sf(fstat, 1, dfr))
-    return df.sparkSession.createDataFrame([row],
-        "n long, df_resid long, resid_min double, resid_q1 double, resid_median double, "
-        "resid_q3 double, resid_max double, sigma double, r_squared double, "
-        "adj_r_squared double, f_statistic double, f_p_value double")
-
-
-def confint(spark: SparkSession, fit: SimpleOLS, level: float = 0.95) -> DataFrame:
-    """Coefficient confidence intervals, estimate +- t(1-a/2, n-2) se."""
-    tq = t_quantile(0.5 + level / 2.0, fit.df_resid)
-    rows = [(term, float(level), float(est - tq * se), float(est + tq * se))
-            for term, est, se in (("(Intercept)", fit.intercept, fit.se_intercept()),
-                                  (fit.x, fit.slope, fit.se_slope()))]
-    return spark.createDataFrame(rows, "term string, level double, lower double, upper double")
+    dof, s2, _, _ = _se_cols()
+    rss = F.col("syy") - F.col("b") * F.col("sxy")
+    r2 = 1.0 - F.try_divide(rss, F.col("syy"))
+    adj = 1.0 - F.try_divide(rss, F.col("syy")) * F.try_divide(F.col("n") - 1, dof)
+    fstat = F.try_divide(r2, 1.0 - r2) * dof
+    one = _sums(df, fit.y, fit.x).select(
+        "n", dof.alias("df_resid"),
+        *[F.lit(v).cast("double").alias(nm) for v, nm in zip(
+            qs, ("resid_min", "resid_q1", "resid_median", "resid_q3", "resid_max"))],
+        F.sqrt(s2).alias("sigma"), r2.alias("r_squared"), adj.alias("adj_r_squared"),
+        fstat.alias("f_statistic"))
+    return one.withColumn("f_p_value", _f_upper(F.col("f_statistic"), F.lit(1.0),
+                                                F.col("df_resid").cast("double")))
+
+
+def confint(df: DataFrame, y: str, x: str, level: float = 0.95) -> DataFrame:
+    """Coefficient confidence intervals, estimate +- t(1-a/2, n-2) se (F18),
+    from the one-row aggregate; the t quantile is a small Pandas UDF."""
+    dof, _, se_a, se_b = _se_cols()
+    one = _sums(df, y, x).select(
+        _t_quantile(F.lit(0.5 + level / 2.0), dof.cast("double")).alias("tq"),
+        F.explode(F.array(
+            F.struct(F.lit("(Intercept)").alias("term"), F.col("a").alias("estimate"),
+                     se_a.alias("se")),
+            F.struct(F.lit(x).alias("term"), F.col("b").alias("estimate"),
+                     se_b.alias("se")))).alias("c"))
+    return one.select("c.term", F.lit(float(level)).alias("level"),
+                      (F.col("c.estimate") - F.col("tq") * F.col("c.se")).alias("lower"),
+                      (F.col("c.estimate") + F.col("tq") * F.col("c.se")).alias("upper"))
 
 
 def fitted_line(df: DataFrame, fit: SimpleOLS) -> DataFrame:

@@ -25,12 +25,9 @@ def _one_row(df: DataFrame, exprs: list[Column]):
     return df.agg(*exprs).first()
 
 
-def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, std (sample), min, q25, q50, q75, max per column (F1).
-
-    Quantiles are exact (linear interpolation), unlike ``DataFrame.summary``.
-    """
-    cols = list(cols or _numeric_cols(df))
+def _profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """count, mean, std, min, quartiles, max and null count per column:
+    one aggregate plus the exact quartiles (long form)."""
     q = column_quantiles(df, cols, [0.25, 0.5, 0.75])
     qarr = F.create_map(*[x for c in cols for x in (
         F.lit(c), F.array(*[F.lit(v).cast("double") for v in q[c]]))])
@@ -39,27 +36,32 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
                               F.avg(c).cast("double").alias("mean"),
                               F.stddev_samp(c).alias("std"),
                               F.min(c).cast("double").alias("min"),
-                              F.max(c).cast("double").alias("max")).alias(f"s{i}")
+                              F.max(c).cast("double").alias("max"),
+                              F.count_if(F.col(c).isNull()).alias("na_count")).alias(f"s{i}")
                      for i, c in enumerate(cols)])
     long = stats.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(cols))])).alias("s"))
+    quart = F.element_at(qarr, F.col("s.column"))
     return long.select("s.column", "s.count", "s.mean", "s.std", "s.min",
-                       F.element_at(qarr, F.col("s.column"))[0].alias("q25"),
-                       F.element_at(qarr, F.col("s.column"))[1].alias("q50"),
-                       F.element_at(qarr, F.col("s.column"))[2].alias("q75"),
-                       "s.max")
+                       quart[0].alias("q25"), quart[1].alias("q50"), quart[2].alias("q75"),
+                       "s.max", "s.na_count")
+
+
+def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """count, mean, std (sample), min, q25, q50, q75, max per column (F1).
+
+    Quantiles are exact (linear interpolation), unlike ``DataFrame.summary``.
+    """
+    cols = list(cols or _numeric_cols(df))
+    return _profile(df, cols).drop("na_count")
 
 
 def r_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """R ``summary``: min, 1st quartile, median, mean, 3rd quartile, max and
-    NA count per numeric column (F2)."""
+    NA count per numeric column (F2), from the same single aggregate."""
     cols = list(cols or _numeric_cols(df))
-    d = describe(df, cols)
-    na = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]) \
-           .unpivot([], cols, "column", "na_count")
-    return (d.join(na, "column")
-             .select("column", F.col("min"), F.col("q25").alias("q1"),
-                     F.col("q50").alias("median"), "mean", F.col("q75").alias("q3"),
-                     "max", F.col("na_count").cast("long").alias("na_count")))
+    return _profile(df, cols).select(
+        "column", "min", F.col("q25").alias("q1"), F.col("q50").alias("median"), "mean",
+        F.col("q75").alias("q3"), "max", "na_count")
 
 
 def level_counts(df: DataFrame, col: str) -> DataFrame:

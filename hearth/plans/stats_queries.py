@@ -36,8 +36,7 @@ UNION ALL SELECT 'l_quantity', round(b, 6) FROM e
 """)
 def ols_fit(spark, d):
     """price ~ quantity: intercept and slope."""
-    fit = ols.fit_simple_ols(_li(spark, d), "l_extendedprice", "l_quantity")
-    tab = ols.coefficient_table(spark, fit)
+    tab = ols.coefficient_table(_li(spark, d), "l_extendedprice", "l_quantity")
     return tab.select("term", F.round("estimate", 6).alias("estimate"))
 
 
@@ -51,16 +50,15 @@ SELECT 'l_quantity', round(b, 6), round(sqrt(s2 / sxx), 6), round(b / sqrt(s2 /
 """)
 def ols_inference(spark, d):
     """Estimates with standard errors and t statistics."""
-    fit = ols.fit_simple_ols(_li(spark, d), "l_extendedprice", "l_quantity")
-    tab = ols.coefficient_table(spark, fit)
+    tab = ols.coefficient_table(_li(spark, d), "l_extendedprice", "l_quantity")
     return tab.select("term", *[F.round(c, 6).alias(c) for c in ("estimate", "std_error", "t_value")])
 
 
 @query("ols_pvalues", "F17")
 def ols_pvalues(spark, d):
     """Two-sided p-values of the coefficients (t distribution; no SQL twin)."""
-    fit = ols.fit_simple_ols(_li(spark, d), "l_extendedprice", "l_quantity")
-    return ols.coefficient_table(spark, fit).select("term", "t_value", "p_value")
+    tab = ols.coefficient_table(_li(spark, d), "l_extendedprice", "l_quantity")
+    return tab.select("term", "t_value", "p_value")
 
 
 @query("ols_summary", "F17", f"""
@@ -93,8 +91,7 @@ def ols_summary(spark, d):
 @query("ols_confint", "F18")
 def ols_confint(spark, d):
     """95% confidence intervals (t quantile; no SQL twin)."""
-    fit = ols.fit_simple_ols(_li(spark, d), "l_extendedprice", "l_quantity")
-    return ols.confint(spark, fit, 0.95)
+    return ols.confint(_li(spark, d), "l_extendedprice", "l_quantity", 0.95)
 
 
 @query("fitted_line", "F19", f"""

@@ -245,3 +245,18 @@ def test_auc_binned_close_to_exact(spark):
     df = spark.createDataFrame(rows, "y int, s double")
     binned = metrics.roc_auc(df, "y", "s", 100).first().auc
     assert abs(binned - metrics.roc_auc_exact(df, "y", "s")) < 0.01
+
+
+def test_ols_tables_are_spark_derived_and_consistent(spark):
+    df = spark.range(50).select(F.col("id").cast("double").alias("x"),
+                                (F.col("id") * 1.5 + F.sin("id") * 4).alias("y"))
+    tab = {r.term: r for r in ols.coefficient_table(df, "y", "x").collect()}
+    fit = ols.fit_simple_ols(df, "y", "x")
+    assert tab["x"].estimate == pytest.approx(fit.slope)
+    assert tab["x"].std_error == pytest.approx(fit.se_slope())
+    assert tab["x"].p_value == pytest.approx(D.t_two_sided_p(fit.slope / fit.se_slope(), 48))
+    ci = {r.term: r for r in ols.confint(df, "y", "x").collect()}
+    tq = D.t_quantile(0.975, 48)
+    assert ci["x"].lower == pytest.approx(fit.slope - tq * fit.se_slope())
+    st = ols.fit_statistics(df, fit).first()
+    assert st.r_squared == pytest.approx(fit.r2()) and 0 <= st.f_p_value <= 1
