@@ -32,14 +32,18 @@ GRID_GBT_MAX_DEPTH = (1, 2, 3, 4, 5)
 GRID_GBT_MAX_ITER = (1, 2, 3, 4, 5)
 
 
-def regressors(features: str = "features", label: str = "label", seed: int = 7) -> dict:
-    """The four regression estimators of the search."""
+def regressors(features: str = "features", label: str = "label", seed: int = 7,
+               max_bins: int = 32) -> dict:
+    """The four regression estimators of the search (I1-I4). ``max_bins``
+    must cover the largest category count of nominal features."""
     return {
         "linear": LinearRegression(featuresCol=features, labelCol=label),
         "tree": DecisionTreeRegressor(featuresCol=features, labelCol=label,
-                                      impurity="variance", seed=seed),
-        "forest": RandomForestRegressor(featuresCol=features, labelCol=label, seed=seed),
-        "boosted": GBTRegressor(featuresCol=features, labelCol=label, seed=seed),
+                                      impurity="variance", seed=seed, maxBins=max_bins),
+        "forest": RandomForestRegressor(featuresCol=features, labelCol=label, seed=seed,
+                                        maxBins=max_bins),
+        "boosted": GBTRegressor(featuresCol=features, labelCol=label, seed=seed,
+                                maxBins=max_bins),
     }
 
 

@@ -57,7 +57,12 @@ def prepare(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str], label:
     train = columns.rename_positional(asm.transform(train), [*id_cols, "features", label],
                                       [*id_cols, "features", "label"])
     test = asm.transform(test).select(*id_cols, "features")
-    return train, test, feats
+    return train, test, feats, idx_model
+
+
+def max_levels(idx_model) -> int:
+    """Largest category count of a fitted indexer, +1 for the unseen code."""
+    return max((len(labels) for labels in idx_model.labelsArray), default=0) + 1
 
 
 def price_prediction(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str], label: str,
@@ -79,16 +84,19 @@ def price_prediction(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str
     # validation pass; keep them once instead of re-reading (and re-joining)
     # the sources three times. Lost blocks are recomputed from lineage.
     train = models.persist_prepared(train)
-    tr, te, feats = prepare(train, test, id_cols=id_cols, label=label, drop=drop,
-                            marker_col=marker_col, exclude=exclude, exclude_col=exclude_col,
-                            log_cols=log_cols, categorical=categorical)
+    tr, te, feats, idx_model = prepare(train, test, id_cols=id_cols, label=label, drop=drop,
+                                       marker_col=marker_col, exclude=exclude,
+                                       exclude_col=exclude_col, log_cols=log_cols,
+                                       categorical=categorical)
+    # indexed columns carry nominal metadata, so trees need maxBins >= levels
+    bins = max(32, max_levels(idx_model))
     key = split_key if split_key is not None else unit_hash(F.xxhash64(*id_cols), seed)
     tr = tr.withColumn("_u", key)
     fit_set, valid = sampling.weighted_split(tr, list(split), "_u", seed, draw=F.col("_u"))
     fit_set, valid = fit_set.drop("_u"), valid.drop("_u")
     board = None
     if grid:
-        est = models.regressors(seed=seed)
+        est = models.regressors(seed=seed, max_bins=bins)
         pipe = Pipeline(stages=[])
         maps = models.search_grid(pipe, est, grid)
         prepared = models.persist_prepared(

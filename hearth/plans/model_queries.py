@@ -58,8 +58,8 @@ def price_prediction_q(spark, d):
 
 def _prepared(spark, d):
     train, score = train_and_score_frames(spark, d)
-    tr, te, _ = prepare(train, score, id_cols=ID, label="l_extendedprice",
-                        categorical=["p_brand", "p_type"])
+    tr, te, _, _ = prepare(train, score, id_cols=ID, label="l_extendedprice",
+                           categorical=["p_brand", "p_type"])
     return tr, te
 
 

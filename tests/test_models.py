@@ -98,3 +98,15 @@ def test_price_prediction_job_on_housing_shaped_csv(spark):
     assert set(rows) == {1461, 1462}
     assert 100000 < rows[1461] < 250000
     assert res.validation_rmse < 0.2
+
+
+def test_grid_search_with_many_levels(spark):
+    """A categorical with more levels than the default 32 bins still fits
+    in the tree part of the search."""
+    rows = [(i, f"L{i % 40}", float(i % 40) * 3 + (i % 7), float(i % 13)) for i in range(1, 801)]
+    df = spark.createDataFrame(rows, "Id int, hood string, price double, area double")
+    test = df.drop("price").limit(5)
+    res = price_prediction(df, test, id_cols=["Id"], label="price", grid="smoke", folds=3,
+                           parallelism=2, out_col="pred")
+    assert res.predictions.count() == 5
+    assert res.leaderboard.count() == 6
