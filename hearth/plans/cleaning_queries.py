@@ -81,12 +81,16 @@ def missing_report(spark, d):
 
 
 @query("prune_sparse_columns", "C6", f"""
-WITH {PART_WITH_GAPS_SQL.strip()}
-SELECT p_partkey, p_name, p_brand, p_type, p_size FROM part_with_gaps
+WITH {PART_WITH_GAPS_SQL.strip()},{_MISSING_UNPIVOT}
+SELECT feature, total::BIGINT AS total, round(percent, 6) AS percent
+FROM report WHERE percent <= 15
 """)
 def prune_sparse_columns(spark, d):
-    """Drop every column with more than 15% of its values missing."""
-    return clean.drop_sparse_columns(part_with_gaps(spark, d), 15.0)
+    """Drop every column with more than 15% of its values missing; report
+    the surviving columns with their missing counts."""
+    kept = clean.drop_sparse_columns(part_with_gaps(spark, d), 15.0)
+    rep = clean.missing_report(kept, nonzero_only=False)
+    return rep.withColumn("percent", F.round("percent", 6))
 
 
 @query("missing_groups", "C7", f"""
