@@ -94,9 +94,22 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     all rows is one aggregate group.
     """
     cols = list(cols)
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("g"), F.col(c).cast("double").alias("v")) for c in cols
-    ])).alias("s")).select("s.g", "s.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
+
+    def unpivot(src: DataFrame) -> DataFrame:
+        return src.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("g"), F.col(c).cast("double").alias("v")) for c in cols
+        ])).alias("s")).select("s.g", "s.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
+
+    def narrowed(open_brackets) -> DataFrame:
+        # The same bracket test on the source columns, before the unpivot,
+        # so Catalyst can push it into the Parquet reader (row-group skipping
+        # by min/max statistics); the exact per-column test follows.
+        pre = F.lit(False)
+        for c, lo, hi, _ in open_brackets:
+            pre = pre | F.col(c).cast("double").between(lo, hi)
+        return unpivot(df.where(pre))
+
+    long = unpivot(df)
     stats = {r["g"]: r for r in long.groupBy("g").agg(
         F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
 
@@ -133,7 +146,7 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             cond = F.lit(False)
             for key, (c, lo, hi, _) in fetch.items():
                 cond = cond | ((F.col("g") == c) & F.col("v").between(lo, hi))
-            pairs = (long.where(cond).groupBy("g", "v")
+            pairs = (narrowed(fetch.values()).where(cond).groupBy("g", "v")
                          .agg(F.count(F.lit(1)).alias("w")).collect())
             for ck, (key, r) in list(ranks.items()):
                 if key not in fetch:
@@ -158,7 +171,7 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 b = F.least(F.greatest(b, F.lit(0)), F.lit(bins - 1))
                 val = F.struct(F.lit(key).alias("key"), b.alias("b"))
                 bucket = F.when(inside, val) if bucket is None else bucket.when(inside, val)
-            tagged = long.where(cond).select(bucket.alias("kb"), "v")
+            tagged = narrowed(split.values()).where(cond).select(bucket.alias("kb"), "v")
             agg = (tagged.groupBy(F.col("kb.key").alias("key"), F.col("kb.b").alias("b"))
                          .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
                               F.max("v").alias("hi")).collect())
