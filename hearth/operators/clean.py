@@ -5,7 +5,7 @@ from __future__ import annotations
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from hearth.sources.csv import NA_TOKEN
 from hearth.operators.ranking import column_quantiles
@@ -15,8 +15,12 @@ def drop_missing_marker(df: DataFrame, col: str, marker: str = NA_TOKEN) -> Data
     """Drop rows whose ``col`` holds the missing marker.
 
     ``col != 'NA'`` is also false for null, so the same rows go in both
-    read modes (literal ``NA`` or null).
+    read modes (literal ``NA`` or null). A non-string column (a numeric
+    column read with ``NA`` as null) cannot hold the marker, so there the
+    rule is only "not null".
     """
+    if not isinstance(df.schema[col].dataType, StringType):
+        return df.filter(F.col(col).isNotNull())
     return df.filter(F.col(col) != F.lit(marker))
 
 

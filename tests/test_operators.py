@@ -39,6 +39,9 @@ def test_na_modes(spark):
     a = sorted(r.Id for r in clean.drop_missing_marker(lit, "Electrical").collect())
     b = sorted(r.Id for r in clean.drop_missing_marker(nul, "Electrical").collect())
     assert a == b == [1, 3]
+    # a numeric column read in null mode: the marker rule drops the nulls
+    c = sorted(r.Id for r in clean.drop_missing_marker(nul, "LotFrontage").collect())
+    assert c == [1, 3]
 
 
 def test_missing_report_and_groups(spark):
