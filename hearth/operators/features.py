@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from typing import Iterable, Mapping, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 

@@ -11,7 +11,7 @@ import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import NumericType
 
 from hearth.functions.normal import inverse_normal_cdf
 from hearth.operators.ranking import column_quantiles, global_rank

@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from hearth.functions.scalar import expm1, log1p, log_positive
-from hearth.operators import features, metrics, sampling
+from hearth.operators import features, metrics
 from hearth.plans.registry import query
 from hearth.sources.tables import table
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hearth.functions.scalar import mix_unit, mix_unit_sql
-from hearth.operators import metrics, ols, sampling
+from hearth.operators import metrics, ols
 from hearth.plans.registry import query
 from hearth.sources.tables import table
 
