@@ -56,15 +56,17 @@ def price_prediction_q(spark, d):
     return run_price_prediction(spark, d).predictions
 
 
-def _prepared(spark, d):
+def _prepared(spark, d, spread: bool = False):
+    """Assembled training and scoring rows; ``spread`` for learners that
+    make many passes (trees, forests, boosting)."""
     train, score = train_and_score_frames(spark, d)
     tr, te, _, _ = prepare(train, score, id_cols=ID, label="l_extendedprice",
                            categorical=["p_brand", "p_type"])
-    return tr, te
+    return (models.spread_for_fit(tr) if spread else tr), te
 
 
-def _fit_score(spark, d, est):
-    tr, te = _prepared(spark, d)
+def _fit_score(spark, d, est, spread: bool = False):
+    tr, te = _prepared(spark, d, spread)
     model = est.fit(tr)
     return model.transform(te).select(*ID, "prediction")
 
@@ -77,17 +79,20 @@ def lr_predict(spark, d):
 
 @query("tree_predict", "I2,I8")
 def tree_predict(spark, d):
-    return _fit_score(spark, d, DecisionTreeRegressor(impurity="variance", maxDepth=5, seed=SEED))
+    est = DecisionTreeRegressor(impurity="variance", maxDepth=5, seed=SEED)
+    return _fit_score(spark, d, est, spread=True)
 
 
 @query("rf_predict", "I3,I8")
 def rf_predict(spark, d):
-    return _fit_score(spark, d, RandomForestRegressor(maxDepth=5, numTrees=10, seed=SEED))
+    est = RandomForestRegressor(maxDepth=5, numTrees=10, seed=SEED)
+    return _fit_score(spark, d, est, spread=True)
 
 
 @query("gbt_predict", "I4,I8")
 def gbt_predict(spark, d):
-    return _fit_score(spark, d, GBTRegressor(maxDepth=3, maxIter=5, seed=SEED))
+    est = GBTRegressor(maxDepth=3, maxIter=5, seed=SEED)
+    return _fit_score(spark, d, est, spread=True)
 
 
 @query("cv_leaderboard", "I5,I6,I7,H3")
@@ -156,9 +161,9 @@ def logistic_predict(spark, d):
 def _representation_frame(spark, d, q_step=5.0, d_step=2.0):
     """Quantity and discount as floats, bucket indicators and a crossed
     indicator, with a hash train/test flag (orders split 80/20)."""
-    l = table(spark, d, "lineitem").select(
+    l = models.spread_for_fit(table(spark, d, "lineitem").select(
         "l_orderkey", "l_quantity", (F.col("l_discount") * 100).alias("disc_pct"),
-        (F.col("l_extendedprice") / 1000.0).alias("label"))
+        (F.col("l_extendedprice") / 1000.0).alias("label")))
     b = features.regular_boundaries_many(l, {"l_quantity": q_step, "disc_pct": d_step})
     qb, db = b["l_quantity"], b["disc_pct"]
     nq, nd = len(qb) + 1, len(db) + 1
