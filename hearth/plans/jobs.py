@@ -150,3 +150,108 @@ def run_job(spark, train_path: str, test_path: str, out_path: str, *, na_mode: s
         report.update({"best_estimator": best["estimator"], "best_params": best["params"]})
     write_report(run_report(spark, report, run_id), f"{base}/report")
     return res
+
+
+def exploration_job(df: DataFrame, *, label: str, x: str, id_col: str,
+                    impute_cols: Sequence[str] = (), ratios: dict | None = None,
+                    drop: Sequence[str] = (), category: str | None = None,
+                    n_bins: int = 30, corr_cut: float = 0.60, train_share: float = 0.75,
+                    seed: int = 111) -> dict[str, DataFrame]:
+    """The exploration script as one job: profile, distributions, repairs,
+    correlations and simple least squares with inference, then an exact
+    train/test split, refit and test errors. Returns named result tables.
+
+    Test errors are computed on the test rows only (actual and prediction
+    side by side), not against the full label column.
+    """
+    from hearth.operators import metrics, ols, profile
+    out: dict[str, DataFrame] = {}
+    out["schema"] = columns.schema_profile(df)
+    out["head"] = columns.head_rows(df, 6, [id_col])
+    nums = columns.columns_of_kind(df, "numeric", exclude=[id_col])
+    out["summary"] = profile.r_summary(df, nums)
+    for c in columns.columns_of_kind(df, "string"):
+        out[f"levels_{c}"] = profile.level_counts(df, c)
+    hist = [profile.histogram(df, c, n_bins).withColumn("column", F.lit(c)) for c in nums]
+    if hist:
+        merged = hist[0]
+        for h in hist[1:]:
+            merged = merged.unionByName(h)
+        out["histograms"] = merged
+    work = clean.impute_median(df, list(impute_cols)) if impute_cols else df
+    if ratios:
+        work = columns.add_ratios(work, ratios, drop=drop)
+    elif drop:
+        work = columns.drop_columns(work, drop)
+    if category:
+        work = clean.one_hot_columns(work, category)
+    nums = columns.columns_of_kind(work, "numeric", exclude=[id_col])
+    out["box"] = profile.box_stats(work, nums)
+    out["scatter_bins"] = profile.hist2d(work, x, label)
+    corr = profile.correlation_matrix(work, nums)
+    out["correlation"] = corr
+    out["correlated_with_label"] = profile.correlated_with(corr, label, corr_cut)
+    fit_all = ols.fit_simple_ols(work, label, x)
+    out["ols_all"] = ols.coefficient_table(work, label, x)
+    out["ols_all_summary"] = ols.fit_statistics(work, fit_all)
+    out["ols_all_confint"] = ols.confint(work, label, x)
+    out["ols_all_line"] = ols.fitted_line(work, fit_all)
+    flagged = sampling.exact_sample(work, train_share, id_col, seed)
+    train = flagged.filter(F.col("in_sample"))
+    test = flagged.filter(~F.col("in_sample"))
+    fit = ols.fit_simple_ols(train, label, x)
+    out["ols_train"] = ols.coefficient_table(train, label, x)
+    out["ols_train_confint"] = ols.confint(train, label, x)
+    scored = ols.predict(test, fit, "prediction")
+    out["test_predictions"] = metrics.residuals(scored, id_col, label, "prediction")
+    out["overlay"] = profile.histogram_overlay(scored, [label, "prediction"], n_bins)
+    out["test_errors"] = metrics.regression_metrics(scored, label, "prediction")
+    return out
+
+
+def classification_job(train: DataFrame, test: DataFrame, *, value: str, lat: str, lon: str,
+                       numeric: Sequence[str], step: float = 1.0, hash_bins: int = 100,
+                       quantile: float = 0.75, threshold: float = 0.35,
+                       sweep: Sequence[float] = (0.3, 0.52, 0.8), max_iter: int = 100,
+                       own_stats: bool = False) -> dict[str, DataFrame]:
+    """The classification notebook as one job.
+
+    * Label: 1.0 when ``value`` exceeds its q75, computed per frame.
+    * Numeric features: z-scored with the training statistics, or with each
+      frame's own statistics when ``own_stats`` is set.
+    * ``lat``/``lon``: bucketised on regular boundaries taken from the raw
+      columns, hashed-crossed into ``hash_bins`` and one-hot encoded.
+    * Model: logistic regression.
+    * Outputs: history, threshold metrics, sweep, 100-threshold AUC and the
+      majority baseline on the test frame.
+
+    The notebook's random row shuffle is not needed: the fit is full-batch.
+    """
+    from pyspark.ml.classification import LogisticRegression
+    from hearth.operators import metrics, profile
+    out: dict[str, DataFrame] = {"describe_train": profile.describe(train, [value, *numeric])}
+    stats = features.zscore_stats(train, list(numeric))
+    tr = features.zscore(train, list(numeric), stats=None if own_stats else stats)
+    te = features.zscore(test, list(numeric), stats=None if own_stats else stats)
+    tr = features.quantile_label(tr, value, quantile, "label")
+    te = features.quantile_label(te, value, quantile, "label")
+    out["correlation_train"] = profile.correlation_matrix(tr, [*numeric, "label"])
+    b = features.regular_boundaries_many(train, {lat: step, lon: step})
+
+    def encode(frame):
+        f = frame.withColumns({"_blat": features.bucket_index(lat, b[lat]),
+                               "_blon": features.bucket_index(lon, b[lon])})
+        f = f.withColumn("_cross", features.hashed_cross("_blat", "_blon", hash_bins))
+        return features.indicator(f, ["_cross"], [hash_bins], ["_cross_vec"])
+
+    asm = features.assembler(["_cross_vec", *numeric])
+    tr, te = asm.transform(encode(tr)), asm.transform(encode(te))
+    model = LogisticRegression(maxIter=max_iter).fit(tr)
+    from hearth.operators.models import positive_probability, training_history
+    out["history"] = training_history(train.sparkSession, model.summary.objectiveHistory, "loss")
+    scored = positive_probability(model.transform(te))
+    out["test_metrics"] = metrics.threshold_metrics(scored, "label", "p", threshold)
+    out["sweep"] = metrics.threshold_sweep(scored, "label", "p", list(sweep))
+    out["auc"] = metrics.roc_auc(scored, "label", "p", 100)
+    out["baseline"] = metrics.majority_baseline(te, "label")
+    return out

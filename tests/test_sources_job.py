@@ -39,3 +39,42 @@ def test_run_job_writes_all_sinks(spark):
         assert float(rep["validation_rmse"]) == res.validation_rmse
         vals = sorted(r.PredictedSalePrice for r in pred.collect())
         assert vals[0] < vals[1] < vals[2]
+
+
+def test_exploration_job_on_lineitem(spark):
+    from pyspark.sql import functions as F
+    from hearth.plans.jobs import exploration_job
+    from hearth.sources.tables import table
+    li = table(spark, "/root/testdata/sf0.001", "lineitem").select(
+        F.monotonically_increasing_id().alias("row_id"), "l_quantity", "l_extendedprice",
+        "l_discount", "l_tax", "l_returnflag")
+    li = li.withColumn("l_tax", F.when(F.col("l_discount") < 0.01, None).otherwise(F.col("l_tax")))
+    out = exploration_job(li, label="l_extendedprice", x="l_quantity", id_col="row_id",
+                          impute_cols=["l_tax"], ratios={"unit_price": ("l_extendedprice", "l_quantity")},
+                          category="l_returnflag")
+    n = li.count()
+    assert out["test_errors"].first().n == n - int(0.75 * n)
+    assert out["summary"].count() == 4
+    assert out["histograms"].groupBy("column").agg(F.sum("count")).count() == 4
+    box_cols = {r["column"] for r in out["box"].collect()}
+    assert {"A", "N", "R", "unit_price"} <= box_cols  # one-hot and ratio columns profiled
+    assert out["ols_all_confint"].count() == 2
+
+
+def test_classification_job_on_lineitem(spark):
+    from pyspark.sql import functions as F
+    from hearth.functions.scalar import mix_unit
+    from hearth.plans.jobs import classification_job
+    from hearth.sources.tables import table
+    li = table(spark, "/root/testdata/sf0.01", "lineitem").select(
+        "l_orderkey", "l_quantity", (F.col("l_discount") * 100).alias("disc"), "l_tax",
+        "l_extendedprice")
+    u = mix_unit("l_orderkey", 5)
+    out = classification_job(li.filter(u < 0.8), li.filter(u >= 0.8), value="l_extendedprice",
+                             lat="l_quantity", lon="disc", numeric=["l_tax"], step=5.0,
+                             max_iter=20)
+    sw = out["sweep"].collect()
+    assert len(sw) == 3 and sum(r.best for r in sw) == 1
+    assert 0 <= out["auc"].first().auc <= 1
+    assert out["history"].count() > 0
+    assert abs(out["baseline"].first().baseline_accuracy - 0.75) < 0.02
