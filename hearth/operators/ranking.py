@@ -122,6 +122,8 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         st = stats.get(c)
         if st is None or st["n"] == 0:
             continue
+        if math.isinf(st["lo"]) or math.isinf(st["hi"]):
+            raise ValueError(f"{c}: exact quantiles need finite values")
         key = len(brackets)
         brackets[key] = (c, float(st["lo"]), float(st["hi"]), int(st["n"]))
         for p in probs:
@@ -167,7 +169,10 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             for key, (c, lo, hi, _) in split.items():
                 inside = (F.col("g") == c) & F.col("v").between(lo, hi)
                 cond = cond | inside
-                b = F.floor((F.col("v") - F.lit(lo)) / F.lit(hi - lo) * F.lit(bins)).cast("int")
+                # halves keep hi - lo finite for brackets spanning most doubles
+                width = hi * 0.5 - lo * 0.5
+                b = F.floor((F.col("v") * 0.5 - F.lit(lo * 0.5)) / F.lit(width)
+                            * F.lit(bins)).cast("int")
                 b = F.least(F.greatest(b, F.lit(0)), F.lit(bins - 1))
                 val = F.struct(F.lit(key).alias("key"), b.alias("b"))
                 bucket = F.when(inside, val) if bucket is None else bucket.when(inside, val)

@@ -263,3 +263,11 @@ def test_ols_tables_are_spark_derived_and_consistent(spark):
     assert ci["x"].lower == pytest.approx(fit.slope - tq * fit.se_slope())
     st = ols.fit_statistics(df, fit).first()
     assert st.r_squared == pytest.approx(fit.r2()) and 0 <= st.f_p_value <= 1
+
+
+def test_quantiles_extreme_range(spark):
+    xs = [-1.7e308, -1.0, 0.0, 2.5, 1.7e308] * 30
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = ranking.exact_quantiles(df, "x", [0.1, 0.5, 0.9], bins=4, max_fetch=10)
+    import numpy as np
+    assert got == pytest.approx(list(np.quantile(np.array(xs), [0.1, 0.5, 0.9])))
