@@ -81,3 +81,23 @@ def mix_unit_sql(col_sql: str, seed: int) -> str:
     h = f"(({h}) * {_MIX_A} & {_MASK31})"
     h = f"xor({h}, {h} >> 16)"
     return f"(({h})::DOUBLE / {1 << 31})"
+
+
+def count_below(c: Column | str, sorted_values, inclusive: bool = False) -> Column:
+    """How many of ``sorted_values`` are < x (or <= x when ``inclusive``),
+    as a balanced tree of comparisons: about log2(len) comparisons per row
+    instead of one per value. Null stays null."""
+    x = _c(c)
+    vals = [float(v) for v in sorted_values]
+
+    def below(v):
+        return (F.lit(v) <= x) if inclusive else (F.lit(v) < x)
+
+    def build(lo: int, hi: int) -> Column:
+        # count over vals[lo:hi], knowing the answer lies in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(below(vals[mid]), build(mid + 1, hi)).otherwise(build(lo, mid))
+
+    return F.when(x.isNotNull(), build(0, len(vals)))

@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hearth.functions.scalar import log1p
+from hearth.functions.scalar import count_below, log1p
 from hearth.operators.ranking import column_quantiles
 
 
@@ -84,13 +84,7 @@ def bucket_index(c: Column | str, boundaries: Sequence[float]) -> Column:
 
     Counts the boundaries <= x, so it is left-closed; null stays null.
     """
-    x = F.col(c) if isinstance(c, str) else c
-    if not boundaries:
-        return F.when(x.isNotNull(), F.lit(0))
-    acc = F.lit(0)
-    for b in boundaries:
-        acc = acc + F.when(x >= F.lit(float(b)), 1).otherwise(0)
-    return F.when(x.isNotNull(), acc)
+    return count_below(c, sorted(boundaries), inclusive=True)
 
 
 def bucketize(df: DataFrame, col: str, boundaries: Sequence[float], out: str) -> DataFrame:

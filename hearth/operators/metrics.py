@@ -11,6 +11,8 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from hearth.functions.scalar import count_below
+
 
 def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
     """n, MSE, RMSE, MAE and R^2."""
@@ -72,23 +74,43 @@ def roc_auc(df: DataFrame, label: str, score: str, num_thresholds: int = 100) ->
     """ROC AUC by the trapezoid rule over ``num_thresholds`` thresholds (J7),
     as a bucketed metric does for scores in [0, 1].
 
-    The confusion counts at every threshold come from one aggregate; the
-    trapezoid sum runs over those ``num_thresholds`` rows (bounded).
+    Each row gets one number: how many thresholds lie strictly below its
+    score (a balanced comparison tree, about log2 of the threshold count
+    comparisons). Rows are then counted per (that number, label), at most
+    2 x ``num_thresholds`` groups, combined on the map side. TP(t_i) and
+    FP(t_i) are the positives and negatives whose count exceeds i (suffix
+    sums over those few groups), and the trapezoid sum follows.
     """
     ts = auc_thresholds(num_thresholds)
     y, s = F.col(label), F.col(score)
-    one = df.where(y.isNotNull() & s.isNotNull()).agg(
-        *[F.count_if((s > F.lit(t)) & (y == 1)).alias(f"tp_{i}") for i, t in enumerate(ts)],
-        *[F.count_if((s > F.lit(t)) & (y != 1)).alias(f"fp_{i}") for i, t in enumerate(ts)],
-        F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg"))
-    tpr = [F.coalesce(F.try_divide(F.col(f"tp_{i}").cast("double"), F.col("pos")), F.lit(0.0))
-           for i in range(len(ts))]
-    fpr = [F.coalesce(F.try_divide(F.col(f"fp_{i}").cast("double"), F.col("neg")), F.lit(0.0))
-           for i in range(len(ts))]
-    area = F.lit(0.0)
-    for i in range(len(ts) - 1):
-        area = area + (fpr[i] - fpr[i + 1]) * (tpr[i] + tpr[i + 1]) / 2.0
-    return one.select(area.alias("auc"), F.col("pos"), F.col("neg"))
+    groups = (df.where(y.isNotNull() & s.isNotNull())
+                .groupBy(count_below(s, ts).alias("k"), (y == 1).alias("pos"))
+                .agg(F.count(F.lit(1)).alias("n")))
+    # one row holding the <= 2N groups; curves and area by array functions
+    n = len(ts)
+    g = groups.agg(F.collect_list(F.struct("k", "pos", "n")).alias("g"))
+
+    def above(pos: bool, i):
+        sel = F.filter("g", lambda e: (e["pos"] == F.lit(pos)) & (e["k"] > i))
+        return F.aggregate(sel, F.lit(0).cast("long"), lambda acc, e: acc + e["n"])
+
+    idx = F.sequence(F.lit(0), F.lit(n - 1))
+    curves = g.select(
+        F.transform(idx, lambda i: above(True, i)).alias("tp"),
+        F.transform(idx, lambda i: above(False, i)).alias("fp"),
+        F.aggregate(F.filter("g", lambda e: e["pos"]), F.lit(0).cast("long"),
+                    lambda acc, e: acc + e["n"]).alias("pos"),
+        F.aggregate(F.filter("g", lambda e: ~e["pos"]), F.lit(0).cast("long"),
+                    lambda acc, e: acc + e["n"]).alias("neg"))
+    rate = lambda arr, tot: F.transform(
+        arr, lambda v: F.coalesce(F.try_divide(v.cast("double"), tot), F.lit(0.0)))
+    rates = curves.select(rate(F.col("tp"), F.col("pos")).alias("tpr"),
+                          rate(F.col("fp"), F.col("neg")).alias("fpr"), "pos", "neg")
+    area = F.aggregate(
+        F.sequence(F.lit(0), F.lit(n - 2)), F.lit(0.0),
+        lambda acc, i: acc + (F.col("fpr")[i] - F.col("fpr")[i + 1])
+        * (F.col("tpr")[i] + F.col("tpr")[i + 1]) / 2.0)
+    return rates.select(area.alias("auc"), "pos", "neg")
 
 
 def roc_auc_exact(df: DataFrame, label: str, score: str) -> float:
