@@ -80,6 +80,17 @@ def missing_report(spark, d):
     return rep.withColumn("percent", F.round("percent", 6))
 
 
+@query("missing_sorted", "C5,G1", f"""
+WITH {PART_WITH_GAPS_SQL.strip()},{_MISSING_UNPIVOT}
+SELECT feature, total::BIGINT AS total, round(percent, 6) AS percent FROM report
+""")
+def missing_sorted(spark, d):
+    """The full missing report, complete columns included, sorted by count
+    descending (range-partitioned sort of the per-column rows)."""
+    rep = clean.missing_report(part_with_gaps(spark, d), nonzero_only=False)
+    return rep.withColumn("percent", F.round("percent", 6))
+
+
 @query("prune_sparse_columns", "C6", f"""
 WITH {PART_WITH_GAPS_SQL.strip()},{_MISSING_UNPIVOT}
 SELECT feature, total::BIGINT AS total, round(percent, 6) AS percent
