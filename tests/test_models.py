@@ -110,3 +110,13 @@ def test_grid_search_with_many_levels(spark):
                            parallelism=2, out_col="pred")
     assert res.predictions.count() == 5
     assert res.leaderboard.count() == 6
+
+
+@pytest.mark.skipif(not os.environ.get("HEARTH_SLOW"), reason="set HEARTH_SLOW=1 (about 2 min)")
+def test_full_reference_grid_runs(spark):
+    """The reference's 108-map search, 5 folds, on the smallest tables."""
+    from hearth.plans.model_queries import run_price_prediction
+    res = run_price_prediction(spark, "/root/testdata/sf0.001", grid="full")
+    board = res.leaderboard.orderBy("rank").collect()
+    assert len(board) == 108
+    assert [r.avg_metric for r in board] == sorted(r.avg_metric for r in board)
