@@ -58,10 +58,7 @@ class SimpleOLS:
 def fit_simple_ols(df: DataFrame, y: str, x: str) -> SimpleOLS:
     """y ~ x by ordinary least squares (F16). Rows with a null in x or y are
     skipped (the ``regr_*`` contract, R's ``na.omit``)."""
-    r = df.agg(F.regr_count(y, x).alias("n"), F.regr_intercept(y, x).alias("a"),
-               F.regr_slope(y, x).alias("b"), F.regr_sxx(y, x).alias("sxx"),
-               F.regr_syy(y, x).alias("syy"), F.regr_sxy(y, x).alias("sxy"),
-               F.regr_avgx(y, x).alias("ax"), F.regr_avgy(y, x).alias("ay")).first()
+    r = _sums(df, y, x).first()
     nan = float("nan")
     return SimpleOLS(y, x, int(r["n"] or 0), r["a"] if r["a"] is not None else nan,
                      r["b"] if r["b"] is not None else nan,
@@ -75,7 +72,7 @@ def _sums(df: DataFrame, y: str, x: str) -> DataFrame:
     return df.agg(F.regr_count(y, x).alias("n"), F.regr_intercept(y, x).alias("a"),
                   F.regr_slope(y, x).alias("b"), F.regr_sxx(y, x).alias("sxx"),
                   F.regr_syy(y, x).alias("syy"), F.regr_sxy(y, x).alias("sxy"),
-                  F.regr_avgx(y, x).alias("ax"))
+                  F.regr_avgx(y, x).alias("ax"), F.regr_avgy(y, x).alias("ay"))
 
 
 @F.pandas_udf(DoubleType())
