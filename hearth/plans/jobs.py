@@ -83,7 +83,7 @@ def price_prediction(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str
     # The training rows feed the indexer fit, the model fit and the
     # validation pass; keep them once instead of re-reading (and re-joining)
     # the sources three times. Lost blocks are recomputed from lineage.
-    train = models.persist_prepared(models.spread_for_fit(train) if grid else train)
+    train = models.persist_prepared(models.spread_for_fit(train))
     tr, te, feats, idx_model = prepare(train, test, id_cols=id_cols, label=label, drop=drop,
                                        marker_col=marker_col, exclude=exclude,
                                        exclude_col=exclude_col, log_cols=log_cols,
