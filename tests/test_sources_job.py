@@ -78,3 +78,13 @@ def test_classification_job_on_lineitem(spark):
     assert 0 <= out["auc"].first().auc <= 1
     assert out["history"].count() > 0
     assert abs(out["baseline"].first().baseline_accuracy - 0.75) < 0.02
+
+
+def test_command_line_predict(spark):
+    from hearth.__main__ import main
+    d = tempfile.mkdtemp(prefix="hearth-cli-")
+    _write_housing(d)
+    out = os.path.join(d, "out")
+    assert main(["predict", os.path.join(d, "train.csv"), os.path.join(d, "test.csv"), out,
+                 "--na-mode", "null", "--run-id", "cli"]) == 0
+    assert spark.read.parquet(f"{out}/predictions").count() == 3
