@@ -1,7 +1,7 @@
 """Command line: the batch prediction job, as submitted with spark-submit.
 
-    spark-submit -m hearth predict <train.csv> <test.csv> <output dir>
-        [--grid smoke|full] [--na-mode literal|null] [--seed N] [--run-id ID]
+    spark-submit --py-files hearth.zip hearth/__main__.py predict \
+        <train.csv> <test.csv> <output dir> [--grid smoke|full] [--na-mode literal|null]
 
 (or ``python -m hearth predict ...`` for a local session). Writes
 <out>/predictions (parquet), <out>/submission (csv) and <out>/report.
