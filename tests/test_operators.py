@@ -271,3 +271,42 @@ def test_quantiles_extreme_range(spark):
     got = ranking.exact_quantiles(df, "x", [0.1, 0.5, 0.9], bins=4, max_fetch=10)
     import numpy as np
     assert got == pytest.approx(list(np.quantile(np.array(xs), [0.1, 0.5, 0.9])))
+
+
+def test_hashed_cross_matches_brute_force(spark):
+    """xxhash64 over (b1, b2) with Spark's chaining: each column is hashed
+    with the previous hash as seed, starting from 42; then mod 100."""
+    import struct
+    import xxhash
+
+    def spark_xxhash64(values, seed=42):
+        h = seed
+        for v in values:
+            h = xxhash.xxh64(struct.pack("<i", v), seed=h & 0xFFFFFFFFFFFFFFFF).intdigest()
+            h = h - (1 << 64) if h >= (1 << 63) else h
+        return h
+
+    pairs = [(a, b) for a in range(-3, 12) for b in range(0, 9)]
+    df = spark.createDataFrame(pairs, "b1 int, b2 int")
+    got = {(r.b1, r.b2): r.h for r in df.select("b1", "b2",
+           features.hashed_cross("b1", "b2", 100).alias("h")).collect()}
+    want = {(a, b): spark_xxhash64([a, b]) % 100 for a, b in pairs}
+    assert got == want
+
+
+def test_unit_hash_matches_brute_force(spark):
+    import struct
+    import xxhash
+    from hearth.functions.scalar import unit_hash
+
+    def chain(parts):
+        h = 42
+        for fmt, v in parts:
+            h = xxhash.xxh64(struct.pack(fmt, v), seed=h & 0xFFFFFFFFFFFFFFFF).intdigest()
+            h = h - (1 << 64) if h >= (1 << 63) else h
+        return h
+
+    df = spark.range(200).withColumnRenamed("id", "k")
+    got = {r.k: r.u for r in df.select("k", unit_hash("k", 7).alias("u")).collect()}
+    want = {k: (chain([("<q", k), ("<i", 7)]) % (1 << 30)) / float(1 << 30) for k in range(200)}
+    assert got == want
