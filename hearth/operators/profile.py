@@ -204,6 +204,19 @@ def hist2d(df: DataFrame, x: str, y: str, nx: int = 30, ny: int = 30) -> DataFra
               .agg(F.count(F.lit(1)).alias("count")))
 
 
+def scatter_sample(df: DataFrame, x: str, y: str, key: str, fraction: float, seed: int,
+                   *, draw: Column | None = None) -> DataFrame:
+    """Seeded sample of (x, y) points for a scatter plot.
+
+    Rows whose hashed draw of ``key`` falls below ``fraction`` are kept:
+    the same rows for any partitioning or task retry. The sample is the
+    feature here; counts over all rows are in :func:`hist2d`.
+    """
+    from hearth.functions.scalar import unit_hash
+    u = draw if draw is not None else unit_hash(key, seed)
+    return df.where(u < F.lit(float(fraction))).select(key, x, y)
+
+
 def box_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Box-plot statistics per column (F12): q1, median, q3, whiskers at the
     most extreme values within 1.5 IQR of the box, outlier count."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hearth.functions.normal import inverse_normal_cdf_sql
+from hearth.functions.scalar import mix_unit, mix_unit_sql
 from hearth.operators import ols, profile
 from hearth.plans.common import (LINEITEM_MEASURES_SQL, MEASURE_COLS, lineitem_measures)
 from hearth.plans.registry import query
@@ -181,6 +182,17 @@ def hist2d(spark, d):
     return profile.hist2d(table(spark, d, "lineitem"), "l_quantity", "l_extendedprice", 10, 10)
 
 
+@query("scatter_sample", "F13", f"""
+SELECT l_orderkey, l_quantity, l_extendedprice FROM lineitem
+WHERE {mix_unit_sql("l_orderkey", 111)} < 0.02
+""")
+def scatter_sample_q(spark, d):
+    """A 2% seeded sample of (quantity, price) points, whole orders at a time."""
+    l = table(spark, d, "lineitem")
+    return profile.scatter_sample(l, "l_quantity", "l_extendedprice", "l_orderkey", 0.02, 111,
+                                  draw=mix_unit("l_orderkey", 111))
+
+
 def _box_sql(c):
     return f"""SELECT '{c}' AS "column", round(q1, 6) AS q1, round(med, 6) AS median, round(q3, 6) AS q3,
   round((SELECT min({c}) FROM lineitem WHERE {c} >= q1 - 1.5 * (q3 - q1)), 6) AS whisker_lo,
