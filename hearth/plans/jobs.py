@@ -32,14 +32,17 @@ def prepare(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str], label:
             drop: Sequence[str] = (), marker_col: str | None = None,
             exclude: Sequence | DataFrame | None = None, exclude_col: str | None = None,
             log_cols: Sequence[str] = (), categorical: Sequence[str] | None = None,
-            handle_invalid: str = "error"):
+            handle_invalid: str = "error", impute_numeric: bool = False):
     """Shared preparation of the training and scoring frames.
 
     Indexes are fitted once on the training frame and reused for the test
     frame (unseen levels get their own code), so both use the same codes.
+    With ``impute_numeric`` (files read with ``NA`` as null), numeric
+    features holding nulls in either frame get the training median.
     """
     train = columns.drop_columns(train, drop)
     test = columns.drop_columns(test, drop)
+    test = _align_types(test, train)
     if marker_col:
         train = clean.drop_missing_marker(train, marker_col)
     if exclude is not None:
@@ -53,6 +56,10 @@ def prepare(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str], label:
     train = idx_model.transform(train).drop(*cats)
     test = idx_model.transform(test).drop(*cats)
     feats = [c for c in train.columns if c not in skip]
+    if impute_numeric:
+        numeric = set(columns.columns_of_kind(train, "numeric"))
+        train, test = _impute_numeric(train, test, [c for c in feats
+                                                    if c in numeric and c in test.columns])
     asm = features.assembler(feats, handle_invalid=handle_invalid)
     train = columns.rename_positional(asm.transform(train), [*id_cols, "features", label],
                                       [*id_cols, "features", "label"])
@@ -60,6 +67,35 @@ def prepare(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str], label:
     return train, test, feats, idx_model
 
 
+def _align_types(test: DataFrame, train: DataFrame) -> DataFrame:
+    """Give the scoring frame the training frame's column types.
+
+    With inferred CSV types, a numeric column that holds the ``NA`` token
+    only in the scoring file arrives as a string there; ``try_cast`` turns
+    the token into null and keeps the numbers.
+    """
+    want = {f.name: f.dataType for f in train.schema.fields}
+    fix = {f.name: F.col(f.name).try_cast(want[f.name]) for f in test.schema.fields
+           if f.name in want and f.dataType != want[f.name]}
+    return test.withColumns(fix) if fix else test
+
+
+def _impute_numeric(train: DataFrame, test: DataFrame, cols: Sequence[str]):
+    """Training medians into the nulls of numeric feature columns of both
+    frames; one null-count aggregate per frame picks the columns."""
+    from hearth.operators.ranking import column_quantiles
+    holes = set()
+    for frame in (train, test):
+        row = frame.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+        holes |= {c for c in cols if row[c]}
+    if not holes:
+        return train, test
+    med = column_quantiles(train, sorted(holes), [0.5])
+    fill = {c: F.coalesce(F.col(c), F.lit(med[c][0]).cast(train.schema[c].dataType))
+            for c in holes if med[c][0] is not None}
+    return train.withColumns(fill), test.withColumns(fill)
+
+
 def max_levels(idx_model) -> int:
     """Largest category count of a fitted indexer, +1 for the unseen code."""
     return max((len(labels) for labels in idx_model.labelsArray), default=0) + 1
@@ -72,6 +108,7 @@ def price_prediction(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str
                      estimator=None, grid: str | None = None, folds: int = 5,
                      parallelism: int = 3, split: Sequence[float] = (0.9, 0.2),
                      split_key: Column | None = None, seed: int = 7,
+                     impute_numeric: bool = False,
                      out_col: str = "PredictedSalePrice") -> PricePredictionResult:
     """The batch prediction job.
 
@@ -87,7 +124,7 @@ def price_prediction(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str
     tr, te, feats, idx_model = prepare(train, test, id_cols=id_cols, label=label, drop=drop,
                                        marker_col=marker_col, exclude=exclude,
                                        exclude_col=exclude_col, log_cols=log_cols,
-                                       categorical=categorical)
+                                       categorical=categorical, impute_numeric=impute_numeric)
     # indexed columns carry nominal metadata, so trees need maxBins >= levels
     bins = max(32, max_levels(idx_model))
     key = split_key if split_key is not None else unit_hash(F.xxhash64(*id_cols), seed)
@@ -139,7 +176,8 @@ def run_job(spark, train_path: str, test_path: str, out_path: str, *, na_mode: s
     test = read_csv(spark, test_path, na_mode=na_mode, schema=test_schema)
     res = price_prediction(train, test, id_cols=["Id"], label="SalePrice", drop=HOUSING_DROP,
                            marker_col="Electrical", exclude=list(HOUSING_OUTLIER_IDS),
-                           log_cols=["GrLivArea", "TotalBsmtSF"], grid=grid, seed=seed)
+                           log_cols=["GrLivArea", "TotalBsmtSF"], grid=grid, seed=seed,
+                           impute_numeric=True)
     base = out_path.rstrip("/")
     write_predictions(res.predictions, f"{base}/predictions")
     write_submission(res.predictions, f"{base}/submission")

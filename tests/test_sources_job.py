@@ -22,7 +22,8 @@ def _write_housing(d, n=300):
     with open(os.path.join(d, "test.csv"), "w") as f:
         f.write("Id,LotFrontage,GrLivArea,TotalBsmtSF,Neighborhood,Electrical,PoolQC\n")
         for i, area in enumerate([900, 1500, 2500]):
-            f.write(f"{1461 + i},NA,{area},800,B,SBrkr,NA\n")
+            bsmt = "NA" if i == 1 else "800"  # a numeric gap only in the scoring file
+            f.write(f"{1461 + i},NA,{area},{bsmt},B,SBrkr,NA\n")
 
 
 def test_run_job_writes_all_sinks(spark):
