@@ -22,16 +22,20 @@ def score_stream(spark: SparkSession, model, source_dir: str, schema: StructType
                  out_dir: str, *, id_cols: Sequence[str], fmt: str = "parquet",
                  back_transform: bool = True, out_col: str = "prediction",
                  query_name: str = "hearth_scoring", available_now: bool = True,
-                 checkpoint: str | None = None) -> StreamingQuery:
+                 checkpoint: str | None = None,
+                 options: dict[str, str] | None = None) -> StreamingQuery:
     """Score every new ``fmt`` file in ``source_dir`` and append the
     predictions to ``out_dir``.
 
-    ``schema`` is required (no inference on a stream). With
+    ``schema`` is required (no inference on a stream); CSV files are read
+    with a header row unless ``options`` says otherwise. With
     ``available_now`` the query drains what is present and stops; without
     it the query keeps running until stopped.
     """
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/{query_name}"
-    stream = spark.readStream.schema(schema).format(fmt).load(source_dir)
+    opts = {"header": "true"} if fmt == "csv" else {}
+    opts.update(options or {})
+    stream = spark.readStream.schema(schema).format(fmt).options(**opts).load(source_dir)
     scored = model.transform(stream)
     pred = expm1("prediction") if back_transform else scored["prediction"]
     out = scored.select(*id_cols, pred.alias(out_col))
