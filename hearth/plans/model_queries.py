@@ -199,6 +199,7 @@ def representation_compare(spark, d):
                        ("cross", ["cell_vec"])):
         tr, te = _rmse_pair(frame, cols)
         rows.append((name, tr, te))
+    frame.unpersist()
     return spark.createDataFrame(rows, "representation string, train_rmse double, test_rmse double")
 
 
@@ -207,7 +208,9 @@ def resolution_sweep(spark, d):
     """Crossed-indicator model at several bucket resolutions."""
     rows = []
     for q_step, d_step in ((10.0, 5.0), (5.0, 2.0), (2.0, 1.0)):
-        tr, te = _rmse_pair(_representation_frame(spark, d, q_step, d_step), ["cell_vec"])
+        frame = _representation_frame(spark, d, q_step, d_step)
+        tr, te = _rmse_pair(frame, ["cell_vec"])
+        frame.unpersist()
         rows.append((q_step, d_step, tr, te))
     return spark.createDataFrame(rows, "qty_step double, disc_step double, "
                                        "train_rmse double, test_rmse double")
