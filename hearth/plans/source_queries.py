@@ -58,3 +58,24 @@ def prediction_sink(spark, d):
     pred = o.select(F.col("o_orderkey").alias("Id"), F.col("o_totalprice").alias("SalePrice"))
     write_predictions(pred, path, fmt="csv")
     return read_csv(spark, path, schema="Id long, SalePrice double")
+
+
+@query("colocated_join", "A4,A5,I1", """
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_quantity, p.p_brand, p.p_size
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+""")
+def colocated_join(spark, d):
+    """The modelling join over copies of lineitem and part bucketed on the
+    part key in the shared folder: with broadcasting ruled out by size, the
+    sort-merge join reads both sides without an exchange."""
+    from hearth.sources.sinks import write_bucketed
+    from hearth.sources.tables import table
+    base = f"{checkpoint_dir(spark).rstrip('/')}/tables"
+    tag = uuid.uuid4().hex[:12]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    l = write_bucketed(table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity"),
+        f"lineitem_by_part_{tag}", "l_partkey", buckets, f"{base}/lineitem_by_part_{tag}")
+    p = write_bucketed(table(spark, d, "part").select("p_partkey", "p_brand", "p_size"),
+                       f"part_by_part_{tag}", "p_partkey", buckets, f"{base}/part_by_part_{tag}")
+    return l.join(p, l.l_partkey == p.p_partkey).drop("p_partkey")

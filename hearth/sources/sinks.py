@@ -39,3 +39,17 @@ def run_report(spark: SparkSession, metrics: dict[str, object],
 def write_report(report: DataFrame, path: str) -> None:
     """Append a run report, partitioned by run id."""
     report.write.mode("append").partitionBy("run_id").parquet(path)
+
+
+def write_bucketed(df: DataFrame, table_name: str, key: str, buckets: int,
+                   path: str) -> DataFrame:
+    """Write ``df`` as a table bucketed and sorted on ``key`` at ``path``
+    (shared storage) and return its scan.
+
+    Two tables bucketed on the join key with the same bucket count join
+    without an exchange on either side: written once, the layout serves
+    every later join (model fits, cross-validation folds, scoring).
+    """
+    (df.write.mode("overwrite").bucketBy(int(buckets), key).sortBy(key)
+       .option("path", path).saveAsTable(table_name))
+    return df.sparkSession.table(table_name)

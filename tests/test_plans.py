@@ -46,3 +46,17 @@ def test_single_aggregate_for_profiles(spark):
     # one join is labels with documents
     plan = _plan(E.queries()["auc_100"](spark, SF0001))
     assert plan.count("HashJoin") == 1
+
+
+def test_bucketed_join_reads_without_exchange(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # the large-table case: no broadcast
+    try:
+        df = E.queries()["colocated_join"](spark, SF0001)
+        plan = _plan(df)
+        assert "SortMergeJoin" in plan
+        assert "Exchange" not in plan
+        assert df.count() == spark.read.parquet(f"{SF0001}/lineitem.parquet").count()
+    finally:
+        spark.conf.set(key, old)
