@@ -53,3 +53,27 @@ def test_exact_sample_size_and_complement(spark, n, f, seed):
     out = sampling.exact_sample(df, f, "k", seed).collect()
     assert len(out) == n and sum(r.in_sample for r in out) == int(f * n)
     assert sorted(r.k for r in out) == list(range(n))
+
+
+@SETTINGS
+@given(xs=st.lists(st.floats(0, 1e9, allow_nan=False), min_size=1, max_size=100))
+def test_expm1_inverts_log1p(spark, xs):
+    from hearth.functions.scalar import expm1, log1p
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    for x, back in df.select("x", expm1(log1p("x")).alias("b")).collect():
+        assert back == pytest.approx(x, rel=1e-12, abs=1e-12)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 1), st.integers(0, 100).map(lambda k: k / 100)),
+                     min_size=4, max_size=150))
+def test_exact_auc_invariant_under_monotone_maps(spark, rows):
+    # scores on a 0.01 grid, so the map below stays strictly increasing in
+    # floating point too (a denormal score would cube to 0 and create a tie)
+    from hearth.operators import metrics
+    if len({y for y, _ in rows}) < 2:
+        return
+    df = spark.createDataFrame(rows, "y int, s double")
+    a = metrics.roc_auc_exact(df, "y", "s")
+    b = metrics.roc_auc_exact(df.withColumn("s", F.pow("s", 3) * 10 - 4), "y", "s")
+    assert 0.0 <= a <= 1.0 and a == pytest.approx(b)
