@@ -26,6 +26,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from hearth.session import ship_package
+
 
 def _shapes(n_in: int, hidden: Sequence[int]) -> list[tuple[int, int]]:
     dims = [n_in, *hidden, 1]
@@ -100,9 +102,9 @@ class MLPRegressionModel:
     history: list[float] = field(default_factory=list)
 
     def transform(self, df: DataFrame, features: str = "x", out: str = "prediction") -> DataFrame:
+        ship_package(df.sparkSession)
         shapes = _shapes(self.n_in, self.hidden)
         theta = self.theta
-        cols = df.columns
 
         def run(batches):
             params = _unpack(theta, shapes)
@@ -126,6 +128,7 @@ def fit_mlp(df: DataFrame, *, features: str = "x", label: str = "y", id_col: str
     (I12); ``l2`` / ``l1`` penalise hidden kernels (sum of squares / of
     absolute values), ``dropout`` masks hidden units (I13). ``history``
     holds the training MSE per epoch (I15)."""
+    ship_package(df.sparkSession)
     data = df.select(id_col, features, label).persist(StorageLevel.MEMORY_AND_DISK)
     first = data.select(F.size(features).alias("d")).first()
     if first is None:

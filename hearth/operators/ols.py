@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from hearth.functions.distributions import f_sf, t_quantile, t_two_sided_p
 from hearth.operators.ranking import column_quantiles
+from hearth.session import ship_package
 
 
 @dataclass
@@ -69,6 +70,7 @@ def fit_simple_ols(df: DataFrame, y: str, x: str) -> SimpleOLS:
 
 def _sums(df: DataFrame, y: str, x: str) -> DataFrame:
     """One-row frame of the least-squares sums (one aggregate)."""
+    ship_package(df.sparkSession)  # the t/F tail UDFs below run in Python workers
     return df.agg(F.regr_count(y, x).alias("n"), F.regr_intercept(y, x).alias("a"),
                   F.regr_slope(y, x).alias("b"), F.regr_sxx(y, x).alias("sxx"),
                   F.regr_syy(y, x).alias("syy"), F.regr_sxy(y, x).alias("sxy"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +29,7 @@ def get_session(app: str = "hearth", master: str | None = None,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -52,3 +54,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
         os.makedirs(path, exist_ok=True)
     sc.setCheckpointDir(path)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``hearth`` importable in the Python workers.
+
+    Pandas UDFs and ``mapInPandas`` functions from this package are
+    unpickled on the executors, which must be able to import it. The
+    package is zipped once per SparkContext and added with ``addPyFile``,
+    the same as ``--py-files`` on spark-submit; Spark's file server ships
+    it to every executor. It is harmless where the package is installed.
+    """
+    try:
+        sc = spark.sparkContext
+        key = sc.applicationId
+    except Exception:  # Connect: the server's environment provides the package
+        return
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="hearth-py-"), "hearth.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
