@@ -223,10 +223,10 @@ def moments_shape(spark, d):
 
 
 @query("zero_share", "F20", """
-SELECT 'l_discount' AS "column", count_if(l_discount = 0) AS zeros,
+SELECT 'l_discount' AS "column", count_if(l_discount = 0)::BIGINT AS zeros,
        round(count_if(l_discount = 0) / count(*), 9) AS share FROM lineitem
 UNION ALL
-SELECT 'l_tax', count_if(l_tax = 0), round(count_if(l_tax = 0) / count(*), 9) FROM lineitem
+SELECT 'l_tax', count_if(l_tax = 0)::BIGINT, round(count_if(l_tax = 0) / count(*), 9) FROM lineitem
 """)
 def zero_share(spark, d):
     out = profile.zero_share(table(spark, d, "lineitem"), ["l_discount", "l_tax"])

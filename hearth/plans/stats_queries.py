@@ -64,7 +64,7 @@ def ols_pvalues(spark, d):
 @query("ols_summary", "F17", f"""
 WITH {_OLS_SQL.strip()},
 res AS (SELECT l_extendedprice - (a + b * l_quantity) AS r FROM lineitem, e)
-SELECT n, (n - 2)::BIGINT AS df_resid,
+SELECT n::BIGINT AS n, (n - 2)::BIGINT AS df_resid,
        round((SELECT min(r) FROM res), 4) AS resid_min,
        round((SELECT quantile_cont(r, 0.25) FROM res), 4) AS resid_q1,
        round((SELECT quantile_cont(r, 0.5) FROM res), 4) AS resid_median,
@@ -184,8 +184,10 @@ def _sweep_sql(ts):
     rows = []
     for t in ts:
         rows.append(f"""SELECT {t!r}::DOUBLE AS threshold,
-  count_if(score > {t!r} AND quality = 1) AS tp, count_if(score > {t!r} AND quality <> 1) AS fp,
-  count_if(NOT score > {t!r} AND quality <> 1) AS tn, count_if(NOT score > {t!r} AND quality = 1) AS fn
+  count_if(score > {t!r} AND quality = 1)::BIGINT AS tp,
+  count_if(score > {t!r} AND quality <> 1)::BIGINT AS fp,
+  count_if(NOT score > {t!r} AND quality <> 1)::BIGINT AS tn,
+  count_if(NOT score > {t!r} AND quality = 1)::BIGINT AS fn
 FROM sc""")
     return "\nUNION ALL\n".join(rows)
 
@@ -231,7 +233,7 @@ def _auc_sql(n=100):
         for i in range(len(ts) - 1))
     return f"""
 c AS (SELECT {cols}, count_if(quality = 1) AS pos, count_if(quality <> 1) AS neg FROM sc)
-SELECT round({terms}, 9) AS auc, pos, neg FROM c"""
+SELECT round({terms}, 9) AS auc, pos::BIGINT AS pos, neg::BIGINT AS neg FROM c"""
 
 
 @query("auc_100", "J7", f"WITH {_SCORE_SQL.strip()},{_auc_sql(100)}")
