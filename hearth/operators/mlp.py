@@ -123,11 +123,17 @@ class MLPRegressionModel:
 def fit_mlp(df: DataFrame, *, features: str = "x", label: str = "y", id_col: str = "row_id",
             hidden: Sequence[int] = (20, 12), epochs: int = 20, learning_rate: float = 0.01,
             l2: float = 0.0, l1: float = 0.0, dropout: float = 0.0,
-            seed: int = 7) -> MLPRegressionModel:
+            batches_per_epoch: int = 1, seed: int = 7) -> MLPRegressionModel:
     """Fit relu hidden layers + linear output with squared loss and Adam
     (I12); ``l2`` / ``l1`` penalise hidden kernels (sum of squares / of
     absolute values), ``dropout`` masks hidden units (I13). ``history``
-    holds the training MSE per epoch (I15)."""
+    holds the training MSE per epoch (I15).
+
+    ``batches_per_epoch`` > 1 gives mini-batch epochs: the rows are split
+    into that many batches by a hash of (row id, epoch) and each batch is
+    one data-parallel gradient step (one Spark job). The count of steps is
+    a parameter rather than a fixed batch size, so the job count does not
+    grow with the data."""
     ship_package(df.sparkSession)
     data = df.select(id_col, features, label).persist(StorageLevel.MEMORY_AND_DISK)
     first = data.select(F.size(features).alias("d")).first()
@@ -154,10 +160,10 @@ def fit_mlp(df: DataFrame, *, features: str = "x", label: str = "y", id_col: str
             hidden_mask[pos:pos + a * b] = True
         pos += a * b + b
 
-    for epoch in range(1, epochs + 1):
-        cur = theta.copy()
-
-        def grad_part(batches, cur=cur, epoch=epoch):
+    def gradient(part: DataFrame, cur: np.ndarray, epoch: int):
+        """Summed gradient, squared error and row count of ``part`` at ``cur``:
+        one Spark job, reduced by ``groupBy(k)`` (K rows, the model size)."""
+        def grad_part(batches):
             params = _unpack(cur, shapes)
             g = np.zeros(k_total)
             sse, n = 0.0, 0
@@ -174,30 +180,43 @@ def fit_mlp(df: DataFrame, *, features: str = "x", label: str = "y", id_col: str
             yield pd.DataFrame({"k": np.concatenate([np.arange(k_total), [-1, -2]]).astype("int32"),
                                 "g": np.concatenate([g, [sse, float(n)]])})
 
-        sums = (data.mapInPandas(grad_part, "k int, g double")
-                    .groupBy("k").agg(F.sum("g").alias("g")).collect())
         vec = np.zeros(k_total)
         sse = n = 0.0
-        for r in sums:
+        for r in (part.mapInPandas(grad_part, "k int, g double")
+                      .groupBy("k").agg(F.sum("g").alias("g")).collect()):
             if r["k"] == -1:
                 sse = r["g"]
             elif r["k"] == -2:
                 n = r["g"]
             else:
                 vec[r["k"]] = r["g"]
-        if n == 0:
-            break
-        grad = vec / n
-        if l2:
-            grad = grad + 2.0 * l2 * np.where(hidden_mask, theta, 0.0)
-        if l1:
-            grad = grad + l1 * np.where(hidden_mask, np.sign(theta), 0.0)
-        history.append(sse / n)
-        m = b1 * m + (1 - b1) * grad
-        v = b2 * v + (1 - b2) * grad * grad
-        mh = m / (1 - b1 ** epoch)
-        vh = v / (1 - b2 ** epoch)
-        theta = theta - learning_rate * mh / (np.sqrt(vh) + eps)
+        return vec, sse, n
+
+    step = 0
+    for epoch in range(1, epochs + 1):
+        epoch_sse = epoch_n = 0.0
+        for batch in range(batches_per_epoch):
+            part = data if batches_per_epoch == 1 else data.where(
+                F.pmod(F.xxhash64(F.col(id_col), F.lit(epoch), F.lit(seed)),
+                       F.lit(batches_per_epoch)) == batch)
+            vec, sse, n = gradient(part, theta.copy(), epoch)
+            if n == 0:
+                continue
+            step += 1
+            grad = vec / n
+            if l2:
+                grad = grad + 2.0 * l2 * np.where(hidden_mask, theta, 0.0)
+            if l1:
+                grad = grad + l1 * np.where(hidden_mask, np.sign(theta), 0.0)
+            epoch_sse += sse
+            epoch_n += n
+            m = b1 * m + (1 - b1) * grad
+            v = b2 * v + (1 - b2) * grad * grad
+            mh = m / (1 - b1 ** step)
+            vh = v / (1 - b2 ** step)
+            theta = theta - learning_rate * mh / (np.sqrt(vh) + eps)
+        if epoch_n:
+            history.append(epoch_sse / epoch_n)
     data.unpersist()
     return MLPRegressionModel(tuple(hidden), theta, n_in, history)
 

@@ -120,3 +120,12 @@ def test_full_reference_grid_runs(spark):
     board = res.leaderboard.orderBy("rank").collect()
     assert len(board) == 108
     assert [r.avg_metric for r in board] == sorted(r.avg_metric for r in board)
+
+
+def test_mlp_minibatch_epochs(spark):
+    frame = _mlp_frame(spark)
+    full = mlp.fit_mlp(frame, hidden=(8, 4), epochs=10, learning_rate=0.05)
+    mini = mlp.fit_mlp(frame, hidden=(8, 4), epochs=10, learning_rate=0.05, batches_per_epoch=4)
+    assert len(mini.history) == 10
+    # four steps per epoch reach a lower training error than one
+    assert mini.history[-1] < full.history[-1]
