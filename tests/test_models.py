@@ -129,3 +129,12 @@ def test_mlp_minibatch_epochs(spark):
     assert len(mini.history) == 10
     # four steps per epoch reach a lower training error than one
     assert mini.history[-1] < full.history[-1]
+
+
+def test_spread_for_fit_only_spreads_small_inputs(spark):
+    cores = spark.sparkContext.defaultParallelism
+    small = spark.range(100).coalesce(1)
+    spread = models.spread_for_fit(small)
+    assert spread.rdd.getNumPartitions() == cores and spread.count() == 100
+    large = spark.range(100).repartition(cores + 3)
+    assert models.spread_for_fit(large) is large
