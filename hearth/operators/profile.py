@@ -96,7 +96,9 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
     One aggregate holds corr(x, y) for each unordered pair; the matrix is
     filled symmetrically with 1.0 on the diagonal. ``corr`` skips rows
     where either value is null (pairwise deletion, as pandas does). The
-    aggregate count grows with p^2/2, fine to a few hundred columns.
+    aggregate count grows with p^2/2: comfortable to about a hundred
+    columns (about 5,000 aggregates in one pass); beyond that, split the
+    pairs over several calls.
     """
     cols = list(cols or _numeric_cols(df))
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
