@@ -90,31 +90,38 @@ def column_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
               .select("s.*")
 
 
-def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, *,
+                       max_pairs_per_pass: int = 1000) -> DataFrame:
     """Pearson correlation of every pair, long form (feature_x, feature_y, corr).
 
     One aggregate holds corr(x, y) for each unordered pair; the matrix is
     filled symmetrically with 1.0 on the diagonal. ``corr`` skips rows
-    where either value is null (pairwise deletion, as pandas does). The
-    aggregate count grows with p^2/2: comfortable to about a hundred
-    columns (about 5,000 aggregates in one pass); beyond that, split the
-    pairs over several calls.
+    where either value is null (pairwise deletion, as pandas does). The pair
+    count grows with p^2/2; pairs are split into aggregates of at most
+    ``max_pairs_per_pass`` (one scan each), so a hundred columns is one pass
+    and a thousand columns is about 500 passes, each with compact generated code.
     """
     cols = list(cols or _numeric_cols(df))
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    if not pairs:
+    if not cols:
         return df.sparkSession.createDataFrame([], "feature_x string, feature_y string, corr double")
-    one = df.agg(*[F.corr(a, b).alias(f"c{k}") for k, (a, b) in enumerate(pairs)])
-    entries = []
-    for k, (a, b) in enumerate(pairs):
-        entries.append(F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"),
-                                F.col(f"c{k}").alias("corr")))
-        entries.append(F.struct(F.lit(b).alias("feature_x"), F.lit(a).alias("feature_y"),
-                                F.col(f"c{k}").alias("corr")))
-    for c in cols:
-        entries.append(F.struct(F.lit(c).alias("feature_x"), F.lit(c).alias("feature_y"),
-                                F.lit(1.0).alias("corr")))
-    return one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    out = None
+    for start in range(0, max(len(pairs), 1), max_pairs_per_pass):
+        chunk = pairs[start:start + max_pairs_per_pass]
+        # the first aggregate also carries the constant diagonal
+        one = df.agg(F.count(F.lit(1)).alias("_n"),
+                     *[F.corr(a, b).alias(f"c{k}") for k, (a, b) in enumerate(chunk)])
+        entries = [] if start else [
+            F.struct(F.lit(c).alias("feature_x"), F.lit(c).alias("feature_y"),
+                     F.lit(1.0).alias("corr")) for c in cols]
+        for k, (a, b) in enumerate(chunk):
+            entries.append(F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"),
+                                    F.col(f"c{k}").alias("corr")))
+            entries.append(F.struct(F.lit(b).alias("feature_x"), F.lit(a).alias("feature_y"),
+                                    F.col(f"c{k}").alias("corr")))
+        part = one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def correlated_with(corr: DataFrame, label: str, cut: float = 0.60) -> DataFrame:

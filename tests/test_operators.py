@@ -310,3 +310,13 @@ def test_unit_hash_matches_brute_force(spark):
     got = {r.k: r.u for r in df.select("k", unit_hash("k", 7).alias("u")).collect()}
     want = {k: (chain([("<q", k), ("<i", 7)]) % (1 << 30)) / float(1 << 30) for k in range(200)}
     assert got == want
+
+
+def test_corr_matrix_chunked_equals_single_pass(spark):
+    df = spark.range(300).select(*[(F.sin(F.col("id") * (k + 1)) + F.col("id") * k).alias(f"x{k}")
+                                   for k in range(7)])
+    one = {(r.feature_x, r.feature_y): r.corr for r in profile.correlation_matrix(df).collect()}
+    many = {(r.feature_x, r.feature_y): r.corr
+            for r in profile.correlation_matrix(df, max_pairs_per_pass=4).collect()}
+    assert len(one) == 49 and one.keys() == many.keys()
+    assert all(one[k] == pytest.approx(many[k]) for k in one)
