@@ -24,7 +24,7 @@ def _describe_sql(cols, table_name="lineitem"):
         parts.append(f"""SELECT '{c}' AS "column", count({c}) AS count,
   round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
   min({c})::DOUBLE AS min_raw, quantile_cont({c}, 0.25) AS q25, quantile_cont({c}, 0.5) AS q50,
-  quantile_cont({c}, 0.75) AS q75, max({c})::DOUBLE AS max_raw, count_if({c} IS NULL) AS na_count
+  quantile_cont({c}, 0.75) AS q75, max({c})::DOUBLE AS max_raw, count_if({c} IS NULL)::BIGINT AS na_count
   FROM {table_name}""")
     return "\nUNION ALL\n".join(parts)
 

@@ -30,6 +30,10 @@ def duck():
     return con
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+          "boolean": "BOOLEAN", "smallint": "SMALLINT", "tinyint": "TINYINT", "float": "FLOAT"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF001)
@@ -40,6 +44,11 @@ def test_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert _norm(srows, df.columns) == _norm(drows, dcols)
+    # column types agree too (the schema part of the comparison)
+    dtypes = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
+    for f in df.schema.fields:
+        spark_type = f.dataType.simpleString()
+        assert _TYPES.get(spark_type, spark_type) == dtypes[f.name], (f.name, spark_type)
 
 
 def test_every_query_registered_with_ids():
