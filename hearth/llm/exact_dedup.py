@@ -19,6 +19,8 @@ from hearth.llm.common import shared_folder, stage
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    # a store is closed once its task has committed: its files live in the checkpoint
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
