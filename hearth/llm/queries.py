@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hearth.llm import bpe
 from hearth.llm.common import documents
 from hearth.llm.exact_dedup import exact_dedup
 from hearth.llm.line_dedup import line_dedup
@@ -49,3 +50,10 @@ def op7_line_dedup(spark, sf_dir):
     out = line_dedup(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("row.doc_id", "n_lines", "n_dropped",
                       F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query()
+def op3_bpe_round_trip(spark, sf_dir):
+    out = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), decoded=True)
+    return out.select("row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
