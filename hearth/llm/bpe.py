@@ -10,12 +10,15 @@ hold exactly by the ranks of the vocabulary.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
+import re
 import tempfile
 import unicodedata
 import uuid
 from collections import Counter
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +31,10 @@ from hearth.llm import lexicon
 from hearth.llm.common import stage, text_or_empty
 
 PIECE_CHARS = 1 << 20       # texts are worked on in pieces of about this size
-CACHE_WORDS = 400_000       # words a worker remembers at most
+CACHE_CHUNKS = 1_000_000      # chunks (words with their punctuation) a worker remembers at most
+NO_MERGE = 1 << 40
+SEPARATORS = re.compile("[\x1c-\x1f]")
+LATIN_SPACE, LATIN_LETTERS, LATIN_NUMBERS = r"\t-\r \x85\xa0", "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -58,20 +64,49 @@ class Vocabulary:
         self.last = [vocab[c + self.suffix] for c in chars]
         self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b])
                        for rank, (a, b) in enumerate(model["merges"])}
+        self._inner, self._last = np.array(self.inner), np.array(self.last)
+        self._n = len(vocab) + len(spec["added_tokens"])
+        pairs = np.array([a * self._n + b for a, b in self.merges], np.int64)
+        order = np.argsort(pairs)
+        self._pairs, self._pair_ranks = pairs[order], order
+        self._merged = np.array([m for _, m in self.merges.values()], np.int64)  # by rank
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         n = max([*vocab.values(), *self.special.values()]) + 1
         self.tokens = [""] * n
         for t, k in [*vocab.items(), *self.special.items()]:
             self.tokens[k] = t
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        # \s of the file is the Unicode property; here the class would hold more
-        self.words = regex.compile(split.replace(r"\s", r"\p{White_Space}")).findall
+        # the same pattern for texts in Latin-1 only, where plain classes do
+        self._latin = re.compile(split.replace(r"[^\s\p{L}\p{N}]", f"[^{LATIN_SPACE}{LATIN_LETTERS}{LATIN_NUMBERS}]")
+                                 .replace(r"\p{L}", LATIN_LETTERS).replace(r"[\p{N}]", f"[{LATIN_NUMBERS}]")).findall
+        # \s of the file is the Unicode property
+        self._words = regex.compile(split.replace(r"\s", r"\p{White_Space}")).findall
+        split = (split.replace(r"[^\s\p{L}\p{N}]", rf"[[^\s\p{{L}}\p{{N}}]||[{NEWER_CLASS}]]")
+                 .replace(r"[\p{L}]", rf"[\p{{L}}--[{NEWER_CLASS}]]")
+                 .replace(r"[\p{N}]", rf"[\p{{N}}--[{NEWER_CLASS}]]"))
+        self._words_newer = regex.compile(split.replace(r"\s", r"\p{White_Space}"), regex.V1).findall
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
 
     def normalise(self, text: str) -> str:
         text = unicodedata.normalize("NFC", text)
         return text.replace("Σ", "σ").lower()  # characters one by one: no final sigma
 
+    def words(self, chunk: str) -> list[str]:
+        if chunk.isascii():
+            return self._words(chunk)
+        chunk = chunk.translate(NEWER_LOWER)
+        return self._words_newer(chunk) if HAS_NEWER(chunk) else self._words(chunk)
+
+    def units(self, piece: str) -> list[str]:
+        """The normalised piece's words; where it holds more than Latin letters,
+        what stands between white space, for ``words`` to split further."""
+        try:
+            piece.encode("latin-1")
+        except UnicodeEncodeError:
+            # str.split() also splits at these four, which are symbols here
+            return self.words(piece) if SEPARATORS.search(piece) else piece.split()
+        return self._latin(piece)
+
     def merge(self, word: bytes) -> list[int]:
         """Merge the lowest-ranked pair, the leftmost of equals, until none is left."""
         inner, merges = self.inner, self.merges
@@ -94,6 +129,56 @@ class Vocabulary:
                 pairs[k] = merges.get((ids[k], ids[k + 1]), none)
         return ids
 
+    def merge_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``merge`` of many words at once: all ids in a row, and their number by
+        word. Every round merges one pair of each word that still has one."""
+        lengths = np.array([len(w) for w in words], np.int64)
+        out = [None] * len(words)
+        for k in np.flatnonzero(lengths > 32):
+            out[k] = np.array(self.merge(words[k]), np.uint32)
+        for lo, hi in ((1, 8), (9, 12), (13, 20), (21, 32)):
+            rows = np.flatnonzero((lengths >= lo) & (lengths <= hi))
+            if not len(rows):
+                continue
+            n, width = lengths[rows], hi + 1      # the last column stays empty
+            flat = np.frombuffer(b"".join(words[k] for k in rows), np.uint8)
+            fill = np.arange(width) < n[:, None]
+            ids = np.full((len(rows), width), -1, np.int64)
+            ids[fill] = self._inner[flat]
+            ends = np.arange(len(rows)), n - 1
+            ids[ends] = self._last[flat[np.cumsum(n) - 1]]
+            rank = self._ranks(ids[:, :-1], ids[:, 1:])
+            active = np.arange(len(rows))
+            cols = np.arange(width - 1)
+            while len(active):
+                best = rank[active].argmin(axis=1)       # the leftmost of the lowest
+                low = rank[active, best]
+                go = low < NO_MERGE
+                active, best, low = active[go], best[go], low[go]
+                if not len(active):
+                    break
+                x, r = ids[active], rank[active]
+                x[np.arange(len(x)), best] = self._merged[low]
+                # what follows the pair moves one place to the left
+                move = cols + (cols > best[:, None])
+                x[:, :-1] = np.take_along_axis(x, move, 1)
+                x[:, -1] = -1
+                r[:, :-1] = np.take_along_axis(r, cols[:-1] + (cols[:-1] > best[:, None]), 1)
+                r[:, -1] = NO_MERGE
+                at = np.arange(len(x))
+                r[at, best] = self._ranks(x[at, best], x[at, best + 1])
+                left = np.flatnonzero(best > 0)
+                r[left, best[left] - 1] = self._ranks(x[left, best[left] - 1], x[left, best[left]])
+                ids[active], rank[active] = x, r
+            for k, row, m in zip(rows, ids.astype(np.uint32), (ids >= 0).sum(axis=1)):
+                out[k] = row[:m]
+        return (np.concatenate(out) if out else np.zeros(0, np.uint32)), np.array([len(x) for x in out], np.int64)
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = np.where(b >= 0, a * self._n + b, -1)
+        at = np.minimum(np.searchsorted(self._pairs, key), len(self._pairs) - 1)
+        return np.where(self._pairs[at] == key, self._pair_ranks[at], NO_MERGE)
+
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same for very long words, with a heap over linked symbols."""
         import heapq
@@ -116,6 +201,30 @@ class Vocabulary:
         return [x for k, x in enumerate(ids) if alive[k]]
 
 
+# Lower case of the letters that Unicode 16 and 17 added, which the
+# vocabulary's library maps and Python's tables don't hold yet.
+NEWER_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3,
+               0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B,
+               **{0x10D50 + k: 0x10D70 + k for k in range(22)}, **{0x16EA0 + k: 0x16EBB + k for k in range(25)}}
+
+
+# Letters and numbers of Unicode 17, which ``regex`` knows and the
+# vocabulary's library takes for symbols.
+NEWER = [
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F),
+    (0x209D, 0x209F), (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2,
+    0xA7E2), (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7),
+    (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1),
+    (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x12550, 0x12686), (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3),
+    (0x16FF2, 0x16FF6), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20), (0x18D80, 0x18DF2),
+    (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168), (0x1D6A6, 0x1D6A6),
+    (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE),
+    (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF),
+    (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F)]
+NEWER_CLASS = "".join(f"{chr(a)}-{chr(b)}" for a, b in NEWER)
+HAS_NEWER = re.compile(f"[{NEWER_CLASS}]").search
+
+
 def pieces(text: str, size: int = PIECE_CHARS):
     """Cut a text before spaces or line ends, where no word is cut."""
     at = 0
@@ -129,15 +238,16 @@ def pieces(text: str, size: int = PIECE_CHARS):
     yield text[at:]
 
 
-def split_words(vocab: Vocabulary, text: str):
-    """Lists of words; a special string is a list with its id."""
+def split_chunks(vocab: Vocabulary, text: str):
+    """Lists of words, or of chunks in which words lie whole; a special string
+    is a list with its id."""
     parts = vocab.specials.split(text) if "<|" in text else [text]
     for part in parts:
         if part in vocab.special:
             yield [vocab.special[part]]
         else:
             for piece in pieces(part):
-                yield vocab.words(vocab.normalise(piece))
+                yield vocab.units(vocab.normalise(piece))
 
 
 class Encoder:
@@ -164,35 +274,45 @@ class Encoder:
         self.used += len(ids)
         self.index.update(zip(words, range(at, at + n)))
 
-    def learn(self, words: list):
-        """Look new words up in the transducer; merge those it doesn't hold."""
-        special = [w for w in words if isinstance(w, int)]
-        words = [w for w in words if not isinstance(w, int)]
+    def learn(self, chunks: list):
+        """Split new chunks into words; look these up in the transducer and
+        merge those it doesn't hold."""
+        special = [c for c in chunks if isinstance(c, int)]
+        chunks = [c for c in chunks if not isinstance(c, int)]
         if special:
             self._add(special, np.array(special, np.uint32), np.ones(len(special), np.int64))
-        raw = [w.encode() for w in words]
-        rank = lexicon.ranks(self.lex, raw) if self.lex and raw else np.full(len(raw), -1)
+        if not chunks:
+            return
+        parts = [[c] if c.isalpha() else self.vocab.words(c) for c in chunks]
+        number = {w: k for k, w in enumerate(set().union(*parts))}
+        raw = [w.encode() for w in number]
+        rank = lexicon.ranks(self.lex, raw) if self.lex else np.full(len(raw), -1)
+        rest = np.flatnonzero(rank < 0)
+        length = np.zeros(len(raw), np.int64)
+        start = np.zeros(len(raw), np.int64)
+        pool, length[rest] = self.vocab.merge_all([raw[k] for k in rest])
+        start[rest] = np.cumsum(length[rest]) - length[rest]
         known = np.flatnonzero(rank >= 0)
         if len(known):
-            r = rank[known]
-            ids, n = gather(self.lex["ids"], self.lex["starts"][r], self.lex["starts"][r + 1] - self.lex["starts"][r])
-            self._add([words[k] for k in known], ids, n)
-        rest = np.flatnonzero(rank < 0)
-        if len(rest):
-            merged = [self.vocab.merge(raw[k]) for k in rest]
-            self._add([words[k] for k in rest], np.array([x for m in merged for x in m], np.uint32),
-                      np.array([len(m) for m in merged], np.int64))
+            at, to = self.lex["starts"][rank[known]], self.lex["starts"][rank[known] + 1]
+            length[known] = to - at
+            start[known] = len(pool) + np.cumsum(to - at) - (to - at)
+            pool = np.concatenate([pool, gather(self.lex["ids"], at, to - at)[0]])
+        words = np.fromiter((number[w] for p in parts for w in p), np.int64)
+        ids, lengths = gather(pool, start[words], length[words])
+        first = np.cumsum([0] + [len(p) for p in parts[:-1]])
+        self._add(chunks, ids, np.add.reduceat(lengths, first))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.index) > CACHE_WORDS:
+        if len(self.index) > CACHE_CHUNKS:
             self.clear()
-        split = [list(split_words(self.vocab, t)) for t in texts]
+        split = [list(split_chunks(self.vocab, t)) for t in texts]
         new = set().union(*(w for t in split for w in t)).difference(self.index)
         if new:
             self.learn(list(new))
-        out, get = [], self.index.__getitem__
+        out = []
         for t in split:
-            parts = [np.fromiter(map(get, w), np.int64, len(w)) for w in t]
+            parts = [np.array(itemgetter(*w)(self.index) if len(w) > 1 else [self.index[x] for x in w], np.int64) for w in t]
             at = parts[0] if len(parts) == 1 else np.concatenate(parts)
             out.append(gather(self.pool, self.start[at], self.length[at])[0])
         return out
@@ -221,11 +341,13 @@ class Decoder:
 
 
 _VOCABULARIES: dict[str, Vocabulary] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
 def _vocabulary(path: str) -> Vocabulary:
     if path not in _VOCABULARIES:
         _VOCABULARIES[path] = Vocabulary(path)
+        gc.freeze()     # the vocabulary's objects stay; no need to visit them again
     return _VOCABULARIES[path]
 
 
@@ -241,21 +363,24 @@ def _chunks(texts: list[str], chars: int = 1 << 19):
         yield at, len(texts)
 
 
-def _count_words(path: str, max_words: int = 300_000):
+def _count_words(path: str, max_chunks: int = 300_000):
     def run(batches):
         vocab, counts = _vocabulary(path), Counter()
 
         def flush():
-            rows = pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+            words: Counter = Counter()
+            for chunk, n in counts.items():
+                for w in [chunk] if chunk.isalpha() else vocab.words(chunk):
+                    words[w] += n
             counts.clear()
-            return rows
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                for words in split_words(vocab, text):
-                    if words and isinstance(words[0], str):
-                        counts.update(words)
-                if len(counts) > max_words:
+                for chunks in split_chunks(vocab, text):
+                    if chunks and isinstance(chunks[0], str):
+                        counts.update(chunks)
+                if len(counts) > max_chunks:
                     yield flush()
         if counts:
             yield flush()
@@ -294,10 +419,12 @@ def frequent_words(docs: DataFrame, text_col: str, path: str, lexicon_words: int
 def compile_lexicon(docs: DataFrame, text_col: str, path: str, lexicon_words: int) -> tuple[str, list]:
     """Build the transducer on the driver (its size is bounded by
     ``lexicon_words``), and let Spark distribute the file to the workers."""
-    entries = sorted((r.word.encode(), r.ids) for r in frequent_words(docs, text_col, path, lexicon_words).collect())
-    arrays = lexicon.build([w for w, _ in entries])
-    arrays["ids"] = np.array([x for _, ids in entries for x in ids], np.uint32)
-    arrays["starts"] = np.cumsum([0] + [len(ids) for _, ids in entries]).astype(np.int64)
+    found = frequent_words(docs, text_col, path, lexicon_words).toArrow().combine_chunks()
+    found = found.set_column(0, "word", found["word"].cast(pa.binary())).sort_by("word")
+    arrays = lexicon.build(found["word"].to_pylist())
+    ids = found["ids"].combine_chunks()
+    arrays["ids"] = ids.flatten().to_numpy().astype(np.uint32)
+    arrays["starts"] = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]).astype(np.int64)
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     local = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="hearth-lexicon-")), name)
     layout = lexicon.save(local, arrays)
@@ -308,8 +435,10 @@ def compile_lexicon(docs: DataFrame, text_col: str, path: str, lexicon_words: in
 def _encode_batches(path: str, name: str, layout: list, decode: bool):
     def run(batches):
         vocab = _vocabulary(path)
-        encoder = Encoder(vocab, lexicon.load(SparkFiles.get(name), layout))
-        decoder = Decoder(vocab)
+        if (path, name) not in _ENCODERS:   # a worker keeps it from task to task
+            _ENCODERS.clear()
+            _ENCODERS[path, name] = Encoder(vocab, lexicon.load(SparkFiles.get(name), layout))
+        encoder, decoder = _ENCODERS[path, name], Decoder(vocab)
         for batch in batches:
             texts = batch.column("t").to_pylist()
             for a, b in _chunks(texts):
@@ -326,7 +455,7 @@ def _encode_batches(path: str, name: str, layout: list, decode: bool):
 
 
 def encode(docs: DataFrame, id_cols: list[str] | None = None, text_col: str = "text",
-           path: str | None = None, lexicon_words: int = 131_072, decoded: bool = False) -> DataFrame:
+           path: str | None = None, lexicon_words: int = 400_000, decoded: bool = False) -> DataFrame:
     """One row per input row: ``row`` (the columns ``id_cols``, by default all
     but the text), ``n_tokens``, ``ids`` (little-endian unsigned 32-bit
     integers) and, if ``decoded``, the text ``decode`` gives back.
