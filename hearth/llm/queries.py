@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hearth.llm import bpe
-from hearth.llm.common import documents
+from hearth.llm.common import documents, table
 from hearth.llm.exact_dedup import exact_dedup
 from hearth.llm.line_dedup import line_dedup
+from hearth.llm.near_dup import near_duplicates
+from hearth.llm.toxicity import fold, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +59,16 @@ def op3_bpe_round_trip(spark, sf_dir):
     out = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), decoded=True)
     return out.select("row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query()
+def op10_ngram_jaccard(spark, sf_dir):
+    return near_duplicates(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op5_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out = toxicity(docs, table(spark, sf_dir, "labels"))
+    return out.select("row.doc_id", (fold(F.col("row.doc_id")) == 0).alias("held_out"), "score", "predicted",
+                      "span_start", "span_end", "span_score")
