@@ -17,6 +17,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,6 +64,24 @@ def _count(batches):
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(labels, pa.int32())], ["word", "y"])
 
 
+def _count_sentences(index: dict[str, int]):
+    """Word number, label and hash of each sentence that holds a word of the index."""
+    def run(batches):
+        for batch in batches:
+            ks, ys, hs = [], [], []
+            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                low = text.lower()
+                spans, found = bags(low, index)
+                for (a, b), hit in zip(spans, found):
+                    h = xxhash.xxh3_64_intdigest(low[a:b].strip()) - (1 << 63)
+                    ks += hit
+                    ys += [y] * len(hit)
+                    hs += [h] * len(hit)
+            yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int32()), pa.array(ys, pa.int32()), pa.array(hs, pa.int64())],
+                                             ["k", "y", "s"])
+    return run
+
+
 def choose_words(train: DataFrame, max_words: int, min_docs: int, min_z: float) -> list[str]:
     """Words whose share among toxic training documents is over that among
     clean ones by ``min_z`` standard errors, at most ``max_words``."""
@@ -75,7 +94,14 @@ def choose_words(train: DataFrame, max_words: int, min_docs: int, min_z: float)
     p = (F.col("k") + 1) / (n1 + n0 + 2)
     z = (F.col("k1") / n1 - (F.col("k") - F.col("k1")) / n0) / F.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
     best = counts.withColumn("z", z).filter(F.col("z") >= min_z).orderBy(F.desc("z"), "word").limit(max_words)
-    return [r.word for r in best.select("word").collect()]
+    words = [r.word for r in best.select("word").collect()]
+    # copies of a document repeat its words: a word must also stand out by the
+    # number of different sentences it occurs in
+    base = n1 / (n1 + n0)
+    found = (train.select("t", "y").mapInArrow(_count_sentences({w: k for k, w in enumerate(words)}), "k int, y int, s long")
+             .distinct().groupBy("k").agg(F.sum("y").alias("k1"), F.count("*").alias("n"))
+             .filter((F.col("k1") - base * F.col("n")) >= min_z * F.sqrt(F.col("n") * base * (1 - base))))
+    return [words[r.k] for r in found.orderBy("k").collect()]
 
 
 def fit_noisy_or(docs: list[list[list[int]]], y: np.ndarray, n_words: int, steps: int = 400,
