@@ -125,48 +125,88 @@ def _verify(n: int, threshold: float):
     return run
 
 
-def _block_links(n: int, threshold: float, counts: bool):
-    """Compare the members of two blocks of one group.
+def _compare_groups(n: int, threshold: float, counts: bool, keys: int):
+    """Compare the members of each pair of blocks; the rows come sorted by the
+    first ``keys`` columns, so that a group's rows follow each other.
 
     ``counts``: the number of links of each member, weighted by the copies it
     stands for; else links that join different components, a forest of them.
     """
-    def run(pdf):
-        import pandas as pd
-        shingle = Shingler(n)
-        sets = [shingle(t) for t in pdf["t"]]
-        side, ids, comp = pdf["side"].to_numpy(), pdf["id"].to_numpy(), pdf["comp"].to_numpy()
-        one, same = int(pdf["i"].iloc[0]), bool(pdf["i"].iloc[0] == pdf["j"].iloc[0])
-        left = np.flatnonzero(side == one)
-        right = left if same else np.flatnonzero(side != one)
-        size = np.array([len(s) for s in sets])
-        both = _overlaps(sets, left, right)
-        union = size[left][:, None] + size[right][None, :] - both
-        hit = both >= threshold * union - 1e-9
-        if same:
-            np.fill_diagonal(hit, False)
-        if counts:
-            w = pdf["copies"].to_numpy()
-            out_ids, out_n = ids[left], hit @ w[right]
-            if not same:
-                out_ids, out_n = np.concatenate([out_ids, ids[right]]), np.concatenate([out_n, hit.T @ w[left]])
-            return pd.DataFrame({"id": out_ids, "n": out_n})
-        root = {c: c for c in comp.tolist()}
-
-        def find(c):
-            while root[c] != c:
-                root[c] = c = root[root[c]]
-            return c
-        edges = []
-        for p, q in np.argwhere(hit & (comp[left][:, None] != comp[right][None, :])):
-            a, b = find(int(comp[left[p]])), find(int(comp[right[q]]))
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                edges.append((int(ids[left[p]]), int(ids[right[q]])))
-        return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
+    def run(batches):
+        shingle, sets, held = Shingler(n), {}, 0
+        last, group = None, []
+
+        def grams(i, text):
+            nonlocal held
+            if i not in sets:
+                if held > 4_000_000:
+                    sets.clear()
+                    held = 0
+                sets[i] = shingle(text)
+                held += len(sets[i])
+            return sets[i]
+
+        def compare():
+            i, j = last[-2:]
+            side, ids, comp, copies, texts = (list(x) for x in zip(*group))
+            own = [grams(k, t) for k, t in zip(ids, texts)]
+            left = np.flatnonzero(np.array(side) == i)
+            right = left if i == j else np.flatnonzero(np.array(side) == j)
+            hit = _similar_matrix(own, left, right, threshold)
+            if i == j:
+                np.fill_diagonal(hit, False)
+            if counts:
+                w = np.array(copies, np.int64)
+                out = list(zip([ids[k] for k in left], (hit @ w[right]).tolist()))
+                return out if i == j else out + list(zip([ids[k] for k in right], (hit.T @ w[left]).tolist()))
+            return _forest(ids, comp, [(left[x], right[y]) for x, y in np.argwhere(hit).tolist()])
+
+        def rows(found):
+            names = ["id", "n"] if counts else ["a", "b"]
+            cols = list(zip(*found)) or [(), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
+        for batch in batches:
+            found = []
+            cols = [c.to_pylist() for c in batch.columns]
+            for row in zip(*cols):
+                if row[:keys] != last:
+                    if group:
+                        found += compare()
+                    last, group = row[:keys], []
+                group.append(row[keys:])
+            yield rows(found)
+        if group:
+            yield rows(compare())
     return run
 
 
+def _forest(ids: list, comp: list, links: list) -> list:
+    root = {c: c for c in comp}
+
+    def find(c):
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+    edges = []
+    for x, y in links:
+        a, b = find(comp[x]), find(comp[y])
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            edges.append((ids[x], ids[y]))
+    return edges
+
+
+def _similar_matrix(sets: list[np.ndarray], left, right, threshold: float) -> np.ndarray:
+    size = np.array([len(s) for s in sets])
+    if len(left) * len(right) <= 16:
+        both = np.array([[len(np.intersect1d(sets[x], sets[y], assume_unique=True)) if x != y else 0
+                          for y in right] for x in left]).reshape(len(left), len(right))
+    else:
+        both = _overlaps(sets, left, right)
+    union = size[left][:, None] + size[right][None, :] - both
+    return both >= threshold * union - 1e-9
+
+
 def _overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Sizes of the intersections, by products of membership rows over the
     n-grams that occur on both sides, a slice of n-grams at a time."""
@@ -227,6 +267,13 @@ def _in_blocks(members: DataFrame, key: list[str], salt: str) -> DataFrame:
     return pairs.withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")})
 
 
+def _linked(pairs: DataFrame, key: list[str], texts: DataFrame, n: int, threshold: float, counts: bool, schema: str):
+    key = [*key, "i", "j"]
+    return (pairs.join(texts, "id").select(*key, "side", "id", "comp", "copies", "t")
+            .repartition(*key).sortWithinPartitions(*key)
+            .mapInArrow(_compare_groups(n, threshold, counts, len(key)), schema))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
                     threshold: float = 0.8, recall: float = 0.9995, count_links: bool = True) -> DataFrame:
     """One row per id: ``id``, ``class_id`` (smallest id of the group of
@@ -264,20 +311,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # pairs that share a bucket and aren't connected yet
     comp = involved.join(labels, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
     spread = met.join(comp, "id")
-    mixed = (spread.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .filter("lo <> hi").select("band", "key"))
+    # of buckets with the same members, as two hash sums over these say, one is enough
+    mixed = (spread.groupBy("band", "key").agg(
+                 F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"),
+                 F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("s1"),
+                 F.sum(F.xxhash64("id", F.lit(1)).cast("decimal(20,0)")).alias("s2"))
+             .filter("lo <> hi").groupBy("size", "s1", "s2").agg(F.min(F.struct("band", "key")).alias("one"))
+             .select("one.band", "one.key"))
     rest = spread.join(mixed, ["band", "key"]).select("band", "key", "id", "comp", F.lit(1).cast("long").alias("copies"))
-    block_in = _in_blocks(rest, ["band", "key"], "bucket").join(texts, "id")
-    more = (block_in.groupBy("band", "key", "i", "j")
-            .applyInPandas(_block_links(n, threshold, False), "a long, b long"))
+    more = _linked(_in_blocks(rest, ["band", "key"], "bucket"), ["band", "key"], texts, n, threshold, False, "a long, b long")
     labels = components(edges.union(more), "near-dup-comp2")
 
     out = reps.select("h1", "h2", "rep", "copies")
     full = out.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("class_id", F.coalesce("comp", "rep"))
     if count_links:
         linked = labels.join(reps.select(F.col("rep").alias("id"), "copies"), "id").select(F.col("comp").alias("grp"), "id", "comp", "copies")
-        counted = (_in_blocks(linked, ["grp"], "class").join(texts, "id")
-                   .groupBy("grp", "i", "j").applyInPandas(_block_links(n, threshold, True), "id long, n long")
+        counted = (_linked(_in_blocks(linked, ["grp"], "class"), ["grp"], texts, n, threshold, True, "id long, n long")
                    .groupBy("id").agg(F.sum("n").alias("linked")))
         full = full.join(counted.withColumnRenamed("id", "rep"), "rep", "left")
     links = F.coalesce("linked", F.lit(0)) + F.col("copies") - 1 if count_links else F.lit(None).cast("long")
