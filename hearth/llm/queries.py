@@ -8,6 +8,7 @@ from hearth.llm import bpe
 from hearth.llm.common import documents, table
 from hearth.llm.exact_dedup import exact_dedup
 from hearth.llm.line_dedup import line_dedup
+from hearth.llm.mixing import mix
 from hearth.llm.near_dup import near_duplicates
 from hearth.llm.toxicity import fold, toxicity
 
@@ -72,3 +73,11 @@ def op5_toxicity(spark, sf_dir):
     out = toxicity(docs, table(spark, sf_dir, "labels"))
     return out.select("row.doc_id", (fold(F.col("row.doc_id")) == 0).alias("held_out"), "score", "predicted",
                       "span_start", "span_end", "span_score")
+
+
+@query()
+def op2_mix_sources(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out, report = mix(docs, table(spark, sf_dir, "labels"))
+    return out.select("row.doc_id", "n_tokens", "rate", *[
+        F.col("posterior")[k].alias(f"p_{d}") for k, d in enumerate(report["domains"])])
