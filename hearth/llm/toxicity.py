@@ -6,10 +6,10 @@ the noisy-or of them: 1 - (1 - leak) * prod(1 - p_sentence). The likelihood
 of the document labels is maximised over the word weights, so the model
 learns which sentences make a document toxic and can point at them.
 
-Word statistics (in how many toxic and clean training documents a word
-occurs) are counted in Spark over all labelled training documents and choose
-the features; the weights are fitted on a bounded sample of them; all
-documents are then scored in one pass.
+Training uses a bounded sample of the labelled documents, of each label the
+same number at most. Word statistics of the sample, counted in Spark, choose
+the features; the weights are fitted to it; all documents are then scored in
+one pass, without a shuffle.
 """
 
 from __future__ import annotations
@@ -82,9 +82,10 @@ def _count_sentences(index: dict[str, int]):
     return run
 
 
-def choose_words(train: DataFrame, max_words: int, min_docs: int, min_z: float) -> list[str]:
+def choose_words(train: DataFrame, max_words: int, min_docs: int, min_z: float, min_lift: float) -> list[str]:
     """Words whose share among toxic training documents is over that among
-    clean ones by ``min_z`` standard errors, at most ``max_words``."""
+    clean ones by ``min_z`` standard errors and ``min_lift`` times, at most
+    ``max_words``."""
     n = {r.y: r.n for r in train.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
@@ -93,7 +94,8 @@ def choose_words(train: DataFrame, max_words: int, min_docs: int, min_z: float)
               .agg(F.sum("y").alias("k1"), F.count("*").alias("k")).filter(F.col("k") >= min_docs))
     p = (F.col("k") + 1) / (n1 + n0 + 2)
     z = (F.col("k1") / n1 - (F.col("k") - F.col("k1")) / n0) / F.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
-    best = counts.withColumn("z", z).filter(F.col("z") >= min_z).orderBy(F.desc("z"), "word").limit(max_words)
+    lift = F.col("k1") / n1 >= min_lift * (F.col("k") - F.col("k1")) / n0
+    best = counts.withColumn("z", z).filter((F.col("z") >= min_z) & lift).orderBy(F.desc("z"), "word").limit(max_words)
     words = [r.word for r in best.select("word").collect()]
     # copies of a document repeat its words: a word must also stand out by the
     # number of different sentences it occurs in
@@ -104,19 +106,21 @@ def choose_words(train: DataFrame, max_words: int, min_docs: int, min_z: float)
     return [words[r.k] for r in found.orderBy("k").collect()]
 
 
-def fit_noisy_or(docs: list[list[list[int]]], y: np.ndarray, n_words: int, steps: int = 400,
+def fit_noisy_or(docs: list[list[list[int]]], y: np.ndarray, weight: np.ndarray, n_words: int, steps: int = 400,
                  rate: float = 0.1, l2: float = 1e-3) -> dict:
     """Maximum likelihood of the document labels under the noisy-or.
 
-    ``docs``: of each document its sentences' word numbers. Adam on the
-    weights, one bias of all sentences, and the leak; deterministic.
+    ``docs``: of each document its sentences' word numbers; ``weight``: how many
+    documents each stands for. Adam on the word weights, one bias of all
+    sentences, and the leak; deterministic.
     """
     sent_doc = np.array([d for d, s in enumerate(docs) for _ in s], np.int64)
     flat = [w for s in docs for x in s for w in x]
     word = np.array(flat, np.int64)
     sent = np.repeat(np.arange(len(sent_doc)), [len(x) for s in docs for x in s]) if len(flat) else np.zeros(0, np.int64)
     y = np.asarray(y, float)
-    base = float(np.clip(y.mean() if len(y) else 0.0, 1e-3, 1 - 1e-3))
+    weight = weight / max(weight.sum(), 1e-9)
+    base = float(np.clip((y * weight).sum() if len(y) else 0.0, 1e-3, 1 - 1e-3))
     theta = np.concatenate([np.zeros(n_words), [-3.0, np.log(base / (1 - base)) - 1.0]])
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
@@ -126,10 +130,10 @@ def fit_noisy_or(docs: list[list[list[int]]], y: np.ndarray, n_words: int, steps
         log_not = -np.logaddexp(0, s)
         total = -np.logaddexp(0, leak) + np.bincount(sent_doc, log_not, len(y))
         miss = np.clip(np.exp(total), 1e-12, 1 - 1e-9)      # P(not toxic)
-        slope = y * miss / (1 - miss) - (1 - y)             # of the log likelihood by -total
+        slope = weight * (y * miss / (1 - miss) - (1 - y))         # of the log likelihood by -total
         gs = slope[sent_doc] / (1 + np.exp(-s)) if len(flat) else np.zeros(0)
         grad = np.concatenate([np.bincount(word, gs[sent], n_words) if len(flat) else np.zeros(n_words),
-                               [gs.sum(), (slope / (1 + np.exp(-leak))).sum()]]) / max(1, len(y))
+                               [gs.sum(), (slope / (1 + np.exp(-leak))).sum()]])
         grad[:n_words] -= l2 * w
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         theta = theta + rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
@@ -175,35 +179,37 @@ def fold(id_col: Column) -> Column:
 
 def train_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 label_col: str = "toxic", max_words: int = 2000, min_docs: int = 5, min_z: float = 6.0,
-                sample_docs: int = 6000) -> tuple[dict[str, int], dict]:
-    """Choose words over all labelled training documents, fit on at most about
-    ``sample_docs`` of each label (the smallest hashes of the id).
+                min_lift: float = 3.0, sample_docs: int = 20_000) -> tuple[dict[str, int], dict]:
+    """Choose words and fit on at most about ``sample_docs`` labelled documents
+    of each label (those with the smallest hashes of the id).
 
     Rows without label, and held-out ids, take no part. With labels of one
     kind only, or none, the model has no words and answers the base rate.
     """
     pairs = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("y"))
-    pairs = pairs.filter(F.col("y").isin(0, 1) & F.col("id").isNotNull()).groupBy("id").agg(F.max("y").alias("y"))
+    pairs = (pairs.filter(F.col("y").isin(0, 1) & F.col("id").isNotNull()).filter(fold(F.col("id")) != 0)
+             .groupBy("id").agg(F.max("y").alias("y")))
+    sizes = {r.y: r.n for r in pairs.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    share = {y: min(1.0, sample_docs / n) for y, n in sizes.items()}
+    bound = F.coalesce(*[F.when(F.col("y") == y, F.lit(x)) for y, x in share.items()], F.lit(0.0))
+    picked = pairs.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < bound * (1 << 20))
+    # at most about 2 * sample_docs rows of two numbers: small enough to send to every task
     train = stage(docs.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(f"`{text_col}`").alias("t"))
-                  .filter(fold(F.col("id")) != 0).join(pairs, "id"), "toxicity-train")
-    words = choose_words(train, max_words, min_docs, min_z)
+                  .join(F.broadcast(picked), "id"), "toxicity-train")
+    words = choose_words(train, max_words, min_docs, min_z, min_lift)
     index = {w: k for k, w in enumerate(words)}
-    sizes = {r.y: r.n for r in train.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    share = F.coalesce(*[F.when(F.col("y") == y, F.lit(min(1.0, sample_docs / n))) for y, n in sizes.items()],
-                       F.lit(0.0))
-    picked = train.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share * (1 << 20))
 
     def featurise(batches):
         for batch in batches:
             found = [bags(t, index)[1] for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), batch.column(2), pa.array(found, pa.list_(pa.list_(pa.int32())))], ["id", "y", "bags"])
-    rows = picked.select("t", "id", "y").mapInArrow(featurise, "id " + train.schema["id"].dataType.simpleString()
-                                                    + ", y int, bags array<array<int>>").collect()
-    rows.sort(key=lambda r: (r.id, r.y, r.bags))
-    # labels' sample shares are undone by their weights in the base rate only:
-    # with all documents sampled (the usual case for the rarer label) nothing changes
-    return index, fit_noisy_or([r.bags for r in rows], np.array([r.y for r in rows]), len(index))
+    rows = train.select("t", "id", "y").mapInArrow(featurise, "id " + train.schema["id"].dataType.simpleString()
+                                                   + ", y int, bags array<array<int>>").toArrow().to_pylist()
+    rows.sort(key=lambda r: (r["id"], r["y"], r["bags"]))
+    y = np.array([r["y"] for r in rows], np.int64)
+    weight = np.array([1 / share[k] for k in y.tolist()], float)
+    return index, fit_noisy_or([r["bags"] for r in rows], y, weight, len(index))
 
 
 def score_documents(docs: DataFrame, index: dict[str, int], model: dict, text_col: str = "text",
