@@ -86,25 +86,35 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, sample_docs: int = 2000, n
     return DomainModel(domains, Pipeline(stages=steps).fit(train.coalesce(8)))
 
 
-def rate_after(start: Column, posterior: Column, steps: list[list[float]]) -> Column:
-    """The rate after the given projected steps, as one expression."""
+def rate_after(posterior: Column, steps: list[list[float]], now: Column | None = None,
+               before: Column | None = None) -> Column:
+    """(now, before): the rate after the given steps and the one before, from 1
+    unless given. A step is [momentum, move of each domain]."""
+    def double(x):
+        return F.lit(float(x))
+    start = F.struct((double(1) if now is None else now).alias("now"),
+                     (double(1) if before is None else before).alias("before"))
     if not steps:
         return start
-    moves = F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in steps])
+    moves = F.array(*[F.struct(double(s[0]).alias("b"), F.array(*[double(x) for x in s[1:]]).alias("m")) for s in steps])
 
     def step(r, s):
-        dot = F.aggregate(F.zip_with(posterior, s, lambda p, x: p * x), F.lit(0.0), lambda a, b: a + b)
-        return F.greatest(F.lit(0.0), r - dot)
+        dot = F.aggregate(F.zip_with(posterior, s["m"], lambda p, x: p * x), double(0), lambda a, b: a + b)
+        return F.struct(F.greatest(double(0), r["now"] + s["b"] * (r["now"] - r["before"]) - dot).alias("now"),
+                        r["now"].alias("before"))
     return F.aggregate(moves, start, step)
 
 
 def fit_rates(scored: DataFrame, domains: list[str], targets: dict[str, float], tol: float = 0.002,
               max_steps: int = 200) -> tuple[list[list[float]], dict[str, float]]:
-    """The steps whose sequence gives every document its rate (``rate_after``
-    from 1), and the expected totals reached. ``scored``: n_tokens, posterior.
-
-    Ends when every total is within ``tol`` of its target (of all tokens where
-    the target is 0), or no longer changes: a target may be out of reach.
+    """The steps whose sequence gives every document its rate (``rate_after``),
+    and the expected totals reached. ``scored``: n_tokens, posterior.
+
+    Projected gradient with momentum, which restarts when the error grows. As
+    totals are linear in the rates, those at the extrapolated point need no
+    pass of their own. Ends when every total is within ``tol`` of its target
+    (of all tokens where the target is 0), or no longer changes: a target may
+    be out of reach.
     """
     size = len(domains)
     want = [float(targets.get(d, 0.0)) for d in domains]
@@ -113,20 +123,27 @@ def fit_rates(scored: DataFrame, domains: list[str], targets: dict[str, float],
         sums = df.select((rate * F.col("n_tokens")).alias("w"), "posterior").agg(
             *[F.sum(F.col("w") * F.col("posterior")[k]).alias(f"s{k}") for k in range(size)]).first()
         return [float(x or 0.0) for x in sums]
+
+    def error(at: list[float]) -> float:
+        return sum((a - t) ** 2 / b for a, t, b in zip(at, want, base) if b > 1e-12 * everything)
     base = totals(scored, F.lit(1.0))
     everything = sum(base)
     if everything == 0:
         return [], dict(zip(domains, base))
-    work, steps, pending, now = scored.withColumn("rate", F.lit(1.0)), [], [], base
+    work = scored.withColumn("rate", rate_after(F.col("posterior"), []))
+    steps, pending, now, before, age = [], [], base, base, 0
     for _ in range(max_steps):
-        step = [(a - t) / b if b > 1e-12 * everything else 0.0 for a, t, b in zip(now, want, base)]
+        momentum = age / (age + 3)
+        ahead = [a + momentum * (a - b) for a, b in zip(now, before)]
+        step = [momentum] + [(a - t) / b if b > 1e-12 * everything else 0.0 for a, t, b in zip(ahead, want, base)]
         steps.append(step)
         pending.append(step)
-        rate = rate_after(F.col("rate"), F.col("posterior"), pending)
+        rate = rate_after(F.col("posterior"), pending, F.col("rate.now"), F.col("rate.before"))
         if len(pending) == RESTAGE:
             work = stage(work.withColumn("rate", rate), "mixing-rates")
             pending, rate = [], F.col("rate")
-        before, now = now, totals(work, rate)
+        before, now = now, totals(work, rate["now"])
+        age = 0 if error(now) > error(before) else age + 1
         met = all(abs(a - t) <= tol * (t or everything) for a, t in zip(now, want))
         if met or max(abs(a - b) for a, b in zip(now, before)) <= 1e-7 * everything:
             break
@@ -171,7 +188,7 @@ def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     share = sum(weights.get(d, 0.0) for d in model.domains) or 1.0
     targets = {d: budget * all_tokens * weights.get(d, 0.0) / share for d in model.domains}
     steps, reached = fit_rates(scored.select("n_tokens", "posterior"), model.domains, targets)
-    out = scored.withColumn("rate", rate_after(F.lit(1.0), F.col("posterior"), steps))
+    out = scored.withColumn("rate", rate_after(F.col("posterior"), steps)["now"])
     return out, {"domains": model.domains, "targets": targets, "reached": reached, "steps": len(steps)}
 
 

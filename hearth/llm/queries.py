@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hearth.llm import bpe
+from hearth.llm.ann import nearest
 from hearth.llm.common import documents, table
 from hearth.llm.exact_dedup import exact_dedup
 from hearth.llm.line_dedup import line_dedup
 from hearth.llm.mixing import mix
 from hearth.llm.near_dup import near_duplicates
+from hearth.llm.packing import byte_ids, pack
+from hearth.llm.pii import pseudonymise
 from hearth.llm.toxicity import fold, toxicity
 
 QUERIES: dict = {}
@@ -81,3 +84,19 @@ def op2_mix_sources(spark, sf_dir):
     out, report = mix(docs, table(spark, sf_dir, "labels"))
     return out.select("row.doc_id", "n_tokens", "rate", *[
         F.col("posterior")[k].alias(f"p_{d}") for k, d in enumerate(report["domains"])])
+
+
+@query()
+def op1_feistel_pseudonyms(spark, sf_dir):
+    out = pseudonymise(documents(spark, sf_dir).select("doc_id", "text"), key="a secret of the caller")
+    return out.select("row.doc_id", "text", "n_replaced")
+
+
+@query()
+def op9_cross_polytope_ann(spark, sf_dir):
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op6_best_fit_packing(spark, sf_dir):
+    return pack(byte_ids(documents(spark, sf_dir)))
