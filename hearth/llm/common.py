@@ -45,3 +45,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished jobs: its cleaner waits for
+    the driver's garbage collection, which may be far off on an idle driver."""
+    import gc
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -13,6 +13,7 @@ from hearth.llm.mixing import mix
 from hearth.llm.near_dup import near_duplicates
 from hearth.llm.packing import byte_ids, pack
 from hearth.llm.pii import pseudonymise
+from hearth.llm.substrings import remove_repeats
 from hearth.llm.toxicity import fold, toxicity
 
 QUERIES: dict = {}
@@ -100,3 +101,10 @@ def op9_cross_polytope_ann(spark, sf_dir):
 @query()
 def op6_best_fit_packing(spark, sf_dir):
     return pack(byte_ids(documents(spark, sf_dir)))
+
+
+@query()
+def op4_repeated_substrings(spark, sf_dir):
+    out = remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("row.doc_id", "n_bytes", "n_removed", F.size("span_start").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
