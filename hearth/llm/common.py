@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +52,7 @@ def text_or_empty(col: str = "text"):
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of finished jobs: its cleaner waits for
     the driver's garbage collection, which may be far off on an idle driver."""
-    import gc
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)

@@ -5,11 +5,12 @@ or the same document further left) is a repeat; bytes covered by repeats go.
 
 1. *Anchors.* Of every ``min_len`` bytes of a document one ``gram``-byte string
    is the window's minimum by hash (winnowing), and equal strings have the same
-   one. Spark counts the anchors' hashes; one that occurs once in the corpus
-   can't lie in a repeat. The others go on.
-2. *Contexts.* Around an anchor lie all strings of ``min_len`` bytes that have
-   it as their minimum. Of equal contexts only the first is compared further;
-   the others are repeats from end to end.
+   one. Around an anchor lies its context: all strings of ``min_len`` bytes that
+   have it as their minimum. Anchors meet in Spark by their hash, once, after
+   equal contexts of a task have been brought together.
+2. *Contexts.* Where all contexts of an anchor are equal, all but the first are
+   repeats from end to end; one that occurs once can't lie in a repeat. Where
+   they differ, the first of each kind is compared further.
 3. *Interval expansion.* Contexts meet by their anchor's hash. A task sorts
    the suffixes of a bounded batch of contexts, and extends intervals of their
    Burrows-Wheeler transform backwards, breadth first (``bwt``): boundaries
@@ -92,34 +93,105 @@ def _hash(data: bytes) -> int:
     return xxhash.xxh3_64_intdigest(data) - (1 << 63)
 
 
-def _anchors(min_len: int, gram: int, contexts: bool):
+LEN_BITS, AT_BITS, TAG_BITS = 12, 31, 20        # a place: the text's tag, the anchor, the bytes from it to the end
+SORT_ROWS = 2_000_000
+
+
+def _unpack(w: np.ndarray, side: int):
+    """Tag, anchor, start and end of a place's context."""
+    at = (w >> LEN_BITS) & ((1 << AT_BITS) - 1)
+    return w >> (LEN_BITS + AT_BITS), at, np.maximum(at - side, 0), at + (w & ((1 << LEN_BITS) - 1))
+
+
+def _anchors(min_len: int, gram: int):
+    """(h, c, id, w): anchor, context, document and place. Of contexts that are
+    equal within a task the first is sent on; the others are known to be repeats
+    and leave with a null context, under a key that spreads them."""
     def run(batches):
         winnow, side = Winnow(min_len, gram), min_len - gram
+        held, size = [], 0
+
+        def send():
+            h, c, i, w = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((w, i, c, h))
+            h, c, i, w = h[order], c[order], i[order], w[order]
+            again = np.concatenate([[False], (h[1:] == h[:-1]) & (c[1:] == c[:-1])])
+            h = np.where(again, _mix(i.view(np.uint64)).view(np.int64), h)
+            for k in range(0, len(h), 100_000):
+                cut = slice(k, k + 100_000)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[cut]), pa.array(c[cut], mask=again[cut]), pa.array(i[cut]), pa.array(w[cut])], ["h", "c", "id", "w"])
         for batch in batches:
-            hs, cs, counts, places, starts, ends = [], [], [], [], [], []
-            for text in batch.column("t").cast(pa.binary()).to_pylist():
+            for i, tag, text in zip(batch.column("id").to_pylist(), batch.column("tag").to_pylist(),
+                                    batch.column("t").cast(pa.binary()).to_pylist()):
                 at, h = winnow(np.frombuffer(text, np.uint8))
-                hs.append(h)
-                counts.append(len(at))
-                if contexts:
-                    lo, hi = np.maximum(at - side, 0), np.minimum(at + min_len, len(text))
-                    places.append(at)
-                    starts.append(lo)
-                    ends.append(hi)
-                    cs += [_hash(text[a:b] + bytes((p - a,))) for a, b, p in zip(lo.tolist(), hi.tolist(), at.tolist())]
-            h = pa.array((np.concatenate(hs) if hs else np.zeros(0, np.uint64)).view(np.int64))
-            if not contexts:
-                yield pa.RecordBatch.from_arrays([h], ["h"])
+                if not len(at):
+                    continue
+                lo, hi = np.maximum(at - side, 0), np.minimum(at + min_len, len(text))
+                c = np.array([_hash(text[a:b] + bytes((p - a,))) for a, b, p in zip(lo.tolist(), hi.tolist(), at.tolist())], np.int64)
+                w = (tag << (LEN_BITS + AT_BITS)) | (at << LEN_BITS) | (hi - at)
+                held.append((h.view(np.int64), c, np.full(len(at), i, np.int64), w))
+                size += len(at)
+            if size >= SORT_ROWS:
+                yield from send()
+                held, size = [], 0
+        if held:
+            yield from send()
+    return run
+
+
+def _classify(min_len: int, gram: int):
+    """Rows come sorted by h, c, id and w. A repeat leaves as (null, id, w), the
+    first of each of several different contexts of an anchor as (h, id, w)."""
+    def run(batches):
+        last_h = last_c = None          # of the row before
+        first, several = None, False    # the anchor's first row, while it is the only kind
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            take = pa.array(np.repeat(np.arange(len(counts)), counts))
-            flat = [pa.array(np.concatenate(x).astype(np.int32) if x else np.zeros(0, np.int32)) for x in (places, starts, ends)]
+            h, i, w = (batch.column(k).to_numpy() for k in ("h", "id", "w"))
+            null = batch.column("c").is_null().to_numpy(zero_copy_only=False)
+            c = batch.column("c").fill_null(0).to_numpy()
+            same_h = np.concatenate([[last_h is not None and h[0] == last_h], h[1:] == h[:-1]])
+            same_c = same_h & np.concatenate([[last_c is not None and c[0] == last_c], c[1:] == c[:-1]]) \
+                & ~null & ~np.concatenate([[False], null[:-1]])
+            repeat = null | same_c
+            kind = ~repeat              # the first of its kind
+            # anchors' runs in this batch; the first may go on from the batch before
+            run_no = np.cumsum(~same_h) - (0 if same_h[0] else 1)
+            kinds = np.bincount(run_no, kind)
+            carried = bool(same_h[0])
+            many = kinds > 1
+            if carried:
+                many[0] = several or kinds[0] + (first is not None) > 1
+            out_h, out_i, out_w = [], [], []
+            if carried and many[0] and not several and first is not None:
+                out_h.append(last_h)
+                out_i.append(first[0])
+                out_w.append(first[1])
+            go = kind & many[run_no]
+            last_run = run_no == run_no[-1]
+            if not many[run_no[-1]]:    # the last anchor's only kind waits for the next batch
+                k = np.flatnonzero(kind & last_run)
+                if len(k):
+                    first = (int(i[k[0]]), int(w[k[0]]))
+                elif not (carried and run_no[-1] == 0):
+                    first = None
+            else:
+                first = None
+            several = bool(many[run_no[-1]])
+            last_h, last_c = int(h[-1]), None if null[-1] else int(c[-1])
+            lengths = _unpack(w, min_len - gram)
+            full = repeat & (lengths[3] - lengths[2] >= min_len)
             yield pa.RecordBatch.from_arrays(
-                [h, pa.array(cs, pa.int64()), batch.column("id").take(take), batch.column("tag").take(take), *flat],
-                ["h", "c", "id", "tag", "at", "lo", "hi"])
+                [pa.concat_arrays([pa.array(out_h, pa.int64()), pa.nulls(int(full.sum()), pa.int64()), pa.array(h[go], pa.int64())]),
+                 pa.concat_arrays([pa.array(out_i, pa.int64()), pa.array(i[full], pa.int64()), pa.array(i[go], pa.int64())]),
+                 pa.concat_arrays([pa.array(out_w, pa.int64()), pa.array(w[full], pa.int64()), pa.array(w[go], pa.int64())])],
+                ["h", "id", "w"])
     return run
 
 
-def _cut(last: int):
+def _cut(min_len: int, gram: int):
     """The bytes of each listed context of a document; ``p`` to ``q`` are the
     places of the anchor in the strings that count."""
     def run(batches):
@@ -127,7 +199,9 @@ def _cut(last: int):
             rows = []
             for i, tag, text, reps in zip(batch.column("id").to_pylist(), batch.column("tag").to_pylist(),
                                           batch.column("t").cast(pa.binary()).to_pylist(), batch.column("reps").to_pylist()):
-                rows += [(r["h"], i, tag, r["at"], r["lo"], 0, last, text[r["lo"]:r["hi"]]) for r in reps]
+                _, at, lo, hi = _unpack(np.array([r["w"] for r in reps], np.int64), min_len - gram)
+                rows += [(r["h"], i, tag, a, b, 0, min_len - gram, text[b:e])
+                         for r, a, b, e in zip(reps, at.tolist(), lo.tolist(), hi.tolist())]
             yield _context_rows(rows)
     return run
 
@@ -246,25 +320,20 @@ def _remove(batches):
 
 def find_repeats(own: DataFrame, min_len: int, gram: int, hot: int = HOT) -> DataFrame:
     """Spans (id, tag, s, e) of the repeats in ``own`` (id, tag, t)."""
-    hashes = own.select("t").mapInArrow(_anchors(min_len, gram, False), "h long")
-    twice = hashes.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    anchors = own.mapInArrow(_anchors(min_len, gram, True), "h long, c long, id long, tag long, at int, lo int, hi int")
-    shared = stage(anchors.join(twice, "h"), "substrings-shared")
-    release(own.sparkSession)
-    one = F.struct("id", "tag", "at", "lo", "hi")
-    classes = stage(shared.groupBy("h", "c").agg(F.min(one).alias("one"), F.count("*").alias("n")), "substrings-classes")
-    copies = (shared.join(classes.filter("n > 1"), ["h", "c"])
-              .filter(F.struct("id", "tag", "at") != F.struct("one.id", "one.tag", "one.at"))
-              .filter(F.col("hi") - F.col("lo") >= min_len).select("id", "tag", F.col("lo").alias("s"), F.col("hi").alias("e")))
+    spark = own.sparkSession
+    anchors = own.mapInArrow(_anchors(min_len, gram), "h long, c long, id long, w long")
+    marked = stage(anchors.repartition("h").sortWithinPartitions("h", "c", "id", "w")
+                   .mapInArrow(_classify(min_len, gram), "h long, id long, w long"), "substrings-marked")
+    release(spark)
+    tag = F.shiftright("w", LEN_BITS + AT_BITS).alias("tag")
     # overlapping spans of a document meet and are merged before they are kept
-    spans = stage(copies.groupBy("id", "tag").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("spans"))
-                  .mapInArrow(_merge_spans, SPAN), "substrings-copies")
-    several = classes.groupBy("h").agg(F.count("*").alias("m")).filter("m > 1").select("h")
-    reps = (classes.join(several, "h").groupBy("one.id", "one.tag")
-            .agg(F.collect_list(F.struct("h", "one.at", "one.lo", "one.hi")).alias("reps")))
+    spans = stage(marked.filter("h IS NULL").groupBy("id", tag).agg(F.collect_set("w").alias("ws"))
+                  .mapInArrow(_merge_spans(min_len - gram), SPAN), "substrings-copies")
+    release(spark)
+    reps = marked.filter("h IS NOT NULL").groupBy("id", tag).agg(F.collect_list(F.struct("h", "w")).alias("reps"))
     work = stage(own.join(reps, ["id", "tag"]).dropDuplicates(["id", "tag"]).select("id", "tag", "t", "reps")
-                 .mapInArrow(_cut(min_len - gram), CONTEXT), "substrings-contexts")
-    release(own.sparkSession)
+                 .mapInArrow(_cut(min_len, gram), CONTEXT), "substrings-contexts")
+    release(spark)
     while True:
         sizes = work.groupBy("h").agg(F.count("*").alias("m"))
         large = sizes.filter(F.col("m") > hot)
@@ -272,6 +341,7 @@ def find_repeats(own: DataFrame, min_len: int, gram: int, hot: int = HOT) -> Dat
         found = small.repartition("h").sortWithinPartitions("h").mapInArrow(_expand(min_len), SPAN)
         spans = spans.union(stage(found, "substrings-found"))
         if large.limit(1).count() == 0:
+            release(spark)
             return spans
         halves = stage(work.join(large.select("h"), "h").select(*work.columns).mapInArrow(_halve(min_len), CONTEXT), "substrings-halves")
         # strings with the anchor in one place only: a group is one string, its first stays
@@ -282,18 +352,16 @@ def find_repeats(own: DataFrame, min_len: int, gram: int, hot: int = HOT) -> Dat
         work = halves.filter("p < q")
 
 
-def _merge_spans(batches):
-    for batch in batches:
-        out = []
-        for i, tag, spans in zip(*[c.to_pylist() for c in batch.columns]):
-            s, e = spans[0]["s"], spans[0]["e"]
-            for x in spans[1:]:
-                if x["s"] > e:
-                    out.append((i, tag, s, e))
-                    s, e = x["s"], x["e"]
-                e = max(e, x["e"])
-            out.append((i, tag, s, e))
-        yield _span_rows(out)
+def _merge_spans(side: int):
+    def run(batches):
+        for batch in batches:
+            out = []
+            for i, tag, ws in zip(*[c.to_pylist() for c in batch.columns]):
+                _, _, lo, hi = _unpack(np.sort(np.array(ws, np.int64)), side)       # starts and ends both ascend
+                new = np.concatenate([[True], lo[1:] > hi[:-1]])
+                out += [(i, tag, a, b) for a, b in zip(lo[new].tolist(), hi[np.concatenate([new[1:], [True]])].tolist())]
+            yield _span_rows(out)
+    return run
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_len: int = 100,
@@ -311,7 +379,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = text_or_empty(f"`{text_col}`")
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"),
                         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)).alias("id"),
-                        F.xxhash64(text).alias("tag"), text.alias("t"))
+                        F.xxhash64(text).bitwiseAND(F.lit((1 << TAG_BITS) - 1)).alias("tag"), text.alias("t"))
     spans = find_repeats(keyed.select("id", "tag", "t"), min_len, gram, hot)
     by_doc = spans.groupBy("id", "tag").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     joined = keyed.join(by_doc, ["id", "tag"], "left").select("row", "t", "spans")
