@@ -112,7 +112,7 @@ def _score(top: int):
 
 
 def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 20, top: int = 20,
-            tables: int = 12, probes: int = 8, axes: int = 1) -> DataFrame:
+            tables: int = 14, probes: int = 10, axes: int = 1) -> DataFrame:
     """query_id, rank, vec_id, score: for every id divisible by ``every`` its
     ``top`` nearest other rows found by inner product, ties to the smaller id.
 

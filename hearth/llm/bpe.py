@@ -26,6 +26,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from hearth.llm import lexicon
 from hearth.llm.common import stage, text_or_empty
@@ -480,7 +481,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", path: str | None = None) ->
     """Add ``decoded`` to rows with ``ids`` as ``encode`` gives them; null ids
     decode to an empty text."""
     path = path or vocabulary_path()
-    out = encoded.schema.add("decoded", "string")
+    out = StructType([*encoded.schema.fields, StructField("decoded", StringType())])
 
     def run(batches):
         decoder = Decoder(_vocabulary(path))

@@ -1,0 +1,482 @@
+"""The ten operators against brute force, and on awkward rows and empty tables."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from hearth.llm import ann, bpe, bwt, lexicon, mixing, near_dup, packing, pii, substrings, toxicity
+from hearth.llm.exact_dedup import drop_exact_copies, exact_dedup
+from hearth.llm.line_dedup import line_dedup
+from tests.conftest import SF0001
+from tests.llm.conftest import AWKWARD
+
+
+def sha(data) -> str:
+    return hashlib.sha256(data if isinstance(data, bytes) else data.encode()).hexdigest()
+
+
+# ---------------------------------------------------------------- 1: pseudonyms
+
+def luhn(digits: str) -> bool:
+    return sum(sum(divmod(2 * int(c), 10)) if k % 2 else int(c) for k, c in enumerate(digits[::-1])) % 10 == 0
+
+
+def slow_feistel(key, kind, left, right, a, b):
+    for i in range(pii.ROUNDS):
+        def f(size, x):
+            return int(hashlib.sha256(f"{key}|{kind}|{size}|{i}|{x}".encode()).hexdigest()[:15], 16)
+        if i % 2 == 0:
+            left = (left + f(a, right)) % a
+        else:
+            right = (right + f(b, left)) % b
+    return left, right
+
+
+def replaced(spark, texts, key="k"):
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    return [r.text for r in pii.pseudonymise(df, key).orderBy("row.doc_id").collect()]
+
+
+def test_feistel_matches_brute_force(spark):
+    out = replaced(spark, ["ip 10.20.30.40 end", "on 1999-12-31.", "on 31/12/1999.", "card 4111 1111 1111 1111!"])
+    l, r = slow_feistel("k", "ip", 10 * 256 + 20, 30 * 256 + 40, 65536, 65536)
+    assert out[0] == f"ip {l // 256}.{l % 256}.{r // 256}.{r % 256} end"
+    day = (np.datetime64("1999-12-31") - np.datetime64("1800-01-01")).astype(int)
+    l, r = slow_feistel("k", "date", day // 773, day % 773, 189, 773)
+    new = str(np.datetime64("1800-01-01") + (l * 773 + r))
+    assert out[1] == f"on {new}."
+    assert out[2] == f"on {new[8:]}/{new[5:7]}/{new[:4]}."
+    l, r = slow_feistel("k", "card", 4111111, 11111111, 10 ** 7, 10 ** 8)
+    body = f"{l:07d}{r:08d}"
+    digits = re.sub(r"\D", "", out[3])
+    assert digits[:15] == body and luhn(digits) and re.fullmatch(r"card \d{4} \d{4} \d{4} \d{4}!", out[3])
+
+
+def test_pseudonyms_are_a_permutation_and_keep_their_format(spark):
+    values = [f"{a}.{b}.0.{c}" for a in range(1, 5) for b in range(0, 250, 50) for c in range(0, 250, 50)]
+    values += [f"{k:03d}-{k % 99 + 1:02d}-{k * 9 % 9999 + 1:04d}" for k in range(1, 60)]
+    values += [f"name.{k}@mail.example.com" for k in range(50)] + [f"+1 (200) 555-{k:04d}" for k in range(50)]
+    out = replaced(spark, values)
+    assert len(set(out)) == len(set(values)) and all(a != b for a, b in zip(values, out))
+    shape = [re.sub(r"[a-z]", "a", re.sub(r"\d+" if "@" not in v and v.count(".") == 3 else r"\d", "9", v)) for v in values]
+    assert shape == [re.sub(r"[a-z]", "a", re.sub(r"\d+" if "@" not in v and v.count(".") == 3 else r"\d", "9", v)) for v in out]
+    assert replaced(spark, values[:3], "other") != out[:3]
+
+
+def test_values_that_fail_validation_stay(spark):
+    same = ["card 4111111111111112", "ip 300.1.1.1", "day 2001-02-30", "ssn 666-12-1234", "v1.2.3.4.5", "", None]
+    assert replaced(spark, same) == same
+    both = replaced(spark, ["x 4111111111111111 y 4111111111111111", "4111111111111111"])
+    card = both[1]
+    assert both[0] == f"x {card} y {card}"
+
+
+def test_pii_edges(spark, awkward, empty):
+    rows = pii.pseudonymise(awkward, "k").select("row.n", "text", "n_replaced").collect()
+    assert {r.n: r.text for r in rows} == {k: t for k, (_, t) in enumerate(AWKWARD)}
+    assert all(r.n_replaced == 0 for r in rows)
+    assert pii.pseudonymise(empty, "k").count() == 0
+
+
+# ---------------------------------------------------------------- 2: mixing
+
+def test_rates_reach_the_targets(spark):
+    rng = np.random.default_rng(5)
+    p = rng.dirichlet([0.3, 0.3, 0.3], 400)
+    n = rng.integers(1, 500, 400)
+    df = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(n, p)], "n_tokens long, posterior array<double>")
+    total = float(n.sum())
+    targets = {"a": 0.5 * total, "b": 0.3 * total, "c": 0.2 * total}
+    steps, reached = mixing.fit_rates(df, ["a", "b", "c"], targets)
+    assert all(abs(reached[d] - t) <= 0.0021 * t for d, t in targets.items())
+    rate = df.select("n_tokens", "posterior", mixing.rate_after(F.col("posterior"), steps)["now"].alias("r")).collect()
+    assert min(r.r for r in rate) >= 0
+    sums = sum(r.r * r.n_tokens * np.array(r.posterior) for r in rate)
+    assert np.allclose(sums, [reached[d] for d in "abc"])
+    # the same steps, one document at a time
+    for row in rate[:20]:
+        now = before = 1.0
+        for s in steps:
+            now, before = max(0.0, now + s[0] * (now - before) - sum(a * b for a, b in zip(row.posterior, s[1:]))), now
+        assert now == pytest.approx(row.r, abs=1e-9)
+
+
+def test_rates_out_of_reach_stay_nonnegative(spark):
+    df = spark.createDataFrame([(10, [0.9, 0.1]), (10, [0.8, 0.2])], "n_tokens long, posterior array<double>")
+    steps, reached = mixing.fit_rates(df, ["a", "b"], {"a": 0.0, "b": 20.0})
+    assert all(r.r >= 0 for r in df.select(mixing.rate_after(F.col("posterior"), steps)["now"].alias("r")).collect())
+    assert reached["b"] < 20
+
+
+def test_domains_are_learned_and_rows_kept(spark, docs, labels, awkward, empty):
+    out, report = mixing.mix(docs, labels)
+    assert out.count() == docs.count() and report["domains"] == ["good", "poor", "toxic"]
+    rows = (out.select("row.doc_id", "posterior").join(mixing.domain_labels(labels), F.col("doc_id") == F.col("id")).collect())
+    right = np.mean([report["domains"][int(np.argmax(r.posterior))] == r.domain for r in rows])
+    assert right > 0.9
+    out, _ = mixing.mix(awkward, labels, keep_text=True)
+    assert sorted(out.select("row.n").toPandas()["n"]) == list(range(len(AWKWARD)))
+    assert out.select("row.*").columns == awkward.columns
+    copies = mixing.draw_copies(out.withColumn("rate", F.lit(2.0)))
+    assert copies.count() == 2 * len(AWKWARD) and copies.columns == awkward.columns
+    assert mixing.mix(empty, labels)[0].count() == 0
+    assert mixing.mix(docs, labels.limit(0))[0].count() == docs.count()
+
+
+# ---------------------------------------------------------------- 3: BPE
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(bpe.vocabulary_path())
+
+
+def test_lexicon_is_minimal_and_exact():
+    words = sorted({("".join(random.Random(k).choices("abc", k=k % 7 + 1))).encode() for k in range(400)})
+    lex = lexicon.build(words)
+    probe = words + [b"abcabcabcabc", b"d", b"", b"a\0", b"x" * 100]
+    assert lexicon.ranks(lex, probe).tolist() == [*range(len(words)), *[-1] * 5]
+    # minimal: no two states have the same future
+    children = defaultdict(dict)
+    for key, target in zip(lex["keys"].tolist(), lex["targets"].tolist()):
+        children[key // 256][key % 256] = target
+    seen = {(int(f), tuple(sorted(children[s].items()))) for s, f in enumerate(lex["final"])}
+    assert len(seen) == len(lex["final"])
+    assert lexicon.ranks(lexicon.build([]), [b"a"]).tolist() == [-1]
+
+
+def test_lexicon_file_round_trip(tmp_path):
+    lex = lexicon.build([b"ab", b"abc", b"b"])
+    back = lexicon.load(str(tmp_path / "x"), lexicon.save(str(tmp_path / "x"), lex))
+    assert lexicon.ranks(back, [b"abc", b"b", b"c"]).tolist() == [1, 2, -1]
+
+
+def test_merges_match_the_library(library):
+    vocab = bpe.Vocabulary(bpe.vocabulary_path())
+    encoder, decoder = bpe.Encoder(vocab, None), bpe.Decoder(vocab)
+    r = random.Random(1)
+    texts = ["", " ", "a" * 5000, "!" * 300, "x<|endoftext|>y <|startoftext|><|endoftext|>", "<|endoftext", "ΑΣ Σ İ ﬁ ²Ⅷ",
+             "'s'll 'SWORD don't", "a\x1cb !\x1c! \x85\xa0z"]
+    texts += ["".join(r.choice("aΣσ's<|endoftext|> \x1c\x85́éEİ'llA1²Ⅷ中") for _ in range(300)) for _ in range(60)]
+    texts += ["".join(chr(r.randrange(1, 0xD7FF)) + r.choice(["", "a", " "]) for _ in range(200)) for _ in range(60)]
+    for t in texts:
+        want = library.encode(t, add_special_tokens=False).ids
+        got = encoder.encode([t])[0]
+        assert got.tolist() == want
+        assert decoder.decode(got.astype("<u4")) == library.decode(want, skip_special_tokens=False)
+
+
+def test_batched_merges_equal_single_ones(texts):
+    vocab = bpe.Vocabulary(bpe.vocabulary_path())
+    words = sorted({w.encode() for t in texts.values() for w in vocab.units(vocab.normalise(t))}) + [b"a" * k for k in range(1, 80)]
+    ids, lengths = vocab.merge_all(words)
+    single = [vocab.merge(w) for w in words]
+    assert lengths.tolist() == [len(x) for x in single] and ids.tolist() == [x for m in single for x in m]
+
+
+def test_every_letter_splits_like_the_library(library):
+    vocab = bpe.Vocabulary(bpe.vocabulary_path())
+    encoder = bpe.Encoder(vocab, None)
+    for form in ("a{}", "!{}"):
+        texts = [form.format(chr(k)) for k in range(1, 0x3400) if not 0xD800 <= k < 0xE000]
+        want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert [x.tolist() for x in encoder.encode(texts)] == want
+
+
+def test_encode_in_spark(spark, awkward, empty, library):
+    out = bpe.decode(bpe.encode(awkward, decoded=True, lexicon_words=5).withColumnRenamed("decoded", "first"))
+    rows = out.select("row.n", "n_tokens", "ids", "first", "decoded").collect()
+    assert len(rows) == len(AWKWARD)
+    for r in rows:
+        want = library.encode(AWKWARD[r.n][1] or "", add_special_tokens=False).ids
+        assert np.frombuffer(bytes(r.ids), "<u4").tolist() == want and r.n_tokens == len(want)
+        assert r.first == r.decoded == library.decode(want, skip_special_tokens=False)
+    assert bpe.encode(empty).count() == 0
+
+
+# ---------------------------------------------------------------- 4: substrings
+
+def slow_removal(rows, min_len=100):
+    seen, out = set(), {}
+    for i, text in rows:
+        b = (text or "").encode()
+        gone = np.zeros(len(b) + 1, int)
+        for p in range(len(b) - min_len + 1):
+            w = b[p:p + min_len]
+            if w in seen:
+                gone[p:p + min_len] = 1
+            seen.add(w)
+        kept = bytes(c for c, x in zip(b, gone) if not x)
+        out[i] = (len(b), len(b) - len(kept), int((np.diff(gone, prepend=0) == 1).sum()), sha(kept))
+    return out
+
+
+def removal(df, **options):
+    rows = substrings.remove_repeats(df, **options).select(
+        "row.doc_id", "n_bytes", "n_removed", F.size("span_start").alias("s"), F.sha2("kept", 256).alias("k")).collect()
+    return {r.doc_id: (r.n_bytes, r.n_removed, r.s, r.k) for r in rows}
+
+
+def test_interval_expansion_finds_equal_prefixes():
+    r = random.Random(3)
+    for _ in range(150):
+        n, letters = r.choice([6, 8, 12, 30]), r.choice([1, 2, 4])
+        parts = [bytes(r.randrange(97, 97 + letters) for _ in range(r.randrange(60))) for _ in range(r.randrange(1, 12))]
+        text = b"\xff".join(parts + [parts[0]] * r.randrange(4)) + b"\xff"
+        sa, run = bwt.long_prefix_runs(np.frombuffer(text, np.uint8), n)
+        of = dict(zip(sa.tolist(), run.tolist()))
+        want, got = defaultdict(set), defaultdict(set)
+        for p in range(len(text) - n + 1):
+            if b"\xff" not in text[p:p + n]:
+                want[text[p:p + n]].add(p)
+                got[of[p]].add(p)
+        assert sorted(map(sorted, want.values())) == sorted(map(sorted, got.values()))
+
+
+def test_removal_matches_brute_force(spark, docs, texts):
+    want = slow_removal(sorted(texts.items()))
+    assert removal(docs) == want
+    assert removal(docs, hot=2) == want      # with split groups
+
+
+def test_removal_of_random_overlaps(spark):
+    r = random.Random(9)
+    base = "".join(r.choice("ab ") for _ in range(400))
+    rows = [(k, base[r.randrange(300):][:r.randrange(90, 400)] + r.choice(["", "é", "z" * 250]) + base[:r.randrange(200)]) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert removal(df) == slow_removal(rows)
+
+
+def test_removal_edges(spark, awkward, empty):
+    rows = substrings.remove_repeats(awkward).select("row.n", "n_bytes", "n_removed").collect()
+    got = {r.n: (r.n_bytes, r.n_removed) for r in rows}
+    assert len(got) == len(AWKWARD) and got[3] == got[4] == (0, 0) and got[0] == (48, 0)
+    long_text = AWKWARD[8][1]
+    assert got[8] == (len(long_text), len(long_text) - 5)       # the period stays once
+    assert substrings.remove_repeats(empty).count() == 0
+
+
+# ---------------------------------------------------------------- 5: toxicity
+
+def test_noisy_or_learns_the_bad_words():
+    r = random.Random(4)
+    bags, y = [], []
+    for _ in range(400):
+        toxic = r.random() < 0.3
+        sents = [[r.choice([1, 2, 3])] for _ in range(r.randrange(1, 5))]
+        if toxic:
+            sents[r.randrange(len(sents))].append(0)
+        bags.append([sorted(set(s)) for s in sents])
+        y.append(int(toxic))
+    m = toxicity.fit_noisy_or(bags, np.array(y), np.ones(400), 4)
+    assert m["weights"][0] > 3 and max(m["weights"][1:]) < 1
+    empty = toxicity.fit_noisy_or([], np.zeros(0), np.zeros(0), 0)
+    assert np.isfinite(empty["leak"])
+
+
+def test_held_out_accuracy_and_spans(spark):
+    folder = SF0001.replace("0.001", "0.1")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    out = toxicity.toxicity(docs, labels).select("row.doc_id", "row.text", "score", "predicted", "span_start", "span_end")
+    rows = out.join(labels, "doc_id").filter(toxicity.fold(F.col("doc_id")) == 0).collect()
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in rows)
+    assert np.mean([r.predicted == r.toxic for r in rows]) > 0.95
+    for r in rows:
+        assert 0 <= r.score <= 1 and (r.predicted == 1) == (r.score >= 0.5) == bool(r.span_start)
+        assert all(0 <= a < b <= len(r.text) for a, b in zip(r.span_start, r.span_end))
+
+
+def test_toxicity_edges(spark, docs, labels, awkward, empty):
+    index, model = toxicity.train_model(docs, labels)
+    rows = toxicity.score_documents(awkward, index, model).select("row.n", "score", "predicted").collect()
+    by = {r.n: r.score for r in rows}
+    assert len(rows) == len(AWKWARD) and by[1] == by[2] and by[3] == by[4] == by[5] and max(by.values()) < 0.5
+    assert toxicity.toxicity(empty, labels).count() == 0
+    blank = toxicity.toxicity(docs, labels.withColumn("toxic", F.lit(None).cast("int")))
+    assert blank.filter("score < 0 or score > 1").count() == 0 and blank.count() == docs.count()
+
+
+# ---------------------------------------------------------------- 6: packing
+
+def test_best_fit_decreasing_matches_brute_force():
+    r = random.Random(8)
+    for _ in range(100):
+        capacity = r.choice([5, 8, 31, 100])
+        lengths = [r.randrange(1, capacity + 1) for _ in range(r.randrange(60))]
+        rows = packing.best_fit_decreasing(lengths, capacity)
+        assert sorted(k for row in rows for k in row) == list(range(len(lengths)))
+        free, counts = [], []
+        for x in sorted(lengths, reverse=True):
+            fits = [k for k, f in enumerate(free) if f >= x]
+            if fits:
+                k = min(fits, key=lambda k: free[k])
+                free[k] -= x
+            else:
+                free.append(capacity - x)
+        counts = sorted(capacity - sum(lengths[k] for k in row) for row in rows)
+        assert counts == sorted(free)
+
+
+@pytest.mark.parametrize("capacity,window", [(64, 500), (8192, 4_000_000)])
+def test_packing_is_lossless(spark, awkward, empty, capacity, window):
+    rows = packing.pack(packing.byte_ids(awkward, "n"), capacity=capacity, window_tokens=window).collect()
+    assert len({r.pack_id for r in rows}) == len(rows)
+    got = defaultdict(list)
+    for r in rows:
+        ids, pos = (np.frombuffer(bytes(x), "<u2") for x in (r.input_ids, r.position_ids))
+        assert len(ids) == len(pos) == capacity and not ids[r.cu_seqlens[-1]:].any()
+        for k, (d, s) in enumerate(zip(r.doc_ids, r.doc_starts)):
+            a, b = r.cu_seqlens[k:k + 2]
+            assert (pos[a:b] == np.arange(b - a)).all()
+            got[d].append((s, (ids[a:b] - packing.BYTE_OFFSET).astype(np.uint8).tobytes()))
+    for k, (_, t) in enumerate(AWKWARD):
+        assert b"".join(x for _, x in sorted(got[k])) == (t or "").encode()
+    assert packing.pack(packing.byte_ids(empty)).count() == 0
+
+
+# ---------------------------------------------------------------- 7: lines
+
+def test_line_edges(awkward, empty):
+    rows = line_dedup(awkward).select("row.n", "n_lines", "n_dropped", "kept_text").collect()
+    got = {r.n: (r.n_lines, r.n_dropped, r.kept_text) for r in rows}
+    assert len(got) == len(AWKWARD)
+    # the key is in documents 7, 8 and 9: all lose it but the last
+    assert got[9] == (3, 2, "short") and got[10] == (2, 1, "other") and got[11] == (2, 0, AWKWARD[11][1])
+    assert got[3] == got[4] == (1, 0, "") and got[0][1] == got[1][1] == got[2][1] == 0      # two documents only
+    assert line_dedup(empty).count() == 0
+
+
+# ---------------------------------------------------------------- 8: exact copies
+
+def slow_groups(rows):
+    groups = defaultdict(list)
+    for k, (i, t) in enumerate(rows):
+        groups[re.sub(r"[\x20\x09-\x0D]+", " ", t or "")].append((i is None, i, k))
+    return groups
+
+
+@pytest.mark.parametrize("chars", [64, 1])
+def test_exact_copies(awkward, empty, chars):
+    rows = exact_dedup(awkward, digest_chars=chars).select("row.n", "keep_id", "group_size", "kept", "text_sha256").collect()
+    got = {r.n: r for r in rows}
+    assert len(rows) == len(got) == len(AWKWARD)
+    for norm, members in slow_groups(AWKWARD).items():
+        keep = min(members, key=lambda m: (m[0], m[1] or 0))
+        assert sum(got[k].kept for _, _, k in members) == 1
+        for _, i, k in members:
+            assert (got[k].keep_id, got[k].group_size, got[k].text_sha256) == (keep[1], len(members), sha(norm))
+    kept = drop_exact_copies(awkward)
+    assert kept.columns == awkward.columns and kept.count() == len(slow_groups(AWKWARD))
+    assert exact_dedup(empty).count() == 0
+
+
+# ---------------------------------------------------------------- 9: neighbours
+
+def test_neighbours_recall_and_scores(spark):
+    folder = SF0001.replace("0.001", "0.1")
+    df = spark.read.parquet(f"{folder}/embeddings.parquet")
+    e = duckdb.sql(f"SELECT vec_id, embedding FROM '{folder}/embeddings.parquet' ORDER BY vec_id").fetchnumpy()
+    x, hit, total = np.stack(e["embedding"]).astype(float), 0, 0
+    found = defaultdict(list)
+    for r in ann.nearest(df).collect():
+        found[r.query_id].append(r)
+    assert set(found) == {int(i) for i in e["vec_id"] if i % 20 == 0}
+    for q, rows in found.items():
+        rows.sort(key=lambda r: r["rank"])
+        s = x @ x[q]
+        s[q] = -9
+        true = set(np.argsort(-s, kind="stable")[:20].tolist())
+        hit += len(true & {r.vec_id for r in rows})
+        total += 20
+        assert [r["rank"] for r in rows] == list(range(1, 21))
+        assert all(abs(s[r.vec_id] - r.score) < 1e-12 for r in rows)
+        assert [(-r.score, r.vec_id) for r in rows] == sorted((-r.score, r.vec_id) for r in rows)
+    assert hit / total >= 0.95
+
+
+def test_neighbours_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 2.0]), (4, None), (5, [0.0, 0.0]), (6, [nan, 1.0]),
+            (7, [inf, 1.0]), (None, [1.0, 1.0]), (20, [1.0, 0.0]), (8, [None, 1.0]), (9, []), (10, [1.0, 2.0, 3.0]), (2, [1.0, 0.0])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, score int")
+    got = defaultdict(list)
+    for r in ann.nearest(df, probes=4).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    assert got == {0: [(1, 1.0), (2, 1.0), (20, 1.0), (3, 0.0)], 20: [(0, 1.0), (1, 1.0), (2, 1.0), (3, 0.0)]}
+    assert ann.nearest(df.limit(0)).count() == 0
+    many = spark.createDataFrame([(k, [1.0, 0.0]) for k in range(100)], "vec_id long, embedding array<double>")
+    out = ann.nearest(many).filter("query_id = 40").orderBy("rank").collect()
+    assert [r.vec_id for r in out] == list(range(20))
+
+
+# ---------------------------------------------------------------- 10: near copies
+
+def slow_links(rows, threshold=0.8, n=5):
+    sets = {}
+    for i, t in rows:
+        w = (t or "").lower().split()
+        sets[i] = {tuple(w[k:k + n]) for k in range(max(1, len(w) - n + 1))} if w else set()
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b]
+             and len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b]) - 1e-9]
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    count = dict.fromkeys(sets, 0)
+    for a, b in links:
+        count[a] += 1
+        count[b] += 1
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {i: (find(i), count[i]) for i in sets}
+
+
+def near(df, **options):
+    return {r.id: (r.class_id, r.n_links) for r in near_dup.near_duplicates(df, **options).collect()}
+
+
+def test_bands_reach_the_recall():
+    for recall in (0.9, 0.99, 0.9995):
+        b, r = near_dup.bands_for(0.8, recall)
+        assert 1 - (1 - 0.8 ** r) ** b >= recall and b * r <= 128
+
+
+def test_links_match_brute_force(docs, texts):
+    assert near(docs) == slow_links(texts.items())
+
+
+def test_links_of_a_chain_and_a_large_group(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK", 8)       # several blocks
+    r = random.Random(2)
+    words = [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(60):      # copies of one text with growing changes
+        w = list(words)
+        for _ in range(r.randrange(4)):
+            w[r.randrange(120)] = f"x{r.randrange(1000)}"
+        rows.append((k, " ".join(w)))
+    for k in range(60, 90):     # a chain: each differs a little from the one before
+        words = words[3:] + [f"c{k}{j}" for j in range(3)]
+        rows.append((k, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert near(df) == slow_links(rows)
+
+
+def test_near_edges(awkward, empty):
+    got = near(awkward)
+    assert got[1] == (1, 1) and got[2] == (1, 1) and got[3] == (3, 0) and got[4] == (4, 0) and got[5] == (5, 0)
+    assert None not in got and len(got) == 10
+    kept = near_dup.drop_near_copies(awkward)
+    assert kept.columns == awkward.columns
+    assert sorted(r.n for r in kept.select("n").collect()) == [0, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12]
+    assert near(empty) == {} and near_dup.drop_near_copies(empty).count() == 0
