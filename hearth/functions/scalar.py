@@ -54,14 +54,20 @@ _MIX_B = 48271
 
 def mix_unit(c: Column | str, seed: int) -> Column:
     """Uniform draw in [0, 1) from an integer key: multiply/xor-shift mix
-    on 31 bits.
+    on 31 bits, into which the key's higher bits are folded first, so keys
+    2^31 apart draw independently (non-negative keys).
 
     Pure 64-bit integer arithmetic with no overflow, so an SQL engine can
     reproduce it exactly (see :func:`mix_unit_sql`); used where an oracle
     must check which rows a random split or sample selects.
     """
     m = F.lit(_MASK31)
-    h = (_c(c).cast("long") + F.lit(int(seed))).bitwiseAND(m)
+    key = _c(c).cast("long")
+    high = F.shiftright(key, 31).bitwiseAND(m)
+    # 0 for keys below 2^31; else a mix of its own
+    fold = (high * F.lit(_MIX_B)).bitwiseAND(m)
+    fold = ((fold.bitwiseXOR(F.shiftright(fold, 14)) + F.shiftright(key, 62)) * F.lit(_MIX_A)).bitwiseAND(m)
+    h = (key.bitwiseAND(m) + fold + F.lit(int(seed))).bitwiseAND(m)
     h = (h * F.lit(_MIX_A) + F.lit(12345)).bitwiseAND(m)
     h = h.bitwiseXOR(F.shiftright(h, 15))
     h = (h * F.lit(_MIX_B)).bitwiseAND(m)
@@ -73,7 +79,10 @@ def mix_unit(c: Column | str, seed: int) -> Column:
 
 def mix_unit_sql(col_sql: str, seed: int) -> str:
     """SQL text (DuckDB dialect) of :func:`mix_unit`."""
-    h = f"((({col_sql})::BIGINT + {int(seed)}) & {_MASK31})"
+    key = f"(({col_sql})::BIGINT)"
+    fold = f"((({key} >> 31) & {_MASK31}) * {_MIX_B} & {_MASK31})"
+    fold = f"((xor({fold}, {fold} >> 14) + ({key} >> 62)) * {_MIX_A} & {_MASK31})"
+    h = f"((({key} & {_MASK31}) + {fold} + {int(seed)}) & {_MASK31})"
     h = f"(({h} * {_MIX_A} + 12345) & {_MASK31})"
     h = f"xor({h}, {h} >> 15)"
     h = f"(({h}) * {_MIX_B} & {_MASK31})"

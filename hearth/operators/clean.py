@@ -30,13 +30,14 @@ def exclude_ids(df: DataFrame, id_col: str, ids: Sequence | DataFrame,
 
     A literal list becomes ``NOT IN`` (pushed to the scan). A DataFrame of
     ids is a ``left_anti`` join: AQE turns it into a broadcast only when the
-    measured id side is under the broadcast threshold.
+    measured id side is under the broadcast threshold. Rows without id stay
+    in both forms.
     """
     if isinstance(ids, DataFrame):
         key = ids_col or id_col
         right = ids.select(F.col(key).alias("_excl_id"))
         return df.join(right, F.col(id_col) == F.col("_excl_id"), "left_anti")
-    return df.filter(~F.col(id_col).isin(list(ids)))
+    return df.filter(F.col(id_col).isNull() | ~F.col(id_col).isin([i for i in ids if i is not None]))
 
 
 def rows_equal(df: DataFrame, col: str, value, select: Iterable[str]) -> DataFrame:

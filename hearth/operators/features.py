@@ -52,18 +52,13 @@ def regular_boundaries(df: DataFrame, col: str, step: float) -> list[float]:
     ``int`` truncates toward zero and the stop is excluded: min -124.35,
     max -114.31, step 1 gives -124 ... -115. Bounded by the range / step.
     """
-    if step <= 0:
-        raise ValueError("step must be positive")
-    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    if row["lo"] is None:
-        return []
-    start, stop = math.trunc(row["lo"]), math.trunc(row["hi"])
-    n = max(0, math.ceil((stop - start) / step))
-    return [start + i * step for i in range(n)]
+    return regular_boundaries_many(df, {col: step})[col]
 
 
 def regular_boundaries_many(df: DataFrame, steps: Mapping[str, float]) -> dict[str, list[float]]:
     """:func:`regular_boundaries` for several columns from one aggregate."""
+    if any(step <= 0 for step in steps.values()):
+        raise ValueError("step must be positive")
     cols = list(steps)
     row = df.agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
                  *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()

@@ -125,8 +125,9 @@ def roc_auc_exact(df: DataFrame, label: str, score: str) -> float:
 
 def majority_baseline(df: DataFrame, label: str) -> DataFrame:
     """Accuracy of always predicting the most frequent class."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max_by(label, F.struct("n", -F.col(label))).alias("majority_class"),
+    counts = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    best = F.min(F.struct((-F.col("n")).alias("n"), "label"))    # of equal counts the smallest label
+    return counts.agg(best.getField("label").alias("majority_class"),
                       (F.max("n") / F.sum("n")).alias("baseline_accuracy"))
 
 

@@ -156,22 +156,14 @@ def training_history(spark: SparkSession, history: Sequence[float],
                                  "epoch int, metric string, value double")
 
 
-def spread_for_fit(df: DataFrame) -> DataFrame:
-    """At least one partition per core for CPU-bound fitting.
-
-    A small input (one Parquet row group) arrives as a single busy task and
-    every fit pass then runs on one core; such frames get a round-robin
-    repartition to the default parallelism (Spark sorts before a
-    round-robin repartition, so a retried task sees the same rows). Inputs
-    that already have as many partitions as cores, as any large table does,
-    are returned unchanged.
+def spread_for_fit(df: DataFrame, keys: Sequence[str], partitions: int = 32) -> DataFrame:
+    """The same rows in the same partitions on any cluster, for learners that
+    draw per partition (forests, boosting): dealt by a hash of ``keys`` into a
+    fixed number of partitions, and sorted inside them. ``partitions`` is part
+    of the model's definition, like its seed; raise it with the data, to about
+    200 MB of assembled rows each.
     """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # Connect: no RDD view; leave the plan alone
-        return df
-    return df.repartition(cores) if have < cores else df
+    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
 def persist_prepared(df: DataFrame) -> DataFrame:

@@ -189,6 +189,8 @@ def histogram_overlay(df: DataFrame, cols: Sequence[str], n_bins: int = 30) -> D
         for c in cols])).alias("s")).select("s.*")
     r = stacked.agg(F.min("value").alias("lo"), F.max("value").alias("hi")).first()
     lo, hi = r["lo"], r["hi"]
+    if lo is None:      # no value at all: no range, no bins
+        return df.sparkSession.createDataFrame([], "series string, bin int, lo double, hi double, count long")
     width = (hi - lo) / n_bins
     counts = (stacked.where(F.col("value").isNotNull())
                      .groupBy("series", _bin_expr(F.col("value"), lo, hi, n_bins).alias("bin"))
@@ -207,6 +209,8 @@ def hist2d(df: DataFrame, x: str, y: str, nx: int = 30, ny: int = 30) -> DataFra
     (bin_x, bin_y, count) cells only."""
     r = df.agg(F.min(x).alias("x0"), F.max(x).alias("x1"),
                F.min(y).alias("y0"), F.max(y).alias("y1")).first()
+    if r["x0"] is None or r["y0"] is None:
+        return df.sparkSession.createDataFrame([], "bin_x int, bin_y int, count long")
     return (df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
               .groupBy(_bin_expr(F.col(x), r["x0"], r["x1"], nx).alias("bin_x"),
                        _bin_expr(F.col(y), r["y0"], r["y1"], ny).alias("bin_y"))
@@ -274,15 +278,17 @@ def kde_grid(df: DataFrame, col: str, n_points: int = 100, bandwidth: float | No
     Bandwidth defaults to Scott's rule (n^-1/5 times the sample std). The
     grid spans min - cut*h to max + cut*h. Every grid density is a sum over
     all rows, so the whole grid is one aggregate of ``n_points`` sums: one
-    scan, linear in rows, no pairing of rows with grid points.
+    scan, linear in rows, no pairing of rows with grid points. Without values
+    or spread (and no bandwidth given) all densities are null.
     """
     r = df.agg(F.count(col).alias("n"), F.stddev_samp(col).alias("sd"),
                F.min(col).alias("lo"), F.max(col).alias("hi")).first()
     n = r["n"]
     h = bandwidth or ((r["sd"] or 0.0) * n ** (-1.0 / 5.0) if n else 0.0)
-    if not n or not h or h <= 0:
-        raise ValueError(f"kde_grid needs non-null values with spread in {col} "
-                         "(or an explicit bandwidth)")
+    if not n or not h or h <= 0:    # no value, or no spread to choose a bandwidth by
+        return df.sparkSession.createDataFrame(
+            [(k, None if r["lo"] is None else float(r["lo"]), None) for k in range(n_points)],
+            "point int, x double, density double")
     lo, hi = r["lo"] - cut * h, r["hi"] + cut * h
     step = (hi - lo) / (n_points - 1)
     grid = [lo + k * step for k in range(n_points)]

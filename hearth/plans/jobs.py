@@ -109,7 +109,8 @@ def price_prediction(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str
                      parallelism: int = 3, split: Sequence[float] = (0.9, 0.2),
                      split_key: Column | None = None, seed: int = 7,
                      impute_numeric: bool = False,
-                     out_col: str = "PredictedSalePrice") -> PricePredictionResult:
+                     out_col: str = "PredictedSalePrice",
+                     fit_partitions: int = 32) -> PricePredictionResult:
     """The batch prediction job.
 
     ``grid=None`` fits ``estimator`` (default: elastic-net linear regression
@@ -120,7 +121,7 @@ def price_prediction(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str
     # The training rows feed the indexer fit, the model fit and the
     # validation pass; keep them once instead of re-reading (and re-joining)
     # the sources three times. Lost blocks are recomputed from lineage.
-    train = models.persist_prepared(models.spread_for_fit(train))
+    train = models.persist_prepared(models.spread_for_fit(train, [id_cols] if isinstance(id_cols, str) else list(id_cols), fit_partitions))
     tr, te, feats, idx_model = prepare(train, test, id_cols=id_cols, label=label, drop=drop,
                                        marker_col=marker_col, exclude=exclude,
                                        exclude_col=exclude_col, log_cols=log_cols,

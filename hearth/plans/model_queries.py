@@ -62,7 +62,7 @@ def _prepared(spark, d, spread: bool = False):
     train, score = train_and_score_frames(spark, d)
     tr, te, _, _ = prepare(train, score, id_cols=ID, label="l_extendedprice",
                            categorical=["p_brand", "p_type"])
-    return (models.spread_for_fit(tr) if spread else tr), te
+    return (models.spread_for_fit(tr, ID) if spread else tr), te
 
 
 def _fit_score(spark, d, est, spread: bool = False):
@@ -163,7 +163,8 @@ def _representation_frame(spark, d, q_step=5.0, d_step=2.0):
     indicator, with a hash train/test flag (orders split 80/20)."""
     l = models.spread_for_fit(table(spark, d, "lineitem").select(
         "l_orderkey", "l_quantity", (F.col("l_discount") * 100).alias("disc_pct"),
-        (F.col("l_extendedprice") / 1000.0).alias("label")))
+        (F.col("l_extendedprice") / 1000.0).alias("label")),
+        ["l_orderkey", "l_quantity", "disc_pct", "label"])
     b = features.regular_boundaries_many(l, {"l_quantity": q_step, "disc_pct": d_step})
     qb, db = b["l_quantity"], b["disc_pct"]
     nq, nd = len(qb) + 1, len(db) + 1

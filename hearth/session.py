@@ -38,7 +38,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster this setting points at shared storage and is only read.
     When it is unset (a local test session) a folder is created under the
-    system temp dir and registered, so ``DataFrame.checkpoint()`` works.
+    system temp dir and registered, so ``DataFrame.checkpoint()`` works. On
+    any other master an unset folder is an error: executors and driver would
+    each see a folder of their own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -49,6 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current.isDefined():
         return current.get()
     if not path:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="hearth-ckpt-")
     elif "://" not in path:
         os.makedirs(path, exist_ok=True)

@@ -131,10 +131,9 @@ def test_mlp_minibatch_epochs(spark):
     assert mini.history[-1] < full.history[-1]
 
 
-def test_spread_for_fit_only_spreads_small_inputs(spark):
-    cores = spark.sparkContext.defaultParallelism
-    small = spark.range(100).coalesce(1)
-    spread = models.spread_for_fit(small)
-    assert spread.rdd.getNumPartitions() == cores and spread.count() == 100
-    large = spark.range(100).repartition(cores + 3)
-    assert models.spread_for_fit(large) is large
+def test_spread_for_fit_gives_the_same_partitions_for_any_input_split(spark):
+    def placed(df):
+        out = models.spread_for_fit(df, ["id"], 6)
+        assert out.rdd.getNumPartitions() == 6
+        return out.rdd.glom().map(lambda rows: [r.id for r in rows]).collect()
+    assert placed(spark.range(100).coalesce(1)) == placed(spark.range(99, -1, -1).repartition(7))

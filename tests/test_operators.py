@@ -320,3 +320,46 @@ def test_corr_matrix_chunked_equals_single_pass(spark):
             for r in profile.correlation_matrix(df, max_pairs_per_pass=4).collect()}
     assert len(one) == 49 and one.keys() == many.keys()
     assert all(one[k] == pytest.approx(many[k]) for k in one)
+
+
+def test_mix_unit_uses_all_bits_of_the_key(spark):
+    from hearth.functions.scalar import mix_unit, mix_unit_sql
+    import duckdb
+    keys = [5, 5 + 2 ** 31, 5 + 2 ** 33, 5 + 2 ** 62, 2 ** 31 - 1, 2 ** 40 + 7]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    got = [r[0] for r in df.select(mix_unit("k", 3)).collect()]
+    assert len(set(got)) == len(keys)
+    assert got == [duckdb.sql(f"SELECT {mix_unit_sql(str(k), 3)}").fetchall()[0][0] for k in keys]
+
+
+def test_quantiles_of_heavy_tails_and_infinities(spark):
+    import math
+    import numpy as np
+    from hearth.operators.ranking import column_quantiles
+    rng = np.random.default_rng(1)
+    values = {"x": 10 ** rng.uniform(-300, 300, 20_000),
+              "y": np.concatenate([rng.normal(size=19_990), [math.inf] * 6, [-math.inf] * 4])}
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(*values.values())], "x double, y double")
+    probs = [0.0, 0.0001, 0.25, 0.5, 0.75, 1.0]
+    found = column_quantiles(df, ["x", "y"], probs, max_fetch=50)
+    for c, v in values.items():
+        v = np.sort(v)
+        for p, got in zip(probs, found[c]):
+            h = (len(v) - 1) * p
+            a, b = v[math.floor(h)], v[math.ceil(h)]
+            want = a if a == b or h == math.floor(h) else a + (h - math.floor(h)) * (b - a)
+            assert got == want or got == pytest.approx(want, rel=1e-12)
+
+
+def test_empty_ranges_and_string_labels(spark):
+    from hearth.operators import clean, metrics, profile
+    none = spark.createDataFrame([(None, None)], "a double, b double")
+    assert profile.histogram_overlay(none, ["a", "b"]).count() == 0
+    assert profile.hist2d(none, "a", "b").count() == 0
+    flat = spark.createDataFrame([(2.0,), (2.0,)], "a double")
+    assert {r.density for r in profile.kde_grid(flat, "a").collect()} == {None}
+    words = spark.createDataFrame([("x",), ("y",), ("y",), ("x",)], "label string")
+    assert metrics.majority_baseline(words, "label").first().majority_class == "x"
+    ids = spark.createDataFrame([(1,), (None,), (2,)], "id long")
+    drop = spark.createDataFrame([(1,)], "id long")
+    assert clean.exclude_ids(ids, "id", [1]).count() == clean.exclude_ids(ids, "id", drop).count() == 2
