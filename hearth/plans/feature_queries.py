@@ -88,8 +88,8 @@ def bucketize_q(spark, d):
 def _grid(spark, d):
     l = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
                                            "l_extendedprice")
-    qb = features.regular_boundaries(l, "l_quantity", 5.0)
-    pb = features.regular_boundaries(l, "l_extendedprice", 10000.0)
+    bounds = features.regular_boundaries_many(l, {"l_quantity": 5.0, "l_extendedprice": 10000.0})
+    qb, pb = bounds["l_quantity"], bounds["l_extendedprice"]
     g = l.select("l_orderkey", "l_linenumber",
                  features.bucket_index("l_quantity", qb).alias("qty_bucket"),
                  features.bucket_index("l_extendedprice", pb).alias("price_bucket"))
@@ -131,11 +131,10 @@ def indicator_q(spark, d):
     g, n1, n2 = _grid(spark, d)
     g = g.withColumn("cell", features.cross_cell("qty_bucket", "price_bucket", n2))
     v = features.indicator(g, ["cell"], [n1 * n2], ["cell_vec"])
-    v = v.select("l_orderkey", "l_linenumber", vector_to_array("cell_vec").alias("a"))
-    return v.select("l_orderkey", "l_linenumber",
-                    (F.array_position("a", 1.0) - 1).cast("int").alias("hot_index"),
-                    F.size("a").alias("width"),
-                    F.size(F.array_remove("a", 0.0)).alias("n_hot"))
+    # the sparse vector's own fields: no dense array per row
+    v = v.select("l_orderkey", "l_linenumber", F.unwrap_udt("cell_vec").alias("u"))
+    return v.select("l_orderkey", "l_linenumber", F.col("u.indices")[0].cast("int").alias("hot_index"),
+                    F.col("u.size").alias("width"), F.size("u.indices").alias("n_hot"))
 
 
 @query("high_value_label", "E13,F3", """

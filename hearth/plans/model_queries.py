@@ -136,25 +136,36 @@ def model_roundtrip(spark, d):
 
 
 def _docs(spark, d):
+    """All documents with features of their text; labelled ones with ``label``
+    and a hash split into train and test, others with split ``unlabelled``."""
     lab = table(spark, d, "labels").select("doc_id", "quality")
-    docs = table(spark, d, "documents").select("doc_id", "n_chars", "lang", "source")
-    j = lab.join(docs, "doc_id").withColumn("x_len", F.log1p(F.col("n_chars").cast("double")))
+    text = F.coalesce("text", F.lit(""))
+    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    n_words = F.greatest(F.size(words), F.lit(1))
+    docs = table(spark, d, "documents").select(
+        "doc_id", "lang", "source", F.log1p(F.length(text).cast("double")).alias("x_len"),
+        (F.length(F.regexp_replace(text, r"[\p{L}\s]+", "")) / F.greatest(F.length(text), F.lit(1))).alias("x_marks"),
+        (F.size(F.array_distinct(words)) / n_words).alias("x_distinct"))
+    j = docs.join(lab, "doc_id", "left")
     j, _ = features.string_index(j, ["lang", "source"])
-    return j.withColumn("label", F.col("quality").cast("double"))
+    split = (F.when(F.col("quality").isNull(), "unlabelled")
+             .when(mix_unit("doc_id", SEED) < 0.8, "train").otherwise("test"))
+    return j.withColumn("label", F.col("quality").cast("double")).withColumn("split", split)
 
 
 @query("logistic_predict", "I11,B9")
 def logistic_predict(spark, d):
-    """Quality probability from length, language and source."""
+    """Quality probability of every document from its text's shape, language and
+    source; fitted on the labelled documents of the train split."""
     j = _docs(spark, d)
     enc = OneHotEncoder(inputCols=["lang_Index", "source_Index"],
                         outputCols=["lang_vec", "source_vec"], dropLast=False)
-    asm = features.assembler(["x_len", "lang_vec", "source_vec"])
+    asm = features.assembler(["x_len", "x_marks", "x_distinct", "lang_vec", "source_vec"])
     from pyspark.ml.classification import LogisticRegression
     pipe = Pipeline(stages=[enc, asm, LogisticRegression(maxIter=50, regParam=0.01)])
-    model = pipe.fit(j)
+    model = pipe.fit(j.filter("split = 'train'"))
     scored = models.positive_probability(model.transform(j))
-    return scored.select("doc_id", "quality", F.col("p").alias("p_quality"),
+    return scored.select("doc_id", "split", "quality", F.col("p").alias("p_quality"),
                          F.col("prediction").alias("predicted"))
 
 

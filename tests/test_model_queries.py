@@ -34,11 +34,14 @@ def test_leaderboard_sorted(spark):
                                            "RandomForestRegressor", "GBTRegressor"}
 
 
-def test_logistic_probabilities(spark):
-    df = Q["logistic_predict"](spark, SF0001)
-    r = df.agg(F.min("p_quality"), F.max("p_quality"), F.count(F.lit(1))).first()
-    assert 0.0 <= r[0] <= r[1] <= 1.0
-    assert r[2] == table(spark, SF0001, "labels").count()
+def test_logistic_predict_beats_majority_on_held_out_rows(spark):
+    df = Q["logistic_predict"](spark, SF0001).cache()
+    assert df.count() == spark.read.parquet(f"{SF0001}/documents.parquet").count()
+    test = [r for r in df.filter("split = 'test'").collect()]
+    right = sum(r.predicted == r.quality for r in test) / len(test)
+    majority = max(sum(r.quality == k for r in test) for k in (0, 1)) / len(test)
+    assert right > majority
+    assert df.filter("p_quality < 0 or p_quality > 1 or p_quality is null").count() == 0
 
 
 def test_histories_and_comparisons(spark):
