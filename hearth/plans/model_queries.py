@@ -249,7 +249,7 @@ def mlp_predict(spark, d):
 def mlp_history(spark, d):
     """Training MSE per epoch of the regularised network (L2 0.04, dropout 0.25)."""
     train, _ = _embedding_frames(spark, d)
-    model = mlp.fit_mlp(train, hidden=(20, 12), epochs=20, learning_rate=0.007, l2=0.04,
+    model = mlp.fit_mlp(train, hidden=(20, 12), epochs=140, learning_rate=0.007, l2=0.04,
                         dropout=0.25, seed=SEED)
     return models.training_history(spark, model.history, "mse")
 
