@@ -9,8 +9,8 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hearth.functions.scalar import count_below, log1p
-from hearth.operators.ranking import column_quantiles
+from hearth.functions.scalar import count_below, log1p, mix_unit, mix_unit_sql
+from hearth.operators.ranking import column_quantiles, global_rank
 
 
 def log1p_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
@@ -64,16 +64,20 @@ def regular_boundaries_many(df: DataFrame, steps: Mapping[str, float]) -> dict[s
                  *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
     out = {}
     for i, c in enumerate(cols):
-        lo, hi = row[f"lo{i}"], row[f"hi{i}"]
-        if lo is None:
-            out[c] = []
-            continue
-        start, stop = math.trunc(lo), math.trunc(hi)
-        n = max(0, math.ceil((stop - start) / steps[c]))
-        out[c] = [start + k * steps[c] for k in range(n)]
+        out[c] = boundaries_between(row[f"lo{i}"], row[f"hi{i}"], steps[c])
     return out
 
 
+def boundaries_between(lo: float | None, hi: float | None, step: float) -> list[float]:
+    """``arange(int(lo), int(hi), step)`` for known extremes (E6); empty for none."""
+    if step <= 0:
+        raise ValueError("step must be positive")
+    if lo is None:
+        return []
+    start, stop = math.trunc(lo), math.trunc(hi)
+    return [start + k * step for k in range(max(0, math.ceil((stop - start) / step)))]
+
+
 def bucket_index(c: Column | str, boundaries: Sequence[float]) -> Column:
     """Bucket id: 0 = (-inf, b0), i = [b(i-1), b(i)), last = [bn, +inf).
 
@@ -93,11 +97,21 @@ def cross_cell(b1: Column | str, b2: Column | str, n2: int) -> Column:
     return b1 * F.lit(int(n2)) + b2
 
 
-def hashed_cross(b1: Column | str, b2: Column | str, bins: int = 100) -> Column:
-    """Hashed feature cross into ``bins`` buckets (E8, hash variant)."""
+def hashed_cross(b1: Column | str, b2: Column | str, bins: int = 100, seed: int = 0) -> Column:
+    """Hashed feature cross into ``bins`` buckets (E8, hash variant).
+
+    An integer mix of the two bucket ids (see ``mix_unit``), so any engine
+    can reproduce the bins. Ids are at least 0; null ids give a null bin."""
     b1 = F.col(b1) if isinstance(b1, str) else b1
     b2 = F.col(b2) if isinstance(b2, str) else b2
-    return F.pmod(F.xxhash64(b1, b2), F.lit(int(bins))).cast("int")
+    key = F.shiftleft(b1.cast("long"), 31) + b2.cast("long")
+    return F.floor(mix_unit(key, seed) * F.lit(int(bins))).cast("int")
+
+
+def hashed_cross_sql(b1_sql: str, b2_sql: str, bins: int = 100, seed: int = 0) -> str:
+    """SQL text (DuckDB dialect) of :func:`hashed_cross`."""
+    key = f"({b1_sql})::BIGINT * {1 << 31} + ({b2_sql})::BIGINT"
+    return f"floor({mix_unit_sql(key, seed)} * {int(bins)})::INTEGER"
 
 
 def indicator(df: DataFrame, cols: Sequence[str], sizes: Sequence[int],
@@ -139,6 +153,35 @@ def string_index(df: DataFrame, cols: Sequence[str], *, handle_invalid: str = "k
     return (out.drop(*cols) if drop_source else out), model
 
 
+def level_codes(df: DataFrame, col: str, code_col: str | None = None) -> DataFrame:
+    """(``col``, code) per distinct non-null value: most frequent = 0, ties
+    alphabetical, like :func:`string_indexer` (E12), but with no bound on the
+    number of values: they are counted by a grouped aggregate and numbered by
+    a distributed rank, never gathered in one task or on the driver."""
+    code_col = code_col or f"{col}_Index"
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    ranked, _ = global_rank(counts, [F.desc("_n"), F.asc(col)], rank_col="_r")
+    return ranked.select(col, (F.col("_r") - 1).cast("double").alias(code_col))
+
+
+def apply_level_codes(df: DataFrame, codes: DataFrame, col: str, *, drop_source: bool = True) -> DataFrame:
+    """Replace ``col`` by its code from :func:`level_codes`; null for a null or
+    unseen value. An equi-join: the planner broadcasts the codes when it
+    measures them under its threshold, and otherwise AQE splits a hot value."""
+    out = df.join(codes, col, "left")
+    return out.drop(col) if drop_source else out
+
+
+def one_hot_long(df: DataFrame, id_cols: Sequence[str], col: str) -> DataFrame:
+    """One-hot encoding in long form (C11): (ids, ``level``, ``code``) with one
+    row per row of ``df``, the position of its single 1. The width has no
+    bound, unlike ``clean.one_hot_columns``, which makes one column per value.
+    Null values have no 1 and give null ``level`` and ``code``."""
+    src = df.select(*id_cols, F.col(col).alias("level"))
+    codes = level_codes(src, "level", "code")
+    return src.join(codes.withColumn("code", F.col("code").cast("long")), "level", "left").select(*id_cols, "level", "code")
+
+
 def quantile_label(df: DataFrame, col: str, q: float = 0.75, out: str | None = None,
                    threshold: float | None = None) -> DataFrame:
     """Binary label 1.0 if x > quantile(q) else 0.0."""

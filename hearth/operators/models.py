@@ -142,6 +142,37 @@ def fit_logistic(df: DataFrame, features: str = "features", label: str = "label"
                               regParam=reg).fit(df)
 
 
+def cell_mean_errors(df: DataFrame, keys: Sequence[str], cell: str, label: str, is_train) -> DataFrame:
+    """(``keys``, n_cells, train_rmse, test_rmse) of linear models on one
+    crossed indicator each (I17): the least-squares fit is the mean of every
+    cell's training labels, so no solver and no bound on the cells is needed.
+
+    A cell without training rows answers with the mean over all training rows
+    of its key. One shuffle on (keys, cell) of partial moments, then one on
+    the keys; null labels are left out, and a side without rows gives null.
+    """
+    y, tr = F.col(label).cast("double"), is_train
+    cells = df.where(y.isNotNull()).groupBy(*keys, cell).agg(
+        F.count_if(tr).alias("_n"), F.avg(F.when(tr, y)).alias("_m"), F.var_pop(F.when(tr, y)).alias("_v"),
+        F.count_if(~tr).alias("_tn"), F.avg(F.when(~tr, y)).alias("_tm"), F.var_pop(F.when(~tr, y)).alias("_tv"))
+    seen, n, tn, tm = F.col("_n") > 0, F.col("_n"), F.col("_tn"), F.col("_tm")
+    per_key = cells.groupBy(*keys).agg(
+        F.count_if(seen).alias("n_cells"), F.sum("_n").alias("n"), F.sum("_tn").alias("tn"),
+        F.try_divide(F.sum(n * F.col("_m")), F.sum("_n")).alias("mean"),
+        F.sum(n * F.col("_v")).alias("sse"),
+        F.sum(F.when(seen, tn * (F.col("_tv") + F.pow(tm - F.col("_m"), 2)))).alias("t_sse"),
+        # test rows of cells the fit has not seen: their moments about zero
+        F.sum(F.when(~seen, tn)).alias("un"), F.sum(F.when(~seen, tn * tm)).alias("us"),
+        F.sum(F.when(~seen, tn * (F.col("_tv") + tm * tm))).alias("uss"))
+
+    def zero(c):
+        return F.coalesce(F.col(c), F.lit(0.0))
+    unseen = zero("uss") - 2 * zero("mean") * zero("us") + zero("mean") ** 2 * zero("un")
+    return per_key.select(*keys, "n_cells", F.sqrt(F.try_divide(F.col("sse"), F.col("n"))).alias("train_rmse"),
+                          F.when(F.col("n") > 0, F.sqrt(F.try_divide(zero("t_sse") + unseen, F.col("tn"))))
+                           .alias("test_rmse"))
+
+
 def positive_probability(scored: DataFrame, prob_col: str = "probability",
                          out: str = "p") -> DataFrame:
     """P(class 1) as a double column."""

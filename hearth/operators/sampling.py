@@ -20,8 +20,12 @@ def _draw(key: str, seed: int, draw: Column | None) -> Column:
     return draw if draw is not None else unit_hash(key, seed)
 
 
-def sort_desc(df: DataFrame, col: str, tie: str | None = None) -> DataFrame:
-    """Descending sort (G1); range-partitioned, no single task."""
+def sort_desc(df: DataFrame, col: str, tie: str | None = None,
+              position: str | None = None) -> DataFrame:
+    """Descending sort (G1); range-partitioned, no single task. ``position``
+    names a column for each row's 1-based place; ``tie`` must then be unique."""
+    if position:
+        return global_rank(df, [F.desc(col), F.asc(tie)], rank_col=position)[0]
     return df.orderBy(F.desc(col), *([F.asc(tie)] if tie else []))
 
 

@@ -2,6 +2,7 @@
 
 from hearth.plans.registry import QUERIES, ORACLES, SURVEY_IDS
 from hearth.plans import (cleaning_queries, feature_queries, sampling_queries,  # noqa: F401
-                          profile_queries, stats_queries, model_queries, source_queries)
+                          profile_queries, stats_queries, model_queries, source_queries,
+                          closed_form_queries)
 
 __all__ = ["QUERIES", "ORACLES", "SURVEY_IDS"]

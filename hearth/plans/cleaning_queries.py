@@ -213,12 +213,13 @@ def schema_profile(spark, d):
 
 
 @query("sorted_desc", "G1", """
-SELECT c_custkey, c_acctbal FROM customer
+SELECT c_custkey, c_acctbal, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS position
+FROM customer
 """)
 def sorted_desc(spark, d):
     """All customers by balance, descending (range-partitioned sort)."""
     c = table(spark, d, "customer").select("c_custkey", "c_acctbal")
-    return sampling.sort_desc(c, "c_acctbal", tie="c_custkey")
+    return sampling.sort_desc(c, "c_acctbal", tie="c_custkey", position="position")
 
 
 @query("first_rows", "G4", """

@@ -111,9 +111,17 @@ def cross_cell(spark, d):
     return g.withColumn("cell", features.cross_cell("qty_bucket", "price_bucket", n2))
 
 
-@query("hashed_cross", "E8")
+@query("hashed_cross", "E8", f"""
+WITH {_PRICE_BOUNDS_SQL.strip()}, {_QTY_BOUNDS_SQL.strip()}
+SELECT l_orderkey, l_linenumber, qty_bucket, price_bucket,
+       {features.hashed_cross_sql('qty_bucket', 'price_bucket', 100)} AS cross_bin
+FROM (SELECT l_orderkey, l_linenumber,
+             {_bucket_sql('l_quantity', 'qstart', '5.0', 'nq')} AS qty_bucket,
+             {_bucket_sql('l_extendedprice', 'start', '10000.0', 'nb')} AS price_bucket
+      FROM lineitem, b, bq)
+""")
 def hashed_cross(spark, d):
-    """Hashed cross of the two buckets into 100 bins (xxhash64; no SQL twin)."""
+    """Hashed cross of the two buckets into 100 bins."""
     g, _, _ = _grid(spark, d)
     return g.withColumn("cross_bin", features.hashed_cross("qty_bucket", "price_bucket", 100))
 
@@ -169,8 +177,17 @@ SELECT p_partkey, p_brand_Index FROM part JOIN r USING (p_brand)
 def string_index(spark, d):
     """Brand codes by frequency (most frequent = 0, ties alphabetical)."""
     p = table(spark, d, "part").select("p_partkey", "p_brand")
-    out, _ = features.string_index(p, ["p_brand"])
-    return out
+    return features.apply_level_codes(p, features.level_codes(p, "p_brand"), "p_brand")
+
+
+@query("one_hot_long", "C11", """
+WITH c AS (SELECT p_type, count(*) AS n FROM part GROUP BY p_type),
+r AS (SELECT p_type, row_number() OVER (ORDER BY n DESC, p_type) - 1 AS code FROM c)
+SELECT p_partkey, p_type AS level, code::BIGINT AS code FROM part JOIN r USING (p_type)
+""")
+def one_hot_long(spark, d):
+    """Part types one-hot in long form: the position of each row's 1."""
+    return features.one_hot_long(table(spark, d, "part"), ["p_partkey"], "p_type")
 
 
 @query("feature_block", "E11,E15", """

@@ -14,7 +14,6 @@ from hearth.functions.scalar import mix_unit
 from hearth.operators import features, mlp, models
 from hearth.plans.jobs import price_prediction, prepare
 from hearth.plans.registry import query
-from hearth.session import checkpoint_dir
 from hearth.sources.tables import table
 
 SEED = 7
@@ -123,18 +122,6 @@ def training_history(spark, d):
     return models.training_history(spark, m.summary.objectiveHistory, "objective")
 
 
-@query("model_roundtrip", "I19")
-def model_roundtrip(spark, d):
-    """Fit, save to the shared checkpoint folder, load back and score."""
-    import uuid
-    tr, te = _prepared(spark, d)
-    pm = Pipeline(stages=[LinearRegression(solver="normal", regParam=0.01)]).fit(tr)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
-    models.save_model(pm, path)
-    loaded = models.load_pipeline_model(path)
-    return loaded.transform(te).select(*ID, "prediction")
-
-
 def _docs(spark, d):
     """All documents with features of their text; labelled ones with ``label``
     and a hash split into train and test, others with split ``unlabelled``."""
@@ -215,19 +202,6 @@ def representation_compare(spark, d):
     return spark.createDataFrame(rows, "representation string, train_rmse double, test_rmse double")
 
 
-@query("resolution_sweep", "I17")
-def resolution_sweep(spark, d):
-    """Crossed-indicator model at several bucket resolutions."""
-    rows = []
-    for q_step, d_step in ((10.0, 5.0), (5.0, 2.0), (2.0, 1.0)):
-        frame = _representation_frame(spark, d, q_step, d_step)
-        tr, te = _rmse_pair(frame, ["cell_vec"])
-        frame.unpersist()
-        rows.append((q_step, d_step, tr, te))
-    return spark.createDataFrame(rows, "qty_step double, disc_step double, "
-                                       "train_rmse double, test_rmse double")
-
-
 def _embedding_frames(spark, d):
     e = table(spark, d, "embeddings").select(
         F.col("vec_id").alias("row_id"),

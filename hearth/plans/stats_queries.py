@@ -54,11 +54,29 @@ def ols_inference(spark, d):
     return tab.select("term", *[F.round(c, 6).alias(c) for c in ("estimate", "std_error", "t_value")])
 
 
-@query("ols_pvalues", "F17")
+# Two-sided t tail with no special function: t = sqrt(df) tan(u) turns the density into
+# cos(u)^(df-1), integrated by Simpson's rule over the tail and over the whole half line.
+_PVALUE_SQL = """
+ts AS (SELECT n - 2 AS df, '(Intercept)' AS term, a / sqrt(s2 * (1.0 / n + ax * ax / sxx)) AS t_value FROM e
+       UNION ALL SELECT n - 2, 'l_quantity', b / sqrt(s2 / sxx) FROM e),
+half AS (SELECT df, term, t_value, atan(abs(t_value) / sqrt(df)) AS u0,
+                least(pi() / 2, 60 / sqrt(df)) AS u1 FROM ts),
+w AS (SELECT i / 200000.0 AS x, CASE WHEN i % 200000 = 0 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS w
+      FROM range(200001) r(i)),
+p AS (SELECT term, t_value,
+             sum(w * cos(least(u0, u1) + (u1 - least(u0, u1)) * x) ** (df - 1)) * (u1 - least(u0, u1))
+             / (sum(w * cos(u1 * x) ** (df - 1)) * u1) AS p_value
+      FROM half, w GROUP BY term, t_value, u0, u1, df)"""
+
+
+@query("ols_pvalues", "F17", f"""
+WITH {_OLS_SQL.strip()}, {_PVALUE_SQL.strip()}
+SELECT term, round(t_value, 6) AS t_value, round(p_value, 9) AS p_value FROM p
+""")
 def ols_pvalues(spark, d):
-    """Two-sided p-values of the coefficients (t distribution; no SQL twin)."""
+    """Two-sided p-values of the coefficients (t distribution)."""
     tab = ols.coefficient_table(_li(spark, d), "l_extendedprice", "l_quantity")
-    return tab.select("term", "t_value", "p_value")
+    return tab.select("term", F.round("t_value", 6).alias("t_value"), F.round("p_value", 9).alias("p_value"))
 
 
 @query("ols_summary", "F17", f"""
@@ -88,10 +106,22 @@ def ols_summary(spark, d):
                      F.round("f_statistic", 6).alias("f_statistic"))
 
 
-@query("ols_confint", "F18")
+# The normal quantile at 0.975 (published value) expanded in powers of 1/df to the t quantile.
+_Z = 1.959963984540054
+_TQ_SQL = (f"({_Z} + {(_Z**3 + _Z) / 4} / (n - 2) + {(5 * _Z**5 + 16 * _Z**3 + 3 * _Z) / 96} / (n - 2) ** 2"
+           f" + {(3 * _Z**7 + 19 * _Z**5 + 17 * _Z**3 - 15 * _Z) / 384} / (n - 2) ** 3)")
+
+
+@query("ols_confint", "F18", f"""
+WITH {_OLS_SQL.strip()},
+c AS (SELECT '(Intercept)' AS term, a AS est, {_TQ_SQL} * sqrt(s2 * (1.0 / n + ax * ax / sxx)) AS half FROM e
+      UNION ALL SELECT 'l_quantity', b, {_TQ_SQL} * sqrt(s2 / sxx) FROM e)
+SELECT term, 0.95::DOUBLE AS level, round(est - half, 6) AS lower, round(est + half, 6) AS upper FROM c
+""")
 def ols_confint(spark, d):
-    """95% confidence intervals (t quantile; no SQL twin)."""
-    return ols.confint(_li(spark, d), "l_extendedprice", "l_quantity", 0.95)
+    """95% confidence intervals (t quantile)."""
+    ci = ols.confint(_li(spark, d), "l_extendedprice", "l_quantity", 0.95)
+    return ci.select("term", "level", F.round("lower", 6).alias("lower"), F.round("upper", 6).alias("upper"))
 
 
 @query("fitted_line", "F19", f"""

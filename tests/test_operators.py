@@ -168,6 +168,26 @@ def test_t_distribution_values():
     assert D.f_sf(4.964602743, 1, 10) == pytest.approx(0.05, abs=1e-7)
 
 
+def test_t_tail_of_many_degrees_of_freedom():
+    import math
+    import numpy as np
+    for df in (1000, 59998, 10 ** 7):
+        for t in (0.84, 1.96, 5.0):
+            # t = sqrt(df) tan(u); Simpson's rule over the tail and the half line
+            u0, u1 = math.atan(t / math.sqrt(df)), min(math.pi / 2, 60 / math.sqrt(df))
+
+            def area(a, b, n=400_000):
+                i = np.arange(n + 1)
+                w = np.where(i % n == 0, 1, np.where(i % 2 == 1, 4, 2))
+                u = a + (b - a) * i / n
+                with np.errstate(divide="ignore"):
+                    return float(np.sum(w * np.exp((df - 1) * 0.5 * np.log1p(-np.sin(u) ** 2)))) * (b - a) / n
+            assert D.t_two_sided_p(t, df) == pytest.approx(area(u0, u1) / area(0.0, u1), rel=1e-9)
+    # at a trillion rows the t tail is the normal tail
+    assert D.t_two_sided_p(1.96, 1e12) == pytest.approx(math.erfc(1.96 / math.sqrt(2)), rel=1e-11)
+    assert D.t_quantile(0.975, 1e12) == pytest.approx(1.959963984540054, abs=1e-10)
+
+
 def test_inverse_normal(spark):
     df = spark.createDataFrame([(0.5,), (0.975,), (0.01,), (0.0,)], "p double")
     got = [r[0] for r in df.select(inverse_normal_cdf("p")).collect()]
@@ -274,24 +294,56 @@ def test_quantiles_extreme_range(spark):
 
 
 def test_hashed_cross_matches_brute_force(spark):
-    """xxhash64 over (b1, b2) with Spark's chaining: each column is hashed
-    with the previous hash as seed, starting from 42; then mod 100."""
-    import struct
-    import xxhash
-
-    def spark_xxhash64(values, seed=42):
-        h = seed
-        for v in values:
-            h = xxhash.xxh64(struct.pack("<i", v), seed=h & 0xFFFFFFFFFFFFFFFF).intdigest()
-            h = h - (1 << 64) if h >= (1 << 63) else h
-        return h
-
-    pairs = [(a, b) for a in range(-3, 12) for b in range(0, 9)]
+    pairs = [(a, b) for a in range(0, 300, 7) for b in range(0, 9)] + [(None, 1), (2, None)]
     df = spark.createDataFrame(pairs, "b1 int, b2 int")
     got = {(r.b1, r.b2): r.h for r in df.select("b1", "b2",
            features.hashed_cross("b1", "b2", 100).alias("h")).collect()}
-    want = {(a, b): spark_xxhash64([a, b]) % 100 for a, b in pairs}
-    assert got == want
+    import duckdb
+    con = duckdb.connect()
+    for (a, b), h in got.items():
+        if a is None or b is None:
+            assert h is None
+        else:
+            assert h == con.execute("SELECT " + features.hashed_cross_sql(str(a), str(b), 100)).fetchone()[0]
+    assert len({h for h in got.values() if h is not None}) > 90      # the bins are used evenly
+
+
+def test_level_codes_match_the_indexer_and_keep_nulls(spark):
+    vals = ["b", "a", "c", "b", "a", "d", None, "c", "c", None]
+    df = spark.createDataFrame(list(enumerate(vals)), "id int, c string")
+    got = {r.id: r.c_Index for r in
+           features.apply_level_codes(df, features.level_codes(df, "c"), "c").collect()}
+    want = {"c": 0.0, "a": 1.0, "b": 2.0, "d": 3.0, None: None}
+    assert got == {i: want[v] for i, v in enumerate(vals)}
+    model = features.string_indexer(["c"]).fit(df)
+    assert list(model.labelsArray[0]) == ["c", "a", "b", "d"]
+    empty = df.limit(0)
+    assert features.level_codes(empty, "c").count() == 0
+
+
+def test_one_hot_long_has_no_level_bound(spark):
+    df = spark.range(2500).selectExpr("id", "concat('v', id) AS c")
+    rows = features.one_hot_long(df, ["id"], "c").collect()
+    assert len(rows) == 2500 and {r.code for r in rows} == set(range(2500))
+
+
+def test_cell_mean_errors_match_numpy_with_unseen_cells(spark):
+    from hearth.operators import models
+    rows = [(k, i % 5 if i % 4 else 7 + i % 3, float((i * 37) % 11), i % 4 != 0)
+            for k in ("a", "b") for i in range(60)] + [("a", 1, None, True)]
+    df = spark.createDataFrame(rows, "k string, cell int, y double, tr boolean")
+    got = {r.k: r for r in models.cell_mean_errors(df, ["k"], "cell", "y", F.col("tr")).collect()}
+    for key in ("a", "b"):
+        mine = [r for r in rows if r[0] == key and r[2] is not None]
+        train = [r for r in mine if r[3]]
+        base = sum(r[2] for r in train) / len(train)
+        means = {c: sum(r[2] for r in train if r[1] == c) / sum(r[1] == c for r in train)
+                 for c in {r[1] for r in train}}
+        for side, name in ((True, "train_rmse"), (False, "test_rmse")):
+            err = [(r[2] - means.get(r[1], base)) ** 2 for r in mine if r[3] == side]
+            assert got[key][name] == pytest.approx((sum(err) / len(err)) ** 0.5, rel=1e-12)
+    only_train = models.cell_mean_errors(df.where("tr"), ["k"], "cell", "y", F.col("tr")).collect()
+    assert all(r.test_rmse is None and r.train_rmse is not None for r in only_train)
 
 
 def test_unit_hash_matches_brute_force(spark):

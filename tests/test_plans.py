@@ -10,7 +10,7 @@ from conftest import SF0001
 MODEL = {"price_prediction", "lr_predict", "tree_predict", "rf_predict", "gbt_predict",
          "cv_leaderboard", "test_eval", "training_history", "model_roundtrip",
          "logistic_predict", "representation_compare", "resolution_sweep", "mlp_predict",
-         "mlp_history", "mlp_topology"}
+         "mlp_history", "mlp_topology", "lr_two_features", "lr_split_errors", "tree_stump"}
 NAMES = sorted(n for n in E.queries() if n not in MODEL)
 
 
