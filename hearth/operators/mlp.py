@@ -10,7 +10,11 @@ Spark ML has no MLP regressor, so this is a small custom estimator:
 * ``groupBy(k).sum`` reduces the gradients across partitions (a bounded
   K-row result) and Adam updates the weights on the driver.
 
-Full-batch gradients make the result independent of the partitioning.
+Full-batch gradients make the result independent of the partitioning. With
+``batch_size`` each partition takes its own mini-batch steps within an epoch
+and the weights are averaged over the partitions, by rows, at its end: still
+one job per epoch, whatever the row count. Rows are then dealt to a fixed
+number of partitions first, so the result does not depend on the cluster.
 Dropout masks come from a hash of (row id, epoch, unit), so a retried task
 draws the same mask. L2 is added on the driver.
 """
@@ -26,6 +30,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from hearth.operators.models import spread_for_fit
 from hearth.session import ship_package
 
 
@@ -123,21 +128,28 @@ class MLPRegressionModel:
 def fit_mlp(df: DataFrame, *, features: str = "x", label: str = "y", id_col: str = "row_id",
             hidden: Sequence[int] = (20, 12), epochs: int = 20, learning_rate: float = 0.01,
             l2: float = 0.0, l1: float = 0.0, dropout: float = 0.0,
-            batches_per_epoch: int = 1, seed: int = 7) -> MLPRegressionModel:
+            batch_size: int | None = None, partitions: int = 8,
+            seed: int = 7) -> MLPRegressionModel:
     """Fit relu hidden layers + linear output with squared loss and Adam
     (I12); ``l2`` / ``l1`` penalise hidden kernels (sum of squares / of
     absolute values), ``dropout`` masks hidden units (I13). ``history``
     holds the training MSE per epoch (I15).
 
-    ``batches_per_epoch`` > 1 gives mini-batch epochs: the rows are split
-    into that many batches by a hash of (row id, epoch) and each batch is
-    one data-parallel gradient step (one Spark job). The count of steps is
-    a parameter rather than a fixed batch size, so the job count does not
-    grow with the data."""
+    ``batch_size`` = None takes one full-batch step per epoch. Otherwise
+    every one of the ``partitions`` takes a step per ``batch_size`` rows, in
+    an order redrawn each epoch by a hash of (row id, epoch), and the epoch
+    ends with the mean of their weights. ``partitions`` is part of the
+    model's definition, like the seed; raise it with the data. The output
+    bias starts at the mean label. Rows without features or label are left
+    out; a frame with no others raises ``ValueError``."""
     ship_package(df.sparkSession)
-    data = df.select(id_col, features, label).persist(StorageLevel.MEMORY_AND_DISK)
-    first = data.select(F.size(features).alias("d")).first()
-    if first is None:
+    data = df.select(id_col, features, label).where(F.col(features).isNotNull() & F.col(label).isNotNull())
+    if batch_size:
+        data = spread_for_fit(data, [id_col], partitions)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    first = data.agg(F.max(F.size(features)).alias("d"), F.avg(label).alias("m")).first()
+    if first["d"] is None:
+        data.unpersist()
         raise ValueError("empty training frame")
     n_in = int(first["d"])
     shapes = _shapes(n_in, hidden)
@@ -147,6 +159,7 @@ def fit_mlp(df: DataFrame, *, features: str = "x", label: str = "y", id_col: str
         lim = np.sqrt(6.0 / (a + b))
         parts.append(rng.uniform(-lim, lim, size=a * b))
         parts.append(np.zeros(b))
+    parts[-1] = np.array([float(first["m"])])
     theta = np.concatenate(parts)
     k_total = theta.size
     m = np.zeros(k_total)
@@ -160,63 +173,82 @@ def fit_mlp(df: DataFrame, *, features: str = "x", label: str = "y", id_col: str
             hidden_mask[pos:pos + a * b] = True
         pos += a * b + b
 
-    def gradient(part: DataFrame, cur: np.ndarray, epoch: int):
-        """Summed gradient, squared error and row count of ``part`` at ``cur``:
-        one Spark job, reduced by ``groupBy(k)`` (K rows, the model size)."""
-        def grad_part(batches):
+    def penalised(grad: np.ndarray, cur: np.ndarray) -> np.ndarray:
+        if l2:
+            grad = grad + 2.0 * l2 * np.where(hidden_mask, cur, 0.0)
+        if l1:
+            grad = grad + l1 * np.where(hidden_mask, np.sign(cur), 0.0)
+        return grad
+
+    def adam(cur, m, v, grad, step):
+        m = b1 * m + (1 - b1) * grad
+        v = b2 * v + (1 - b2) * grad * grad
+        move = learning_rate * (m / (1 - b1 ** step)) / (np.sqrt(v / (1 - b2 ** step)) + eps)
+        return cur - move, m, v
+
+    def arrays(pdf):
+        return (np.stack(pdf[features].to_numpy()).astype(np.float64),
+                pdf[label].to_numpy(dtype=np.float64), pdf[id_col].to_numpy())
+
+    def reduced(part_fn, size: int):
+        """Sums over partitions of the vectors ``part_fn`` gives, then squared
+        error, row count and steps: one Spark job, ``groupBy(k)`` over ``size`` rows."""
+        vec, tail = np.zeros(size), [0.0, 0.0, 0.0]
+        for r in (data.mapInPandas(part_fn, "k int, g double").groupBy("k")
+                      .agg(F.sum("g").alias("g"), F.max("g").alias("top")).collect()):
+            if r["k"] >= 0:
+                vec[r["k"]] = r["g"]
+            else:
+                tail[-1 - r["k"]] = r["top"] if r["k"] == -3 else r["g"]
+        return vec, tail
+
+    def emitted(vec, sse, n, steps):
+        keys = np.concatenate([np.arange(vec.size), [-1, -2, -3]]).astype("int32")
+        return pd.DataFrame({"k": keys, "g": np.concatenate([vec, [sse, float(n), float(steps)]])})
+
+    def full_step(cur: np.ndarray, epoch: int):
+        def run(batches):
             params = _unpack(cur, shapes)
-            g = np.zeros(k_total)
-            sse, n = 0.0, 0
+            g, sse, n = np.zeros(k_total), 0.0, 0
             for pdf in batches:
-                if pdf.empty:
+                if len(pdf):
+                    x, y, ids = arrays(pdf)
+                    _, s, gr = _forward_backward(x, y, ids, params, dropout, epoch, seed)
+                    g, sse, n = g + gr, sse + s, n + len(pdf)
+            yield emitted(g, sse, n, 1)
+        return run
+
+    def local_steps(cur: np.ndarray, m0: np.ndarray, v0: np.ndarray, done: int, epoch: int):
+        def run(batches):
+            th, m, v = cur, m0, v0
+            sse, n, steps = 0.0, 0, 0
+            for pdf in batches:            # an Arrow batch at a time: bounded memory
+                if not len(pdf):
                     continue
-                x = np.stack(pdf[features].to_numpy()).astype(np.float64)
-                y = pdf[label].to_numpy(dtype=np.float64)
-                ids = pdf[id_col].to_numpy()
-                _, s, gr = _forward_backward(x, y, ids, params, dropout, epoch, seed)
-                g += gr
-                sse += s
-                n += len(pdf)
-            yield pd.DataFrame({"k": np.concatenate([np.arange(k_total), [-1, -2]]).astype("int32"),
-                                "g": np.concatenate([g, [sse, float(n)]])})
-
-        vec = np.zeros(k_total)
-        sse = n = 0.0
-        for r in (part.mapInPandas(grad_part, "k int, g double")
-                      .groupBy("k").agg(F.sum("g").alias("g")).collect()):
-            if r["k"] == -1:
-                sse = r["g"]
-            elif r["k"] == -2:
-                n = r["g"]
-            else:
-                vec[r["k"]] = r["g"]
-        return vec, sse, n
+                x, y, ids = arrays(pdf)
+                order = np.argsort(_uniform_hash(ids, epoch, 1, seed)[:, 0], kind="stable")
+                for at in range(0, len(order), batch_size):
+                    pick = order[at:at + batch_size]
+                    _, s, g = _forward_backward(x[pick], y[pick], ids[pick], _unpack(th, shapes),
+                                                dropout, epoch, seed)
+                    steps += 1
+                    th, m, v = adam(th, m, v, penalised(g / len(pick), th), done + steps)
+                    sse += s
+                    n += len(pick)
+            yield emitted(np.concatenate([th, m, v]) * n, sse, n, steps)
+        return run
 
     step = 0
     for epoch in range(1, epochs + 1):
-        epoch_sse = epoch_n = 0.0
-        for batch in range(batches_per_epoch):
-            part = data if batches_per_epoch == 1 else data.where(
-                F.pmod(F.xxhash64(F.col(id_col), F.lit(epoch), F.lit(seed)),
-                       F.lit(batches_per_epoch)) == batch)
-            vec, sse, n = gradient(part, theta.copy(), epoch)
-            if n == 0:
-                continue
+        if batch_size:
+            vec, (sse, n, steps) = reduced(local_steps(theta, m, v, step, epoch), 3 * k_total)
+            theta, m, v = (vec[i * k_total:(i + 1) * k_total] / n for i in range(3))
+            step += int(steps)
+        else:
+            vec, (sse, n, _) = reduced(full_step(theta, epoch), k_total)
             step += 1
-            grad = vec / n
-            if l2:
-                grad = grad + 2.0 * l2 * np.where(hidden_mask, theta, 0.0)
-            if l1:
-                grad = grad + l1 * np.where(hidden_mask, np.sign(theta), 0.0)
-            epoch_sse += sse
-            epoch_n += n
-            m = b1 * m + (1 - b1) * grad
-            v = b2 * v + (1 - b2) * grad * grad
-            mh = m / (1 - b1 ** step)
-            vh = v / (1 - b2 ** step)
-            theta = theta - learning_rate * mh / (np.sqrt(vh) + eps)
-        if epoch_n:
-            history.append(epoch_sse / epoch_n)
+            theta, m, v = adam(theta, m, v, penalised(vec / n, theta), step)
+        history.append(sse / n)
     data.unpersist()
     return MLPRegressionModel(tuple(hidden), theta, n_in, history)
 

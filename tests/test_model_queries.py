@@ -51,4 +51,5 @@ def test_histories_and_comparisons(spark):
     assert {r.representation for r in comp} == {"float", "buckets", "cross"}
     assert all(math.isfinite(r.train_rmse) and math.isfinite(r.test_rmse) for r in comp)
     mlp = Q["mlp_history"](spark, SF0001).collect()
-    assert len(mlp) == 140 and all(math.isfinite(r.value) for r in mlp)
+    assert [r.metric for r in mlp].count("mse") == 140 and len(mlp) == 141
+    assert all(math.isfinite(r.value) for r in mlp)

@@ -125,10 +125,32 @@ def test_full_reference_grid_runs(spark):
 def test_mlp_minibatch_epochs(spark):
     frame = _mlp_frame(spark)
     full = mlp.fit_mlp(frame, hidden=(8, 4), epochs=10, learning_rate=0.05)
-    mini = mlp.fit_mlp(frame, hidden=(8, 4), epochs=10, learning_rate=0.05, batches_per_epoch=4)
+    mini = mlp.fit_mlp(frame, hidden=(8, 4), epochs=10, learning_rate=0.05, batch_size=16, partitions=3)
     assert len(mini.history) == 10
-    # four steps per epoch reach a lower training error than one
+    # several steps per epoch reach a lower training error than one
     assert mini.history[-1] < full.history[-1]
+    # the cluster's own split of the rows has no say
+    again = mlp.fit_mlp(_mlp_frame(spark, parts=7), hidden=(8, 4), epochs=10, learning_rate=0.05,
+                        batch_size=16, partitions=3)
+    assert again.theta == pytest.approx(mini.theta, rel=1e-9, abs=1e-9)
+
+
+def test_mlp_minibatches_beat_the_mean_on_held_out_rows(spark):
+    frame = _mlp_frame(spark, n=2000)
+    train, test = frame.where("row_id % 5 != 0"), frame.where("row_id % 5 = 0")
+    model = mlp.fit_mlp(train, epochs=20, learning_rate=0.01, batch_size=32)
+    got = model.transform(test).selectExpr("avg(pow(prediction - y, 2)) AS mse", "var_pop(y) AS v").first()
+    assert got.mse < 0.5 * got.v
+
+
+def test_mlp_leaves_out_null_rows_and_rejects_an_empty_frame(spark):
+    frame = _mlp_frame(spark)
+    holes = frame.selectExpr("row_id + 100000 AS row_id", "cast(null AS array<double>) AS x", "y").limit(5)
+    a = mlp.fit_mlp(frame, hidden=(4,), epochs=3)
+    b = mlp.fit_mlp(frame.unionByName(holes), hidden=(4,), epochs=3)
+    assert b.theta == pytest.approx(a.theta, rel=1e-9, abs=1e-12)
+    with pytest.raises(ValueError):
+        mlp.fit_mlp(frame.limit(0), hidden=(4,), epochs=1)
 
 
 def test_spread_for_fit_gives_the_same_partitions_for_any_input_split(spark):
