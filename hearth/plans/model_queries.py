@@ -67,7 +67,9 @@ def _prepared(spark, d, spread: bool = False):
 
 def _fit_score(spark, d, est, spread: bool = False):
     tr, te = _prepared(spark, d, spread)
+    tr = models.persist_prepared(tr)        # a fit reads it more than once
     model = est.fit(tr)
+    tr.unpersist()
     return model.transform(te).select(*ID, "prediction")
 
 
@@ -119,8 +121,10 @@ def test_eval(spark, d):
 def training_history(spark, d):
     """Per-iteration objective of an L-BFGS linear fit."""
     tr, _ = _prepared(spark, d)
-    m = models.fit_linear(tr, max_iter=30, reg=0.01)
-    return models.training_history(spark, m.summary.objectiveHistory, "objective")
+    tr = models.persist_prepared(tr)
+    history = models.fit_linear(tr, max_iter=30, reg=0.01).summary.objectiveHistory
+    tr.unpersist()
+    return models.training_history(spark, history, "objective")
 
 
 def _docs(spark, d):
