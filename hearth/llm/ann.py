@@ -111,10 +111,30 @@ def _score(top: int):
     return run
 
 
+def _meet(probed: DataFrame, stored: DataFrame, top: int) -> DataFrame:
+    """(query, entry, score): the best of every cell for each of its probes;
+    both sides are entry, v, table, cell. A cell with many entries is dealt into
+    blocks; every probe of it visits each."""
+    sizes = stored.groupBy("table", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    stored = stored.join(sizes, ["table", "cell"]).withColumn("block", F.pmod(F.xxhash64("entry", F.lit(5)), "blocks").cast("int"))
+    probed = probed.join(sizes, ["table", "cell"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    by = ["table", "cell", "block"]
+    return (probed.select(*by, "entry", "v").groupBy(*by).cogroup(stored.select(*by, "entry", "v").groupBy(*by))
+            .applyInArrow(_score(top), "query long, entry long, score double"))
+
+
+def _best(scored: DataFrame, top: int) -> DataFrame:
+    pairs = scored.groupBy("query", "entry").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
+    return pairs.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= top).select("query", "entry", "score")
+
+
 def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 20, top: int = 20,
             tables: int = 14, probes: int = 10, axes: int = 1) -> DataFrame:
     """query_id, rank, vec_id, score: for every id divisible by ``every`` its
-    ``top`` nearest other rows found by inner product, ties to the smaller id.
+    ``top`` nearest other rows found by inner product, ties to the smaller id;
+    all candidates, if fewer. A query whose cells hold fewer is compared with
+    all entries.
 
     Vectors that are null, empty, zero or hold a null or non-finite component
     take no part, nor do rows without id; so don't vectors of another length
@@ -141,16 +161,18 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     kind = "entry long, v array<double>, table int, cell long"
     stored = entries.select("entry", "v").mapInArrow(_hash(tables, axes, 1), kind)
     probed = entries.filter("is_query").select("entry", "v").mapInArrow(_hash(tables, axes, probes), kind)
-    # a cell with many entries is dealt into blocks; every probe of it visits each
-    sizes = stored.groupBy("table", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    stored = stored.join(sizes, ["table", "cell"]).withColumn("block", F.pmod(F.xxhash64("entry", F.lit(5)), "blocks").cast("int"))
-    probed = probed.join(sizes, ["table", "cell"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    by = ["table", "cell", "block"]
-    scored = (probed.select(*by, "entry", "v").groupBy(*by).cogroup(stored.select(*by, "entry", "v").groupBy(*by))
-              .applyInArrow(_score(top + 1), "query long, entry long, score double"))
-    pairs = scored.groupBy("query", "entry").agg(F.max("score").alias("score"))
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
-    pairs = pairs.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= top + 1).select("query", "entry", "score")
+    pairs = stage(_best(_meet(probed, stored, top + 1), top + 1), "ann-pairs")
+    # a query whose cells hold too few rows is compared with all entries
+    copies = named.groupBy("h").agg(F.count("*").alias("copies")).join(entries.select("h", "entry"), "h")
+    held = pairs.join(copies, "entry").groupBy("query").agg(
+        F.sum("copies").alias("held"), F.max((F.col("query") == F.col("entry")).cast("int")).alias("own"))
+    wanted = F.least(F.lit(top), F.lit(named.count() - 1))
+    short = stage(entries.filter("is_query").join(held, F.col("query") == F.col("entry"), "left")
+                  .filter(F.coalesce(F.col("held") - F.col("own"), F.lit(0)) < wanted).select("entry", "v"), "ann-short")
+    if short.limit(1).count():
+        whole = [F.lit(-1).alias("table"), F.lit(0).cast("long").alias("cell")]
+        more = _meet(short.select("*", *whole), entries.select("entry", "v", *whole), top + 1)
+        pairs = _best(pairs.union(more), top + 1)
     # entries become rows again
     lists = pairs.join(shown, "entry").withColumn("place", F.row_number().over(
         Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))).filter(F.col("place") <= top + 1)

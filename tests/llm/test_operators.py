@@ -417,6 +417,29 @@ def test_neighbours_edges(spark):
     assert [r.vec_id for r in out] == list(range(20))
 
 
+def listed(df, **options):
+    got = defaultdict(list)
+    for r in ann.nearest(df, **options).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    return got
+
+
+def vectors(spark, x):
+    return spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+
+
+@pytest.mark.parametrize("rows,axes", [(15, 1), (300, 2)])
+def test_lists_are_full_where_cells_hold_too_few(spark, rows, axes):
+    x = np.random.default_rng(3).normal(size=(rows, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    got = listed(vectors(spark, x), axes=axes)
+    assert set(got) == set(range(0, rows, 20))
+    for q, ids in got.items():
+        assert len(ids) == min(20, rows - 1)
+        if rows < 20:
+            assert ids == [k for k in np.argsort(-(x @ x[q])).tolist() if k != q]
+
+
 # ---------------------------------------------------------------- 10: near copies
 
 def slow_links(rows, threshold=0.8, n=5):
