@@ -8,6 +8,12 @@ Spark; a task scores a query against a cell's vectors exactly, in double
 precision, and keeps the best; a last aggregation merges a query's lists.
 Equal vectors are one entry, so a vector that fills a third of the table is
 compared once.
+
+Cells go by direction, so a query surely meets what lies at a small angle. A
+long vector may be nearest at a large angle: entries over ``LONG`` times the
+median length are therefore compared with every query. (The extra component
+sqrt(max_norm^2 - norm^2) would make all angles larger instead: with it, recall
+on 10,000 vectors of log-normal length, sigma 0.5, falls from 0.96 to 0.67.)
 """
 
 from __future__ import annotations
@@ -22,6 +28,7 @@ from pyspark.sql import functions as F
 from hearth.llm.common import stage
 
 BLOCK = 4096        # entries of a cell that are scored together
+LONG = 1.5          # times the median length
 
 
 def _hadamard(x: np.ndarray) -> np.ndarray:
@@ -140,7 +147,8 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     take no part, nor do rows without id; so don't vectors of another length
     than most have. Rows that repeat an id count as one (the smallest of their
     vectors). The query's own row is no candidate, rows with an equal vector
-    are. An empty table gives an empty result. Scores are exact.
+    are. Lengths may differ: cells go by direction, long vectors meet every
+    query. An empty table gives an empty result. Scores are exact.
     """
     v = F.col("v")
     rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
@@ -161,6 +169,15 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     kind = "entry long, v array<double>, table int, cell long"
     stored = entries.select("entry", "v").mapInArrow(_hash(tables, axes, 1), kind)
     probed = entries.filter("is_query").select("entry", "v").mapInArrow(_hash(tables, axes, probes), kind)
+    whole = [F.lit(-1).alias("table"), F.lit(0).cast("long").alias("cell")]
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    median = entries.agg(F.percentile_approx(norm, 0.5)).first()[0]
+    if median is not None:
+        long = entries.filter(norm > LONG * median)
+        # rows of their own on both sides: the two come from one table
+        if long.limit(1).count():
+            stored = stored.union(stage(long.select("entry", "v", *whole), "ann-long"))
+            probed = probed.union(entries.filter("is_query").select("entry", "v", *whole))
     pairs = stage(_best(_meet(probed, stored, top + 1), top + 1), "ann-pairs")
     # a query whose cells hold too few rows is compared with all entries
     copies = named.groupBy("h").agg(F.count("*").alias("copies")).join(entries.select("h", "entry"), "h")
@@ -170,7 +187,6 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     short = stage(entries.filter("is_query").join(held, F.col("query") == F.col("entry"), "left")
                   .filter(F.coalesce(F.col("held") - F.col("own"), F.lit(0)) < wanted).select("entry", "v"), "ann-short")
     if short.limit(1).count():
-        whole = [F.lit(-1).alias("table"), F.lit(0).cast("long").alias("cell")]
         more = _meet(short.select("*", *whole), entries.select("entry", "v", *whole), top + 1)
         pairs = _best(pairs.union(more), top + 1)
     # entries become rows again

@@ -440,6 +440,18 @@ def test_lists_are_full_where_cells_hold_too_few(spark, rows, axes):
             assert ids == [k for k in np.argsort(-(x @ x[q])).tolist() if k != q]
 
 
+def test_neighbours_of_skewed_length(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 64))
+    x *= (rng.lognormal(0, 1, 3000) / np.linalg.norm(x, axis=1))[:, None]
+    hit = 0
+    for q, ids in listed(vectors(spark, x)).items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit += len(set(ids) & set(np.argsort(-s)[:20].tolist()))
+    assert hit / (150 * 20) >= 0.99
+
+
 # ---------------------------------------------------------------- 10: near copies
 
 def slow_links(rows, threshold=0.8, n=5):
