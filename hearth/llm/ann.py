@@ -102,30 +102,39 @@ def _score(top: int):
         qe, xe = left["entry"].to_numpy(), right["entry"].to_numpy()
         order = np.argsort(xe)
         x, xe = x[order], xe[order]
-        rows, cols, out = [], [], []
+        found, longest = [], np.linalg.norm(x, axis=1).max()
         for at in range(0, len(q), 512):
             s = q[at:at + 512] @ x.T
             n = min(top, s.shape[1])
-            best = np.argpartition(-s, n - 1, axis=1)[:, :n]
-            # all that tie with the last place stay in
-            low = np.take_along_axis(s, best, 1).min(axis=1)
-            r, c = np.nonzero(s >= low[:, None] - 1e-9)
-            rows.append(r + at)
-            cols.append(c)
-        r, c = np.concatenate(rows), np.concatenate(cols)
-        out = np.array([float(q[a] @ x[b]) for a, b in zip(r, c)]) if len(r) < 64 else np.einsum("ij,ij->i", q[r], x[c])
+            # all that may tie with the last place are scored again, each pair by itself
+            low = -np.partition(-s, n - 1, axis=1)[:, n - 1]
+            slack = 1e-9 * np.linalg.norm(q[at:at + 512], axis=1) * longest
+            r, c = np.nonzero(s >= (low - slack)[:, None])
+            exact = np.concatenate([np.einsum("ij,ij->i", q[r[k:k + 50_000] + at], x[c[k:k + 50_000]])
+                                    for k in range(0, len(r), 50_000)])
+            order = np.lexsort((c, -exact, r))
+            r, c, exact = r[order], c[order], exact[order]
+            stay = np.arange(len(r)) - np.searchsorted(r, r) < n
+            found.append((r[stay] + at, c[stay], exact[stay]))
+        r, c, out = (np.concatenate(f) for f in zip(*found))
         return pa.table({"query": qe[r], "entry": xe[c], "score": out})
     return run
 
 
 def _meet(probed: DataFrame, stored: DataFrame, top: int) -> DataFrame:
     """(query, entry, score): the best of every cell for each of its probes;
-    both sides are entry, v, table, cell. A cell with many entries is dealt into
-    blocks; every probe of it visits each."""
-    sizes = stored.groupBy("table", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    stored = stored.join(sizes, ["table", "cell"]).withColumn("block", F.pmod(F.xxhash64("entry", F.lit(5)), "blocks").cast("int"))
-    probed = probed.join(sizes, ["table", "cell"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    by = ["table", "cell", "block"]
+    both sides are entry, v, table, cell. A cell's entries and its probes are
+    dealt into blocks, and every two blocks meet in a group of their own."""
+    def sizes(side, name):
+        return side.groupBy("table", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+
+    def dealt(side, own, other):
+        block = F.pmod(F.xxhash64("entry", F.lit(5)), own).cast("int").alias(own)
+        return side.join(both, ["table", "cell"]).select(
+            "table", "cell", "entry", "v", block, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other))
+    both = stage(sizes(stored, "blocks").join(sizes(probed, "lots"), ["table", "cell"]), "ann-cells")
+    by = ["table", "cell", "blocks", "lots"]
+    stored, probed = dealt(stored, "blocks", "lots"), dealt(probed, "lots", "blocks")
     return (probed.select(*by, "entry", "v").groupBy(*by).cogroup(stored.select(*by, "entry", "v").groupBy(*by))
             .applyInArrow(_score(top), "query long, entry long, score double"))
 

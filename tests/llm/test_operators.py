@@ -452,6 +452,32 @@ def test_neighbours_of_skewed_length(spark):
     assert hit / (150 * 20) >= 0.99
 
 
+def test_groups_of_a_hot_direction_are_bounded(spark, monkeypatch, tmp_path):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(600, 64))
+    x[:400] = x[0] + 0.001 * rng.normal(size=(400, 64))
+    score, folder = ann._score, str(tmp_path)
+
+    def watched(top):
+        run = score(top)
+
+        def noted(key, left, right):
+            name = hashlib.sha256(repr(key).encode()).hexdigest()
+            with open(f"{folder}/{name}", "w") as f:
+                f.write(f"{left.num_rows} {right.num_rows}")
+            return run(key, left, right)
+        return noted
+    monkeypatch.setattr(ann, "BLOCK", 32)
+    monkeypatch.setattr(ann, "_score", watched)
+    got = listed(vectors(spark, x), every=2)
+    sizes = [tuple(map(int, p.read_text().split())) for p in tmp_path.iterdir()]
+    assert max(a for a, _ in sizes) <= 64 and max(b for _, b in sizes) <= 64   # dealt by hash: about 32
+    for q in range(0, 400, 40):
+        s = x @ x[q]
+        s[q] = -np.inf
+        assert got[q] == np.argsort(-s)[:20].tolist()
+
+
 # ---------------------------------------------------------------- 10: near copies
 
 def slow_links(rows, threshold=0.8, n=5):
