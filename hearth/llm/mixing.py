@@ -48,42 +48,45 @@ def with_features(docs: DataFrame) -> DataFrame:
 @dataclass
 class DomainModel:
     domains: list[str]
+    present: list[str]              # those with labelled documents
     pipeline: PipelineModel | None
 
     def posteriors(self, docs: DataFrame) -> DataFrame:
-        """Adds ``n_tokens`` and ``posterior`` (array, in the order of ``domains``)."""
+        """Adds ``n_tokens`` and ``posterior`` (array, in the order of ``domains``;
+        0 for those without documents)."""
         keep = docs.columns
         scored = with_features(docs)
         if self.pipeline is None:       # one domain, or no label: equal shares
-            p = F.array(*[F.lit(1.0 / len(self.domains))] * len(self.domains))
+            among = self.present or self.domains
+            p = F.array(*[F.lit(1.0 / len(among) if d in among else 0.0) for d in self.domains])
             return scored.select(*keep, "n_tokens", p.alias("posterior"))
-        out = self.pipeline.transform(scored)
-        return out.select(*keep, "n_tokens", vector_to_array("probability").alias("posterior"))
+        out = self.pipeline.transform(scored).withColumn("p", vector_to_array("probability"))
+        p = F.array(*[F.col("p")[self.present.index(d)] if d in self.present else F.lit(0.0) for d in self.domains])
+        return out.select(*keep, "n_tokens", p.alias("posterior"))
 
 
 def fit_domains(docs: DataFrame, labelled: DataFrame, sample_docs: int = 2000, n_features: int = 4096) -> DomainModel:
-    """``docs``: id, t; ``labelled``: id, domain. At most about ``sample_docs``
-    documents of each domain (the smallest hashes of the id) are fitted, weighted
-    back to the domain's share. Rows without id or domain take no part."""
-    sizes = {r.domain: r.n for r in labelled.filter("domain IS NOT NULL").groupBy("domain")
-             .agg(F.count("*").alias("n")).orderBy("domain").collect()}
-    domains = list(sizes)
-    if len(domains) < 2:
-        return DomainModel(domains, None)
-    fraction = F.coalesce(*[F.when(F.col("domain") == d, F.lit(min(1.0, sample_docs / n))) for d, n in sizes.items()])
-    picked = (labelled.filter("domain IS NOT NULL").withColumn("fraction", fraction)
+    """``docs``: id, t; ``labelled``: id, domain. Labels without a document don't
+    count. At most about ``sample_docs`` documents of each domain (the smallest
+    hashes of the id) are fitted, weighted back to the domain's share. Rows
+    without id or domain take no part."""
+    known = docs.select("id").distinct().withColumn("has_doc", F.lit(True))
+    labelled = stage(labelled.filter("domain IS NOT NULL").join(known, "id", "left"), "mixing-labels")
+    sizes = {r.domain: r.n for r in labelled.groupBy("domain").agg(F.count("has_doc").alias("n")).orderBy("domain").collect()}
+    domains, present = list(sizes), [d for d, n in sizes.items() if n]
+    if len(present) < 2:
+        return DomainModel(domains, present, None)
+    fraction = F.coalesce(*[F.when(F.col("domain") == d, F.lit(min(1.0, sample_docs / sizes[d]))) for d in present])
+    picked = (labelled.filter("has_doc").select("id", "domain", fraction.alias("fraction"))
               .filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.col("fraction") * (1 << 20)))
-    number = F.coalesce(*[F.when(F.col("domain") == d, F.lit(float(k))) for k, d in enumerate(domains)])
+    number = F.coalesce(*[F.when(F.col("domain") == d, F.lit(float(k))) for k, d in enumerate(present)])
     # at most about sample_docs rows of each domain: small enough to send to every task
     train = stage(with_features(docs.join(F.broadcast(picked), "id")).withColumns({"label": number, "weight": 1 / F.col("fraction")})
                   .drop("t", "words"), "mixing-train")
-    present = {r.label for r in train.select("label").distinct().collect()}
-    if len(present) < len(domains):     # a labelled domain without any document
-        return DomainModel(domains, None)
     steps = [HashingTF(inputCol="terms", outputCol="tf", numFeatures=n_features, binary=True),
              VectorAssembler(inputCols=[*SHAPE, "tf"], outputCol="features"),
              LogisticRegression(family="multinomial", weightCol="weight", regParam=0.003, maxIter=40)]
-    return DomainModel(domains, Pipeline(stages=steps).fit(train.coalesce(8)))
+    return DomainModel(domains, present, Pipeline(stages=steps).fit(train.coalesce(8)))
 
 
 def rate_after(posterior: Column, steps: list[list[float]], now: Column | None = None,
@@ -172,9 +175,10 @@ def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     (domains, targets, totals reached).
 
     Null and empty texts have no tokens and the rate their posterior gives
-    them. Repeated rows get equal rates. With labels of fewer than two domains
-    all posteriors are equal; without any label, rates are the budget. An
-    empty table gives an empty result.
+    them. Repeated rows get equal rates. A domain none of whose labelled
+    documents is in ``docs`` has posterior 0 everywhere, and the others share
+    its weight; without any labelled document all posteriors are equal and rates
+    are the budget. An empty table gives an empty result.
     """
     weights = WEIGHTS if weights is None else weights
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if keep_text or c != text_col]).alias("row"),
@@ -183,10 +187,11 @@ def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     model = fit_domains(own.select("id", "t"), labelled, sample_docs)
     if not model.domains:
         model.domains = sorted(weights)
+    reachable = model.present or model.domains
     scored = stage(model.posteriors(own).select("row", "n_tokens", "posterior"), "mixing-scored")
     all_tokens = float(scored.agg(F.sum("n_tokens")).first()[0] or 0)
-    share = sum(weights.get(d, 0.0) for d in model.domains) or 1.0
-    targets = {d: budget * all_tokens * weights.get(d, 0.0) / share for d in model.domains}
+    share = sum(weights.get(d, 0.0) for d in reachable) or 1.0
+    targets = {d: budget * all_tokens * weights.get(d, 0.0) / share if d in reachable else 0.0 for d in model.domains}
     steps, reached = fit_rates(scored.select("n_tokens", "posterior"), model.domains, targets)
     out = scored.withColumn("rate", rate_after(F.col("posterior"), steps)["now"])
     return out, {"domains": model.domains, "targets": targets, "reached": reached, "steps": len(steps)}

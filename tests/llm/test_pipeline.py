@@ -10,6 +10,7 @@ import pytest
 
 import corpus_pipeline
 from hearth.llm import QUERIES, bpe
+from hearth.llm.mixing import mix
 from tests.conftest import ROOT, SF0001
 
 
@@ -64,3 +65,14 @@ def test_entry_works_without_the_subpackage(tmp_path):
     code = ("import sys; sys.modules['hearth.llm'] = None; import __spark_entry__ as e; "
             "assert not any(q.startswith('op') and q[2].isdigit() for q in e.queries()) and 'pipeline' not in e.queries()")
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, check=True)
+
+
+def test_mixing_goes_on_without_toxic_documents(spark, docs, labels):
+    known = docs.join(labels.filter("toxic = 0").select("doc_id"), "doc_id", "left_semi")
+    mixed, report = mix(known, labels, weights=corpus_pipeline.WEIGHTS)
+    rows = mixed.select("row.doc_id", "n_tokens", "rate", "posterior").collect()
+    assert report["domains"] == ["good", "poor", "toxic"] and all(r.posterior[2] == 0 for r in rows)
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    tokens = [sum(r.n_tokens * r.rate for r in rows if quality[r.doc_id] == q) for q in (0, 1)]
+    assert 0.08 < tokens[0] / sum(tokens) < 0.12        # 0.06 at equal rates, 0.1 wanted
+    assert abs(report["reached"]["good"] - report["targets"]["good"]) <= 0.01 * report["targets"]["good"]
