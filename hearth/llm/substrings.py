@@ -93,18 +93,18 @@ def _hash(data: bytes) -> int:
     return xxhash.xxh3_64_intdigest(data) - (1 << 63)
 
 
-LEN_BITS, AT_BITS, TAG_BITS = 12, 31, 20        # a place: the text's tag, the anchor, the bytes from it to the end
+LEN_BITS = 12           # a place: the anchor, and in the low bits the bytes from it to the end
 SORT_ROWS = 2_000_000
 
 
 def _unpack(w: np.ndarray, side: int):
-    """Tag, anchor, start and end of a place's context."""
-    at = (w >> LEN_BITS) & ((1 << AT_BITS) - 1)
-    return w >> (LEN_BITS + AT_BITS), at, np.maximum(at - side, 0), at + (w & ((1 << LEN_BITS) - 1))
+    """Anchor, start and end of a place's context."""
+    at = w >> LEN_BITS
+    return at, np.maximum(at - side, 0), at + (w & ((1 << LEN_BITS) - 1))
 
 
 def _anchors(min_len: int, gram: int):
-    """(h, c, id, w): anchor, context, document and place. Of contexts that are
+    """(h, c, id, tag, w): anchor, context, document (its id and its text's hash) and place. Of contexts that are
     equal within a task the first is sent on; the others are known to be repeats
     and leave with a null context, under a key that spreads them."""
     def run(batches):
@@ -112,15 +112,16 @@ def _anchors(min_len: int, gram: int):
         held, size = [], 0
 
         def send():
-            h, c, i, w = (np.concatenate(x) for x in zip(*held))
-            order = np.lexsort((w, i, c, h))
-            h, c, i, w = h[order], c[order], i[order], w[order]
+            h, c, i, tag, w = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((w, tag, i, c, h))
+            h, c, i, tag, w = h[order], c[order], i[order], tag[order], w[order]
             again = np.concatenate([[False], (h[1:] == h[:-1]) & (c[1:] == c[:-1])])
-            h = np.where(again, _mix(i.view(np.uint64)).view(np.int64), h)
+            h = np.where(again, _mix((i ^ tag).view(np.uint64)).view(np.int64), h)
             for k in range(0, len(h), 100_000):
                 cut = slice(k, k + 100_000)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[cut]), pa.array(c[cut], mask=again[cut]), pa.array(i[cut]), pa.array(w[cut])], ["h", "c", "id", "w"])
+                    [pa.array(h[cut]), pa.array(c[cut], mask=again[cut]), pa.array(i[cut]), pa.array(tag[cut]), pa.array(w[cut])],
+                    ["h", "c", "id", "tag", "w"])
         for batch in batches:
             for i, tag, text in zip(batch.column("id").to_pylist(), batch.column("tag").to_pylist(),
                                     batch.column("t").cast(pa.binary()).to_pylist()):
@@ -129,8 +130,8 @@ def _anchors(min_len: int, gram: int):
                     continue
                 lo, hi = np.maximum(at - side, 0), np.minimum(at + min_len, len(text))
                 c = np.array([_hash(text[a:b] + bytes((p - a,))) for a, b, p in zip(lo.tolist(), hi.tolist(), at.tolist())], np.int64)
-                w = (tag << (LEN_BITS + AT_BITS)) | (at << LEN_BITS) | (hi - at)
-                held.append((h.view(np.int64), c, np.full(len(at), i, np.int64), w))
+                w = (at << LEN_BITS) | (hi - at)
+                held.append((h.view(np.int64), c, np.full(len(at), i, np.int64), np.full(len(at), tag, np.int64), w))
                 size += len(at)
             if size >= SORT_ROWS:
                 yield from send()
@@ -141,15 +142,15 @@ def _anchors(min_len: int, gram: int):
 
 
 def _classify(min_len: int, gram: int):
-    """Rows come sorted by h, c, id and w. A repeat leaves as (null, id, w), the
-    first of each of several different contexts of an anchor as (h, id, w)."""
+    """Rows come sorted by h, c, id, tag and w. A repeat leaves as (null, id, tag, w),
+    the first of each of several different contexts of an anchor as (h, id, tag, w)."""
     def run(batches):
         last_h = last_c = None          # of the row before
         first, several = None, False    # the anchor's first row, while it is the only kind
         for batch in batches:
             if not batch.num_rows:
                 continue
-            h, i, w = (batch.column(k).to_numpy() for k in ("h", "id", "w"))
+            h, i, tag, w = (batch.column(k).to_numpy() for k in ("h", "id", "tag", "w"))
             null = batch.column("c").is_null().to_numpy(zero_copy_only=False)
             c = batch.column("c").fill_null(0).to_numpy()
             same_h = np.concatenate([[last_h is not None and h[0] == last_h], h[1:] == h[:-1]])
@@ -164,30 +165,32 @@ def _classify(min_len: int, gram: int):
             many = kinds > 1
             if carried:
                 many[0] = several or kinds[0] + (first is not None) > 1
-            out_h, out_i, out_w = [], [], []
+            out_h, out_i, out_tag, out_w = [], [], [], []
             if carried and many[0] and not several and first is not None:
                 out_h.append(last_h)
                 out_i.append(first[0])
-                out_w.append(first[1])
+                out_tag.append(first[1])
+                out_w.append(first[2])
             go = kind & many[run_no]
             last_run = run_no == run_no[-1]
             if not many[run_no[-1]]:    # the last anchor's only kind waits for the next batch
                 k = np.flatnonzero(kind & last_run)
                 if len(k):
-                    first = (int(i[k[0]]), int(w[k[0]]))
+                    first = (int(i[k[0]]), int(tag[k[0]]), int(w[k[0]]))
                 elif not (carried and run_no[-1] == 0):
                     first = None
             else:
                 first = None
             several = bool(many[run_no[-1]])
             last_h, last_c = int(h[-1]), None if null[-1] else int(c[-1])
-            lengths = _unpack(w, min_len - gram)
-            full = repeat & (lengths[3] - lengths[2] >= min_len)
+            _, lo, hi = _unpack(w, min_len - gram)
+            full = repeat & (hi - lo >= min_len)
             yield pa.RecordBatch.from_arrays(
                 [pa.concat_arrays([pa.array(out_h, pa.int64()), pa.nulls(int(full.sum()), pa.int64()), pa.array(h[go], pa.int64())]),
                  pa.concat_arrays([pa.array(out_i, pa.int64()), pa.array(i[full], pa.int64()), pa.array(i[go], pa.int64())]),
+                 pa.concat_arrays([pa.array(out_tag, pa.int64()), pa.array(tag[full], pa.int64()), pa.array(tag[go], pa.int64())]),
                  pa.concat_arrays([pa.array(out_w, pa.int64()), pa.array(w[full], pa.int64()), pa.array(w[go], pa.int64())])],
-                ["h", "id", "w"])
+                ["h", "id", "tag", "w"])
     return run
 
 
@@ -199,7 +202,7 @@ def _cut(min_len: int, gram: int):
             rows = []
             for i, tag, text, reps in zip(batch.column("id").to_pylist(), batch.column("tag").to_pylist(),
                                           batch.column("t").cast(pa.binary()).to_pylist(), batch.column("reps").to_pylist()):
-                _, at, lo, hi = _unpack(np.array([r["w"] for r in reps], np.int64), min_len - gram)
+                at, lo, hi = _unpack(np.array([r["w"] for r in reps], np.int64), min_len - gram)
                 rows += [(r["h"], i, tag, a, b, 0, min_len - gram, text[b:e])
                          for r, a, b, e in zip(reps, at.tolist(), lo.tolist(), hi.tolist())]
             yield _context_rows(rows)
@@ -319,19 +322,18 @@ def _remove(batches):
 
 
 def find_repeats(own: DataFrame, min_len: int, gram: int, hot: int = HOT) -> DataFrame:
-    """Spans (id, tag, s, e) of the repeats in ``own`` (id, tag, t)."""
+    """Spans (id, tag, s, e) of the repeats in ``own`` (id, tag, t; no two rows with equal id and tag)."""
     spark = own.sparkSession
-    anchors = own.mapInArrow(_anchors(min_len, gram), "h long, c long, id long, w long")
-    marked = stage(anchors.repartition("h").sortWithinPartitions("h", "c", "id", "w")
-                   .mapInArrow(_classify(min_len, gram), "h long, id long, w long"), "substrings-marked")
+    anchors = own.mapInArrow(_anchors(min_len, gram), "h long, c long, id long, tag long, w long")
+    marked = stage(anchors.repartition("h").sortWithinPartitions("h", "c", "id", "tag", "w")
+                   .mapInArrow(_classify(min_len, gram), "h long, id long, tag long, w long"), "substrings-marked")
     release(spark)
-    tag = F.shiftright("w", LEN_BITS + AT_BITS).alias("tag")
     # overlapping spans of a document meet and are merged before they are kept
-    spans = stage(marked.filter("h IS NULL").groupBy("id", tag).agg(F.collect_set("w").alias("ws"))
+    spans = stage(marked.filter("h IS NULL").groupBy("id", "tag").agg(F.collect_set("w").alias("ws"))
                   .mapInArrow(_merge_spans(min_len - gram), SPAN), "substrings-copies")
     release(spark)
-    reps = marked.filter("h IS NOT NULL").groupBy("id", tag).agg(F.collect_list(F.struct("h", "w")).alias("reps"))
-    work = stage(own.join(reps, ["id", "tag"]).dropDuplicates(["id", "tag"]).select("id", "tag", "t", "reps")
+    reps = marked.filter("h IS NOT NULL").groupBy("id", "tag").agg(F.collect_list(F.struct("h", "w")).alias("reps"))
+    work = stage(own.join(reps, ["id", "tag"]).select("id", "tag", "t", "reps")
                  .mapInArrow(_cut(min_len, gram), CONTEXT), "substrings-contexts")
     release(spark)
     while True:
@@ -357,13 +359,22 @@ def _merge_spans(side: int):
         for batch in batches:
             out = []
             for i, tag, ws in zip(*[c.to_pylist() for c in batch.columns]):
-                _, _, lo, hi = _unpack(np.sort(np.array(ws, np.int64)), side)       # starts and ends both ascend
+                _, lo, hi = _unpack(np.sort(np.array(ws, np.int64)), side)       # starts and ends both ascend
                 new = np.concatenate([[True], lo[1:] > hi[:-1]])
                 out += [(i, tag, a, b) for a, b in zip(lo[new].tolist(), hi[np.concatenate([new[1:], [True]])].tolist())]
             yield _span_rows(out)
     return run
 
 
+def _distinct(own: DataFrame) -> DataFrame:
+    """One row of each (id, tag). Only rows that are repeated are brought together."""
+    twice = stage(own.groupBy("id", "tag").agg(F.count("*").alias("n")).filter("n > 1").select("id", "tag"), "substrings-twice")
+    if not twice.limit(1).count():
+        return own
+    return own.join(twice, ["id", "tag"], "left_anti").unionByName(
+        own.join(twice, ["id", "tag"], "left_semi").dropDuplicates(["id", "tag"]))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_len: int = 100,
                    gram: int = 40, hot: int = HOT) -> DataFrame:
     """One row per input row: ``row`` (the input row without its text),
@@ -372,15 +383,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Ids are integers. Null texts count as empty; texts under ``min_len`` bytes
     keep all. Rows without id come after all others. Rows that repeat an id
-    with another text come in the order of their texts' hashes; rows that
-    repeat id and text are one document and get the same result. An empty table
-    gives an empty result; extra columns travel inside ``row``.
+    with another text come in the order of their texts' hashes (64 bits, which
+    also tell the texts of an id apart); so do rows without id. Rows that repeat
+    id and text are one document and get the same result, and so are rows
+    without id of equal text. An empty table gives an empty result; extra
+    columns travel inside ``row``.
     """
     text = text_or_empty(f"`{text_col}`")
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"),
                         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)).alias("id"),
-                        F.xxhash64(text).bitwiseAND(F.lit((1 << TAG_BITS) - 1)).alias("tag"), text.alias("t"))
-    spans = find_repeats(keyed.select("id", "tag", "t"), min_len, gram, hot)
+                        F.xxhash64(text).alias("tag"), text.alias("t"))
+    spans = find_repeats(_distinct(keyed.select("id", "tag", "t")), min_len, gram, hot)
     by_doc = spans.groupBy("id", "tag").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     joined = keyed.join(by_doc, ["id", "tag"], "left").select("row", "t", "spans")
     return joined.mapInArrow(_remove, f"row {keyed.schema['row'].dataType.simpleString()}, n_bytes long, n_removed long, "

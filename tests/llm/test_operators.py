@@ -9,6 +9,7 @@ from collections import defaultdict
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from hearth.llm import ann, bpe, bwt, lexicon, mixing, near_dup, packing, pii, substrings, toxicity
@@ -263,6 +264,23 @@ def test_removal_edges(spark, awkward, empty):
     assert substrings.remove_repeats(empty).count() == 0
 
 
+def test_removal_with_repeated_rows_and_rows_without_id(spark):
+    r = random.Random(12)
+    a, b, c, d = ("".join(r.choice("abcdefgh ") for _ in range(160)) for _ in range(4))
+    rows = [(1, a), (1, a), (2, b + a), (3, c + "x" + b), (3, d), (3, c + "x" + b), (None, d + c), (None, d + c), (None, a + "y" + d),
+            (4, "é" * 120), (4, "é" * 120)]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, k int")
+
+    def place(x):
+        h = xxhash.xxh64_intdigest(x[1].encode(), seed=42)
+        return (1 << 63) - 1 if x[0] is None else x[0], h - (1 << 64) if h >> 63 else h
+    want = slow_removal([(x, x[1]) for x in sorted(set(rows), key=place)])
+    for hot in (substrings.HOT, 2):
+        out = substrings.remove_repeats(df, hot=hot).select(
+            "row.k", "n_bytes", "n_removed", F.size("span_start").alias("s"), F.sha2("kept", 256).alias("h")).collect()
+        assert {x.k: (x.n_bytes, x.n_removed, x.s, x.h) for x in out} == {k: want[x] for k, x in enumerate(rows)}
+
+
 # ---------------------------------------------------------------- 5: toxicity
 
 def test_noisy_or_learns_the_bad_words():
