@@ -73,7 +73,7 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
     return rows
 
 
-def _pack(capacity: int, pad: int, window_tokens: int, id_type: pa.DataType):
+def _pack(capacity: int, pad: int, window_tokens: int, id_bytes: int, id_type: pa.DataType):
     def run(batches):
         base = TaskContext.get().partitionId() << 33
         made = 0
@@ -112,7 +112,11 @@ def _pack(capacity: int, pad: int, window_tokens: int, id_type: pa.DataType):
         for batch in batches:
             full = []
             for doc, raw in zip(batch.column("id").to_pylist(), batch.column("ids").to_pylist()):
-                x = np.frombuffer(raw, "<u2")
+                x = np.frombuffer(raw, f"<u{id_bytes}")
+                if id_bytes > 2:
+                    if len(x) and x.max() > 0xFFFF:
+                        raise ValueError(f"token id {x.max()} takes more than 16 bits")
+                    x = x.astype("<u2")
                 whole = len(x) // capacity * capacity
                 for at in range(0, whole, capacity):
                     full.append([(doc, at, x[at:at + capacity])])
@@ -133,8 +137,10 @@ def _pack(capacity: int, pad: int, window_tokens: int, id_type: pa.DataType):
 
 
 def pack(tokens: DataFrame, id_col: str = "id", ids_col: str = "ids", capacity: int = 8192, pad: int = 0,
-         window_tokens: int = 4_000_000) -> DataFrame:
-    """Pack rows (``id_col``, ``ids_col``: little-endian unsigned 16-bit ids).
+         window_tokens: int = 4_000_000, id_bytes: int = 2) -> DataFrame:
+    """Pack rows (``id_col``, ``ids_col``: little-endian unsigned ids of
+    ``id_bytes`` bytes each: 2, or 4 as ``encode`` gives them; an id over 16 bits
+    is an error).
 
     Result: ``pack_id``; ``input_ids`` and ``position_ids`` (``capacity`` values
     of 16 bits each; positions restart at 0 with every segment, padding has
@@ -150,7 +156,7 @@ def pack(tokens: DataFrame, id_col: str = "id", ids_col: str = "ids", capacity:
     kind = src.schema["id"].dataType
     from pyspark.sql.pandas.types import to_arrow_type
     return src.mapInArrow(
-        _pack(capacity, pad, window_tokens, to_arrow_type(kind)),
+        _pack(capacity, pad, window_tokens, id_bytes, to_arrow_type(kind)),
         "pack_id long, input_ids binary, position_ids binary, cu_seqlens array<int>, "
         f"doc_ids array<{kind.simpleString()}>, doc_starts array<long>")
 

@@ -11,7 +11,7 @@ from hearth.llm.exact_dedup import exact_dedup
 from hearth.llm.line_dedup import line_dedup
 from hearth.llm.mixing import mix
 from hearth.llm.near_dup import near_duplicates
-from hearth.llm.packing import byte_ids, pack
+from hearth.llm.packing import pack
 from hearth.llm.pii import pseudonymise
 from hearth.llm.substrings import remove_repeats
 from hearth.llm.toxicity import fold, toxicity
@@ -100,7 +100,8 @@ def op9_cross_polytope_ann(spark, sf_dir):
 
 @query()
 def op6_best_fit_packing(spark, sf_dir):
-    return pack(byte_ids(documents(spark, sf_dir)))
+    tokens = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"))
+    return pack(tokens.select(F.col("row.doc_id").alias("id"), "ids"), id_bytes=4)
 
 
 @query()

@@ -360,6 +360,29 @@ def test_packing_is_lossless(spark, awkward, empty, capacity, window):
     assert packing.pack(packing.byte_ids(empty)).count() == 0
 
 
+def test_packing_of_token_ids(spark, awkward):
+    encoded = bpe.encode(awkward)
+    want = {r.n: bytes(r.ids) for r in encoded.select("row.n", "ids").collect()}
+    rows = packing.pack(encoded.select("row.n", "ids"), "n", capacity=512, id_bytes=4).collect()
+    got = defaultdict(list)
+    for r in rows:
+        ids = np.frombuffer(bytes(r.input_ids), "<u2")
+        for k, (d, s) in enumerate(zip(r.doc_ids, r.doc_starts)):
+            a, b = r.cu_seqlens[k:k + 2]
+            got[d].append((s, ids[a:b].astype("<u4").tobytes()))
+    assert {n: b"".join(x for _, x in sorted(got[n])) for n in want} == want
+    wide = spark.createDataFrame([(1, np.array([70_000], "<u4").tobytes())], "id long, ids binary")
+    with pytest.raises(Exception, match="more than 16 bits"):
+        packing.pack(wide, id_bytes=4).collect()
+
+
+def test_packing_query_packs_token_ids(spark):
+    from hearth.llm import QUERIES
+    used = sum(r.cu_seqlens[-1] for r in QUERIES["op6_best_fit_packing"](spark, SF0001).select("cu_seqlens").collect())
+    tokens = QUERIES["op3_bpe_round_trip"](spark, SF0001).agg(F.sum("n_tokens")).first()[0]
+    assert used == tokens
+
+
 # ---------------------------------------------------------------- 7: lines
 
 def test_line_edges(awkward, empty):
