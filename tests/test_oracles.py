@@ -6,7 +6,7 @@ import math
 import duckdb
 import pytest
 
-from conftest import SF001
+from tests.conftest import SF001
 import __spark_entry__ as E
 from hearth.sources.tables import TABLES
 
