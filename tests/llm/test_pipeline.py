@@ -17,7 +17,7 @@ from tests.conftest import ROOT, SF0001
 def test_stage_order_and_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact dedup", "near duplicates", "mixing", "bpe"]
     numbers = sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_stages_on_documents(spark, docs, labels, texts):
