@@ -77,6 +77,18 @@ def mix_unit(c: Column | str, seed: int) -> Column:
     return h.cast("double") / float(1 << 31)
 
 
+def mix_number(key: int, seed: int) -> float:
+    """:func:`mix_unit` of one number, on the driver."""
+    high = (key >> 31) & _MASK31
+    fold = high * _MIX_B & _MASK31
+    fold = ((fold ^ fold >> 14) + (key >> 62)) * _MIX_A & _MASK31
+    h = ((key & _MASK31) + fold + seed) & _MASK31
+    h = (h * _MIX_A + 12345) & _MASK31
+    h = (h ^ h >> 15) * _MIX_B & _MASK31
+    h = (h ^ h >> 13) * _MIX_A & _MASK31
+    return (h ^ h >> 16) / float(1 << 31)
+
+
 def mix_unit_sql(col_sql: str, seed: int) -> str:
     """SQL text (DuckDB dialect) of :func:`mix_unit`."""
     key = f"(({col_sql})::BIGINT)"

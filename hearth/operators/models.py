@@ -97,24 +97,23 @@ def _describe_map(pm: dict) -> tuple[str, str]:
     return est, ",".join(sorted(params))
 
 
-def leaderboard(spark: SparkSession, cv_model: CrossValidatorModel, grid: list) -> DataFrame:
-    """(rank, estimator, params, avg_metric, std_metric) ordered by the
-    evaluator's direction (I7): for RMSE the smallest is rank 1.
-
-    One row per parameter map (the grid size bounds it).
-    """
-    larger = cv_model.getEvaluator().isLargerBetter()
-    stds = cv_model.stdMetrics or [None] * len(grid)
-    rows = []
-    for pm, avg, sd in zip(grid, cv_model.avgMetrics, stds):
-        est, params = _describe_map(pm)
-        rows.append((est, params, float(avg), None if sd is None else float(sd)))
-    rows.sort(key=lambda r: (-r[2] if larger else r[2], r[0], r[1]))
+def rank_maps(spark: SparkSession, grid: Sequence[dict], avg: Sequence[float], std: Sequence[float | None],
+              larger_better: bool = False) -> DataFrame:
+    """(rank, estimator, params, avg_metric, std_metric), best first (I7): for
+    RMSE the smallest is rank 1. One row per map (the grid size bounds it)."""
+    rows = [(*_describe_map(pm), float(m), None if sd is None else float(sd)) for pm, m, sd in zip(grid, avg, std)]
+    rows.sort(key=lambda r: (-r[2] if larger_better else r[2], r[0], r[1]))
     return spark.createDataFrame([(i + 1, *r) for i, r in enumerate(rows)],
                                  "rank int, estimator string, params string, "
                                  "avg_metric double, std_metric double")
 
 
+def leaderboard(spark: SparkSession, cv_model: CrossValidatorModel, grid: list) -> DataFrame:
+    """The ranked maps of a fitted cross-validator, by its evaluator's direction."""
+    stds = cv_model.stdMetrics or [None] * len(grid)
+    return rank_maps(spark, grid, cv_model.avgMetrics, stds, cv_model.getEvaluator().isLargerBetter())
+
+
 def score(model, df: DataFrame) -> DataFrame:
     """Batch scoring (I8)."""
     return model.transform(df)
@@ -187,13 +186,20 @@ def training_history(spark: SparkSession, history: Sequence[float],
                                  "epoch int, metric string, value double")
 
 
-def spread_for_fit(df: DataFrame, keys: Sequence[str], partitions: int = 32) -> DataFrame:
+def fit_partitions(rows: int) -> int:
+    """Partitions for a fit over so many rows: a million rows each, and for
+    tables below 32 million up to 32 of at least 15,000."""
+    return max(-(-rows // 1_000_000), min(-(-rows // 15_000), 32), 1)
+
+
+def spread_for_fit(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
     """The same rows in the same partitions on any cluster, for learners that
-    draw per partition (forests, boosting): dealt by a hash of ``keys`` into a
-    fixed number of partitions, and sorted inside them. ``partitions`` is part
-    of the model's definition, like its seed; raise it with the data, to about
-    200 MB of assembled rows each.
+    draw per partition (forests, boosting): dealt by a hash of ``keys`` and
+    sorted inside the partitions. Their number follows from the number of rows
+    alone (one count, unless ``partitions`` is given).
     """
+    if partitions is None:
+        partitions = fit_partitions(df.count())
     return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 

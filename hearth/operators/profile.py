@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
 from hearth.functions.normal import inverse_normal_cdf
+from hearth.operators.comoments import co_moments
 from hearth.operators.ranking import column_quantiles, global_rank
 
 
@@ -91,37 +92,43 @@ def column_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, *,
-                       max_pairs_per_pass: int = 1000) -> DataFrame:
+                       max_pairs_per_pass: int = 300) -> DataFrame:
     """Pearson correlation of every pair, long form (feature_x, feature_y, corr).
 
-    One aggregate holds corr(x, y) for each unordered pair; the matrix is
-    filled symmetrically with 1.0 on the diagonal. ``corr`` skips rows
-    where either value is null (pairwise deletion, as pandas does). The pair
-    count grows with p^2/2; pairs are split into aggregates of at most
-    ``max_pairs_per_pass`` (one scan each), so a hundred columns is one pass
-    and a thousand columns is about 500 passes, each with compact generated code.
+    Rows where either value is null are skipped (pairwise deletion, as pandas
+    does); the matrix is symmetric, with 1.0 on the diagonal. Up to
+    ``max_pairs_per_pass`` pairs are one aggregate with the three centred sums of
+    each (Spark's own ``corr`` fails on a constant column in ANSI mode); wider tables go through :func:`comoments.co_moments`, one scan as well. A
+    pair with fewer than two rows or a constant side has no correlation.
     """
     cols = list(cols or _numeric_cols(df))
     if not cols:
         return df.sparkSession.createDataFrame([], "feature_x string, feature_y string, corr double")
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    out = None
-    for start in range(0, max(len(pairs), 1), max_pairs_per_pass):
-        chunk = pairs[start:start + max_pairs_per_pass]
-        # the first aggregate also carries the constant diagonal
-        one = df.agg(F.count(F.lit(1)).alias("_n"),
-                     *[F.corr(a, b).alias(f"c{k}") for k, (a, b) in enumerate(chunk)])
-        entries = [] if start else [
-            F.struct(F.lit(c).alias("feature_x"), F.lit(c).alias("feature_y"),
-                     F.lit(1.0).alias("corr")) for c in cols]
-        for k, (a, b) in enumerate(chunk):
-            entries.append(F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"),
-                                    F.col(f"c{k}").alias("corr")))
-            entries.append(F.struct(F.lit(b).alias("feature_x"), F.lit(a).alias("feature_y"),
-                                    F.col(f"c{k}").alias("corr")))
-        part = one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-        out = part if out is None else out.unionByName(part)
-    return out
+    if len(pairs) > max_pairs_per_pass:
+        return _wide_correlation(df, cols)
+    one = df.agg(F.count(F.lit(1)).alias("_n"),
+                 *[F.try_divide(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b) * F.regr_syy(a, b))).alias(f"c{k}")
+                   for k, (a, b) in enumerate(pairs)])
+    entries = [F.struct(F.lit(c).alias("feature_x"), F.lit(c).alias("feature_y"), F.lit(1.0).alias("corr"))
+               for c in cols]
+    for k, (a, b) in enumerate(pairs):
+        entries += [F.struct(F.lit(x).alias("feature_x"), F.lit(y).alias("feature_y"), F.col(f"c{k}").alias("corr"))
+                    for x, y in ((a, b), (b, a))]
+    return one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+
+
+def _wide_correlation(df: DataFrame, cols: list[str]) -> DataFrame:
+    moments = co_moments(df, cols)
+    names = F.array(*map(F.lit, cols))
+    r = F.when((F.col("n") > 1) & (F.col("c_xx") > 0) & (F.col("c_yy") > 0),
+               F.col("c_xy") / F.sqrt(F.col("c_xx") * F.col("c_yy")))
+    half = moments.select(names[F.col("x")].alias("a"), names[F.col("y")].alias("b"),
+                          F.when(F.col("x") == F.col("y"), 1.0).otherwise(r).alias("corr"))
+    both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
+        F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    return half.select(F.explode(both).alias("p"), "corr").select(
+        F.col("p.a").alias("feature_x"), F.col("p.b").alias("feature_y"), "corr")
 
 
 def correlated_with(corr: DataFrame, label: str, cut: float = 0.60) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hearth.functions.scalar import expm1, unit_hash
-from hearth.operators import clean, columns, features, models, sampling
+from hearth.operators import clean, columns, features, models, sampling, search
 
 
 @dataclass
@@ -110,13 +110,16 @@ def price_prediction(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str
                      split_key: Column | None = None, seed: int = 7,
                      impute_numeric: bool = False,
                      out_col: str = "PredictedSalePrice",
-                     fit_partitions: int = 32) -> PricePredictionResult:
+                     fit_partitions: int | None = None) -> PricePredictionResult:
     """The batch prediction job.
 
     ``grid=None`` fits ``estimator`` (default: elastic-net linear regression
-    solved from the normal equations, one pass over the data); ``'smoke'`` or
-    ``'full'`` runs the multi-estimator cross-validated search. The
-    validation split is a hash split with weights normalised to sum 1.
+    solved from the normal equations, one pass over the data); ``'smoke'`` (6
+    maps) or ``'full'`` (the 108 maps) runs the multi-estimator cross-validated
+    search, whose work the maps share (:mod:`hearth.operators.search`), and fits
+    the best map on all training rows. The validation split is a hash split
+    with weights normalised to sum 1. ``fit_partitions`` follows from the
+    number of rows if not given.
     """
     # The training rows feed the indexer fit, the model fit and the
     # validation pass; keep them once instead of re-reading (and re-joining)
@@ -140,10 +143,11 @@ def price_prediction(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str
         prepared = models.persist_prepared(
             sampling.fold_column(fit_set, folds, "_k", seed,
                                  draw=unit_hash(F.xxhash64(*id_cols), seed + 1)))
-        cv = models.cross_validate(prepared, pipe, maps, folds=folds, parallelism=parallelism,
-                                   seed=seed, fold_col="fold")
-        board = models.leaderboard(train.sparkSession, cv, maps)
-        model = cv.bestModel
+        errors = search.shared_search(prepared, maps, parallelism=parallelism)
+        avg, std = errors.mean(axis=1), errors.std(axis=1)
+        board = models.rank_maps(train.sparkSession, maps, avg, std)
+        _, best, params = search.parameter_maps(maps)[int(avg.argmin())]
+        model = best.copy({getattr(best, k): v for k, v in params.items()}).fit(prepared)
     else:
         est = estimator or LinearRegression(solver="normal", maxIter=30, regParam=0.001,
                                             elasticNetParam=0.8)

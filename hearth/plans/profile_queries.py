@@ -106,6 +106,38 @@ def corr_matrix(spark, d):
     return _corr_long(spark, d)
 
 
+def wide_columns(spark, d):
+    """The embeddings as a wide table: the components and four functions of them
+    (about 300 columns), with gaps where a component is close to zero."""
+    e = table(spark, d, "embeddings").select("embedding")
+    dims = e.agg(F.max(F.size("embedding"))).first()[0] or 0
+    cols = []
+    for i in range(dims):
+        v, w = (F.col("embedding")[k].cast("double") for k in (i, (i + 1) % dims))
+        v = F.when(F.abs(v) >= 0.01, v)
+        cols += [v.alias(f"x{i}"), (v * v).alias(f"s{i}"), F.abs(v).alias(f"a{i}"),
+                 (v * w).alias(f"p{i}"), (v - w).alias(f"d{i}")]
+    return e.select(*cols)
+
+
+@query("corr_wide", "F6", """
+WITH e AS (SELECT row_number() OVER () AS r, embedding AS x, len(embedding) AS n FROM embeddings),
+v AS (SELECT r, k, CASE WHEN abs(x[k + 1]::DOUBLE) >= 0.01 THEN x[k + 1]::DOUBLE END AS v,
+             x[(k + 1) % n + 1]::DOUBLE AS w
+      FROM (SELECT *, unnest(range(n)) AS k FROM e)),
+f AS (SELECT r, 'x' || k AS name, v FROM v UNION ALL SELECT r, 's' || k, v * v FROM v
+      UNION ALL SELECT r, 'a' || k, abs(v) FROM v UNION ALL SELECT r, 'p' || k, v * w FROM v
+      UNION ALL SELECT r, 'd' || k, v - w FROM v)
+SELECT a.name AS feature_x, b.name AS feature_y,
+       round(CASE WHEN a.name = b.name THEN 1.0 ELSE corr(a.v, b.v) END, 9) AS corr
+FROM f a JOIN f b ON a.r = b.r GROUP BY a.name, b.name
+""")
+def corr_wide(spark, d):
+    """Pearson matrix of some 300 columns with gaps, from one scan."""
+    out = profile.correlation_matrix(wide_columns(spark, d))
+    return out.withColumn("corr", F.round("corr", 9))
+
+
 @query("corr_with_label", "F7,E14", f"""{_CORR_SQL}
 SELECT feature_x AS feature, corr FROM cm WHERE feature_y = 'l_extendedprice' AND abs(corr) > 0.6
 """)
