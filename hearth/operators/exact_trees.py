@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from hearth.functions.scalar import count_below, mix_number, mix_unit
 
 #: buckets that the values of a feature are dealt into
-BUCKETS = 64
+BUCKETS = 32
 
 
 class ExactTree(NamedTuple):
@@ -118,7 +118,8 @@ def _best_splits(members: DataFrame, cuts: list[list[float]], min_rows: int) ->
 
 
 def fit_exact_trees(df: DataFrame, cols: Sequence[str], label: str | Column, max_depth: int, *, n_trees: int = 1,
-                    weights: Callable[[int], Column] | None = None, features_per_node: int | None = None,
+                    weights: Callable[[int], Column] | None = None, bag_key: Column | str | None = None,
+                    features_per_node: int | None = None,
                     seed: int = 7, min_rows: int = 1, min_gain: float = 1e-9) -> list[ExactTree]:
     """Greedy least-squares trees over the numeric columns ``cols``.
 
@@ -127,16 +128,20 @@ def fit_exact_trees(df: DataFrame, cols: Sequence[str], label: str | Column, max
     the smaller value. It stays a leaf at ``max_depth``, if the reduction is at
     most ``min_gain`` of its labels' sum of squares, or if a side would have
     less than ``min_rows`` rows (by weight). ``weights`` gives a tree's
-    whole-number row weights (see :func:`bag_weight`), ``features_per_node``
-    how many features, drawn by hash, a node may use. Null and NaN values go to
+    whole-number row weights; ``bag_key``, an integer key of the rows, gives each
+    tree a bag instead (:func:`bag_weight`). ``features_per_node`` says how many
+    features, drawn by hash, a node may use. Null and NaN values go to
     the right; rows with a null label are left out. Without rows there is one
     leaf without prediction (NaN).
     """
     p = len(cols)
     y = F.col(f"`{label}`") if isinstance(label, str) else label
-    draws = [weights(t) if weights else F.lit(1) for t in range(n_trees)]
-    rows = df.select(_features(cols).alias("x"), y.cast("double").alias("y"),
-                     F.array(*[d.cast("long") for d in draws]).alias("ws")).filter("y IS NOT NULL")
+    rows = df.select(_features(cols).alias("x"), y.cast("double").alias("y"), *[
+        (bag_draw(bag_key, t, seed) if bag_key is not None else weights(t) if weights else F.lit(1)).alias(f"w{t}")
+        for t in range(n_trees)]).filter("y IS NOT NULL")
+    if bag_key is not None:
+        rows = rows.withColumns({f"w{t}": bag_weight(F.col(f"w{t}")) for t in range(n_trees)})
+    rows = rows.select("x", "y", F.array(*[F.col(f"w{t}").cast("long") for t in range(n_trees)]).alias("ws"))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     cuts = _bucket_cuts(rows, p, BUCKETS)
     trees = [ExactTree([-1], [0.0], [math.nan] * 2) for _ in range(n_trees)]
@@ -178,13 +183,14 @@ def _allowed(tree: int, node: int, p: int, count: int, seed: int) -> list[int]:
 POISSON_CDF = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(8)]).tolist()
 
 
-def bag_weight(key: Column | str, tree: int, seed: int) -> Column:
-    """How often a row is drawn into a tree's bag: Poisson with mean 1, from a
-    hash of the row's integer key (below 2^58)."""
-    k = F.col(key) if isinstance(key, str) else key
-    # an array of one binds the draw, so that it is taken once
-    draw = F.array(mix_unit(k * 32 + tree, seed))
-    return F.transform(draw, lambda u: count_below(u, POISSON_CDF, inclusive=True))[0]
+def bag_draw(key: Column | str, tree: int, seed: int) -> Column:
+    """A row's uniform draw for a tree, from a hash of its integer key (below 2^58)."""
+    return mix_unit((F.col(key) if isinstance(key, str) else key) * 32 + tree, seed)
+
+
+def bag_weight(draw: Column) -> Column:
+    """How often a row with this draw is in a bag: Poisson with mean 1."""
+    return count_below(draw, POISSON_CDF, inclusive=True)
 
 
 def forest_prediction(trees: Sequence[ExactTree], cols: Sequence[str]) -> Column:

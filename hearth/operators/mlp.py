@@ -13,8 +13,10 @@ Spark ML has no MLP regressor, so this is a small custom estimator:
 Full-batch gradients make the result independent of the partitioning. With
 ``batch_size`` each partition takes its own mini-batch steps within an epoch
 and the weights are averaged over the partitions, by rows, at its end: still
-one job per epoch, whatever the row count. Rows are then dealt to a fixed
-number of partitions first, so the result does not depend on the cluster.
+one job per epoch, whatever the row count. Rows are then dealt to partitions
+whose number follows from the row count, so the result does not depend on the
+cluster. (Steps that all tasks take together, through a barrier stage's
+``allGather``, were tried: Spark answers one in about a second.)
 Dropout masks come from a hash of (row id, epoch, unit), so a retried task
 draws the same mask. L2 is added on the driver.
 """
@@ -128,7 +130,7 @@ class MLPRegressionModel:
 def fit_mlp(df: DataFrame, *, features: str = "x", label: str = "y", id_col: str = "row_id",
             hidden: Sequence[int] = (20, 12), epochs: int = 20, learning_rate: float = 0.01,
             l2: float = 0.0, l1: float = 0.0, dropout: float = 0.0,
-            batch_size: int | None = None, partitions: int = 8,
+            batch_size: int | None = None, partitions: int | None = None,
             seed: int = 7) -> MLPRegressionModel:
     """Fit relu hidden layers + linear output with squared loss and Adam
     (I12); ``l2`` / ``l1`` penalise hidden kernels (sum of squares / of
@@ -138,8 +140,9 @@ def fit_mlp(df: DataFrame, *, features: str = "x", label: str = "y", id_col: str
     ``batch_size`` = None takes one full-batch step per epoch. Otherwise
     every one of the ``partitions`` takes a step per ``batch_size`` rows, in
     an order redrawn each epoch by a hash of (row id, epoch), and the epoch
-    ends with the mean of their weights. ``partitions`` is part of the
-    model's definition, like the seed; raise it with the data. The output
+    ends with the mean of their weights. The number of ``partitions`` follows
+    from the number of rows if not given (:func:`models.fit_partitions`), so the
+    result doesn't depend on the cluster. The output
     bias starts at the mean label. Rows without features or label are left
     out; a frame with no others raises ``ValueError``."""
     ship_package(df.sparkSession)

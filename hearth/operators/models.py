@@ -188,8 +188,8 @@ def training_history(spark: SparkSession, history: Sequence[float],
 
 def fit_partitions(rows: int) -> int:
     """Partitions for a fit over so many rows: a million rows each, and for
-    tables below 32 million up to 32 of at least 15,000."""
-    return max(-(-rows // 1_000_000), min(-(-rows // 15_000), 32), 1)
+    tables below 32 million up to 32 of at least 60,000."""
+    return max(-(-rows // 1_000_000), min(-(-rows // 60_000), 32), 1)
 
 
 def spread_for_fit(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:

@@ -87,7 +87,7 @@ def exact_forest(spark, d):
     frame = line_frame(spark, d)
     key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     trees = et.fit_exact_trees(frame.filter("is_train"), COLS, "y", 3, n_trees=_TREES, features_per_node=2, seed=SEED,
-                               weights=lambda t: et.bag_weight(key, t, SEED))
+                               bag_key=key)
     return frame.filter("NOT is_train").select(
         "l_orderkey", "l_linenumber", F.round(et.forest_prediction(trees, COLS), 4).alias("prediction"))
 

@@ -109,8 +109,8 @@ def test_rank_maps_is_best_first(spark):
 
 
 def test_partitions_follow_from_the_rows():
-    assert [models.fit_partitions(n) for n in (0, 10, 15_001, 480_000, 10 ** 7, 32_000_001, 10 ** 10)] == [
-        1, 1, 2, 32, 32, 33, 10_000]
+    assert [models.fit_partitions(n) for n in (0, 10, 60_001, 480_000, 10 ** 7, 32_000_001, 10 ** 10)] == [
+        1, 1, 2, 8, 32, 33, 10_000]
 
 
 # ---------------------------------------------------------------- exact trees
@@ -172,9 +172,8 @@ def test_exact_tree_matches_brute_force(spark, monkeypatch, min_rows, buckets):
 
 def test_forest_uses_bags_and_drawn_features(spark):
     df = _frame(spark).cache()
-    trees = et.fit_exact_trees(df, ["a", "b", "c"], "label", 2, n_trees=3, features_per_node=1, seed=4,
-                               weights=lambda t: et.bag_weight("id", t, 4))
-    rows = df.select("a", "b", "c", "label", *[et.bag_weight("id", t, 4).alias(f"w{t}") for t in range(3)]).toPandas()
+    trees = et.fit_exact_trees(df, ["a", "b", "c"], "label", 2, n_trees=3, features_per_node=1, seed=4, bag_key="id")
+    rows = df.select("a", "b", "c", "label", *[et.bag_weight(et.bag_draw("id", t, 4)).alias(f"w{t}") for t in range(3)]).toPandas()
     x = rows[["a", "b", "c"]].to_numpy()
     for t, tree in enumerate(trees):
         w = rows[f"w{t}"].to_numpy().astype(float)
