@@ -100,8 +100,8 @@ def _signatures(n: int, bands: int, rows: int, seed: int = 7):
                     out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + band[:, r])
                 keys.append(out.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(count, pa.int32()), pa.array(h1, pa.int64()),
-                 pa.array(h2, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["id", "n", "h1", "h2", "bands"])
+                [batch.column("id"), batch.column("tag"), pa.array(count, pa.int32()), pa.array(h1, pa.int64()),
+                 pa.array(h2, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["id", "tag", "n", "h1", "h2", "bands"])
     return run
 
 
@@ -283,15 +283,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Ids are integers. Null texts count as empty; texts without words have no
     links and stand alone. Rows that repeat an id count as one document (one
-    of their texts, the same in every run, speaks for it). Rows without id
+    of their texts, the same in every run, speaks for it, in signatures as in
+    comparisons). Rows without id
     take no part and aren't in the result. Extra columns are left aside. An
     empty table gives an empty result.
     """
     bands, rows = bands_for(threshold, recall)
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(f"`{text_col}`").alias("t"))
-    known = src.filter("id IS NOT NULL")
-    sig = stage(known.mapInArrow(_signatures(n, bands, rows), "id long, n int, h1 long, h2 long, bands array<long>"), "near-dup-sig")
-    one = sig.groupBy("id").agg(F.min(F.struct("h1", "h2", "n", "bands")).alias("s")).select("id", "s.*")
+    known = src.filter("id IS NOT NULL").withColumn("tag", F.xxhash64("t"))
+    sig = stage(known.mapInArrow(_signatures(n, bands, rows), "id long, tag long, n int, h1 long, h2 long, bands array<long>"),
+                "near-dup-sig")
+    # an id that is repeated with other texts: the one with this signature and hash speaks for it
+    one = sig.groupBy("id").agg(F.min(F.struct("h1", "h2", "n", "tag", "bands")).alias("s")).select("id", "s.*")
     # copies: equal sets; a text without words stands alone
     copies = one.filter("n > 0").groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("copies"),
                                                          F.min_by("bands", "id").alias("bands"))
@@ -301,7 +304,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = stage(hits.join(buckets.select("band", "key", "first"), ["band", "key"]), "near-dup-met")
 
     involved = met.select("id").distinct()
-    texts = stage(known.join(involved, "id", "left_semi").groupBy("id").agg(F.min("t").alias("t")), "near-dup-texts")
+    speakers = one.select("id", "tag").join(involved, "id", "left_semi")
+    texts = stage(known.join(speakers, ["id", "tag"], "left_semi").groupBy("id").agg(F.min("t").alias("t")), "near-dup-texts")
     stars = met.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     pairs = (stars.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
              .join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").select("a", "b", "ta", "tb"))
@@ -341,9 +345,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The input rows that stay, with the input's columns: those of each
-    group's smallest id, and rows without id."""
-    classes = near_duplicates(docs, id_col, text_col, count_links=False, **options)
-    gone = classes.filter("id <> class_id").select(F.col("id").alias("gone_id"))
+    group's smallest id, and rows without id.
+
+    Rows that repeat an id with the same text stay or go together. Where an id
+    is repeated with different texts, each text is a document of its own: it
+    goes if an id that isn't repeated so is in its group, or of several such
+    texts another one, by hash.
+    """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                       F.col(f"`{id_col}`").cast("long").alias("row_id"))
-    return rows.join(gone, F.col("row_id") == F.col("gone_id"), "left_anti").select("row.*")
+                       F.col(f"`{id_col}`").cast("long").alias("row_id"),
+                       F.xxhash64(text_or_empty(f"`{text_col}`")).alias("tag"))
+    repeated = stage(rows.filter("row_id IS NOT NULL").groupBy("row_id")
+                     .agg(F.min("tag").alias("low"), F.max("tag").alias("high"))
+                     .filter("low <> high").select(F.col("row_id").alias("twice")), "near-dup-repeated")
+    if repeated.isEmpty():
+        own = rows.withColumn("own_id", F.col("row_id"))
+    else:
+        # ids of 61 bits behind all others stand for an id's different texts
+        behind = F.shiftrightunsigned(F.xxhash64("row_id", "tag"), 3) + F.lit(3 << 61)
+        own = (rows.join(repeated, F.col("row_id") == F.col("twice"), "left")
+               .withColumn("own_id", F.when(F.col("twice").isNull(), F.col("row_id")).otherwise(behind)))
+    texts = own.select("own_id", F.col(f"row.`{text_col}`").alias("text"))
+    classes = near_duplicates(texts, "own_id", "text", count_links=False, **options)
+    gone = classes.filter("id <> class_id").select(F.col("id").alias("gone_id"))
+    return own.join(gone, F.col("own_id") == F.col("gone_id"), "left_anti").select("row.*")

@@ -74,6 +74,8 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 def _pack(capacity: int, pad: int, window_tokens: int, id_bytes: int, id_type: pa.DataType):
+    wide = f"<u{id_bytes}"
+
     def run(batches):
         base = TaskContext.get().partitionId() << 33
         made = 0
@@ -83,8 +85,8 @@ def _pack(capacity: int, pad: int, window_tokens: int, id_bytes: int, id_type: p
             nonlocal made
             ids, positions, ends, owners, starts = [], [], [], [], []
             for pack in packs:
-                row = np.full(capacity, pad, "<u2")
-                pos = np.zeros(capacity, "<u2")
+                row = np.full(capacity, pad, wide)
+                pos = np.zeros(capacity, "<u2" if capacity <= 1 << 16 else "<u4")
                 at, cu = 0, [0]
                 for _, _, x in pack:
                     row[at:at + len(x)] = x
@@ -112,11 +114,7 @@ def _pack(capacity: int, pad: int, window_tokens: int, id_bytes: int, id_type: p
         for batch in batches:
             full = []
             for doc, raw in zip(batch.column("id").to_pylist(), batch.column("ids").to_pylist()):
-                x = np.frombuffer(raw, f"<u{id_bytes}")
-                if id_bytes > 2:
-                    if len(x) and x.max() > 0xFFFF:
-                        raise ValueError(f"token id {x.max()} takes more than 16 bits")
-                    x = x.astype("<u2")
+                x = np.frombuffer(raw, wide)
                 whole = len(x) // capacity * capacity
                 for at in range(0, whole, capacity):
                     full.append([(doc, at, x[at:at + capacity])])
@@ -139,12 +137,11 @@ def _pack(capacity: int, pad: int, window_tokens: int, id_bytes: int, id_type: p
 def pack(tokens: DataFrame, id_col: str = "id", ids_col: str = "ids", capacity: int = 8192, pad: int = 0,
          window_tokens: int = 4_000_000, id_bytes: int = 2) -> DataFrame:
     """Pack rows (``id_col``, ``ids_col``: little-endian unsigned ids of
-    ``id_bytes`` bytes each: 2, or 4 as ``encode`` gives them; an id over 16 bits
-    is an error).
+    ``id_bytes`` bytes each: 2, or 4 as ``encode`` gives them).
 
-    Result: ``pack_id``; ``input_ids`` and ``position_ids`` (``capacity`` values
-    of 16 bits each; positions restart at 0 with every segment, padding has
-    ``pad`` and 0); ``cu_seqlens`` (0 and the segments' ends); of each segment
+    Result: ``pack_id``; ``input_ids`` (``capacity`` ids as wide as they came);
+    ``position_ids`` (``capacity`` values of 16 bits, 32 where ``capacity`` is
+    over 65,536; they restart at 0 with every segment, padding has ``pad`` and 0); ``cu_seqlens`` (0 and the segments' ends); of each segment
     ``doc_ids`` and ``doc_starts`` (its first token's place in the document).
 
     Every token of every document is in exactly one segment. Documents without

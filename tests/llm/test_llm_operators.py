@@ -366,14 +366,21 @@ def test_packing_of_token_ids(spark, awkward):
     rows = packing.pack(encoded.select("row.n", "ids"), "n", capacity=512, id_bytes=4).collect()
     got = defaultdict(list)
     for r in rows:
-        ids = np.frombuffer(bytes(r.input_ids), "<u2")
+        ids = np.frombuffer(bytes(r.input_ids), "<u4")
         for k, (d, s) in enumerate(zip(r.doc_ids, r.doc_starts)):
             a, b = r.cu_seqlens[k:k + 2]
-            got[d].append((s, ids[a:b].astype("<u4").tobytes()))
+            got[d].append((s, ids[a:b].tobytes()))
     assert {n: b"".join(x for _, x in sorted(got[n])) for n in want} == want
-    wide = spark.createDataFrame([(1, np.array([70_000], "<u4").tobytes())], "id long, ids binary")
-    with pytest.raises(Exception, match="more than 16 bits"):
-        packing.pack(wide, id_bytes=4).collect()
+
+
+def test_packing_keeps_ids_and_positions_over_16_bits(spark):
+    tokens = np.arange(70_000, 139_990, dtype="<u4")
+    wide = spark.createDataFrame([(1, tokens.tobytes()), (2, tokens[:5].tobytes())], "id long, ids binary").coalesce(1)
+    row, = packing.pack(wide, capacity=70_000, id_bytes=4).collect()
+    ids, pos = (np.frombuffer(bytes(x), "<u4") for x in (row.input_ids, row.position_ids))
+    assert row.cu_seqlens == [0, 69_990, 69_995] and row.doc_ids == [1, 2]
+    assert (ids[:69_995] == np.concatenate([tokens, tokens[:5]])).all() and not ids[69_995:].any()
+    assert (pos[:69_990] == np.arange(69_990)).all() and pos[69_990:].tolist() == [0, 1, 2, 3, 4] + [0] * 5
 
 
 def test_packing_query_packs_token_ids(spark):
@@ -574,6 +581,31 @@ def test_links_of_a_chain_and_a_large_group(spark, monkeypatch):
     assert near(df) == slow_links(rows)
 
 
+def test_a_repeated_id_speaks_with_one_of_its_texts(spark):
+    """Signature and comparison must use the same text of an id with several."""
+    r = random.Random(8)
+    for trial in range(2):
+        a, b, c = ([f"{x}{trial}{k}" for k in range(100)] for x in "abc")
+        near_a, near_b = (" ".join([*w[:99], "changed"]) for w in (a, b))
+        rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near_a), (3, near_b), (4, " ".join(c))]
+        r.shuffle(rows)
+        got = near(spark.createDataFrame(rows, "doc_id long, text string"))
+        either = [slow_links([(1, " ".join(w)), (2, near_a), (3, near_b), (4, " ".join(c))]) for w in (a, b)]
+        assert got in either
+
+
+def test_only_the_copy_of_a_repeated_id_goes(spark):
+    for trial in range(2):
+        a, b, c = ([f"{x}{trial}{k}" for k in range(100)] for x in "abc")
+        near_a = " ".join([*a[:99], "changed"])
+        rows = [(1, " ".join(a), 0), (2, near_a, 1), (2, " ".join(b), 2), (2, " ".join(b), 3), (None, near_a, 4),
+                (3, " ".join(c), 5), (3, " ".join([*c[:99], "other"]), 6), (3, None, 7), (4, "", 8)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(3)
+        kept = sorted(x.n for x in near_dup.drop_near_copies(df).collect())
+        # of the two near texts under id 3, one stays
+        assert [k for k in kept if k not in (5, 6)] == [0, 2, 3, 4, 7, 8] and len(kept) == 7
+
+
 def test_near_edges(awkward, empty):
     got = near(awkward)
     assert got[1] == (1, 1) and got[2] == (1, 1) and got[3] == (3, 0) and got[4] == (4, 0) and got[5] == (5, 0)
