@@ -93,6 +93,37 @@ def missing_groups(report: DataFrame) -> DataFrame:
                   .orderBy(F.desc("total")))
 
 
+def missing_patterns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Which columns are missing together (C7): (features, n_rows), one row per
+    set of missing columns that occurs, the empty set included. One scan; a
+    row's set is combined with equal ones before the shuffle."""
+    cols = list(cols or df.columns)
+    # a bit per column, 60 to a number
+    words = [sum((F.when(F.col(f"`{c}`").isNull(), F.lit(1 << k)).otherwise(F.lit(0)) for k, c in enumerate(cols[at:at + 60])),
+                 F.lit(0).cast("long")) for at in range(0, len(cols), 60)]
+    counted = df.groupBy(*[w.alias(f"w{i}") for i, w in enumerate(words)]).agg(F.count(F.lit(1)).alias("n_rows"))
+    names = F.array(*[F.when(F.col(f"w{i // 60}").bitwiseAND(F.lit(1 << (i % 60))) != 0, F.lit(c)) for i, c in enumerate(cols)])
+    return counted.select(F.array_compact(names).alias("features"), "n_rows")
+
+
+def missing_together(patterns: DataFrame) -> DataFrame:
+    """Of every two columns that have missing values (C7): (feature_x, feature_y,
+    both, only_x, only_y, same_rows), from :func:`missing_patterns`. Equal counts
+    don't say that the same rows are concerned; ``same_rows`` does. Pairs that
+    are never missing together aren't listed."""
+    have = patterns.filter(F.size("features") > 0)
+    single = have.select(F.explode("features").alias("f"), "n_rows").groupBy("f").agg(F.sum("n_rows").alias("total"))
+    pairs = (have.select(F.explode("features").alias("feature_x"), "features", "n_rows")
+             .select("feature_x", F.explode("features").alias("feature_y"), "n_rows").filter("feature_x < feature_y")
+             .groupBy("feature_x", "feature_y").agg(F.sum("n_rows").alias("both")))
+    x = single.select(F.col("f").alias("feature_x"), F.col("total").alias("tx"))
+    y = single.select(F.col("f").alias("feature_y"), F.col("total").alias("ty"))
+    only_x, only_y = F.col("tx") - F.col("both"), F.col("ty") - F.col("both")
+    return pairs.join(x, "feature_x").join(y, "feature_y").select(
+        "feature_x", "feature_y", "both", only_x.alias("only_x"), only_y.alias("only_y"),
+        ((only_x == 0) & (only_y == 0)).alias("same_rows"))
+
+
 def outlier_rows(df: DataFrame, x: str, y: str, *, x_above: float | None = None,
                  y_below: float | None = None, top_k: int | None = None,
                  id_col: str | None = None) -> DataFrame:

@@ -154,6 +154,33 @@ def collinear_pairs(corr: DataFrame, label: str, cut: float = 0.8) -> DataFrame:
                        .otherwise(F.col("feature_y")).alias("drop_feature"))
 
 
+def independent_features(corr: DataFrame, label: str, cut: float = 0.8) -> DataFrame:
+    """Keep one of each set of collinear features (F8): (feature, r_label, kept,
+    because_of), the label left aside.
+
+    Features are taken by falling |r| to the label (none last, ties by name),
+    and one is kept if its |r| with every kept one is at most ``cut``;
+    ``because_of`` is the first kept feature that rules it out. Of a chain a-b-c,
+    in which dropping the worse end of each pair can remove both a and c's only
+    neighbours, this leaves a largest set by that order. The pairs over the cut,
+    at most (number of columns)^2, are gathered.
+    """
+    spark = corr.sparkSession
+    order = (corr.filter((F.col("feature_y") == label) & (F.col("feature_x") != label))
+             .select(F.col("feature_x").alias("f"), F.abs("corr").alias("r")).collect())
+    order = sorted(order, key=lambda x: (x["r"] is None, -(x["r"] or 0.0), x["f"]))
+    near: dict[str, set[str]] = {}
+    for x in corr.filter(F.abs("corr") > cut).select("feature_x", "feature_y").collect():
+        near.setdefault(x[0], set()).add(x[1])
+    kept, rows = [], []
+    for x in order:
+        ruled = next((k for k in kept if k in near.get(x["f"], ())), None)
+        if ruled is None:
+            kept.append(x["f"])
+        rows.append((x["f"], x["r"], ruled is None, ruled))
+    return spark.createDataFrame(rows, "feature string, r_label double, kept boolean, because_of string")
+
+
 def _bin_expr(x: Column, lo: float, hi: float, n: int) -> Column:
     if hi <= lo:
         return F.when(x.isNotNull(), F.lit(0))
@@ -224,6 +251,53 @@ def hist2d(df: DataFrame, x: str, y: str, nx: int = 30, ny: int = 30) -> DataFra
               .agg(F.count(F.lit(1)).alias("count")))
 
 
+def pair_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
+    """2-D bin counts of every pair of columns, the data of a pair plot (F13):
+    (feature_x, feature_y, bin_x, bin_y, count), non-empty cells only, each
+    unordered pair once in the order of ``cols``.
+
+    Two scans for any number of pairs: the extremes, then one count in which a
+    row's bins, found once, go into the cells of all its pairs and are combined
+    before the shuffle (at most pairs x ``bins``^2 rows leave a task). A row
+    counts in the pairs whose two values are there.
+    """
+    cols = list(cols)
+    ends = df.agg(*[f(c).cast("double").alias(f"{n}{i}") for i, c in enumerate(cols)
+                    for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    binned = [F.when(F.col(c).isNotNull(), _bin_expr(F.col(c), ends[f"lo{i}"], ends[f"hi{i}"], bins))
+              if ends[f"lo{i}"] is not None else F.lit(None) for i, c in enumerate(cols)]
+    rows = df.select(F.array(*[b.cast("int") for b in binned]).alias("b"))
+    pairs = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col("b")[i].alias("bin_x"), F.col("b")[j].alias("bin_y"))
+             for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "feature_x string, feature_y string, bin_x int, bin_y int, count long")
+    names = F.array(*map(F.lit, cols))
+    cells = rows.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").filter("bin_x IS NOT NULL AND bin_y IS NOT NULL")
+    counted = cells.groupBy("i", "j", "bin_x", "bin_y").agg(F.count(F.lit(1)).alias("count"))
+    return counted.select(names[F.col("i")].alias("feature_x"), names[F.col("j")].alias("feature_y"),
+                          "bin_x", "bin_y", "count")
+
+
+def sketch_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], k: int = 400) -> DataFrame:
+    """Approximate quantiles of several columns from one scan (F3): (column,
+    prob, value, rank_error).
+
+    Each column has a mergeable KLL sketch of parameter ``k``; it stays at some
+    kilobytes for any number of rows. ``rank_error`` is the sketch's normalised
+    rank error at 99 % confidence for one quantile, 2.296 / k^0.9021: the value's
+    rank, divided by the number of values, is that close to ``prob``. Nulls
+    and NaNs are left out; a column without values has null quantiles.
+    """
+    probs = [float(p) for p in probs]
+    values = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols]
+    one = df.agg(*[F.kll_sketch_agg_double(v, F.lit(k)).alias(f"s{i}") for i, v in enumerate(values)],
+                 *[F.count(v).alias(f"n{i}") for i, v in enumerate(values)])
+    entries = [F.struct(F.lit(c).alias("column"), F.lit(p).alias("prob"),
+                        F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(F.col(f"s{i}"), F.lit(p))).alias("value"))
+               for i, c in enumerate(cols) for p in probs]
+    return one.select(F.explode(F.array(*entries)).alias("e")).select("e.*", F.lit(2.296 / k ** 0.9021).alias("rank_error"))
+
+
 def scatter_sample(df: DataFrame, x: str, y: str, key: str, fraction: float, seed: int,
                    *, draw: Column | None = None) -> DataFrame:
     """Seeded sample of (x, y) points for a scatter plot.

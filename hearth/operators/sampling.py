@@ -13,7 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hearth.functions.scalar import unit_hash
-from hearth.operators.ranking import global_rank
+from hearth.operators.ranking import column_quantiles, global_rank
 
 
 def _draw(key: str, seed: int, draw: Column | None) -> Column:
@@ -95,14 +95,26 @@ def exact_sample(df: DataFrame, fraction: float, key: str, seed: int, *,
     """Sample of exactly floor(fraction * n) rows without replacement, plus
     its complement, flagged in ``out`` (H2).
 
-    Rows are ranked by (draw, key) with the distributed global rank; the
-    first floor(f n) ranks are the sample. No global limit, so nothing is
-    gathered into one task.
+    The sample has the rows with the smallest (draw, key). The draw that ends
+    it is selected by passes over the draws (``ranking.column_quantiles``), and
+    rows are flagged by comparison with it: no row is sorted or shuffled, but
+    for those with exactly that draw, if only some of them belong to the sample
+    (they are ranked by key).
     """
     base = df.withColumn("_u", _draw(key, seed, draw))
-    ranked, n = global_rank(base, ["_u", key], rank_col="_rk")
+    n = base.count()
     size = int(fraction * n)
-    return ranked.withColumn(out, F.col("_rk") <= F.lit(size)).drop("_u", "_rk")
+    if size <= 0 or size >= n:
+        return base.withColumn(out, F.lit(size > 0)).drop("_u")
+    # halfway between the last draw of the sample and the first behind it
+    cut = column_quantiles(base, ["_u"], [(size - 0.5) / (n - 1)])["_u"][0]
+    below = base.filter(F.col("_u") < cut).count()
+    if below == size:
+        return base.withColumn(out, F.col("_u") < cut).drop("_u")
+    ranked, _ = global_rank(base.filter(F.col("_u") == cut), [key], rank_col="_rk")
+    tied = ranked.withColumn(out, F.col("_rk") <= size - below).drop("_rk")
+    rest = base.filter(F.col("_u") != cut).withColumn(out, F.col("_u") < cut)
+    return rest.unionByName(tied).drop("_u")
 
 
 def fold_column(df: DataFrame, k: int, key: str, seed: int, *,

@@ -115,6 +115,24 @@ def missing_groups(spark, d):
     return clean.missing_groups(clean.missing_report(part_with_gaps(spark, d)))
 
 
+_GAP_COLS = ("p_name", "p_brand", "p_type", "p_retailprice")
+_TOGETHER_SQL = "\nUNION ALL\n".join(
+    f"""SELECT '{a}' AS feature_x, '{b}' AS feature_y, count(*) FILTER ({a} IS NULL AND {b} IS NULL) AS "both",
+       count(*) FILTER ({a} IS NULL AND {b} IS NOT NULL) AS only_x,
+       count(*) FILTER ({b} IS NULL AND {a} IS NOT NULL) AS only_y FROM part_with_gaps"""
+    for i, a in enumerate(sorted(_GAP_COLS)) for b in sorted(_GAP_COLS)[i + 1:])
+
+
+@query("missing_together", "C7", f"""
+WITH {PART_WITH_GAPS_SQL.strip()},
+p AS ({_TOGETHER_SQL})
+SELECT *, only_x = 0 AND only_y = 0 AS same_rows FROM p WHERE "both" > 0
+""")
+def missing_together(spark, d):
+    """For every two columns with gaps, how many rows lack both or one of them."""
+    return clean.missing_together(clean.missing_patterns(part_with_gaps(spark, d)))
+
+
 @query("outlier_rule", "C8", """
 SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice
 FROM lineitem WHERE l_quantity > 48 AND l_extendedprice < 50000

@@ -159,6 +159,23 @@ def collinear_pairs(spark, d):
     return profile.collinear_pairs(_corr_long(spark, d), "l_extendedprice", 0.8)
 
 
+@query("independent_features", "F8", _CORR_SQL.replace("WITH", "WITH RECURSIVE", 1) + """,
+ranked AS (SELECT feature_x AS f, abs(corr) AS r, row_number() OVER (ORDER BY abs(corr) DESC, feature_x) AS k
+           FROM cm WHERE feature_y = 'l_extendedprice' AND feature_x <> 'l_extendedprice'),
+near AS (SELECT feature_x AS f, list(feature_y) AS others FROM cm WHERE abs(corr) > 0.8 GROUP BY feature_x),
+walk AS (SELECT 0::BIGINT AS k, NULL::VARCHAR AS f, NULL::DOUBLE AS r, NULL::VARCHAR AS because_of, []::VARCHAR[] AS kept
+         UNION ALL
+         SELECT k, f, r, because_of, CASE WHEN because_of IS NULL THEN list_append(kept, f) ELSE kept END
+         FROM (SELECT ranked.k, ranked.f, ranked.r, w.kept,
+                      list_filter(w.kept, lambda x: list_contains(others, x))[1] AS because_of
+               FROM walk w JOIN ranked ON ranked.k = w.k + 1 JOIN near ON near.f = ranked.f))
+SELECT f AS feature, r AS r_label, because_of IS NULL AS kept, because_of FROM walk WHERE k > 0
+""")
+def independent_features(spark, d):
+    """The measures of which one of each collinear set is kept, best by |r| to the price first."""
+    return profile.independent_features(_corr_long(spark, d), "l_extendedprice", 0.8)
+
+
 def _hist_sql(col, tbl, n, alias="h"):
     return f"""
 mm AS (SELECT min({col}) AS lo, max({col}) AS hi FROM {tbl}),
@@ -214,6 +231,32 @@ def hist2d(spark, d):
     return profile.hist2d(table(spark, d, "lineitem"), "l_quantity", "l_extendedprice", 10, 10)
 
 
+_PAIR_COLS = (*MEASURE_COLS, "l_linenumber")
+
+
+def _pair_sql(bins: int = 8) -> str:
+    ends = ", ".join(f"min({c}) AS lo{i}, max({c}) AS hi{i}" for i, c in enumerate(_PAIR_COLS))
+
+    def b(i):
+        return (f"least(greatest(floor(({_PAIR_COLS[i]} - lo{i}) / ((hi{i} - lo{i}) / {bins}))::INTEGER, 0), {bins - 1})")
+    parts = [f"SELECT '{_PAIR_COLS[i]}' AS feature_x, '{_PAIR_COLS[j]}' AS feature_y, {b(i)} AS bin_x, {b(j)} AS bin_y, "
+             f"count(*) AS count FROM measures, ends GROUP BY 3, 4"
+             for i in range(len(_PAIR_COLS)) for j in range(i + 1, len(_PAIR_COLS))]
+    return f"WITH {LINEITEM_MEASURES_SQL.strip()},\nends AS (SELECT {ends} FROM measures)\n" + "\nUNION ALL\n".join(parts)
+
+
+@query("pair_plot", "F13", _pair_sql())
+def pair_plot(spark, d):
+    """8 x 8 bin counts of all 21 pairs of seven line-item measures, from one count."""
+    return profile.pair_bins(lineitem_measures(spark, d), list(_PAIR_COLS), 8)
+
+
+@query("sketch_quantiles", "F3,F1")
+def sketch_quantiles_q(spark, d):
+    """Approximate deciles of the measures from one scan of mergeable sketches."""
+    return profile.sketch_quantiles(lineitem_measures(spark, d), list(MEASURE_COLS), [k / 10 for k in range(11)])
+
+
 @query("scatter_sample", "F13", f"""
 SELECT l_orderkey, l_quantity, l_extendedprice FROM lineitem
 WHERE {mix_unit_sql("l_orderkey", 111)} < 0.02
