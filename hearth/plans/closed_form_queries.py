@@ -14,6 +14,7 @@ from hearth.functions.scalar import mix_unit, mix_unit_sql
 from hearth.operators import features, models
 from hearth.plans.registry import query
 from hearth.session import checkpoint_dir
+from hearth.sources.sinks import run_report, write_report
 from hearth.sources.tables import table
 
 SEED = 7
@@ -75,6 +76,25 @@ def lr_split_errors(spark, d):
         F.round(F.sqrt(F.avg(err * err)), 7).alias("rmse"))
 
 
+@query("run_report", "A6,J1,J2", f"""
+WITH {_TWO_SQL.strip()},
+e AS (SELECT count(*)::DOUBLE AS n, avg((y - pred) ** 2) AS mse FROM scored WHERE split = 'test')
+SELECT 'two-features' AS run_id, 'rows' AS name, n AS value FROM e
+UNION ALL SELECT 'two-features', 'mse', round(mse, 7) FROM e
+UNION ALL SELECT 'two-features', 'rmse', round(sqrt(mse), 7) FROM e
+""")
+def run_report_q(spark, d):
+    """The two-input fit's report on the held-out rows, appended to a report
+    table in the shared folder and read back."""
+    frame, model = _two_feature_fit(spark, d)
+    err = F.col("label") - F.col("prediction")
+    r = models.score(model, frame.filter("split = 'test'")).agg(F.count(F.lit(1)), F.avg(err * err)).first()
+    path = f"{checkpoint_dir(spark).rstrip('/')}/reports/{uuid.uuid4().hex}"
+    write_report(run_report(spark, {"rows": r[0], "mse": r[1], "rmse": r[1] ** 0.5 if r[0] else None}, "two-features"), path)
+    return spark.read.schema("run_id string, name string, value string").parquet(path).select(
+        "run_id", "name", F.round(F.col("value").try_cast("double"), 7).alias("value"))
+
+
 @query("model_roundtrip", "I19", f"""
 WITH {_TWO_SQL.strip()}
 SELECT l_orderkey, l_linenumber, round(pred, 4) AS prediction, TRUE AS equal_to_fitted
