@@ -79,6 +79,77 @@ def test_values_that_fail_validation_stay(spark):
     assert both[0] == f"x {card} y {card}"
 
 
+def test_phones_by_brute_force(spark):
+    forms = {"(415) 555-2671": 0, "415-555-2671": 0, "415.555.2671": 0, "+1 415 555 2671": 1, "+442079460958": 2,
+             "+44 20 7946 0958": 2, "+49 30 901820": 2, "+33 1 23 45 67 89": 2, "+353 1 679 1977": 3, "+1 (017) 555-7713": 1}
+    for value, out in zip(forms, replaced(spark, list(forms))):
+        digits = re.sub(r"\D", "", value)
+        code, rest = digits[:forms[value]], digits[forms[value]:]
+        h = len(rest) // 2
+        l, r = slow_feistel("k", "phone", int(rest[:h]), int(rest[h:]), 10 ** h, 10 ** (len(rest) - h))
+        new = iter(code + f"{l:0{h}d}{r:0{len(rest) - h}d}")
+        assert out == re.sub(r"\d", lambda _: next(new), value)
+
+
+def test_ssn_by_brute_force(spark):
+    def place(area, group, serial):
+        return (area - 2 if area > 666 else area - 1) * 99 + group - 1, serial - 1
+    l, r = slow_feistel("k", "ssn", *place(123, 45, 6789), 898 * 99, 9999)
+    area = l // 99 + (2 if l // 99 >= 665 else 1)
+    want = f"{area:03d}-{l % 99 + 1:02d}-{r + 1:04d}"
+    assert replaced(spark, ["123-45-6789", "123 45 6789"]) == [want, want.replace("-", " ")]
+
+
+def test_dates_in_both_orders(spark):
+    day = (np.datetime64("2003-02-01") - np.datetime64("1800-01-01")).astype(int)
+    l, r = slow_feistel("k", "date", day // 773, day % 773, 189, 773)
+    new = (np.datetime64("1800-01-01") + (l * 773 + r)).astype(object)
+    assert replaced(spark, ["1/2/2003", "01/02/2003"]) == [f"{new.day}/{new.month}/{new.year}", f"{new.day:02d}/{new.month:02d}/{new.year}"]
+    # dates with a day over 12, in the order m/d, are permuted among themselves
+    late = [d.astype(object) for d in np.arange(np.datetime64("1800-01-01"), np.datetime64("2200-01-01")) if d.astype(object).day > 12]
+    some = list(range(0, len(late), 4_999)) + [len(late) - 1]
+    want = []
+    for k in some:
+        l, r = slow_feistel("k", "late date", k // pii.LATE, k % pii.LATE, 9, pii.LATE)
+        d = late[l * pii.LATE + r]
+        want.append(f"{d.month:02d}/{d.day:02d}/{d.year}")
+    assert len(late) == 9 * pii.LATE
+    assert replaced(spark, [f"{late[k].month:02d}/{late[k].day:02d}/{late[k].year}" for k in some]) == want
+    same = ["2/30/2001", "13/13/2001", "12/31/1799", "1/2/03"]
+    assert replaced(spark, same) == same
+
+
+def test_names_ibans_and_ipv6_by_brute_force(spark):
+    def shift(half, other, kind, i, classes):
+        stream = hashlib.sha256(f"k|{kind}|{i}|{other}".encode()).hexdigest()
+        out = ""
+        for k, c in enumerate(half):
+            x = int(stream[k % 31 * 2:k % 31 * 2 + 3], 16)
+            low, size = next(((a, b) for a, b in classes if a <= ord(c) < a + b), (ord(c), 1))
+            out += chr(low + (ord(c) - low + x) % size)
+        return out
+
+    def name(text, kind, classes=pii.CLASSES):
+        l, r = text[:len(text) // 2], text[len(text) // 2:]
+        for i in range(pii.ROUNDS):
+            l, r = (shift(l, r, kind, i, classes), r) if i % 2 == 0 else (l, shift(r, l, kind, i, classes))
+        return l + r
+
+    names = ["josé.müller", "иван", "λένα.7", "李小龍", "a", "x_1", "łukasz"]
+    assert replaced(spark, [f"to {n}@example.com." for n in names]) == [f"to {name(n, 'email')}@example.com." for n in names]
+    account = name("WEST12345698765432", "iban")
+    rest = int("".join(str(int(c, 36)) for c in account + "GB00")) % 97
+    iban = f"GB{98 - rest:02d}{account}"
+    spaced = " ".join(iban[k:k + 4] for k in range(0, 22, 4))
+    assert replaced(spark, ["GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32"]) == [iban, spaced]
+    six = name("20010db885a3000000008a2e03707334", "ipv6", pii.HEX)
+    full = ":".join(six[k:k + 4] for k in range(0, 32, 4))
+    short = name("2001db81", "ipv6", pii.HEX)
+    assert replaced(spark, ["2001:0db8:85a3:0000:0000:8a2e:0370:7334", "at 2001:db8::1"]) == [full, f"at {short[:4]}:{short[4:7]}::{short[7]}"]
+    same = ["GB82WEST12345698765431", "std::vector abc::def 12:30:45", "123456789", "+100 200 300", "4155552671"]
+    assert replaced(spark, same) == same
+
+
 def test_pii_edges(spark, awkward, empty):
     rows = pii.pseudonymise(awkward, "k").select("row.n", "text", "n_replaced").collect()
     assert {r.n: r.text for r in rows} == {k: t for k, (_, t) in enumerate(AWKWARD)}
