@@ -8,13 +8,16 @@ loss.
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hearth.functions.scalar import unit_hash
 from hearth.operators.ranking import column_quantiles, global_rank
 
+MAX_FILES = 200_000     # their paths and first positions are some 40 MB
+
 
 def _draw(key: str, seed: int, draw: Column | None) -> Column:
     return draw if draw is not None else unit_hash(key, seed)
@@ -58,6 +61,64 @@ def shuffle_rows(df: DataFrame, key: str, seed: int, *, draw: Column | None = No
     return ranked.drop("_u")
 
 
+def file_positions(df: DataFrame, out: str = "position") -> tuple[DataFrame, int]:
+    """The rows of a just read Parquet table with their 0-based position, files
+    in the order of their paths, and the number of rows.
+
+    A row's place in its file comes with the scan, so neither retries nor the
+    partitioning change it, and no row is sorted or shuffled. The files' first
+    positions are a table of one row a file, broadcast up to ``MAX_FILES``. Rows
+    lost or repeated since the table was read raise ValueError where they leave
+    positions that are not 0 to n - 1.
+    """
+    place = df.select(F.struct("*").alias("_values"), F.col("_metadata.file_path").alias("_file"),
+                      F.col("_metadata.row_index").alias("_row"))
+    files = place.groupBy("_file").agg(F.count(F.lit(1)).alias("rows"), F.max("_row").alias("last"))
+    r = files.agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum(F.col("last") + 1).alias("ends")).first()
+    if r["rows"] != r["ends"]:
+        raise ValueError("positions need the whole table: rows were lost or repeated since it was read")
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    first = files.select("_file", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("_first"))
+    first = F.broadcast(first) if r["files"] <= MAX_FILES else first
+    rows = place.join(first, "_file").select("_values.*", (F.col("_first") + F.col("_row")).alias(out))
+    return rows, r["rows"] or 0
+
+
+def permuted(position: Column, n: int, seed: int) -> Column:
+    """A keyed permutation of 0 .. n - 1, exact for every n.
+
+    Three times four Feistel rounds on Z_a x Z_b, a = floor(sqrt(n)) and
+    b = floor(n / a); the fewer than a positions beyond a * b wait. After four
+    rounds all positions are rotated by a keyed step, so that others wait.
+    """
+    a = math.isqrt(n)
+    b = n // a
+    seed, a_, b_, n_ = (F.lit(v).cast("long") for v in (seed, a, b, n))
+
+    def step(s, k):
+        left, right, kind = s["l"], s["r"], k % 5
+        at = F.pmod(left * b_ + right + F.pmod(F.xxhash64(seed, k), n_), n_)
+        inside = left < a_
+        return F.struct(
+            F.when(kind == 4, ((at - F.pmod(at, b_)) / b_).cast("long")).when(inside & (kind % 2 == 0), F.pmod(left + F.pmod(F.xxhash64(seed, k, right), a_), a_))
+            .otherwise(left).alias("l"),
+            F.when(kind == 4, F.pmod(at, b_)).when(inside & (kind % 2 == 1), F.pmod(right + F.pmod(F.xxhash64(seed, k, left), b_), b_))
+            .otherwise(right).alias("r"))
+    x = position.cast("long")
+    start = F.struct(((x - F.pmod(x, b_)) / b_).cast("long").alias("l"), F.pmod(x, b_).alias("r"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(14)), start, step, lambda s: s["l"] * b_ + s["r"])
+
+
+def shuffle_positions(df: DataFrame, seed: int, order_col: str = "shuffle_pos") -> DataFrame:
+    """Random permutation of a just read Parquet table (G5) without a sort: the
+    rows with their 1-based place, which is their position in the table under a
+    keyed permutation. No row is shuffled; write in ranges of ``order_col`` to
+    bring the rows into that order. Every row has a place of its own, repeated
+    rows too; an empty table stays empty."""
+    rows, n = file_positions(df, order_col)
+    return rows.withColumn(order_col, permuted(F.col(order_col), n, seed) + 1) if n else rows
+
+
 def weighted_split(df: DataFrame, weights: Sequence[float], key: str, seed: int, *,
                    draw: Column | None = None) -> list[DataFrame]:
     """Random split with weights normalised to sum 1 (H1): 0.9/0.2 gives

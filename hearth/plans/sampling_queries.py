@@ -49,6 +49,14 @@ def shuffle(spark, d):
     return sampling.shuffle_rows(c, "c_custkey", SEED, draw=mix_unit("c_custkey", SEED))
 
 
+@query("shuffle_positions", "G5")
+def shuffle_positions(spark, d):
+    """A place in a seeded permutation for every line item, by a keyed bijection
+    of the rows' positions in the files: no sort, no shuffle."""
+    l = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    return sampling.shuffle_positions(l, SEED)
+
+
 @query("split_weighted", "H1", f"""
 SELECT c_custkey, CASE WHEN {_DRAW} < {_W!r} THEN 0 ELSE 1 END AS split FROM customer
 """)
