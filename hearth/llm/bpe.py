@@ -27,6 +27,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
+from tokenizers import normalizers
 
 from hearth.llm import lexicon
 from hearth.llm.common import stage, text_or_empty
@@ -35,6 +36,7 @@ PIECE_CHARS = 1 << 20       # texts are worked on in pieces of about this size
 CACHE_CHUNKS = 1_000_000      # chunks (words with their punctuation) a worker remembers at most
 NO_MERGE = 1 << 40
 SEPARATORS = re.compile("[\x1c-\x1f]")
+UNSETTLED = regex.compile(r"[\p{M}\p{Cn}]").search     # marks, and code points without a meaning yet
 LATIN_SPACE, LATIN_LETTERS, LATIN_NUMBERS = r"\t-\r \x85\xa0", "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
 
 
@@ -86,10 +88,13 @@ class Vocabulary:
                  .replace(r"[\p{L}]", rf"[\p{{L}}--[{NEWER_CLASS}]]")
                  .replace(r"[\p{N}]", rf"[\p{{N}}--[{NEWER_CLASS}]]"))
         self._words_newer = regex.compile(split.replace(r"\s", r"\p{White_Space}"), regex.V1).findall
+        self._nfc = normalizers.NFC().normalize_str
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
 
     def normalise(self, text: str) -> str:
-        text = unicodedata.normalize("NFC", text)
+        # the library's tables decide where Python's may be of another Unicode version
+        if not text.isascii() and (UNSETTLED(text) or not unicodedata.is_normalized("NFC", text)):
+            text = self._nfc(text)
         return text.replace("Σ", "σ").lower()  # characters one by one: no final sigma
 
     def words(self, chunk: str) -> list[str]:

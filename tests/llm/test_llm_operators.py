@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 from collections import defaultdict
 
@@ -253,6 +254,17 @@ def test_batched_merges_equal_single_ones(texts):
     assert lengths.tolist() == [len(x) for x in single] and ids.tolist() == [x for m in single for x in m]
 
 
+def test_strings_over_all_planes_match_the_library(library):
+    encoder = bpe.Encoder(bpe.Vocabulary(bpe.vocabulary_path()), None)
+    r = random.Random(7)
+    points = [k for k in range(1, 0x110000) if not 0xD800 <= k < 0xE000]
+    marks = [k for k in points if unicodedata.category(chr(k)) in ("Mn", "Mc", "Cn") and k < 0x1F000]
+    texts = ["".join(chr(k) for k in r.choices(points, k=60)) for _ in range(4000)]
+    texts += ["e" + "".join(chr(k) for k in r.choices(marks, k=6)) + "a" for _ in range(8000)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [t for t, x, y in zip(texts, encoder.encode(texts), want) if x.tolist() != y] == []
+
+
 def test_every_letter_splits_like_the_library(library):
     vocab = bpe.Vocabulary(bpe.vocabulary_path())
     encoder = bpe.Encoder(vocab, None)
