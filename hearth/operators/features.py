@@ -131,6 +131,18 @@ def indicator(df: DataFrame, cols: Sequence[str], sizes: Sequence[int],
     return enc.transform(df)
 
 
+def check_levels(df: DataFrame, cols: Sequence[str], max_levels: int) -> None:
+    """Raise ValueError if a column has more than about ``max_levels`` distinct
+    values, counted by one scan's sketches: the indexer's domains and the trees'
+    bins are held by the driver. :func:`level_codes` has no such bound."""
+    if not cols:
+        return
+    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first().asDict()
+    wide = {c: n for c, n in counts.items() if n > max_levels}
+    if wide:
+        raise ValueError(f"more than {max_levels} levels: {wide}; number them with level_codes")
+
+
 def string_indexer(cols: Sequence[str], *, handle_invalid: str = "keep",
                    suffix: str = "_Index") -> StringIndexer:
     """One multi-column indexer: most frequent = 0, ties alphabetical."""

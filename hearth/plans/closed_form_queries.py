@@ -4,7 +4,6 @@ crossed indicators at several resolutions (I17)."""
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.ml import Pipeline
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 from hearth.functions.scalar import mix_unit, mix_unit_sql
 from hearth.operators import features, models
 from hearth.plans.registry import query
-from hearth.session import checkpoint_dir
+from hearth.session import shared_folder
 from hearth.sources.sinks import run_report, write_report
 from hearth.sources.tables import table
 
@@ -89,7 +88,7 @@ def run_report_q(spark, d):
     frame, model = _two_feature_fit(spark, d)
     err = F.col("label") - F.col("prediction")
     r = models.score(model, frame.filter("split = 'test'")).agg(F.count(F.lit(1)), F.avg(err * err)).first()
-    path = f"{checkpoint_dir(spark).rstrip('/')}/reports/{uuid.uuid4().hex}"
+    path = shared_folder(spark, "report")
     write_report(run_report(spark, {"rows": r[0], "mse": r[1], "rmse": r[1] ** 0.5 if r[0] else None}, "two-features"), path)
     return spark.read.schema("run_id string, name string, value string").parquet(path).select(
         "run_id", "name", F.round(F.col("value").try_cast("double"), 7).alias("value"))
@@ -104,7 +103,7 @@ def model_roundtrip(spark, d):
     """Fit, save to the shared checkpoint folder, load back, and score with
     both: the loaded model's predictions, and whether they equal the fitted one's."""
     frame, model = _two_feature_fit(spark, d)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
+    path = shared_folder(spark, "model")
     models.save_model(model, path)
     loaded = models.load_pipeline_model(path)
     model.stages[-1].setPredictionCol("fitted")

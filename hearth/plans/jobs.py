@@ -32,13 +32,15 @@ def prepare(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str], label:
             drop: Sequence[str] = (), marker_col: str | None = None,
             exclude: Sequence | DataFrame | None = None, exclude_col: str | None = None,
             log_cols: Sequence[str] = (), categorical: Sequence[str] | None = None,
-            handle_invalid: str = "error", impute_numeric: bool = False):
+            handle_invalid: str = "error", impute_numeric: bool = False, max_levels: int | None = None):
     """Shared preparation of the training and scoring frames.
 
     Indexes are fitted once on the training frame and reused for the test
     frame (unseen levels get their own code), so both use the same codes.
     With ``impute_numeric`` (files read with ``NA`` as null), numeric
-    features holding nulls in either frame get the training median.
+    features holding nulls in either frame get the training median. With
+    ``max_levels`` a category with more distinct values raises ValueError
+    before its domain is gathered (one more scan of ``train``).
     """
     train = columns.drop_columns(train, drop)
     test = columns.drop_columns(test, drop)
@@ -51,6 +53,8 @@ def prepare(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str], label:
     test = features.log1p_columns(test, list(log_cols))
     skip = [*id_cols, label]
     cats = list(categorical) if categorical is not None else columns.columns_of_kind(train, "string", skip)
+    if max_levels is not None:
+        features.check_levels(train, cats, max_levels)
     indexer = features.string_indexer(cats)
     idx_model = indexer.fit(train)
     train = idx_model.transform(train).drop(*cats)
@@ -96,7 +100,7 @@ def _impute_numeric(train: DataFrame, test: DataFrame, cols: Sequence[str]):
     return train.withColumns(fill), test.withColumns(fill)
 
 
-def max_levels(idx_model) -> int:
+def level_count(idx_model) -> int:
     """Largest category count of a fitted indexer, +1 for the unseen code."""
     return max((len(labels) for labels in idx_model.labelsArray), default=0) + 1
 
@@ -110,7 +114,7 @@ def price_prediction(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str
                      split_key: Column | None = None, seed: int = 7,
                      impute_numeric: bool = False,
                      out_col: str = "PredictedSalePrice",
-                     fit_partitions: int | None = None) -> PricePredictionResult:
+                     fit_partitions: int | None = None, max_levels: int = 100_000) -> PricePredictionResult:
     """The batch prediction job.
 
     ``grid=None`` fits ``estimator`` (default: elastic-net linear regression
@@ -119,7 +123,8 @@ def price_prediction(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str
     search, whose work the maps share (:mod:`hearth.operators.search`), and fits
     the best map on all training rows. The validation split is a hash split
     with weights normalised to sum 1. ``fit_partitions`` follows from the
-    number of rows if not given.
+    number of rows if not given. More than ``max_levels`` values of a category
+    raise ValueError.
     """
     # The training rows feed the indexer fit, the model fit and the
     # validation pass; keep them once instead of re-reading (and re-joining)
@@ -128,9 +133,10 @@ def price_prediction(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str
     tr, te, feats, idx_model = prepare(train, test, id_cols=id_cols, label=label, drop=drop,
                                        marker_col=marker_col, exclude=exclude,
                                        exclude_col=exclude_col, log_cols=log_cols,
-                                       categorical=categorical, impute_numeric=impute_numeric)
+                                       categorical=categorical, impute_numeric=impute_numeric,
+                                       max_levels=max_levels)
     # indexed columns carry nominal metadata, so trees need maxBins >= levels
-    bins = max(32, max_levels(idx_model))
+    bins = max(32, level_count(idx_model))
     key = split_key if split_key is not None else unit_hash(F.xxhash64(*id_cols), seed)
     tr = tr.withColumn("_u", key)
     fit_set, valid = sampling.weighted_split(tr, list(split), "_u", seed, draw=F.col("_u"))

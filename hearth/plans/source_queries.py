@@ -3,14 +3,12 @@ shared folder, read back in both missing-marker modes."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from hearth.operators import clean
 from hearth.plans.common import CUSTOMER_WITH_GAPS_SQL, customer_with_gaps
 from hearth.plans.registry import query
-from hearth.session import checkpoint_dir
+from hearth.session import drop_at_exit, shared_folder
 from hearth.sources.csv import NA_TOKEN, read_csv
 from hearth.sources.sinks import write_predictions
 
@@ -20,7 +18,7 @@ _SCHEMA = "c_custkey long, c_nationkey int, c_mktsegment string, c_acctbal doubl
 def _csv_copy(spark, d) -> str:
     """Write the customer table with ``NA`` for missing balances as headed
     CSV under the shared checkpoint folder (written by the executors)."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/customer_csv_{uuid.uuid4().hex}"
+    path = shared_folder(spark, "customer_csv")
     src = customer_with_gaps(spark, d).select("c_custkey", "c_nationkey", "c_mktsegment",
                                              "c_acctbal")
     src.write.mode("overwrite").option("header", True).option("nullValue", NA_TOKEN).csv(path)
@@ -53,7 +51,7 @@ SELECT o_orderkey AS Id, o_totalprice AS SalePrice FROM orders
 def prediction_sink(spark, d):
     """Write a complete prediction table (all rows, by the executors) in
     submission layout and read it back."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/submission_{uuid.uuid4().hex}"
+    path = shared_folder(spark, "submission")
     o = spark.read.parquet(f"{d.rstrip('/')}/orders.parquet")
     pred = o.select(F.col("o_orderkey").alias("Id"), F.col("o_totalprice").alias("SalePrice"))
     write_predictions(pred, path, fmt="csv")
@@ -70,12 +68,14 @@ def colocated_join(spark, d):
     sort-merge join reads both sides without an exchange."""
     from hearth.sources.sinks import write_bucketed
     from hearth.sources.tables import table
-    base = f"{checkpoint_dir(spark).rstrip('/')}/tables"
-    tag = uuid.uuid4().hex[:12]
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    l = write_bucketed(table(spark, d, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity"),
-        f"lineitem_by_part_{tag}", "l_partkey", buckets, f"{base}/lineitem_by_part_{tag}")
-    p = write_bucketed(table(spark, d, "part").select("p_partkey", "p_brand", "p_size"),
-                       f"part_by_part_{tag}", "p_partkey", buckets, f"{base}/part_by_part_{tag}")
+
+    def bucketed(rows, name, key):
+        path = shared_folder(spark, name)
+        table_name = path.split("/")[-2]
+        drop_at_exit(spark, table_name)
+        return write_bucketed(rows, table_name, key, buckets, path)
+    l = bucketed(table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity"), "lineitem_by_part", "l_partkey")
+    p = bucketed(table(spark, d, "part").select("p_partkey", "p_brand", "p_size"), "part_by_part", "p_partkey")
     return l.join(p, l.l_partkey == p.p_partkey).drop("p_partkey")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -60,6 +62,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path, ``data`` in a folder of its own under the shared checkpoint
+    folder. The folder is made here, as only what exists can be registered for
+    removal, and goes when the application ends."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}_{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = where.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(where)
+    fs.deleteOnExit(where)
+    return f"{folder}/data"
+
+
+def drop_at_exit(spark: SparkSession, table_name: str) -> None:
+    """Drop a table of the catalog when the driver program ends, unless its
+    session was stopped before."""
+    def drop():
+        if spark.sparkContext._jsc is not None:
+            spark.sql(f"DROP TABLE IF EXISTS `{table_name}`")
+    atexit.register(drop)
+
+
 _SHIPPED: set[str] = set()
 
 

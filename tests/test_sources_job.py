@@ -4,8 +4,10 @@ import os
 import tempfile
 
 import numpy as np
+import pytest
 
-from hearth.plans.jobs import run_job
+from hearth.plans.jobs import price_prediction, run_job
+from hearth.session import shared_folder
 
 
 def _write_housing(d, n=300):
@@ -89,3 +91,18 @@ def test_command_line_predict(spark):
     assert main(["predict", os.path.join(d, "train.csv"), os.path.join(d, "test.csv"), out,
                  "--na-mode", "null", "--run-id", "cli"]) == 0
     assert spark.read.parquet(f"{out}/predictions").count() == 3
+
+
+def test_too_many_levels_are_refused_before_they_are_gathered(spark):
+    train = spark.range(400).selectExpr("id", "concat('k', id) AS c", "CAST(id AS double) AS x", "CAST(id + 1 AS double) AS y")
+    with pytest.raises(ValueError, match="levels"):
+        price_prediction(train, train.drop("y"), id_cols=["id"], label="y", max_levels=100)
+
+
+def test_staged_copies_are_registered_for_removal(spark):
+    path = shared_folder(spark, "made")
+    spark.range(3).write.parquet(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert fs.exists(where) and fs.cancelDeleteOnExit(where)
+    fs.delete(where, True)
