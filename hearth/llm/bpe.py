@@ -10,10 +10,12 @@ hold exactly by the ranks of the vocabulary.
 
 from __future__ import annotations
 
+import atexit
 import gc
 import json
 import os
 import re
+import shutil
 import tempfile
 import unicodedata
 import uuid
@@ -432,7 +434,10 @@ def compile_lexicon(docs: DataFrame, text_col: str, path: str, lexicon_words: in
     arrays["ids"] = ids.flatten().to_numpy().astype(np.uint32)
     arrays["starts"] = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]).astype(np.int64)
     name = f"lexicon-{uuid.uuid4().hex}.bin"
-    local = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="hearth-lexicon-")), name)
+    # the driver's file server hands this copy out until the application ends
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="hearth-lexicon-"))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    local = os.path.join(folder, name)
     layout = lexicon.save(local, arrays)
     docs.sparkSession.sparkContext.addFile(local)
     return name, layout

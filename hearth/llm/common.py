@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import gc
 import time
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.session import checkpoint_dir, ship_package
+from hearth import session
+from hearth.session import ship_package
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,16 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder path under the folder that ``spark.checkpoint.dir`` names.
-
-    It is removed when the application ends.
-    """
+    """A new path under the folder that ``spark.checkpoint.dir`` names; what is
+    written there is removed when the application ends."""
     ship_package(spark)
-    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
-    return path
+    return session.shared_folder(spark, name)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

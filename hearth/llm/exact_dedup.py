@@ -56,6 +56,9 @@ def _stream_state(spark, path: str, schema, id_col: str, files_per_batch: int) -
          .trigger(availableNow=True).start().awaitTermination())
         state = spark.read.format("statestore").load(checkpoint)
         buffers = state.schema["value"].dataType.fieldNames()
+        kinds = [f.dataType.typeName() for f in state.schema["value"].dataType.fields]
+        if kinds != ["struct", "long"]:     # Spark names the buffers, in the order of the aggregates
+            raise RuntimeError(f"unexpected state of the stream: {kinds}")
         return stage(state.select("key.digest", F.col(f"value.`{buffers[0]}`").alias("first"),
                                   F.col(f"value.`{buffers[1]}`").alias("n")), "exact-dedup-groups")
     finally:
