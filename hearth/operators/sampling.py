@@ -8,10 +8,11 @@ loss.
 
 from __future__ import annotations
 
+import itertools
 import math
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hearth.functions.scalar import unit_hash
 from hearth.operators.ranking import column_quantiles, global_rank
@@ -67,7 +68,7 @@ def file_positions(df: DataFrame, out: str = "position") -> tuple[DataFrame, int
 
     A row's place in its file comes with the scan, so neither retries nor the
     partitioning change it, and no row is sorted or shuffled. The files' first
-    positions are a table of one row a file, broadcast up to ``MAX_FILES``. Rows
+    positions are a table of one row a file, ``MAX_FILES`` at most. Rows
     lost or repeated since the table was read raise ValueError where they leave
     positions that are not 0 to n - 1.
     """
@@ -77,9 +78,12 @@ def file_positions(df: DataFrame, out: str = "position") -> tuple[DataFrame, int
     r = files.agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum(F.col("last") + 1).alias("ends")).first()
     if r["rows"] != r["ends"]:
         raise ValueError("positions need the whole table: rows were lost or repeated since it was read")
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    first = files.select("_file", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("_first"))
-    first = F.broadcast(first) if r["files"] <= MAX_FILES else first
+    if r["files"] > MAX_FILES:
+        raise ValueError(f"more than {MAX_FILES} files: use shuffle_rows, which ranks by a hash draw")
+    counts = sorted((f["_file"], f["rows"]) for f in files.collect())
+    starts = itertools.accumulate((c for _, c in counts), initial=0)
+    first = F.broadcast(df.sparkSession.createDataFrame(
+        [(f, at) for (f, _), at in zip(counts, starts)], "_file string, _first long"))
     rows = place.join(first, "_file").select("_values.*", (F.col("_first") + F.col("_row")).alias(out))
     return rows, r["rows"] or 0
 
