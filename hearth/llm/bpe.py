@@ -35,7 +35,8 @@ from hearth.llm import lexicon
 from hearth.llm.common import stage, text_or_empty
 
 PIECE_CHARS = 1 << 20       # texts are worked on in pieces of about this size
-CACHE_CHUNKS = 1_000_000      # chunks (words with their punctuation) a worker remembers at most
+CACHE_CHUNKS = 250_000      # chunks (words with their punctuation) a worker remembers: about 50 MB; an executor
+                            # with c cores may have 2c such workers, as those that pack are taken for encoding too
 NO_MERGE = 1 << 40
 SEPARATORS = re.compile("[\x1c-\x1f]")
 UNSETTLED = regex.compile(r"[\p{M}\p{Cn}]").search     # marks, and code points without a meaning yet
@@ -312,10 +313,12 @@ class Encoder:
         self._add(chunks, ids, np.add.reduceat(lengths, first))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.index) > CACHE_CHUNKS:
-            self.clear()
         split = [list(split_chunks(self.vocab, t)) for t in texts]
-        new = set().union(*(w for t in split for w in t)).difference(self.index)
+        used = set().union(*(w for t in split for w in t))
+        new = used.difference(self.index)
+        if len(self.index) + len(new) > CACHE_CHUNKS and self.index:
+            self.clear()
+            new = used
         if new:
             self.learn(list(new))
         out = []

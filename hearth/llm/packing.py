@@ -122,7 +122,8 @@ def _pack(capacity: int, pad: int, window_tokens: int, id_bytes: int, id_type: p
                         yield emit(full)
                         full = []
                 if len(x) > whole:
-                    waiting.append((doc, whole, x[whole:]))
+                    # a copy, else the whole document would wait with its rest
+                    waiting.append((doc, whole, x[whole:].copy() if whole else x))
                     size += len(x) - whole
                 if size >= window_tokens:
                     yield from packed()

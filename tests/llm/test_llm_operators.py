@@ -9,6 +9,7 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -466,6 +467,38 @@ def test_packing_keeps_ids_and_positions_over_16_bits(spark):
     assert (pos[:69_990] == np.arange(69_990)).all() and pos[69_990:].tolist() == [0, 1, 2, 3, 4] + [0] * 5
 
 
+def test_the_encoder_remembers_a_bounded_number_of_chunks(monkeypatch):
+    assert bpe.CACHE_CHUNKS <= 250_000      # with a million, four workers of an executor came over 3000 MB
+    vocab = bpe.Vocabulary(bpe.vocabulary_path())
+    texts = [" ".join(f"word{100 * k + j}" for j in range(100)) for k in range(30)] + ["word1 word2 word1"]
+    whole = [x.tolist() for x in bpe.Encoder(vocab, None).encode(texts)]
+    monkeypatch.setattr(bpe, "CACHE_CHUNKS", 250)
+    encoder = bpe.Encoder(vocab, None)
+    for text, ids in zip(texts, whole):
+        assert encoder.encode([text])[0].tolist() == ids
+        assert len(encoder.index) <= 250
+
+
+def test_packing_holds_the_rests_of_long_documents_only(monkeypatch):
+    import tracemalloc
+    kept = []
+    monkeypatch.setattr(packing, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda s: 0})())}))
+    batch = lambda k: pa.RecordBatch.from_arrays(
+        [pa.array([k]), pa.array([np.arange(100_001, dtype="<u4").tobytes()], pa.binary())], ["id", "ids"])
+
+    def batches():
+        for k in range(50):
+            yield batch(k)
+            kept.append(tracemalloc.get_traced_memory()[0])
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in packing._pack(100, 0, 4_000_000, 4, pa.int64())(batches()))
+    finally:
+        tracemalloc.stop()
+    assert rows == 50 * 1000 + 1            # the 50 rests of one token share a row
+    assert kept[-1] - kept[5] < 5_000_000   # 45 documents of 400 kB, each with a rest of one token
+
+
 def test_packing_query_packs_token_ids(spark):
     from hearth.llm import QUERIES
     used = sum(r.cu_seqlens[-1] for r in QUERIES["op6_best_fit_packing"](spark, SF0001).select("cu_seqlens").collect())
