@@ -135,23 +135,40 @@ class Tree(NamedTuple):
     prediction: np.ndarray
     categories: dict[int, np.ndarray]      # node: values that go left, of a categorical split
 
+    def _category_table(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each node's row in a table (-1: no categorical split), and the table:
+        whether a category's code goes left."""
+        nodes = np.full(len(self.left), -1)
+        nodes[list(self.categories)] = np.arange(len(self.categories))
+        width = 1 + max((int(v.max()) for v in self.categories.values() if len(v)), default=0)
+        table = np.zeros((max(len(self.categories), 1), width), bool)
+        for k, codes in enumerate(self.categories.values()):
+            table[k, codes.astype(np.int64)] = True
+        return nodes, table
+
     def by_depth(self, x: np.ndarray, depths: Sequence[int]) -> dict[int, np.ndarray]:
         """Predictions of the tree cut at each depth."""
-        node = np.zeros(len(x), np.int64)
-        rows = np.arange(len(x))
+        nodes, goes_left = self._category_table()
+        own = np.arange(len(self.left))
+        children = np.stack([np.where(self.left < 0, own, self.right), np.where(self.left < 0, own, self.left)], 1).ravel()
+        node = np.zeros(len(x), np.int64)       # a row that has reached a leaf stays there
+        values, first = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1]
         out = {}
         for depth in range(max(depths) + 1):
             if depth in depths:
                 out[depth] = self.prediction[node]
-            inner = self.left[node] >= 0
-            at = node[inner]
-            value = x[rows[inner], self.feature[at]]
-            go_left = value <= self.threshold[at]
-            for n in np.unique(at) if self.categories else ():
-                if n in self.categories:
-                    here = at == n
-                    go_left[here] = np.isin(value[here], self.categories[n])
-            node[inner] = np.where(go_left, self.left[at], self.right[at])
+            if depth == max(depths):
+                break
+            value = values[first + self.feature[node]]
+            go_left = value <= self.threshold[node]
+            at = nodes[node]
+            of_category = np.flatnonzero(at >= 0)
+            if len(of_category):
+                # a code that no split sends left is beyond the table or is no whole number
+                code = value[of_category]
+                whole = np.where((code >= 0) & (code < goes_left.shape[1]), code, 0).astype(np.int64)
+                go_left[of_category] = goes_left[at[of_category], whole] & (whole == code)
+            node = children[2 * node + go_left]
         return out
 
 
@@ -209,21 +226,37 @@ class Ensemble(NamedTuple):
                     yield number, sums[d] / k if self.mean else sums[d]
 
 
+#: rows that are scored together, as every tree costs some steps per call
+SCORED_ROWS = 50_000
+
+
 def _errors(models: dict[int, list[Ensemble]]):
+    def blocks(batches):
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= SCORED_ROWS:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, n = [], 0
+        if n:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()
+
     def run(batches):
         total: dict[tuple[int, int], list[float]] = {}
-        for batch in batches:
+        for batch in (b for block in blocks(batches) for b in block):
             fold = batch.column(0).to_numpy(zero_copy_only=False)
             values = batch.column(1)
             x = values.flatten().to_numpy(zero_copy_only=False).reshape(len(fold), -1)
             y = batch.column(2).to_numpy(zero_copy_only=False)
             for f in np.unique(fold):
                 here = fold == f
+                x_here, y_here = x[here], y[here]
                 for ensemble in models.get(int(f), ()):
-                    for number, predicted in ensemble.predictions(x[here]):
+                    for number, predicted in ensemble.predictions(x_here):
                         add = total.setdefault((number, int(f)), [0, 0.0])
-                        add[0] += int(here.sum())
-                        add[1] += float(np.square(predicted - y[here]).sum())
+                        add[0] += len(y_here)
+                        add[1] += float(np.square(predicted - y_here).sum())
         if total:
             keys = list(total)
             yield pa.RecordBatch.from_arrays(

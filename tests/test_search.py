@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
@@ -101,6 +102,45 @@ def test_shared_search_equals_one_fit_per_map(spark):
     df.unpersist()
 
 
+def test_categorical_splits_are_looked_up_for_all_rows_at_once(monkeypatch):
+    rng = np.random.default_rng(2)
+    inner, n = 127, 255
+    own = np.arange(n)
+    feature = np.where(own < inner, rng.integers(0, 3, n), 0)
+    left = np.where((own < inner) & (own != 5), 2 * own + 1, -1)
+    categories = {k: np.flatnonzero(rng.random(9) < 0.5).astype(float) for k in range(inner) if feature[k] and left[k] >= 0}
+    tree = search.Tree(feature, rng.normal(size=n), left, np.where(left >= 0, left + 1, -1), rng.normal(size=n), categories)
+    x = np.column_stack([rng.normal(size=500), rng.integers(-2, 14, 500), rng.integers(0, 9, 500)]).astype(float)
+    x[::50, 1], x[1::50, 2], x[2::50, 0], x[3::50, 1] = np.nan, 2.5, np.nan, np.inf
+
+    def walk(row, depth):
+        node = 0
+        for _ in range(depth):
+            if left[node] < 0:
+                break
+            v = row[feature[node]]
+            go = v in categories[node] if node in categories else v <= tree.threshold[node]
+            node = left[node] + (not go)
+        return tree.prediction[node]
+    want = {d: [walk(row, d) for row in x] for d in (0, 2, 7)}
+    # once per split and level, this took most of the time of deep trees
+    monkeypatch.setattr(np, "isin", lambda *a, **k: pytest.fail("a pass over the rows for one node"))
+    got = tree.by_depth(x, [0, 2, 7])
+    assert {d: v.tolist() for d, v in got.items()} == want
+
+
+def test_errors_score_many_batches_together(monkeypatch):
+    calls = []
+    monkeypatch.setattr(search.Ensemble, "predictions", lambda self, x: calls.append(len(x)) or iter([(0, x[:, 0])]))
+    ensemble = search.Ensemble([], [], False, [])
+    batches = [pa.RecordBatch.from_arrays([pa.array([k % 2] * 3, pa.int32()), pa.array([[1.0], [2.0], [3.0]]),
+                                           pa.array([1.0, 1.0, 1.0])], ["fold", "x", "y"]) for k in range(40)]
+    out, = search._errors({0: [ensemble], 1: [ensemble]})(batches)
+    assert calls == [60, 60]
+    assert out.to_pylist() == [{"map": 0, "fold": f, "n": 60, "sse": 100.0} for f in (0, 1)]
+    assert list(search._errors({0: [ensemble]})([])) == []
+
+
 def test_rank_maps_is_best_first(spark):
     est, pipe = models.regressors(), Pipeline(stages=[])
     grid = models.search_grid(pipe, est, "smoke")
