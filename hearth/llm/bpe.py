@@ -6,6 +6,10 @@ minimal acyclic transducer (``lexicon``), which Spark distributes as a file
 and every Python worker memory-maps. The second pass splits each text into
 words, looks its new words up in the transducer, and merges those it doesn't
 hold exactly by the ranks of the vocabulary.
+
+Both passes split texts that are in Latin-1 many at once, by the classes of
+their bytes, and treat their words as arrays of bytes; other texts, and those
+with special strings, go through the pattern of the vocabulary.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -37,9 +42,13 @@ from hearth.llm.common import stage, text_or_empty
 PIECE_CHARS = 1 << 20       # texts are worked on in pieces of about this size
 CACHE_CHUNKS = 250_000      # chunks (words with their punctuation) a worker remembers: about 50 MB; an executor
                             # with c cores may have 2c such workers, as those that pack are taken for encoding too
+CACHE_WORDS = 250_000       # words of Latin-1 texts a worker remembers, as arrays: about 20 MB
 NO_MERGE = 1 << 40
 SEPARATORS = re.compile("[\x1c-\x1f]")
 UNSETTLED = regex.compile(r"[\p{M}\p{Cn}]").search     # marks, and code points without a meaning yet
+CLIP_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LONGEST_CUT = 2048          # texts with longer words are split by regular expression
+TOO_LONG = re.compile(rb"[^\t-\r \x85\xa0]{%d}" % (LONGEST_CUT + 1)).search
 LATIN_SPACE, LATIN_LETTERS, LATIN_NUMBERS = r"\t-\r \x85\xa0", "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
 
 
@@ -57,6 +66,145 @@ def _byte_chars() -> list[str]:
     return [out[b] for b in range(256)]
 
 
+class Cut:
+    """The distinct words of some texts in Latin-1, by rising hash: where they
+    first stand in ``buf``, their ``lengths``, ``hashes`` and ``counts``. ``number``
+    is the word of each occurrence, ``limits`` each text's first occurrence."""
+
+    def __init__(self, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray, limits: np.ndarray):
+        self.buf, self.limits = buf, limits
+        hashes = hash_words(buf, starts, lengths)
+        order = np.argsort(hashes)
+        ordered = hashes[order]
+        new = np.ones(len(order), bool)
+        new[1:] = ordered[1:] != ordered[:-1]
+        heads = np.flatnonzero(new)
+        self.number = np.empty(len(order), np.int64)
+        self.number[order] = np.cumsum(new) - 1
+        self.counts = np.diff(heads, append=len(order))
+        head = order[heads]
+        self.starts, self.lengths, self.hashes = starts[head], lengths[head], ordered[heads]
+        same = head[self.number]
+        #: no two words share a hash
+        self.exact = equal_words(buf, starts, lengths, buf, starts[same], lengths[same])
+
+
+def eights(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place of a buffer."""
+    return np.ndarray(len(buf) - 7, "<u8", buf, strides=(1,))
+
+
+def hash_words(buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    x = eights(buf)
+    h = x[starts] & MASKS[np.minimum(lengths, 8)]
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + lengths.astype(np.uint64)
+    long, at = np.flatnonzero(lengths > 8), 8
+    while len(long):
+        part = x[starts[long] + at] & MASKS[np.minimum(lengths[long] - at, 8)]
+        h[long] = ((h[long] ^ (h[long] >> np.uint64(31))) + part) * np.uint64(0xD6E8FEB86659FD93)
+        at += 8
+        long = long[lengths[long] > at]
+    return h
+
+
+def equal_words(buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray,
+                buf2: np.ndarray, starts2: np.ndarray, lengths2: np.ndarray) -> bool:
+    """Whether all words are equal, byte by byte, to their partners."""
+    if (lengths != lengths2).any():
+        return False
+    x, y = eights(buf), eights(buf2)
+    if ((x[starts] ^ y[starts2]) & MASKS[np.minimum(lengths, 8)]).any():
+        return False
+    long, at = np.flatnonzero(lengths > 8), 8
+    while len(long):
+        if ((x[starts[long] + at] ^ y[starts2[long] + at]) & MASKS[np.minimum(lengths[long] - at, 8)]).any():
+            return False
+        at += 8
+        long = long[lengths[long] > at]
+    return True
+
+
+class WordTable:
+    """Distinct words in Latin-1, numbered as they come; found by their hashes,
+    which are kept sorted, and compared byte by byte."""
+
+    def __init__(self):
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.starts, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.pool, self.used = np.zeros(1 << 16, np.uint8), 0
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def find(self, cut: Cut) -> tuple[np.ndarray, np.ndarray] | None:
+        """Where each of the cut's words would stand among the hashes, and which
+        are new; None if one shares its hash with a different word."""
+        at = np.searchsorted(self.hashes, cut.hashes)
+        new = np.ones(len(at), bool)
+        inside = np.flatnonzero(at < len(self.hashes))
+        new[inside] = self.hashes[at[inside]] != cut.hashes[inside]
+        old = np.flatnonzero(~new)
+        k = self.numbers[at[old]]
+        same = equal_words(cut.buf, cut.starts[old], cut.lengths[old], self.pool, self.starts[k], self.lengths[k])
+        return (at, new) if same else None
+
+    def add(self, cut: Cut, at: np.ndarray, new: np.ndarray) -> np.ndarray:
+        """Take the new words in; the number of each of the cut's words."""
+        which = np.flatnonzero(new)
+        n = len(self)
+        data, lengths = gather(cut.buf, cut.starts[which], cut.lengths[which])
+        while self.used + len(data) + 8 > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used:self.used + len(data)] = data
+        self.starts = np.concatenate([self.starts, (self.used + np.cumsum(lengths) - lengths).astype(np.int32)])
+        self.lengths = np.concatenate([self.lengths, lengths.astype(np.int32)])
+        self.used += len(data)
+        numbers = np.empty(len(new), np.int64)
+        numbers[which] = np.arange(n, n + len(which))
+        numbers[~new] = self.numbers[at[~new]]
+        self.hashes = np.insert(self.hashes, at[which], cut.hashes[which])
+        self.numbers = np.insert(self.numbers, at[which], numbers[which])
+        return numbers
+
+    def utf8(self, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all words from a number on, in UTF-8, and where they end."""
+        lengths = self.lengths[first:].astype(np.int64)
+        data = self.pool[self.starts[first]:self.used] if len(lengths) else self.pool[:0]
+        ends = np.cumsum(lengths)
+        wider = np.cumsum(data > 127)
+        return (np.frombuffer(data.tobytes().decode("latin-1").encode(), np.uint8),
+                ends + wider[ends - 1] if len(ends) else ends)
+
+
+MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)     # the first k of eight bytes
+
+
+def latin(text: str) -> bytes | None:
+    """The text in Latin-1, if it has such letters only, and no special string
+    (Latin-1 is composed already)."""
+    if "<|" in text or len(text) > PIECE_CHARS:
+        return None
+    try:
+        return text.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+
+
+def sort_out(vocab: Vocabulary, texts: list[str]) -> tuple[Cut | None, list[int], list[int]]:
+    """The words of the texts that ``cut`` takes, the numbers of these texts,
+    and those of the others."""
+    raw = [latin(t) if vocab.cuts else None for t in texts]
+    taken = [k for k, x in enumerate(raw) if x is not None]
+    cut = vocab.cut([raw[k] for k in taken]) if taken else None
+    if cut is None and taken:
+        raw = [None if x is None or TOO_LONG(x) else x for x in raw]
+        taken = [k for k, x in enumerate(raw) if x is not None]
+        cut = vocab.cut([raw[k] for k in taken]) if taken else None
+    if cut is None or not cut.exact:
+        return None, [], list(range(len(texts)))
+    return cut, taken, [k for k, x in enumerate(raw) if x is None]
+
+
 class Vocabulary:
     """The files' rules: word split, byte symbols, merge ranks, special strings."""
 
@@ -82,7 +230,11 @@ class Vocabulary:
         for t, k in [*vocab.items(), *self.special.items()]:
             self.tokens[k] = t
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        # the same pattern for texts in Latin-1 only, where plain classes do
+        # the same pattern for texts in Latin-1 only: classes of bytes, or a plain pattern
+        self.cuts = split == CLIP_SPLIT
+        self._lower = bytes(ord(chr(b).lower()) for b in range(256))
+        self._class = bytes(0 if re.match(f"[{LATIN_SPACE}]", chr(b)) else 1 if re.match(f"[{LATIN_LETTERS}]", chr(b))
+                            else 2 if re.match(f"[{LATIN_NUMBERS}]", chr(b)) else 3 for b in range(256))
         self._latin = re.compile(split.replace(r"[^\s\p{L}\p{N}]", f"[^{LATIN_SPACE}{LATIN_LETTERS}{LATIN_NUMBERS}]")
                                  .replace(r"\p{L}", LATIN_LETTERS).replace(r"[\p{N}]", f"[{LATIN_NUMBERS}]")).findall
         # \s of the file is the Unicode property
@@ -116,6 +268,33 @@ class Vocabulary:
             return self.words(piece) if SEPARATORS.search(piece) else piece.split()
         return self._latin(piece)
 
+    def cut(self, texts: list[bytes]) -> Cut | None:
+        """The normalised words of texts given in Latin-1, all texts at once.
+        None if one is very long."""
+        joined = b"\n".join(texts).translate(self._lower)
+        buf = np.frombuffer(joined + bytes(8), np.uint8)
+        kind = np.frombuffer(b"\0" + joined.translate(self._class) + b"\0", np.uint8)
+        edges = np.flatnonzero((kind[1:] != kind[:-1]) | (kind[1:] == 2))
+        starts, ends = edges[:-1], edges[1:]
+        kinds = kind[1:][starts]
+        # a single apostrophe takes the letters of its contraction
+        at = np.flatnonzero((kinds == 3) & (ends - starts == 1))
+        at = at[buf[starts[at]] == ord("'")]
+        at = at[kind[ends[at] + 1] == 1]
+        if len(at):
+            starts, ends = starts.copy(), ends.copy()
+            a, b, left = buf[ends[at]], buf[ends[at] + 1], ends[at + 1] - starts[at + 1]
+            pair = ((a == ord("r")) | (a == ord("v"))) & (b == ord("e")) | (a == ord("l")) & (b == ord("l"))
+            take = np.where(np.isin(a, np.frombuffer(b"stmd", np.uint8)), 1, np.where(pair & (left > 1), 2, 0))
+            ends[at] += take
+            starts[at + 1] += take
+        words = np.flatnonzero((kinds > 0) & (ends > starts))
+        starts, lengths = starts[words], (ends - starts)[words]
+        limits = np.cumsum([0, *[len(t) + 1 for t in texts]])
+        if len(starts) and lengths.max() > LONGEST_CUT:
+            return None
+        return Cut(buf, starts, lengths, np.searchsorted(starts, limits))
+
     def merge(self, word: bytes) -> list[int]:
         """Merge the lowest-ranked pair, the leftmost of equals, until none is left."""
         inner, merges = self.inner, self.merges
@@ -265,12 +444,17 @@ class Encoder:
     def __init__(self, vocab: Vocabulary, lex: dict | None):
         self.vocab, self.lex = vocab, lex
         self.clear()
+        self.clear_words()
 
     def clear(self):
         self.index: dict = {}
         self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.pool, self.used = np.zeros(1 << 18, np.uint32), 0
 
+    def clear_words(self):
+        self.table = WordTable()
+        self.word_start, self.word_ids = np.zeros(1, np.int64), np.zeros(1 << 18, np.uint32)
+
     def _add(self, words: list, ids: np.ndarray, lengths: np.ndarray):
         n, at = len(words), len(self.index)
         while at + n > len(self.start):
@@ -294,7 +478,15 @@ class Encoder:
             return
         parts = [[c] if c.isalpha() else self.vocab.words(c) for c in chunks]
         number = {w: k for k, w in enumerate(set().union(*parts))}
-        raw = [w.encode() for w in number]
+        pool, length = self.ids_of([w.encode() for w in number])
+        start = np.cumsum(length) - length
+        words = np.fromiter((number[w] for p in parts for w in p), np.int64)
+        ids, lengths = gather(pool, start[words], length[words])
+        first = np.cumsum([0] + [len(p) for p in parts[:-1]])
+        self._add(chunks, ids, np.add.reduceat(lengths, first))
+
+    def ids_of(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words one after the other, and their number by word."""
         rank = lexicon.ranks(self.lex, raw) if self.lex else np.full(len(raw), -1)
         rest = np.flatnonzero(rank < 0)
         length = np.zeros(len(raw), np.int64)
@@ -302,30 +494,64 @@ class Encoder:
         pool, length[rest] = self.vocab.merge_all([raw[k] for k in rest])
         start[rest] = np.cumsum(length[rest]) - length[rest]
         known = np.flatnonzero(rank >= 0)
-        if len(known):
-            at, to = self.lex["starts"][rank[known]], self.lex["starts"][rank[known] + 1]
-            length[known] = to - at
-            start[known] = len(pool) + np.cumsum(to - at) - (to - at)
-            pool = np.concatenate([pool, gather(self.lex["ids"], at, to - at)[0]])
-        words = np.fromiter((number[w] for p in parts for w in p), np.int64)
-        ids, lengths = gather(pool, start[words], length[words])
-        first = np.cumsum([0] + [len(p) for p in parts[:-1]])
-        self._add(chunks, ids, np.add.reduceat(lengths, first))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [list(split_chunks(self.vocab, t)) for t in texts]
-        used = set().union(*(w for t in split for w in t))
-        new = used.difference(self.index)
+        if not len(known):
+            return pool, length
+        at, to = self.lex["starts"][rank[known]], self.lex["starts"][rank[known] + 1]
+        length[known] = to - at
+        start[known] = len(pool) + np.cumsum(to - at) - (to - at)
+        pool = np.concatenate([pool, gather(self.lex["ids"], at, to - at)[0]])
+        return gather(pool, start, length)
+
+    def learn_words(self, cut: Cut) -> np.ndarray | None:
+        """The numbers of the cut's words, new ones being learnt; None if a hash
+        is shared."""
+        found = self.table.find(cut)
+        if found is not None and len(self.table) + int(found[1].sum()) > CACHE_WORDS and len(self.table):
+            self.clear_words()
+            found = self.table.find(cut)
+        if found is None:
+            return None
+        n = len(self.table)
+        numbers = self.table.add(cut, *found)
+        if len(self.table) > n:
+            data, ends = self.table.utf8(n)
+            data, ends = data.tobytes(), ends.tolist()
+            ids, lengths = self.ids_of([data[a:b] for a, b in zip([0, *ends], ends)])
+            used = int(self.word_start[-1])
+            while used + len(ids) > len(self.word_ids):
+                self.word_ids = np.concatenate([self.word_ids, np.zeros_like(self.word_ids)])
+            self.word_ids[used:used + len(ids)] = ids
+            self.word_start = np.concatenate([self.word_start, used + np.cumsum(lengths)])
+        return numbers
+
+    def _numbers(self, used) -> None:
+        """Make sure that the index holds all of ``used``."""
+        new = set(used).difference(self.index)
         if len(self.index) + len(new) > CACHE_CHUNKS and self.index:
             self.clear()
-            new = used
+            new = set(used)
         if new:
             self.learn(list(new))
-        out = []
-        for t in split:
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        out: list = [None] * len(texts)
+        cut, taken, others = sort_out(self.vocab, texts)
+        numbers = self.learn_words(cut) if cut is not None else None
+        if numbers is None:
+            others = range(len(texts))
+        else:
+            at = numbers[cut.number]
+            starts = self.word_start[at]
+            ids, lengths = gather(self.word_ids, starts, self.word_start[at + 1] - starts)
+            limits = np.concatenate([[0], np.cumsum(lengths)])[cut.limits].tolist()
+            for k, a, b in zip(taken, limits, limits[1:]):
+                out[k] = ids[a:b]
+        split = [list(split_chunks(self.vocab, texts[k])) for k in others]
+        self._numbers(set().union(*(w for t in split for w in t)))
+        for k, t in zip(others, split):
             parts = [np.array(itemgetter(*w)(self.index) if len(w) > 1 else [self.index[x] for x in w], np.int64) for w in t]
             at = parts[0] if len(parts) == 1 else np.concatenate(parts)
-            out.append(gather(self.pool, self.start[at], self.length[at])[0])
+            out[k] = gather(self.pool, self.start[at], self.length[at])[0]
         return out
 
 
@@ -362,21 +588,21 @@ def _vocabulary(path: str) -> Vocabulary:
     return _VOCABULARIES[path]
 
 
-def _chunks(texts: list[str], chars: int = 1 << 19):
-    """Index ranges of about ``chars`` characters."""
+def _chunks(column: pa.Array, size: int = 1 << 19):
+    """The texts of index ranges of about ``size`` bytes, and the ranges; the
+    texts of one range are held at a time."""
     at = n = 0
-    for k, t in enumerate(texts):
-        n += len(t)
-        if n >= chars:
-            yield at, k + 1
-            at, n = k + 1, 0
-    if at < len(texts):
-        yield at, len(texts)
+    for k, length in enumerate(pc.binary_length(column).to_pylist(), 1):
+        n += length
+        if n >= size or k == len(column):
+            yield at, k, column.slice(at, k - at).to_pylist()
+            at, n = k, 0
 
 
 def _count_words(path: str, max_chunks: int = 300_000):
     def run(batches):
         vocab, counts = _vocabulary(path), Counter()
+        table, totals = WordTable(), np.zeros(0, np.int64)
 
         def flush():
             words: Counter = Counter()
@@ -386,13 +612,35 @@ def _count_words(path: str, max_chunks: int = 300_000):
             counts.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
+
+        def flush_table():
+            nonlocal table, totals
+            data, ends = table.utf8()
+            offsets = pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32).tobytes())
+            words = pa.StringArray.from_buffers(len(table), offsets, pa.py_buffer(data.tobytes()))
+            out = pa.RecordBatch.from_arrays([words, pa.array(totals, pa.int64())], ["word", "n"])
+            table, totals = WordTable(), np.zeros(0, np.int64)
+            return out
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                for chunks in split_chunks(vocab, text):
-                    if chunks and isinstance(chunks[0], str):
-                        counts.update(chunks)
-                if len(counts) > max_chunks:
-                    yield flush()
+            for _, _, texts in _chunks(batch.column(0)):
+                cut, _, others = sort_out(vocab, texts)
+                found = table.find(cut) if cut is not None else None
+                if found is not None:
+                    numbers = table.add(cut, *found)
+                    totals = np.concatenate([totals, np.zeros(len(table) - len(totals), np.int64)])
+                    totals[numbers] += cut.counts
+                    if len(table) > max_chunks:
+                        yield flush_table()
+                else:
+                    others = range(len(texts))
+                for k in others:
+                    for chunks in split_chunks(vocab, texts[k]):
+                        if chunks and isinstance(chunks[0], str):
+                            counts.update(chunks)
+                    if len(counts) > max_chunks:
+                        yield flush()
+        if len(table):
+            yield flush_table()
         if counts:
             yield flush()
     return run
@@ -454,9 +702,8 @@ def _encode_batches(path: str, name: str, layout: list, decode: bool):
             _ENCODERS[path, name] = Encoder(vocab, lexicon.load(SparkFiles.get(name), layout))
         encoder, decoder = _ENCODERS[path, name], Decoder(vocab)
         for batch in batches:
-            texts = batch.column("t").to_pylist()
-            for a, b in _chunks(texts):
-                ids = encoder.encode(texts[a:b])
+            for a, b, texts in _chunks(batch.column("t")):
+                ids = encoder.encode(texts)
                 cols = [batch.column("row").slice(a, b - a),
                         pa.array([len(x) for x in ids], pa.int64()),
                         pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())]

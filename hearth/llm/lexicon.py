@@ -84,25 +84,25 @@ def ranks(lex: dict[str, np.ndarray], words: list[bytes]) -> np.ndarray:
     """Rank of each word, -1 where it isn't in the lexicon. All words walk the
     automaton together, one byte at a time."""
     out = np.full(len(words), -1, np.int64)
-    fit = [k for k, w in enumerate(words) if 0 < len(w) <= MAX_BYTES and b"\0" not in w]
-    if not fit or not len(lex["keys"]):
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    alive = np.flatnonzero((lengths > 0) & (lengths <= MAX_BYTES))
+    if not len(alive) or not len(lex["keys"]):
         return out
-    alive = np.array(fit)
-    grid = np.array([words[k] for k in fit], dtype=f"S{MAX_BYTES}").view(np.uint8).reshape(-1, MAX_BYTES)
-    state = np.full(len(fit), lex["root"][0], np.int64)
-    rank = np.zeros(len(fit), np.int64)
-    keys, targets, before, final = lex["keys"], lex["targets"], lex["before"], lex["final"]
+    data, starts = np.frombuffer(b"".join(words), np.uint8), np.cumsum(lengths) - lengths
+    state = np.full(len(alive), lex["root"][0], np.int64)
+    rank = np.zeros(len(alive), np.int64)
+    keys, targets, before, final = (np.asarray(lex[k]) for k in ("keys", "targets", "before", "final"))
     for col in range(MAX_BYTES + 1):
-        ended = grid[:, col] == 0 if col < MAX_BYTES else np.ones(len(grid), bool)
+        ended = lengths[alive] == col
         hit = ended & (final[state] == 1)
         out[alive[hit]] = rank[hit]
-        go = ~ended
-        if not go.any():
+        go = np.flatnonzero(~ended)
+        if not len(go):
             break
-        grid, alive, state, rank = grid[go], alive[go], state[go], rank[go]
-        key = state * 256 + grid[:, col]
+        alive = alive[go]
+        key = state[go] * 256 + data[starts[alive] + col]
         at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        found = keys[at] == key
-        grid, alive, at, rank = grid[found], alive[found], at[found], rank[found]
-        state, rank = targets[at].astype(np.int64), rank + before[at]
+        found = np.flatnonzero(keys[at] == key)
+        alive, at, go = alive[found], at[found], go[found]
+        state, rank = targets[at].astype(np.int64), rank[go] + before[at]
     return out

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from hearth.llm.common import text_or_empty
 
+EMIT_ROWS = 128         # packed rows of a result batch
 BYTE_OFFSET = 3         # ids 0, 1 and 2 stay free: padding and two marks
 
 
@@ -110,7 +111,7 @@ def _pack(capacity: int, pad: int, window_tokens: int, id_bytes: int, id_type: p
             rows = best_fit_decreasing([len(x) for _, _, x in waiting], capacity)
             packs = [[waiting[k] for k in row] for row in rows]
             waiting.clear()
-            return (emit(packs[k:k + 256]) for k in range(0, len(packs), 256))
+            return (emit(packs[k:k + EMIT_ROWS]) for k in range(0, len(packs), EMIT_ROWS))
         for batch in batches:
             full = []
             for doc, raw in zip(batch.column("id").to_pylist(), batch.column("ids").to_pylist()):
@@ -118,7 +119,7 @@ def _pack(capacity: int, pad: int, window_tokens: int, id_bytes: int, id_type: p
                 whole = len(x) // capacity * capacity
                 for at in range(0, whole, capacity):
                     full.append([(doc, at, x[at:at + capacity])])
-                    if len(full) >= 256:
+                    if len(full) >= EMIT_ROWS:
                         yield emit(full)
                         full = []
                 if len(x) > whole:

@@ -5,7 +5,7 @@ import random
 import re
 import unicodedata
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -275,6 +275,54 @@ def test_every_letter_splits_like_the_library(library):
         assert [x.tolist() for x in encoder.encode(texts)] == want
 
 
+def latin_texts():
+    r = random.Random(3)
+    alphabet = "".join(map(chr, range(256))) + "aaeestmdrvl''''''  " * 12
+    texts = ["".join(r.choices(alphabet, k=r.randrange(60))) for _ in range(2000)]
+    return texts + ["", "'", "don't we'll you'RE 'sample ''s x's's 're' 'l 'v", "a" * 3000, "a\0 a b\0\0 b", "aaaaaaaab aaaaaaaac"]
+
+
+def test_latin_texts_are_split_without_the_pattern(library, monkeypatch):
+    texts = latin_texts()
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    vocab = bpe.Vocabulary(bpe.vocabulary_path())
+    mixed = bpe.Encoder(vocab, None)
+    assert [x.tolist() for x in mixed.encode(texts)] == want
+    assert list(mixed.index) == ["a" * 3000] and len(mixed.table)       # only a very long word takes the pattern
+    texts, want = zip(*((t, w) for t, w in zip(texts, want) if len(t) <= bpe.LONGEST_CUT and "<|" not in t))
+    with monkeypatch.context() as m:
+        m.setattr(vocab, "units", None)     # one call of the pattern for each text is what took the time
+        encoder = bpe.Encoder(vocab, None)
+        assert [x.tolist() for x in encoder.encode(list(texts))] == list(want)
+        assert not encoder.index and len(encoder.table)
+        m.setattr(bpe, "CACHE_WORDS", 50)
+        few = bpe.Encoder(vocab, None)
+        for t, w in zip(texts[:200], want):
+            assert few.encode([t])[0].tolist() == w and len(few.table) <= 50
+    # words that share a hash go through the pattern
+    monkeypatch.setattr(bpe, "hash_words", lambda buf, starts, lengths: (lengths % 2).astype(np.uint64))
+    clash = bpe.Encoder(vocab, None)
+    assert [clash.encode([t])[0].tolist() for t in texts[:300]] == list(want[:300])
+    assert clash.index
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_word_counts_equal_those_of_the_pattern(monkeypatch, clash):
+    texts = latin_texts() + ["中文 abc abc", "x<|endoftext|>abc", "ÀÉ àé éa"]
+    vocab = bpe.Vocabulary(bpe.vocabulary_path())
+    want = Counter(w for t in texts for part in bpe.split_chunks(vocab, t) if part and isinstance(part[0], str)
+                   for chunk in part for w in vocab.words(chunk))
+    if clash:
+        monkeypatch.setattr(bpe, "hash_words", lambda buf, starts, lengths: (lengths % 2).astype(np.uint64))
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[k:k + 20])], ["t"]) for k in range(0, len(texts), 20)]
+    got = Counter()
+    for out in bpe._count_words(bpe.vocabulary_path(), 200)(iter(batches)):
+        out.validate(full=True)
+        for w, n in zip(out.column(0).to_pylist(), out.column(1).to_pylist()):
+            got[w] += n
+    assert got == want
+
+
 def test_encode_in_spark(spark, awkward, empty, library):
     out = bpe.decode(bpe.encode(awkward, decoded=True, lexicon_words=5).withColumnRenamed("decoded", "first"))
     rows = out.select("row.n", "n_tokens", "ids", "first", "decoded").collect()
@@ -499,6 +547,18 @@ def test_packing_holds_the_rests_of_long_documents_only(monkeypatch):
     assert kept[-1] - kept[5] < 5_000_000   # 45 documents of 400 kB, each with a rest of one token
 
 
+@pytest.mark.parametrize("length", [7, 10, 25])
+def test_windows_of_many_rows_hold_every_segment_once(monkeypatch, length):
+    monkeypatch.setattr(packing, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda s: 0})())}))
+    n = 5 * packing.EMIT_ROWS + 3
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(n)), pa.array([np.arange(length, dtype="<u4").tobytes()] * n, pa.binary())], ["id", "ids"])
+    rows = [r for b in packing._pack(10, 0, 4_000_000, 4, pa.int64())(iter([batch])) for r in b.to_pylist()]
+    segments = [(d, s) for r in rows for d, s in zip(r["doc_ids"], r["doc_starts"])]
+    assert sorted(segments) == [(d, s) for d in range(n) for s in range(0, length, 10)]
+    assert [r["pack_id"] for r in rows] == list(range(len(rows)))
+
+
 def test_packing_query_packs_token_ids(spark):
     from hearth.llm import QUERIES
     used = sum(r.cu_seqlens[-1] for r in QUERIES["op6_best_fit_packing"](spark, SF0001).select("cu_seqlens").collect())
