@@ -15,7 +15,9 @@ own. Here what maps have in common is computed once:
 * **Boosting.** A chain's first m trees are the model of ``maxIter`` m, so each
   depth is one chain.
 
-The fitted trees of all folds (their number of nodes is bounded by the grid)
+The trees, forests and chains of all folds grow together, one pass over the
+binned rows for a level of all (:mod:`hearth.operators.binned_trees`).
+The grown trees of all folds (their number of nodes is bounded by the grid)
 score the data together in one pass, that adds up squared errors of every map
 per fold.
 """
@@ -32,6 +34,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from hearth.operators import binned_trees
 from hearth.operators.comoments import co_moments, merge
 from hearth.session import checkpoint_dir
 
@@ -210,14 +213,14 @@ class Ensemble(NamedTuple):
     """Trees whose first ones, cut at a depth, are models of several maps:
     ``maps`` has (map number, depth, number of trees)."""
 
-    trees: list[Tree]
+    trees: list[Tree] | list[binned_trees.Grown]
     weights: list[float]
     mean: bool
     maps: list[tuple[int, int, int]]
 
     def predictions(self, x: np.ndarray):
         depths = sorted({d for _, d, _ in self.maps})
-        sums = {d: np.zeros(len(x)) for d in depths}
+        sums = dict.fromkeys(depths, 0.0)
         for k, (tree, weight) in enumerate(zip(self.trees, self.weights), 1):
             for d, y in tree.by_depth(x, depths).items():
                 sums[d] = sums[d] + weight * y
@@ -251,29 +254,193 @@ def _errors(models: dict[int, list[Ensemble]]):
             y = batch.column(2).to_numpy(zero_copy_only=False)
             for f in np.unique(fold):
                 here = fold == f
-                x_here, y_here = x[here], y[here]
-                for ensemble in models.get(int(f), ()):
-                    for number, predicted in ensemble.predictions(x_here):
-                        add = total.setdefault((number, int(f)), [0, 0.0])
-                        add[0] += len(y_here)
-                        add[1] += float(np.square(predicted - y_here).sum())
-        if total:
-            keys = list(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.int32()),
-                 pa.array([total[k][0] for k in keys], pa.int64()), pa.array([total[k][1] for k in keys], pa.float64())],
-                ["map", "fold", "n", "sse"])
+                _add_errors(total, int(f), models.get(int(f), ()), x[here], y[here])
+        yield from _error_rows(total)
     return run
 
 
+_ERRORS = "map int, fold int, n long, sse double"
+
+
+def _add_errors(total: dict, fold: int, ensembles, x: np.ndarray, y: np.ndarray) -> None:
+    for ensemble in ensembles:
+        for number, predicted in ensemble.predictions(x):
+            add = total.setdefault((number, fold), [0, 0.0])
+            add[0] += len(y)
+            add[1] += float(np.square(predicted - y).sum())
+
+
+def _error_rows(total: dict):
+    if total:
+        keys = list(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.int32()),
+             pa.array([total[k][0] for k in keys], pa.int64()), pa.array([total[k][1] for k in keys], pa.float64())],
+            ["map", "fold", "n", "sse"])
+
+
+def _block_errors(models: dict[int, list[tuple[int, Ensemble]]], n_cuts: int, width: int):
+    """As :func:`_errors`, over blocks: ``models`` by a fold's place, with the number of their cuts."""
+    def run(batches):
+        total: dict[tuple[int, int], list[float]] = {}
+        for _, fold, y, bins in binned_trees.arrays(batches, n_cuts, width):
+            for f in np.unique(fold):
+                here = np.flatnonzero(fold == f)
+                for number in sorted({n for n, _ in models.get(int(f), ())}):
+                    _add_errors(total, int(f), [e for n, e in models[int(f)] if n == number],
+                                bins[number].take(here, axis=1), y[here])
+        yield from _error_rows(total)
+    return run
+
+
+def _summed_errors(rows: DataFrame) -> dict[tuple[int, int], float]:
+    """{(map, fold): root mean squared error} of the rows of :func:`_errors`."""
+    sums = rows.groupBy("map", "fold").agg(F.sum("n").alias("n"), F.sum("sse").alias("sse"))
+    return {(r["map"], r["fold"]): np.sqrt(r["sse"] / r["n"]) for r in sums.collect()}
+
+
 def _ensemble(kind: str, est, data: DataFrame, maps: list[tuple[int, dict]], seed_params: dict) -> Ensemble:
     model = est.copy({getattr(est, k): v for k, v in seed_params.items()}).fit(data)
     trees = tree_arrays(model)
     weights = list(model.treeWeights) if kind != "tree" else [1.0]
-    sizes = {"tree": lambda p: 1, "forest": lambda p: p["numTrees"], "boosted": lambda p: p["maxIter"]}[kind]
     if kind == "forest":
         weights = [1.0] * len(trees)
-    return Ensemble(trees, weights, kind == "forest", [(i, p["maxDepth"], sizes(p)) for i, p in maps])
+    return Ensemble(trees, weights, kind == "forest", _map_sizes(kind, maps))
+
+
+#: parameters that decide what trees are fitted; those growing together have these values, or take any (None)
+_GROWN = {"maxBins": None, "minInstancesPerNode": None, "minInfoGain": None, "maxMemoryInMB": None, "seed": None,
+          "maxDepth": None, "maxIter": None, "numTrees": None, "stepSize": None, "impurity": ("variance",),
+          "subsamplingRate": (1.0,), "minWeightFractionPerNode": (0.0,), "bootstrap": (True,), "lossType": ("squared",),
+          "featureSubsetStrategy": ("auto", "all", "onethird"), "weightCol": (), "validationIndicatorCol": ()}
+
+
+def _grows(kind: str, est) -> bool:
+    """Whether an estimator's trees are grown with the others, or by Spark ML."""
+    for name, values in _GROWN.items():
+        if values is not None and est.hasParam(name) and est.isDefined(name) and est.getOrDefault(name) not in values:
+            return False
+    if kind == "boosted" and est.getOrDefault("featureSubsetStrategy") == "onethird":
+        return False
+    return True
+
+
+def _fit(kind: str, est, params: dict, fold: int, number: int, cuts: binned_trees.Cuts) -> binned_trees.Fit:
+    get = est.getOrDefault
+    trees = {"tree": 1, "forest": params.get("numTrees"), "boosted": params.get("maxIter")}[kind]
+    width = per_node = len(cuts.bins)
+    if kind == "forest" and (get("featureSubsetStrategy") == "onethird" or get("featureSubsetStrategy") == "auto" and trees > 1):
+        per_node = -(-width // 3)
+    return binned_trees.Fit(kind, fold, params["maxDepth"], trees, get("seed"), number, cuts, get("minInstancesPerNode"),
+                            get("minInfoGain"), get("stepSize") if kind == "boosted" else 1.0, per_node,
+                            get("maxMemoryInMB") << 20)
+
+
+def _row_counts(prepared: DataFrame, fold: str) -> tuple[dict[int, int], dict[int, int]]:
+    """Rows by fold and by partition."""
+    folds: dict[int, int] = {}
+    partitions: dict[int, int] = {}
+    for r in prepared.groupBy(F.spark_partition_id().alias("_p"), F.col(fold).alias("_f")).count().collect():
+        folds[r["_f"]] = folds.get(r["_f"], 0) + r["count"]
+        partitions[r["_p"]] = partitions.get(r["_p"], 0) + r["count"]
+    return folds, partitions
+
+
+def _ml_model(kind: str, est, grown: list, fit: binned_trees.Fit, spark: SparkSession):
+    """Spark ML's model of grown trees: one of bare leaves is saved, and loaded with the trees' nodes."""
+    sc = spark.sparkContext
+    jvm, width = sc._jvm, len(fit.cuts.bins)
+    leaf = jvm.org.apache.spark.ml.tree.LeafNode(0.0, 0.0, jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator(
+        sc._gateway.new_array(jvm.double, 3), 0))
+    single = jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    if kind == "tree":
+        bare = single(est.uid, leaf, width)
+    else:
+        trees = sc._gateway.new_array(single, len(grown))
+        for k in range(len(grown)):
+            trees[k] = single(f"{est.uid}_{k}", leaf, width)
+        if kind == "forest":
+            bare = jvm.org.apache.spark.ml.regression.RandomForestRegressionModel(est.uid, trees, width)
+        else:
+            weights = sc._gateway.new_array(jvm.double, len(grown))
+            for k in range(len(grown)):
+                weights[k] = 1.0 if k == 0 else fit.step
+            bare = jvm.org.apache.spark.ml.regression.GBTRegressionModel(est.uid, trees, weights, width)
+    model = est._copyValues(est._create_model(bare))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/trees-{uuid.uuid4().hex}"
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    try:
+        model.write().overwrite().save(path)
+        schema = spark.read.parquet(f"{path}/data").schema
+        rows = [n if kind == "tree" else {"treeID": k, "nodeData": n} for k, g in enumerate(grown) for n in g.nodes()]
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{path}/data")
+        return type(model).load(path)
+    finally:
+        fs.delete(hpath, True)
+
+
+def fit_map(prepared: DataFrame, kind: str, est, params: dict, *, fold: str = "fold", features: str = "features",
+            label: str = "label"):
+    """The Spark ML model of one map on all rows of ``prepared``; trees are grown as in the search."""
+    own = est.copy({getattr(est, k): v for k, v in params.items()})
+    if kind == "linear" or not _grows(kind, est):
+        return own.fit(prepared)
+    params = {"maxDepth": own.getOrDefault("maxDepth")} | {
+        k: own.getOrDefault(k) for k in ("numTrees", "maxIter") if own.hasParam(k)}
+    counts, partitions = _row_counts(prepared, fold)
+    width = len(prepared.select(vector_to_array(features)).first()[0])
+    cuts = binned_trees.find_cuts(prepared, features, sum(counts.values()), width, own.getOrDefault("maxBins"), own.getOrDefault("seed"))
+    fit = _fit(kind, own, params, -1, 0, cuts)
+    bags = fit.trees if kind == "forest" else 0
+    data = binned_trees.blocks(prepared, [cuts], [], fold=fold, features=features, label=label, bags=bags, seed=fit.seed,
+                               expected=partitions)
+    try:
+        grown, = binned_trees.grow(data, [fit], bags, 1)
+    finally:
+        data.unpersist()
+    return _ml_model(kind, own, grown, fit, prepared.sparkSession)
+
+
+def _map_sizes(kind: str, maps: list[tuple[int, dict]]) -> list[tuple[int, int, int]]:
+    sizes = {"tree": lambda p: 1, "forest": lambda p: p["numTrees"], "boosted": lambda p: p["maxIter"]}[kind]
+    return [(i, p["maxDepth"], sizes(p)) for i, p in maps]
+
+
+def _grow_together(prepared: DataFrame, jobs: list, folds: list[int], fold: str, features: str, label: str,
+                   parallelism: int) -> dict[tuple[int, int], float]:
+    """The errors, by map and place of the fold, of all jobs (fold, kind, estimator,
+    maps, parameters), whose trees grow together."""
+    counts, partitions = _row_counts(prepared, fold)
+    width = len(prepared.select(vector_to_array(features)).first()[0])
+
+    def cut(key):
+        held, max_bins, seed = key
+        return key, binned_trees.find_cuts(prepared.filter(F.col(fold) != held), features, sum(counts.values()) - counts[held],
+                                           width, max_bins, seed)
+
+    def of(job):
+        return job[0], job[2].getOrDefault("maxBins"), job[2].getOrDefault("seed")
+    pool = ThreadPool(min(parallelism, len(jobs)))
+    try:
+        cuts = dict(pool.map(inheritable_thread_target(cut), sorted({of(j) for j in jobs})))
+    finally:
+        pool.close()
+    unlike = list(dict.fromkeys(cuts.values()))
+    fits = [_fit(kind, est, params, folds.index(f), unlike.index(cuts[of(job)]), cuts[of(job)])
+            for job in jobs for f, kind, est, _, params in [job]]
+    forests = [f for f in fits if f.kind == "forest"]
+    data = binned_trees.blocks(prepared, unlike, folds, fold=fold, features=features, label=label,
+                               bags=max((f.trees for f in forests), default=0), seed=forests[0].seed if forests else 0, expected=partitions)
+    try:
+        models: dict[int, list[tuple[int, Ensemble]]] = {}
+        for job, fit, trees in zip(jobs, fits, binned_trees.grow(data, fits, max((f.trees for f in forests), default=0), len(unlike))):
+            weights = [1.0 if job[1] != "boosted" or k == 0 else fit.step for k in range(len(trees))]
+            models.setdefault(fit.fold, []).append((fit.cuts_number, Ensemble(
+                [t.grown() for t in trees], weights, job[1] == "forest", _map_sizes(job[1], job[3]))))
+        return _summed_errors(data.mapInArrow(_block_errors(models, len(unlike), width), _ERRORS))
+    finally:
+        data.unpersist()
 
 
 def _shared_fits(kind: str, maps: list[tuple[int, dict]]) -> list[tuple[dict, list[tuple[int, dict]]]]:
@@ -337,19 +504,21 @@ def shared_search(prepared: DataFrame, grid: Sequence[dict], *, fold: str = "fol
     def fit(job):
         f, kind, est, served, params = job
         return f, _ensemble(kind, est, prepared.filter(F.col(fold) != f), served, params)
-    if jobs:
-        pool = ThreadPool(min(parallelism, len(jobs)))
+    together = [j for j in jobs if _grows(j[1], j[2])]
+    if together:
+        for (number, place), rmse in _grow_together(prepared, together, folds, fold, features, label, parallelism).items():
+            out[number, place] = rmse
+    alone = [j for j in jobs if j not in together]
+    if alone:
+        pool = ThreadPool(min(parallelism, len(alone)))
         try:
             models: dict[int, list[Ensemble]] = {f: [] for f in folds}
-            for f, ensemble in pool.imap_unordered(inheritable_thread_target(fit), jobs):
+            for f, ensemble in pool.imap_unordered(inheritable_thread_target(fit), alone):
                 models[f].append(ensemble)
         finally:
             pool.close()
         rows = (prepared.select(F.col(fold).cast("int"), vector_to_array(features).alias("x"),
-                                F.col(label).cast("double").alias("y"))
-                .mapInArrow(_errors(models), "map int, fold int, n long, sse double")
-                .groupBy("map", "fold").agg(F.sum("n").alias("n"), F.sum("sse").alias("sse")))
-        place = {f: k for k, f in enumerate(folds)}
-        for r in rows.collect():
-            out[r["map"], place[r["fold"]]] = np.sqrt(r["sse"] / r["n"])
+                                F.col(label).cast("double").alias("y")).mapInArrow(_errors(models), _ERRORS))
+        for (number, f), rmse in _summed_errors(rows).items():
+            out[number, folds.index(f)] = rmse
     return out

@@ -152,8 +152,7 @@ def price_prediction(train: DataFrame, test: DataFrame, *, id_cols: Sequence[str
         errors = search.shared_search(prepared, maps, parallelism=parallelism)
         avg, std = errors.mean(axis=1), errors.std(axis=1)
         board = models.rank_maps(train.sparkSession, maps, avg, std)
-        _, best, params = search.parameter_maps(maps)[int(avg.argmin())]
-        model = best.copy({getattr(best, k): v for k, v in params.items()}).fit(prepared)
+        model = search.fit_map(prepared, *search.parameter_maps(maps)[int(avg.argmin())])
     else:
         est = estimator or LinearRegression(solver="normal", maxIter=30, regParam=0.001,
                                             elasticNetParam=0.8)
